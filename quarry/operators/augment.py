@@ -31,3 +31,144 @@ def sql_tidy(x) -> Column:
     n_newlines = F.size(F.split(s, "\n")) - 1
     s = F.when(n_newlines >= 3, F.regexp_replace(F.regexp_replace(s, r"\s+", " "), r"^ | $", "")).otherwise(s)
     return extract_sql(s)
+
+
+# ------------------------------------------------------ schema augmentation --
+# All of A1-A4 edit the parsed struct of ``mschema.parse_schema`` with array
+# higher-order functions: no explode, no shuffle, usable on streams.
+
+from quarry.functions.rand import threshold  # noqa: E402
+from quarry.functions.text import regex_escape  # noqa: E402
+from quarry.operators.mschema import _table_matches, fk_filter, parse_schema, render_schema  # noqa: E402
+from quarry.functions.rand import weighted_choice  # noqa: E402
+
+
+def _h(seed: int, purpose: str, *parts: Column) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:{purpose}:"),
+                          F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])))
+
+
+def _draw(seed: int, purpose: str, p: float, *parts: Column) -> Column:
+    if p >= 1:
+        return F.lit(True)
+    if p <= 0:
+        return F.lit(False)
+    return F.substring(_h(seed, purpose, *parts), 1, 8) < F.lit(threshold(p))
+
+
+def _sort_by_hash(arr: Column, keyed) -> Column:
+    """Sort ``arr`` by ``keyed(element, index)`` (a hash), ties by index."""
+    tagged = F.transform(arr, lambda x, i: F.struct(keyed(x, i).alias("h"), i.alias("i"), x.alias("x")))
+    return F.transform(F.array_sort(tagged), lambda t: t["x"])
+
+
+def schema_shuffle(parsed: Column, rec: Column, seed: int = 42, tab_p: float = 0.5,
+                   col_p: float = 0.3, fk_p: float = 0.2) -> Column:
+    """A1: with ``tab_p`` permute the tables; per table with ``col_p``
+    permute its columns; with ``fk_p`` permute the FKs."""
+    tabs = parsed["tables"]
+    tabs = F.when(_draw(seed, "a1_tab", tab_p, rec),
+                  _sort_by_hash(tabs, lambda t, i: _h(seed, "a1_tab_order", rec, t["key"])))\
+        .otherwise(tabs)
+    tabs = F.transform(tabs, lambda t: t.withField("cols", F.when(
+        _draw(seed, "a1_col", col_p, rec, t["key"]),
+        _sort_by_hash(t["cols"], lambda c, i: _h(seed, "a1_col_order", rec, t["key"], c["name"])))
+        .otherwise(t["cols"])))
+    fks = parsed["fks"]
+    fks = F.when(_draw(seed, "a1_fk", fk_p, rec),
+                 _sort_by_hash(fks, lambda k, i: _h(seed, "a1_fk_order", rec, i))).otherwise(fks)
+    return parsed.withField("tables", tabs).withField("fks", fks)
+
+
+def _in_sql(sql: Column, name: Column) -> Column:
+    """``name`` occurs in ``sql`` as a whole word, case-insensitively."""
+    return F.regexp_like(sql, F.concat(F.lit("(?i)\\b"), regex_escape(name), F.lit("\\b")))
+
+
+def schema_filter(parsed: Column, rec: Column, sql: Column, seed: int = 42, tab_p: float = 0.8,
+                  col_p: float = 0.7) -> Column:
+    """A2: a table stays if its name (header before ``,``) is a whole word of
+    the SQL, else with ``tab_p``; in a kept table a column stays by the same
+    test, else with ``col_p``; then FKs are filtered (M7)."""
+    kept = F.filter(parsed["tables"], lambda t: _in_sql(sql, t["name"])
+                    | _draw(seed, "a2_tab", tab_p, rec, t["key"]))
+    kept = F.transform(kept, lambda t: t.withField("cols", F.filter(
+        t["cols"], lambda c: _in_sql(sql, c["name"]) | _draw(seed, "a2_col", col_p, rec, t["key"], c["name"]))))
+    return fk_filter(parsed.withField("tables", kept))
+
+
+# --- fixed values: example labels and their weights (A3) ---
+EXAMPLE_LABELS = ["Value examples:", "Examples:", "示例值:", "values:", "--"]
+EXAMPLE_WEIGHTS = [10, 83, 3, 3, 1]
+FOUND_LABELS = ["Value examples:", "Examples:"]
+# --- end of fixed values ---
+
+
+def schema_permute(parsed: Column, rec: Column, seed: int = 42) -> tuple[Column, Column]:
+    """A3: one label per record (weighted); every column line holding
+    ``Value examples:`` or ``Examples:`` gets that label instead (split at
+    the first occurrence, quirk Q14); ``--`` moves the values after the
+    closing parenthesis.  Returns (parsed, indent) - the indent is dropped
+    with probability 0.5."""
+    choice = weighted_choice(seed, "a3_label", EXAMPLE_WEIGHTS, rec)
+    label = F.element_at(F.array(*[F.lit(x) for x in EXAMPLE_LABELS]), choice + 1)
+
+    def relabel(line):
+        out = line
+        for found in reversed(FOUND_LABELS):
+            pre = F.substring_index(line, found, 1)
+            post = F.substr(line, F.length(pre) + F.lit(len(found) + 1))
+            new = F.when(label == "--", F.concat(pre, F.lit(") -- Value examples:"),
+                                                 F.substr(post, F.lit(1), F.length(post) - 1))) \
+                .otherwise(F.concat(pre, label, post))
+            out = F.when(line.contains(found), new).otherwise(out)
+        return out
+
+    tabs = F.transform(parsed["tables"], lambda t: t.withField("cols", F.transform(
+        t["cols"], lambda c: c.withField("line", relabel(c["line"])))))
+    indent = F.when(_draw(seed, "a3_indent", 0.5, rec), F.lit("")).otherwise(F.lit("  "))
+    return parsed.withField("tables", tabs), indent
+
+
+def _replacement_text(s: Column) -> Column:
+    return F.regexp_replace(s, r"([\\$])", r"\\$1")
+
+
+def schema_rename(schema_text: Column, sql: Column, db_name: Column, rec: Column, seed: int = 42,
+                  tab_p: float = 0.5) -> tuple[Column, Column]:
+    """A4: each table named in the SQL is, with ``tab_p``, renamed
+    ``db.table`` in both schema text and SQL - whole words only (quirk Q15),
+    applied in table order."""
+    parsed = parse_schema(schema_text)
+    picks = F.filter(parsed["tables"], lambda t: _in_sql(sql, t["name"])
+                     & _draw(seed, "a4_tab", tab_p, rec, t["key"]))
+    pairs = F.transform(picks, lambda t: F.struct(t["name"].alias("old"),
+                                                   F.concat(db_name, F.lit("."), t["name"]).alias("new")))
+
+    def fold(text):
+        return F.aggregate(pairs, text, lambda acc, x: F.regexp_replace(
+            acc, F.concat(F.lit("\\b"), regex_escape(x["old"]), F.lit("\\b")), _replacement_text(x["new"])))
+    return fold(schema_text), fold(sql)
+
+
+def augment_record(df, seed: int = 42, shuffle=True, filter_=True, permute=True, tidy=True,
+                   schema_col="db_schema", sql_col="sql", db_col="db_name", key_col="idx"):
+    """The default chain (shuffle, filter, permute, SQL tidy) on a record
+    DataFrame; unparsed schema texts (quirk Q1) pass through unchanged."""
+    rec = F.col(key_col)
+    # each step reads the previous step's column, so the parse (regex work)
+    # runs once per record instead of once per reference in the next step
+    out = df.withColumn("_p", parse_schema(schema_col))
+    if shuffle:
+        out = out.withColumn("_p", schema_shuffle(F.col("_p"), rec, seed))
+    if filter_:
+        out = out.withColumn("_p", schema_filter(F.col("_p"), rec, F.col(sql_col), seed))
+    indent = None
+    if permute:
+        p, indent = schema_permute(F.col("_p"), rec, seed)
+        out = out.withColumn("_p", p)
+    text = F.when(F.col("_p.parsed"), render_schema(F.col(db_col), F.col("_p"), indent)).otherwise(F.col(schema_col))
+    out = out.withColumn(schema_col, text).drop("_p")
+    if tidy:
+        out = out.withColumn(sql_col, sql_tidy(sql_col))
+    return out

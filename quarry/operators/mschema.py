@@ -121,3 +121,104 @@ def to_mschema(cat_tables: DataFrame, cat_fields: DataFrame, cat_fks: DataFrame,
                     F.lit("\n" + FK_HEAD),
                     F.when(F.col("fks_txt") != "", F.concat(F.lit("\n"), F.col("fks_txt")))
                     .otherwise(F.lit("")))).otherwise(F.lit(""))).alias("mschema")))
+
+
+# ---------------------------------------------------------------- parsing --
+# Parsed schema, one value per record (row-local, no shuffle):
+#   struct<parsed: boolean,
+#          tables: array<struct<key, name, cols: array<struct<name, line>>>>,
+#          fks: array<struct<lt, lc, rt, rc>>>
+# ``key`` is the full header text (may hold ", comment" or "schema."),
+# ``name`` the bare table name used for matching (quirk Q2).
+
+TABLE_RE = r"# Table: (.+?)\n\[([\s\S]+?)\]\n"
+
+
+def _strip(c: Column) -> Column:
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
+def _col_line(item: Column) -> Column:
+    """Text between the first ``(`` and the last ``)`` of a column item,
+    wrapped in parentheses again; its name is before the first ``,`` then
+    before the first ``:``."""
+    lpos = F.locate("(", item)
+    start0 = F.when(lpos > 0, lpos).otherwise(F.lit(1))  # 0-based start of inner = left + 1
+    rrev = F.locate(")", F.reverse(item))
+    end0 = F.when(rrev > 0, F.length(item) - rrev).otherwise(F.length(item))  # 0-based exclusive end
+    inner = F.substr(item, start0 + 1, F.greatest(end0 - start0, F.lit(0)))
+    name = _strip(F.substring_index(F.substring_index(_strip(inner), ",", 1), ":", 1))
+    return F.struct(name.alias("name"), F.concat(F.lit("("), inner, F.lit(")")).alias("line"))
+
+
+def bare_table_name(key: Column) -> Column:
+    """Header text before the first ``,`` (drops a table comment)."""
+    return _strip(F.substring_index(key, ",", 1))
+
+
+def _fk(line: Column) -> Column:
+    left = _strip(F.substring_index(line, "=", 1))
+    right = _strip(F.substring_index(line, "=", -1))
+
+    def split_last_dot(s):
+        col = F.substring_index(s, ".", -1)
+        tab = F.substr(s, F.lit(1), F.greatest(F.length(s) - F.length(col) - 1, F.lit(0)))
+        return tab, col
+
+    lt, lc = split_last_dot(left)
+    rt, rc = split_last_dot(right)
+    ticks = lc.contains("`") & rc.contains("`")
+
+    def unq(c):
+        return F.when(ticks, F.substr(c, F.lit(2), F.length(c) - 2)).otherwise(c)
+
+    return F.struct(lt.alias("lt"), unq(lc).alias("lc"), rt.alias("rt"), unq(rc).alias("rc"))
+
+
+def parse_schema(text) -> Column:
+    """M5: M-Schema text -> parsed struct (see above).  A text with no
+    ``# Table:`` block (e.g. DDL, quirk Q1) gives ``parsed = false``."""
+    t = F.col(text) if isinstance(text, str) else text
+    t2 = F.when(t.contains(FK_HEAD), t).otherwise(F.concat(t, F.lit("\n")))
+    heads = F.regexp_extract_all(t2, F.lit(TABLE_RE), 1)
+    bodies = F.regexp_extract_all(t2, F.lit(TABLE_RE), 2)
+    tables = F.transform(heads, lambda h, i: F.struct(
+        h.alias("key"), bare_table_name(h).alias("name"),
+        F.transform(F.split(_strip(F.element_at(bodies, i + 1)), ",\n"), _col_line).alias("cols")))
+    fk_part = _strip(F.substring_index(_strip(t), FK_HEAD, -1))
+    fk_lines = F.filter(F.split(fk_part, "\n"), lambda l: F.length(l) > 0)
+    fks = F.when(t.contains(FK_HEAD), F.transform(fk_lines, _fk)).otherwise(
+        F.array().cast("array<struct<lt:string,lc:string,rt:string,rc:string>>"))
+    return F.struct((F.size(heads) > 0).alias("parsed"), tables.alias("tables"), fks.alias("fks"))
+
+
+def render_schema(db_id: Column, parsed: Column, indent: Column | None = None) -> Column:
+    """M6: parsed struct -> text.  ``indent`` is the per-line prefix (two
+    spaces by default); tables without columns are left out; both headings
+    are always written; FKs as ``a.b = c.d``."""
+    pre = F.lit("  ") if indent is None else indent
+    kept = F.filter(parsed["tables"], lambda tb: F.size(tb["cols"]) > 0)
+    tables_txt = F.array_join(F.transform(kept, lambda tb: F.concat(
+        F.lit(TABLE_HEAD), tb["key"], F.lit("\n[\n"),
+        F.array_join(F.transform(tb["cols"], lambda c: F.concat(pre, c["line"])), ",\n"),
+        F.lit("\n]"))), "\n")
+    fks_txt = F.array_join(F.transform(parsed["fks"], lambda k: F.concat(
+        k["lt"], F.lit("."), k["lc"], F.lit(" = "), k["rt"], F.lit("."), k["rc"])), "\n")
+    return F.concat(F.lit(DB_HEAD + " "), db_id, F.lit("\n" + SCHEMA_HEAD + "\n"), tables_txt,
+                    F.lit("\n" + FK_HEAD + "\n"), fks_txt)
+
+
+def _table_matches(tb_name: Column, fk_table: Column) -> Column:
+    # a header may carry a "schema." prefix that FK lines do not
+    return (tb_name == fk_table) | tb_name.endswith(F.concat(F.lit("."), fk_table))
+
+
+def fk_filter(parsed: Column) -> Column:
+    """M7: keep a FK when both tables and both columns survive (tables
+    matched on the bare name, quirk Q2)."""
+    tabs = parsed["tables"]
+
+    def has(t, c):
+        return F.exists(tabs, lambda tb: _table_matches(tb["name"], t)
+                        & F.exists(tb["cols"], lambda col: col["name"] == c))
+    return parsed.withField("fks", F.filter(parsed["fks"], lambda k: has(k["lt"], k["lc"]) & has(k["rt"], k["rc"])))

@@ -173,18 +173,16 @@ def sql_text_match_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("name_similarity", """
-WITH p AS (SELECT p_partkey, p_brand, p_name FROM part),
-d AS (SELECT DISTINCT p_brand, p_name FROM p)
-SELECT a.p_brand AS brand, a.p_name AS name_a, b.p_name AS name_b,
+SELECT a.p_partkey, a.p_name AS name_a, b.p_name AS name_b,
  round(jaro_winkler_similarity(a.p_name, b.p_name), 6) AS jw
-FROM d a JOIN d b ON a.p_brand = b.p_brand AND a.p_name < b.p_name
-WHERE jaro_winkler_similarity(a.p_name, b.p_name) > 0.7""")
+FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1""")
 def name_similarity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Jaro-Winkler between distinct part names sharing a brand (blocked
-    on brand - never a cross join)."""
-    d = load(spark, sf_dir, "part").select("p_brand", "p_name").distinct()
-    a = d.select(F.col("p_brand").alias("brand"), F.col("p_name").alias("name_a"))
-    b = d.select(F.col("p_brand").alias("brand"), F.col("p_name").alias("name_b"))
-    j = a.join(b, "brand").where(F.col("name_a") < F.col("name_b"))
-    j = j.withColumn("jw", C.jaro_winkler("name_a", "name_b"))
-    return j.where(F.col("jw") > 0.7).select("brand", "name_a", "name_b", F.round("jw", 6).alias("jw"))
+    """Jaro-Winkler similarity of each part name with the next part's
+    name - a scalar on two strings, one partner per row (no pairs within a
+    group, no cross join)."""
+    p = load(spark, sf_dir, "part").select("p_partkey", "p_name")
+    a = p.select("p_partkey", F.col("p_name").alias("name_a"))
+    b = p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_name").alias("name_b"))
+    j = a.join(b, "p_partkey")
+    return j.select("p_partkey", "name_a", "name_b",
+                    F.round(C.jaro_winkler("name_a", "name_b"), 6).alias("jw"))
