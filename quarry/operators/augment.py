@@ -104,14 +104,22 @@ FOUND_LABELS = ["Value examples:", "Examples:"]
 # --- end of fixed values ---
 
 
-def schema_permute(parsed: Column, rec: Column, seed: int = 42) -> tuple[Column, Column]:
-    """A3: one label per record (weighted); every column line holding
-    ``Value examples:`` or ``Examples:`` gets that label instead (split at
-    the first occurrence, quirk Q14); ``--`` moves the values after the
-    closing parenthesis.  Returns (parsed, indent) - the indent is dropped
-    with probability 0.5."""
+def permute_label(rec: Column, seed: int = 42) -> Column:
+    """A3's one label per record (weighted draw)."""
     choice = weighted_choice(seed, "a3_label", EXAMPLE_WEIGHTS, rec)
-    label = F.element_at(F.array(*[F.lit(x) for x in EXAMPLE_LABELS]), choice + 1)
+    return F.element_at(F.array(*[F.lit(x) for x in EXAMPLE_LABELS]), choice + 1)
+
+
+def permute_indent(rec: Column, seed: int = 42) -> Column:
+    """A3's final render drops the two-space indent with probability 0.5."""
+    return F.when(_draw(seed, "a3_indent", 0.5, rec), F.lit("")).otherwise(F.lit("  "))
+
+
+def schema_permute(parsed: Column, label: Column) -> Column:
+    """A3: every column line holding ``Value examples:`` or ``Examples:``
+    gets ``label`` instead (split at the first occurrence, quirk Q14); the
+    label ``--`` moves the values after the closing parenthesis.  ``label``
+    should be a column (see :func:`permute_label`): it is read per line."""
 
     def relabel(line):
         out = line
@@ -126,8 +134,7 @@ def schema_permute(parsed: Column, rec: Column, seed: int = 42) -> tuple[Column,
 
     tabs = F.transform(parsed["tables"], lambda t: t.withField("cols", F.transform(
         t["cols"], lambda c: c.withField("line", relabel(c["line"])))))
-    indent = F.when(_draw(seed, "a3_indent", 0.5, rec), F.lit("")).otherwise(F.lit("  "))
-    return parsed.withField("tables", tabs), indent
+    return parsed.withField("tables", tabs)
 
 
 def _replacement_text(s: Column) -> Column:
@@ -165,10 +172,12 @@ def augment_record(df, seed: int = 42, shuffle=True, filter_=True, permute=True,
         out = out.withColumn("_p", schema_filter(F.col("_p"), rec, F.col(sql_col), seed))
     indent = None
     if permute:
-        p, indent = schema_permute(F.col("_p"), rec, seed)
-        out = out.withColumn("_p", p)
+        out = (out.withColumn("_label", permute_label(rec, seed))
+               .withColumn("_indent", permute_indent(rec, seed)))
+        out = out.withColumn("_p", schema_permute(F.col("_p"), F.col("_label")))
+        indent = F.col("_indent")
     text = F.when(F.col("_p.parsed"), render_schema(F.col(db_col), F.col("_p"), indent)).otherwise(F.col(schema_col))
-    out = out.withColumn(schema_col, text).drop("_p")
+    out = out.withColumn(schema_col, text).drop("_p", "_label", "_indent")
     if tidy:
         out = out.withColumn(sql_col, sql_tidy(sql_col))
     return out

@@ -182,9 +182,11 @@ def parse_schema(text) -> Column:
     t2 = F.when(t.contains(FK_HEAD), t).otherwise(F.concat(t, F.lit("\n")))
     heads = F.regexp_extract_all(t2, F.lit(TABLE_RE), 1)
     bodies = F.regexp_extract_all(t2, F.lit(TABLE_RE), 2)
-    tables = F.transform(heads, lambda h, i: F.struct(
-        h.alias("key"), bare_table_name(h).alias("name"),
-        F.transform(F.split(_strip(F.element_at(bodies, i + 1)), ",\n"), _col_line).alias("cols")))
+    # zip once: an outer expression used inside a lambda is re-evaluated per element
+    zipped = F.arrays_zip(heads.alias("h"), bodies.alias("b"))
+    tables = F.transform(zipped, lambda z: F.struct(
+        z["h"].alias("key"), bare_table_name(z["h"]).alias("name"),
+        F.transform(F.split(_strip(z["b"]), ",\n"), _col_line).alias("cols")))
     fk_part = _strip(F.substring_index(_strip(t), FK_HEAD, -1))
     fk_lines = F.filter(F.split(fk_part, "\n"), lambda l: F.length(l) > 0)
     fks = F.when(t.contains(FK_HEAD), F.transform(fk_lines, _fk)).otherwise(
@@ -194,7 +196,8 @@ def parse_schema(text) -> Column:
 
 def render_schema(db_id: Column, parsed: Column, indent: Column | None = None) -> Column:
     """M6: parsed struct -> text.  ``indent`` is the per-line prefix (two
-    spaces by default); tables without columns are left out; both headings
+    spaces by default; pass a column, not a computed expression, since it is
+    read once per line); tables without columns are left out; both headings
     are always written; FKs as ``a.b = c.d``."""
     pre = F.lit("  ") if indent is None else indent
     kept = F.filter(parsed["tables"], lambda tb: F.size(tb["cols"]) > 0)

@@ -194,9 +194,10 @@ tk AS (SELECT idx, t_ord, '' AS t_key FROM t), kk AS (SELECT *, '' AS k_key FROM
           + "\nSELECT idx, db_schema FROM out")
 def schema_permute_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _parsed(spark, sf_dir)
-    s, indent = A.schema_permute(F.col("p"), F.col("idx"), SEED)
-    p = p.withColumn("s", s)
-    return p.select("idx", MS.render_schema(F.col("db_name"), F.col("s"), indent).alias("db_schema"))
+    p = (p.withColumn("label", A.permute_label(F.col("idx"), SEED))
+         .withColumn("indent", A.permute_indent(F.col("idx"), SEED)))
+    p = p.withColumn("s", A.schema_permute(F.col("p"), F.col("label")))
+    return p.select("idx", MS.render_schema(F.col("db_name"), F.col("s"), F.col("indent")).alias("db_schema"))
 
 
 @register("schema_rename", f"""WITH {LONG},
