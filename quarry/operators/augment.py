@@ -158,14 +158,34 @@ def schema_rename(schema_text: Column, sql: Column, db_name: Column, rec: Column
     return fold(schema_text), fold(sql)
 
 
+def with_parsed_schema(df, schema_col: str = "db_schema", out_col: str = "_p",
+                       broadcast_bytes: int = 64 * 1024 * 1024):
+    """Add the parsed schema.  A corpus usually repeats one schema text per
+    database, so the distinct texts are parsed once and broadcast back - but
+    only when their total size is known to be under ``broadcast_bytes``
+    (checked by one aggregate); otherwise every row parses its own text."""
+    key = F.md5(F.col(schema_col))
+    d = df.select(key.alias("_sk"), F.col(schema_col).alias("_st")).dropDuplicates(["_sk"])
+    size = d.agg(F.coalesce(F.sum(F.length("_st")), F.lit(0))).first()[0]
+    n = df.count()
+    d_n = d.count() if size <= broadcast_bytes else n
+    if size <= broadcast_bytes and d_n * 2 <= n:
+        parsed = d.select("_sk", parse_schema(F.col("_st")).alias(out_col))
+        return df.withColumn("_sk", key).join(F.broadcast(parsed), "_sk", "left").drop("_sk")
+    return df.withColumn(out_col, parse_schema(schema_col))
+
+
 def augment_record(df, seed: int = 42, shuffle=True, filter_=True, permute=True, tidy=True,
-                   schema_col="db_schema", sql_col="sql", db_col="db_name", key_col="idx"):
+                   schema_col="db_schema", sql_col="sql", db_col="db_name", key_col="idx",
+                   dedupe_parse: bool = False):
     """The default chain (shuffle, filter, permute, SQL tidy) on a record
-    DataFrame; unparsed schema texts (quirk Q1) pass through unchanged."""
+    DataFrame; unparsed schema texts (quirk Q1) pass through unchanged.
+    ``dedupe_parse`` parses each distinct schema text once (batch only)."""
     rec = F.col(key_col)
     # each step reads the previous step's column, so the parse (regex work)
     # runs once per record instead of once per reference in the next step
-    out = df.withColumn("_p", parse_schema(schema_col))
+    out = (with_parsed_schema(df, schema_col) if dedupe_parse
+           else df.withColumn("_p", parse_schema(schema_col)))
     if shuffle:
         out = out.withColumn("_p", schema_shuffle(F.col("_p"), rec, seed))
     if filter_:

@@ -116,3 +116,15 @@ p AS (
  UNION ALL
  SELECT pair_id, 'pred' AS side, row_no + 100 AS row_no, c0, c1 FROM g WHERE pair_id = 3)
 SELECT * FROM g UNION ALL SELECT * FROM p"""
+
+
+def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 records with F3's schema text: ``(idx, db_name, question, evidence,
+    db_schema, sql)``."""
+    f1 = samples(spark, sf_dir)
+    f3 = schema_texts(spark, sf_dir).select("idx", "db_schema")
+    return f1.join(f3, "idx").select("idx", "db_name", "question", "evidence", "db_schema", "sql")
+
+
+PROCESSED_SQL = f"""SELECT f1.idx, f1.db_name, f1.question, f1.evidence, f3.db_schema, f1.sql
+FROM ({F1_SQL}) f1 JOIN ({F3_SQL}) f3 ON f1.idx = f3.idx"""
