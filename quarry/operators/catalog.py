@@ -160,3 +160,52 @@ def discover_keys(prof: DataFrame) -> DataFrame:
                        ((F.col("n_count") == F.col("n_rows")) &
                         (F.col("n_distinct") == F.col("n_count")) &
                         (F.col("n_count") > 0)).alias("is_unique"))
+
+
+KEY_TYPES = ["TINYINT", "SMALLINT", "INTEGER", "BIGINT", "TEXT"]
+
+
+def discover_fks(tables: dict[str, DataFrame], prof: DataFrame | None = None,
+                 candidate_broadcast_rows: int = 100_000) -> DataFrame:
+    """P17 FK discovery: ``child -> parent`` when the parent column is unique
+    (non-null, all distinct), both have the same key-like type, and every
+    distinct non-null child value occurs in the parent.
+
+    Candidate pairs are cut by type and by the min/max of pass A before any
+    value is compared, so they stay schema-sized; the check itself is one
+    join of distinct child values against distinct parent values (each
+    value meets only the few candidate parents of its column)."""
+    from quarry.operators.profile import distinct_values
+    if prof is None:
+        prof = profile(tables, n_examples=0)
+    keys = discover_keys(prof).join(
+        prof.select("table_name", "field_ord", "n_distinct", "min_value", "max_value",
+                    F.col("n_count")), ["table_name", "field_ord"])
+    keys = keys.where(F.col("type_name").isin(KEY_TYPES))
+    child = keys.select(F.col("table_name").alias("c_table"), F.col("field_ord").alias("c_ord"),
+                        F.col("field_name").alias("c_field"), F.col("type_name"),
+                        F.col("n_distinct").alias("c_nd"), F.col("min_value").alias("c_min"),
+                        F.col("max_value").alias("c_max"))
+    parent = keys.where("is_unique").select(
+        F.col("table_name").alias("p_table"), F.col("field_ord").alias("p_ord"),
+        F.col("field_name").alias("p_field"), F.col("type_name"),
+        F.col("min_value").alias("p_min"), F.col("max_value").alias("p_max"))
+    numeric_ok = (F.col("c_min").isNull() | ((F.col("c_min") >= F.col("p_min")) & (F.col("c_max") <= F.col("p_max"))))
+    cands = (child.join(parent, "type_name")  # both sides schema-sized
+             .where(~((F.col("c_table") == F.col("p_table")) & (F.col("c_ord") == F.col("p_ord"))))
+             .where((F.col("c_nd") > 0) & numeric_ok))
+    n_cands = cands.count()
+    vals = distinct_values(tables).select("table_name", "field_ord", "v")
+    cv = vals.select(F.col("table_name").alias("c_table"), F.col("field_ord").alias("c_ord"), "v")
+    pv = vals.select(F.col("table_name").alias("p_table"), F.col("field_ord").alias("p_ord"), "v",
+                     F.lit(1).alias("hit"))
+    c_small = F.broadcast(cands) if n_cands <= candidate_broadcast_rows else cands
+    probe = cv.join(c_small.select("c_table", "c_ord", "p_table", "p_ord"), ["c_table", "c_ord"])
+    matched = (probe.join(pv, ["p_table", "p_ord", "v"], "left")
+               .groupBy("c_table", "c_ord", "p_table", "p_ord")
+               .agg(F.count(F.lit(1)).alias("n_child"), F.count("hit").alias("n_hit")))
+    fk = matched.where(F.col("n_child") == F.col("n_hit"))
+    return (fk.join(cands.select("c_table", "c_ord", "c_field", "p_table", "p_ord", "p_field"),
+                    ["c_table", "c_ord", "p_table", "p_ord"])
+            .select(F.col("c_table").alias("table_name"), F.col("c_field").alias("field_name"),
+                    F.col("p_table").alias("ref_table"), F.col("p_field").alias("ref_field")))

@@ -161,3 +161,146 @@ def profile(tables: dict[str, DataFrame], n_examples: int | None = 5) -> DataFra
                     "max_value", "min_value", "avg_value", "sum_value", "max_len", "min_len",
                     F.coalesce("examples", F.array().cast("array<string>")).alias("raw_examples"))
             .withColumn("examples", examples_to_str(F.col("raw_examples"), F.col("type_cate"))))
+
+
+# ------------------------------------------------------------------ probes --
+
+def _norm_value(v: Column, numeric: Column) -> Column:
+    """Text that equal values share: numbers through double."""
+    return F.when(numeric, v.cast("double").cast("string")).otherwise(v)
+
+
+def value_exists(tables: dict[str, DataFrame], probes: DataFrame,
+                 broadcast_rows: int = 1_000_000) -> DataFrame:
+    """``probes(table_name, field_name, value)`` + ``exists`` - whether the
+    field holds the value (numbers compared as numbers, text as text).
+
+    The tables are scanned once, unpivoted; the probe set is broadcast only
+    when its row count is under ``broadcast_rows`` (checked), else the
+    semi-join shuffles both sides."""
+    fields = []
+    for t, df in tables.items():
+        for i, name, dt in _profilable(df):
+            fields.append((t, name, i, isinstance(dt, T.NumericType)))
+    spark = probes.sparkSession
+    fdf = spark.createDataFrame(fields, "table_name string, field_name string, field_ord int, numeric boolean")
+    p = probes.join(F.broadcast(fdf), ["table_name", "field_name"])  # schema-sized side
+    p = p.withColumn("nv", _norm_value(F.col("value"), F.col("numeric")))
+    vals = None
+    for t, df in tables.items():
+        lv = long_values(t, df)
+        vals = lv if vals is None else vals.unionByName(lv)
+    vals = vals.join(F.broadcast(fdf.select("table_name", "field_ord", "numeric")), ["table_name", "field_ord"])
+    vals = vals.select("table_name", "field_ord", _norm_value(F.col("v"), F.col("numeric")).alias("nv"))
+    keys = p.select("table_name", "field_ord", "nv").distinct()
+    small = keys.count() <= broadcast_rows
+    hit = vals.join(F.broadcast(keys) if small else keys, ["table_name", "field_ord", "nv"], "left_semi")
+    hit = hit.distinct().withColumn("exists", F.lit(True))
+    return (p.join(hit, ["table_name", "field_ord", "nv"], "left")
+            .select("table_name", "field_name", "value", F.coalesce("exists", F.lit(False)).alias("exists")))
+
+
+# ----------------------------------------------------------------- preview --
+
+def truncate_word(c: Column, length: int = 30, suffix: str = "...") -> Column:
+    """Cut text longer than ``length`` at a word boundary and add ``suffix``
+    (text only; other values are shown whole)."""
+    head = F.substr(c, F.lit(1), F.lit(max(length - len(suffix), 0)))
+    last = F.substring_index(head, " ", -1)
+    before_last = F.substr(head, F.lit(1), F.length(head) - F.length(last) - 1)
+    cut = F.when(head.contains(" "), before_last).otherwise(head)
+    return F.when(F.length(c) <= length, c).otherwise(F.concat(cut, F.lit(suffix)))
+
+
+def preview_markdown(df: DataFrame, n: int = 5, max_str_len: int = 30) -> DataFrame:
+    """P9 + P10: ``SELECT DISTINCT * LIMIT n`` (ordered by all columns, so the
+    sample is deterministic), text cells cut by :func:`truncate_word`, as a
+    markdown table; no rows -> ``''``.  The limit is the feature (a preview):
+    Spark plans a top-n per task before one small merge."""
+    cols = [f for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    names = [f.name for f in cols]
+    d = df.select(*[F.col(f"`{c}`") for c in names]).distinct()
+    top = d.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in names]).limit(n)
+    cells = []
+    for f in cols:
+        c = F.col(f"`{f.name}`")
+        txt = truncate_word(c, max_str_len) if isinstance(f.dataType, T.StringType) else c.cast("string")
+        cells.append(F.coalesce(txt, F.lit("None")))
+    order = F.struct(*[F.col(f"`{c}`") for c in names])
+    rows = top.select(order.alias("_o"), F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
+    header = "| " + " | ".join(names) + " |"
+    sep = "| " + " | ".join(["---"] * len(names)) + " |"
+    agg = rows.agg(F.array_sort(F.collect_list(F.struct("_o", "line"))).alias("ls"))
+    return agg.select(F.when(F.size("ls") == 0, F.lit("")).otherwise(F.concat(
+        F.lit(header + "\n" + sep + "\n"), F.array_join(F.transform("ls", lambda x: x["line"]), "\n")))
+        .alias("markdown"))
+
+
+# ---------------------------------------------------------- profile block --
+
+def _num_text(c: Column, type_name: Column) -> Column:
+    """A statistic as its column type shows it: integers without ``.0``."""
+    integral = F.upper(F.substring_index(type_name, "(", 1)).isin(
+        "TINYINT", "SMALLINT", "INTEGER", "BIGINT")
+    return F.when(integral, c.cast("long").cast("string")).otherwise(c.cast("string"))
+
+
+def field_profile_text(prof: DataFrame, cat_fields: DataFrame | None = None) -> DataFrame:
+    """One text block per (table, field): name, type, comment if any,
+    primary key, unique (true for a primary key), nullable, counts, numeric
+    max/min/avg, text length max/min, role and date granularity when set,
+    and up to 10 value examples (cut to 30 characters).  Lines whose value
+    is missing are skipped (``concat_ws`` drops NULLs)."""
+    p = prof
+    if cat_fields is not None:
+        p = p.join(cat_fields.select("table_name", "field_name", "primary_key", "nullable", "unique", "comment",
+                                     "dim_or_meas", "date_min_gran"), ["table_name", "field_name"], "left")
+    else:
+        p = (p.withColumn("primary_key", F.lit(False)).withColumn("nullable", F.col("n_count") < F.col("n_rows"))
+             .withColumn("unique", F.lit(False)).withColumn("comment", F.lit(""))
+             .withColumn("dim_or_meas", F.lit(None).cast("string"))
+             .withColumn("date_min_gran", F.lit(None).cast("string")))
+
+    def line(label, value):
+        return F.when(value.isNotNull(), F.concat(F.lit(label), value.cast("string")))
+
+    def b(c):
+        return F.when(F.col(c), F.lit("True")).otherwise(F.lit("False"))
+
+    ex = F.slice(F.transform("raw_examples", lambda x: truncate_word(x, 30)), 1, 10)
+    text = F.concat_ws(
+        "\n", F.lit("[Field]"), line("Name: ", F.col("field_name")), line("Type: ", F.col("type_name")),
+        F.when(F.length(F.coalesce("comment", F.lit(""))) > 0, F.concat(F.lit("Description: "), F.col("comment"))),
+        F.concat(F.lit("Primary key (alone or with other fields): "), b("primary_key")),
+        F.concat(F.lit("UNIQUE: "), F.when(F.col("primary_key") | F.col("unique"), "True").otherwise("False")),
+        F.concat(F.lit("NULLABLE: "), b("nullable")),
+        line("COUNT: ", F.col("n_count")), line("COUNT(DISTINCT): ", F.col("n_distinct")),
+        line("MAX: ", _num_text(F.col("max_value"), F.col("type_name"))),
+        line("MIN: ", _num_text(F.col("min_value"), F.col("type_name"))),
+        line("AVG: ", F.col("avg_value")),
+        F.when(F.col("max_len") >= 0, F.concat(F.lit("MAX(CHAR_LENGTH): "), F.col("max_len").cast("string"))),
+        F.when(F.col("min_len") >= 0, F.concat(F.lit("MIN(CHAR_LENGTH): "), F.col("min_len").cast("string"))),
+        F.when(F.col("dim_or_meas").isin("Dimension", "Measure"),
+               F.concat(F.lit("Dimension/Measure: "), F.col("dim_or_meas"))),
+        line("Smallest date/time unit it may denote: ", F.col("date_min_gran")),
+        F.when(F.size(ex) > 0, F.concat(F.lit("Value Examples: ["), F.array_join(ex, ", "), F.lit("]"))))
+    return p.select("table_name", "field_name", "field_ord", text.alias("profile_text"))
+
+
+# ------------------------------------------------------------ enumeration --
+
+def enum_values(tables: dict[str, DataFrame], max_distinct: int = 1000) -> DataFrame:
+    """Every distinct value of the fields that can be enumerated - those
+    with at most ``max_distinct`` distinct values (the rule P13 uses for
+    ``Enum``); their value lists are therefore bounded."""
+    d = distinct_values(tables)
+    counts = d.groupBy("table_name", "field_ord").agg(F.count(F.lit(1)).alias("n_values"))
+    small = counts.where(F.col("n_values") <= max_distinct)
+    ex = first_values(d.join(small.select("table_name", "field_ord"), ["table_name", "field_ord"], "left_semi"),
+                      None)
+    names = None
+    spark = next(iter(tables.values())).sparkSession
+    rows = [(t, i, name) for t, df in tables.items() for i, name, _ in _profilable(df)]
+    names = spark.createDataFrame(rows, "table_name string, field_ord int, field_name string")
+    return (small.join(ex, ["table_name", "field_ord"]).join(names, ["table_name", "field_ord"])
+            .select("table_name", "field_name", "field_ord", "n_values", F.col("examples").alias("values")))

@@ -95,6 +95,9 @@ COLS = {
                  ("l_extendedprice", "DOUBLE"), ("l_discount", "DOUBLE"), ("l_tax", "DOUBLE"),
                  ("l_returnflag", "TEXT"), ("l_linestatus", "TEXT"), ("l_shipdate", "TIMESTAMP")],
     "region": [("r_regionkey", "INTEGER"), ("r_name", "TEXT")],
+    "supplier": [("s_suppkey", "BIGINT"), ("s_name", "TEXT"), ("s_nationkey", "INTEGER"), ("s_acctbal", "DOUBLE")],
+    "part": [("p_partkey", "BIGINT"), ("p_name", "TEXT"), ("p_brand", "TEXT"), ("p_type", "TEXT"),
+             ("p_size", "INTEGER"), ("p_retailprice", "DOUBLE")],
     "nation": [("n_nationkey", "INTEGER"), ("n_name", "TEXT"), ("n_regionkey", "INTEGER")],
 }
 NUMERIC = {"BIGINT", "INTEGER", "DOUBLE"}
@@ -181,3 +184,177 @@ FROM tt
 
 
 ORACLES["mschema_text"] = _mschema_sql(["region", "nation"], TPCH_KEYS, TPCH_FKS)
+
+
+# ------------------------------------------------------------- step 2 --
+from quarry.operators import catalog as CAT  # noqa: E402
+from quarry.operators import profile as PRO  # noqa: E402
+from quarry.session import scratch_path  # noqa: E402
+
+TPCH = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+
+
+@register("value_exists")
+def value_exists_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = load(spark, sf_dir, "customer")
+    probes = (c.select(F.lit("orders").alias("table_name"), F.lit("o_custkey").alias("field_name"),
+                       F.col("c_custkey").cast("string").alias("value"))
+              .unionByName(c.select(F.lit("orders").alias("table_name"), F.lit("o_orderpriority").alias("field_name"),
+                                    F.col("c_mktsegment").alias("value")).distinct()))
+    return PRO.value_exists({"orders": load(spark, sf_dir, "orders")}, probes)
+
+
+ORACLES["value_exists"] = """
+SELECT 'orders' AS table_name, 'o_custkey' AS field_name, cast(c_custkey AS VARCHAR) AS value,
+ EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) AS "exists" FROM customer
+UNION ALL
+SELECT 'orders', 'o_orderpriority', m, EXISTS (SELECT 1 FROM orders WHERE o_orderpriority = m)
+FROM (SELECT DISTINCT c_mktsegment AS m FROM customer)"""
+
+
+@register("row_preview_md")
+def row_preview_md_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = None
+    for t in ("part", "supplier", "orders"):
+        m = PRO.preview_markdown(load(spark, sf_dir, t), 5, 30).select(F.lit(t).alias("table_name"), "markdown")
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+def _trunc_sql(c):
+    head = f"substr({c}, 1, 27)"
+    return (f"CASE WHEN length({c}) <= 30 THEN {c} ELSE (CASE WHEN contains({head}, ' ') THEN "
+            f"substr({head}, 1, length({head}) - length(split_part({head}, ' ', -1)) - 1) ELSE {head} END) || '...' END")
+
+
+def _preview_sql(t):
+    cols = [c for c, _ in COLS[t]]
+    cells = [(_trunc_sql(c) if ty == "TEXT" else f"cast({c} AS VARCHAR)") for c, ty in COLS[t]]
+    line = "'| ' || " + " || ' | ' || ".join(f"coalesce({x}, 'None')" for x in cells) + " || ' |'"
+    order = ", ".join(f"{c} NULLS FIRST" for c in cols)
+    head = "| " + " | ".join(cols) + " |"
+    sep = "| " + " | ".join(["---"] * len(cols)) + " |"
+    return (f"SELECT '{t}' AS table_name, coalesce('{head}' || chr(10) || '{sep}' || chr(10) || "
+            f"string_agg(line, chr(10) ORDER BY rn), '') AS markdown FROM (SELECT {line} AS line, "
+            f"row_number() OVER (ORDER BY {order}) AS rn FROM (SELECT DISTINCT * FROM {t}) ORDER BY {order} LIMIT 5)")
+
+
+ORACLES["row_preview_md"] = "\nUNION ALL\n".join(_preview_sql(t) for t in ("part", "supplier", "orders"))
+
+
+@register("field_profile")
+def field_profile_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = load_many(spark, sf_dir, ["region", "nation"])
+    prof = profile(tables, n_examples=10)
+    ct, cf, ck = build_catalog(spark, "tpch", tables, primary_keys=TPCH_KEYS)
+    return PRO.field_profile_text(prof, cf.drop("examples")).select("table_name", "field_name", "profile_text")
+
+
+def _profile_block_sql(t):
+    parts = []
+    for i, (c, ty) in enumerate(COLS[t]):
+        pk = "True" if c in TPCH_KEYS.get(t, []) else "False"
+        num = ty in NUMERIC
+        ex = (f"(SELECT string_agg(v, ', ' ORDER BY k NULLS LAST, v) FROM (SELECT DISTINCT "
+              f"{c + '::DOUBLE' if num else 'NULL::DOUBLE'} AS k, cast({c} AS VARCHAR) AS v FROM {t} "
+              f"WHERE {c} IS NOT NULL ORDER BY k NULLS LAST, v LIMIT 10))")
+        stats = ""
+        if num:
+            stats = (f" || chr(10) || 'MAX: ' || cast(max({c}) AS VARCHAR) || chr(10) || 'MIN: ' || "
+                     f"cast(min({c}) AS VARCHAR) || chr(10) || 'AVG: ' || cast(avg({c})::DOUBLE AS VARCHAR)")
+        parts.append(
+            f"SELECT '{t}' AS table_name, '{c}' AS field_name, '[Field]' || chr(10) || 'Name: {c}' || chr(10) || "
+            f"'Type: {ty}' || chr(10) || 'Primary key (alone or with other fields): {pk}' || chr(10) || "
+            f"'UNIQUE: {pk}' || chr(10) || 'NULLABLE: ' || (SELECT CASE WHEN is_nullable = 'YES' THEN 'True' ELSE "
+            f"'False' END FROM information_schema.columns WHERE table_name = '{t}' AND column_name = '{c}') "
+            f"|| chr(10) || 'COUNT: ' || count({c}) || chr(10) || 'COUNT(DISTINCT): ' || "
+            f"count(DISTINCT {c}){stats} || chr(10) || 'MAX(CHAR_LENGTH): ' || max(length(cast({c} AS VARCHAR))) "
+            f"|| chr(10) || 'MIN(CHAR_LENGTH): ' || min(length(cast({c} AS VARCHAR))) || chr(10) || "
+            f"'Value Examples: [' || {ex} || ']' AS profile_text FROM {t}")
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLES["field_profile"] = _profile_block_sql("region") + "\nUNION ALL\n" + _profile_block_sql("nation")
+
+
+@register("enum_values")
+def enum_values_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = PRO.enum_values({"orders": load(spark, sf_dir, "orders")}, max_distinct=10)
+    return e.select("table_name", "field_name", F.col("n_values").cast("long").alias("n_values"),
+                    F.array_join("values", ", ").alias("values"))
+
+
+ORACLES["enum_values"] = "\nUNION ALL\n".join(
+    f"SELECT * FROM (SELECT 'orders' AS table_name, '{c}' AS field_name, count(DISTINCT {c}) AS n_values, "
+    f"(SELECT string_agg(v, ', ' ORDER BY k NULLS LAST, v) FROM (SELECT DISTINCT "
+    f"{c + '::DOUBLE' if ty in NUMERIC else 'NULL::DOUBLE'} AS k, cast({c} AS VARCHAR) AS v FROM orders "
+    f"WHERE {c} IS NOT NULL)) AS \"values\" FROM orders) WHERE n_values <= 10"
+    for c, ty in COLS["orders"])
+
+
+@register("key_discovery")
+def key_discovery_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prof = profile(load_many(spark, sf_dir, TPCH), n_examples=0)
+    return CAT.discover_keys(prof).select("table_name", "field_name", "is_unique")
+
+
+ORACLES["key_discovery"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS field_name, count({c}) = count(*) AND count(DISTINCT {c}) = count(*) "
+    f"AND count(*) > 0 AS is_unique FROM {t}" for t in TPCH for c, _ in COLS[t])
+
+
+@register("fk_discovery")
+def fk_discovery_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CAT.discover_fks(load_many(spark, sf_dir, TPCH))
+
+
+def _fk_sql():
+    key_types = {"INTEGER", "BIGINT", "TEXT"}
+    cols = [(t, c, ty) for t in TPCH for c, ty in COLS[t] if ty in key_types]
+    parts = []
+    for pt, pc, pty in cols:
+        for ct, cc, cty in cols:
+            if cty != pty or (ct, cc) == (pt, pc):
+                continue
+            parts.append(
+                f"SELECT '{ct}' AS table_name, '{cc}' AS field_name, '{pt}' AS ref_table, '{pc}' AS ref_field "
+                f"WHERE (SELECT count({pc}) = count(*) AND count(DISTINCT {pc}) = count(*) AND count(*) > 0 FROM {pt}) "
+                f"AND (SELECT count({cc}) > 0 FROM {ct}) "
+                f"AND NOT EXISTS (SELECT 1 FROM {ct} WHERE {cc} IS NOT NULL AND {cc} NOT IN (SELECT {pc} FROM {pt}))")
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLES["fk_discovery"] = _fk_sql()
+
+
+@register("map_file")
+def map_file_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 + S7: write ``brand \\t type、type…`` lines, read them back as a
+    synonym map (``values`` ends with the key)."""
+    from quarry.sources.files import read_map_file, save_lines
+    p = load(spark, sf_dir, "part")
+    lines = p.groupBy("p_brand").agg(F.array_join(F.array_sort(F.collect_set("p_type")), "、").alias("ts"))
+    path = scratch_path(spark, "map_file")
+    save_lines(lines.select(F.concat("p_brand", F.lit("\t"), "ts").alias("line")), "line", path)
+    m = read_map_file(spark, path)
+    return m.select(F.col("key").alias("brand"), F.array_join("values", "、").alias("values"))
+
+
+ORACLES["map_file"] = """SELECT p_brand AS brand, string_agg(DISTINCT p_type, '、' ORDER BY p_type) || '、' || p_brand AS "values"
+FROM part GROUP BY p_brand"""
+
+
+@register("mschema_dump_roundtrip")
+def mschema_dump_roundtrip_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog -> nested JSON file -> catalog -> M-Schema text."""
+    from quarry.sources.files import MSCHEMA_DUMP, dump_mschema, load_mschema
+    tables = load_many(spark, sf_dir, ["region", "nation"])
+    ct, cf, ck = build_catalog(spark, "tpch", tables, primary_keys=TPCH_KEYS,
+                               foreign_keys=[fk for fk in TPCH_FKS if fk[0] in tables and fk[2] in tables])
+    path = scratch_path(spark, "mschema_dump")
+    dump_mschema(ct, cf, ck).write.json(path)
+    lt, lf, lk = load_mschema(spark.read.schema(MSCHEMA_DUMP).json(path))
+    return to_mschema(lt, lf, lk).select(F.col("db").alias("db_id"), "mschema")
+
+
+ORACLES["mschema_dump_roundtrip"] = ORACLES["mschema_text"]

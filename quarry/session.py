@@ -55,3 +55,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder for stage outputs."""
+    import uuid
+    base = checkpoint_dir(spark).rstrip("/")
+    return f"{base}/quarry-scratch/{name}-{uuid.uuid4().hex}"

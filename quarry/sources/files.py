@@ -146,7 +146,8 @@ def load_mschema(dump: DataFrame):
     f = t.select(F.col("db_id").alias("db"), "table_name",
                  F.posexplode("t.fields").alias("field_ord", "field_name", "p"))
     fields = f.select("db", "table_name", "field_name", F.col("field_ord").cast("int").alias("field_ord"),
-                      "p.*")
+                      "p.*", F.lit(None).cast("string").alias("date_min_gran"),
+                      F.create_map().cast("map<string,string>").alias("value_mapping"))
     k = dump.select(F.col("db_id").alias("db"), F.posexplode("foreign_keys").alias("fk_ord", "a"))
     fks = k.select("db", F.col("fk_ord").cast("int").alias("fk_ord"), F.col("a")[0].alias("table_name"),
                    F.col("a")[1].alias("field_name"), F.col("a")[2].alias("ref_schema"),
