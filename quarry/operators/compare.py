@@ -21,6 +21,7 @@ from __future__ import annotations
 import itertools
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,55 +85,83 @@ def column_fingerprints(rows: DataFrame) -> DataFrame:
 CAND_SCHEMA = "pair_id long, cand_id int, perm array<int>, status string"
 
 
-def _candidates(max_candidates: int):
-    def gen(pdf: pd.DataFrame) -> pd.DataFrame:
-        pid = int(pdf["pair_id"].iloc[0])
-        g = pdf[pdf["side"] == "gold"].sort_values("col")
-        p = pdf[pdf["side"] == "pred"].sort_values("col")
-        if sorted(map(str, g["fp"])) != sorted(map(str, p["fp"])):
-            return pd.DataFrame({"pair_id": [pid], "cand_id": [0], "perm": [None], "status": ["none"]})
-        gold_cols = list(g["col"])
-        gold_fp = {int(r.col): str(r.fp) for r in g.itertuples()}
-        gold_lab = {int(r.col): str(r.lab) for r in g.itertuples()}
-        pred_lab = {int(r.col): str(r.lab) for r in p.itertuples()}
-        by_fp: dict[str, list[int]] = {}
-        for r in p.itertuples():
-            by_fp.setdefault(str(r.fp), []).append(int(r.col))
-        classes = {}
+def _enumerate(g: list, p: list, max_candidates: int) -> tuple[list, bool]:
+    """Permutations of pred columns onto gold columns that keep fingerprints
+    equal; columns identical row by row are interchangeable, so only one
+    representative per equivalent assignment is kept."""
+    gold_cols = [x["col"] for x in g]
+    gold_fp = {x["col"]: x["fp"] for x in g}
+    gold_lab = {x["col"]: x["lab"] for x in g}
+    pred_lab = {x["col"]: x["lab"] for x in p}
+    by_fp: dict[str, list[int]] = {}
+    for x in p:
+        by_fp.setdefault(x["fp"], []).append(x["col"])
+    classes: dict[str, list[int]] = {}
+    for c in gold_cols:
+        classes.setdefault(gold_fp[c], []).append(c)
+    per_class = [(gcols, list(itertools.permutations(by_fp[fp]))) for fp, gcols in classes.items()]
+    seen, out = set(), []
+    for combo in itertools.product(*[opts for _, opts in per_class]):
+        perm = {}
+        for (gcols, _), assign in zip(per_class, combo):
+            perm.update(dict(zip(gcols, assign)))
+        groups: dict[str, list[str]] = {}
         for c in gold_cols:
-            classes.setdefault(gold_fp[c], []).append(c)
-        per_class = []
-        for fp, gcols in classes.items():
-            per_class.append((gcols, list(itertools.permutations(by_fp[fp]))))
-        seen, out, capped = set(), [], False
-        for combo in itertools.product(*[opts for _, opts in per_class]):
-            perm = {}
-            for (gcols, _), assign in zip(per_class, combo):
-                perm.update(dict(zip(gcols, assign)))
-            # columns identical row by row are interchangeable: among gold
-            # columns with one label only the multiset of pred labels matters
-            groups: dict[str, list[str]] = {}
-            for c in gold_cols:
-                groups.setdefault(gold_lab[c], []).append(pred_lab[perm[c]])
-            sig = tuple(sorted((k, tuple(sorted(v))) for k, v in groups.items()))
-            if sig in seen:
-                continue
-            seen.add(sig)
-            if len(out) >= max_candidates:
-                capped = True
-                break
-            out.append([perm[c] for c in gold_cols])
-        return pd.DataFrame({"pair_id": [pid] * len(out), "cand_id": list(range(len(out))),
-                             "perm": out, "status": ["capped" if capped else "ok"] * len(out)})
-    return gen
+            groups.setdefault(gold_lab[c], []).append(pred_lab[perm[c]])
+        sig = tuple(sorted((k, tuple(sorted(v))) for k, v in groups.items()))
+        if sig in seen:
+            continue
+        seen.add(sig)
+        if len(out) >= max_candidates:
+            return out, True
+        out.append([perm[c] for c in gold_cols])
+    return out, False
+
+
+def _enumerate_batches(max_candidates: int):
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for r in pdf.itertuples(index=False):
+                cands, capped = _enumerate(list(r.g), list(r.p), max_candidates)
+                status = "capped" if capped else "ok"
+                rows += [(int(r.pair_id), i, c, status) for i, c in enumerate(cands)]
+            yield pd.DataFrame(rows, columns=["pair_id", "cand_id", "perm", "status"])
+    return run
 
 
 def permutation_match(rows: DataFrame, pairs: DataFrame, max_candidates: int = 10000) -> DataFrame:
-    """E6/E9 for ``pairs``: ``(pair_id, perm_eq, undecided)``."""
+    """E6/E9 for ``pairs``: ``(pair_id, perm_eq, undecided)``.
+
+    Fingerprints are gathered into one row per pair (two small arrays).  If
+    the fingerprint multisets differ no permutation can match; if every
+    class has one column per side the single candidate is built with array
+    functions; only pairs with tied classes are enumerated in Python
+    (``mapInPandas``, no shuffle)."""
     r = rows.join(pairs.select("pair_id"), "pair_id", "left_semi")
     fps = column_fingerprints(r).select("pair_id", "side", "col", F.col("fp").cast("string").alias("fp"),
                                         F.col("lab").cast("string").alias("lab"))
-    cands = fps.groupBy("pair_id").applyInPandas(_candidates(max_candidates), CAND_SCHEMA)
+    col = F.struct(F.col("col").cast("int").alias("col"), "fp", "lab")
+    per = fps.groupBy("pair_id").agg(
+        F.array_sort(F.collect_list(F.when(F.col("side") == "gold", col))).alias("g"),
+        F.array_sort(F.collect_list(F.when(F.col("side") == "pred", col))).alias("p"))
+    gfp = F.transform("g", lambda x: x["fp"])
+    possible = F.array_sort(gfp) == F.array_sort(F.transform("p", lambda x: x["fp"]))
+    tied = F.size(F.array_distinct(gfp)) < F.size("g")
+    # one small row per pair, read by three branches: computed once.  It is
+    # deterministic, so a lost cache block is simply recomputed.
+    per = per.select("pair_id", "g", "p", possible.alias("possible"), tied.alias("tied")).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    per.count()
+    simple = per.where(~F.col("tied") | ~F.col("possible")).select(
+        "pair_id", F.lit(0).alias("cand_id"),
+        F.when(F.col("possible"), F.transform("g", lambda x: F.filter("p", lambda y: y["fp"] == x["fp"])[0]["col"]))
+        .cast("array<int>").alias("perm"),
+        F.when(F.col("possible"), F.lit("ok")).otherwise(F.lit("none")).alias("status"))
+    enumerated = per.where(F.col("tied") & F.col("possible")).select("pair_id", "g", "p").mapInPandas(
+        _enumerate_batches(max_candidates), CAND_SCHEMA)
+    cands = simple.unionByName(enumerated).persist(StorageLevel.MEMORY_AND_DISK)
+    cands.count()
     ok = cands.where(F.col("perm").isNotNull())
     gold = (r.where(F.col("side") == "gold").join(ok.select("pair_id", "cand_id"), "pair_id")
             .select("pair_id", "cand_id", F.lit(1).alias("g"), row_key(F.col("cells")).alias("k")))
@@ -163,7 +192,9 @@ def score_pairs(rows: DataFrame, heads: DataFrame, max_candidates: int = 10000)
     eq_pre = (F.when(both_empty, F.lit(1)).when(F.col("gn") != F.col("pn"), F.lit(0))
               .when(F.col("gw") != F.col("pw"), F.lit(0)).when(F.col("same_bag"), F.lit(1))
               .when(F.col("gw") <= 1, F.lit(0)))
-    base = base.select("pair_id", ex_bird.alias("ex_bird"), eq_pre.alias("eq_pre"))
+    base = base.select("pair_id", ex_bird.alias("ex_bird"), eq_pre.alias("eq_pre")).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    base.count()
     need = base.where(F.col("eq_pre").isNull()).select("pair_id")
     perm = permutation_match(rows, need, max_candidates)
     return (base.join(perm, "pair_id", "left")

@@ -34,7 +34,8 @@ def normalize_records(raw: DataFrame, generated: DataFrame | None = None,
 
     ``raw`` needs an integer ``idx`` giving record order.  A missing and a
     null schema are treated alike."""
-    sql = F.coalesce(_opt(raw, "SQL"), _opt(raw, "sql")) if "SQL" in raw.columns else _opt(raw, "sql")
+    # the raw field is ``SQL``; readers that saw both spellings give ``sql``
+    sql = _opt(raw, "SQL") if "SQL" in raw.columns else _opt(raw, "sql")
     base = raw.select(
         F.col("idx").cast("long").alias("idx"),
         F.coalesce(_opt(raw, "db_name"), _opt(raw, "db_id")).alias("db_name"),

@@ -125,3 +125,4 @@ def assemble_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ds = [("order_questions", samples(spark, sf_dir), -1),
           ("order_schemas", schema_texts(spark, sf_dir), 500)]
     return corpus.assemble(ds, "idx", 42).select("id", "data_name", "idx")
+

@@ -21,30 +21,40 @@ RAW_SCHEMA = T.StructType([
 _WS = r"^\s+|\s+$"
 
 
-def read_json_array(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A file holding one JSON array of objects.  Raw files carry both
-    ``SQL`` and ``sql`` spellings, so reading is case sensitive; callers
-    coalesce to ``sql`` at once."""
-    prev = spark.conf.get("spark.sql.caseSensitive", "false")
-    spark.conf.set("spark.sql.caseSensitive", "true")
-    try:
-        r = spark.read.option("multiLine", True)
-        if schema is not None:
-            r = r.schema(schema)
-        return r.json(path)
-    finally:
-        spark.conf.set("spark.sql.caseSensitive", prev)
+def _parse(value: F.Column, schema: T.DataType, rename: dict[str, str] | None = None) -> F.Column:
+    """``from_json`` with exact field names; ``rename`` then relabels fields
+    by position (a struct cast), so ``SQL`` and ``sql`` can both be read."""
+    parsed = F.from_json(value, schema)
+    if not rename:
+        return parsed
+    st = schema.elementType if isinstance(schema, T.ArrayType) else schema
+    renamed = T.StructType([T.StructField(rename.get(f.name, f.name), f.dataType) for f in st.fields])
+    target = T.ArrayType(renamed) if isinstance(schema, T.ArrayType) else renamed
+    return parsed.cast(target)
 
 
-def read_raw_records(spark: SparkSession, path: str) -> DataFrame:
-    """S1 for raw question/SQL records, with a file-order ``idx``.
+# raw files may carry both spellings; ``SQL`` is read as ``SQL_upper``
+RAW_RENAME = {"SQL": "SQL_upper"}
+
+
+def read_json_array(spark: SparkSession, path: str, schema: T.StructType,
+                    rename: dict[str, str] | None = None) -> DataFrame:
+    """Files each holding one JSON array of objects, with ``_file``
+    and ``_pos`` (position in the array).  A JSON array is not splittable, so
+    each file is one task; many files spread over the cluster."""
+    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("_file"), "value")
+    items = raw.select("_file", F.posexplode(_parse(F.col("value"), T.ArrayType(schema), rename))
+                       .alias("_pos", "r"))
+    return items.select("_file", "_pos", "r.*")
 
-    A JSON array file is one split, so ``monotonically_increasing_id`` follows
-    file order within it; across files the order is file by file."""
-    df = read_json_array(spark, path, RAW_SCHEMA)
+
+def read_raw_records(spark: SparkSession, path: str) -> DataFrame:
+    """S1 for raw question/SQL records: ``idx`` is the record's position
+    (file by file, then array position); ``sql`` = ``SQL`` else ``sql``."""
     from quarry.functions.ranking import global_rank
-    df = df.withColumn("_file", F.input_file_name()).withColumn("_pos", F.monotonically_increasing_id())
-    return global_rank(df, ["_file", "_pos"], "idx", 0).drop("_file", "_pos")
+    df = read_json_array(spark, path, RAW_SCHEMA, RAW_RENAME)
+    df = global_rank(df, ["_file", "_pos"], "idx", 0).drop("_file", "_pos")
+    return df.withColumn("sql", F.coalesce("SQL_upper", "sql")).drop("SQL_upper")
 
 
 def write_json_lines(df: DataFrame, path: str, order_col: str | None = None) -> None:
@@ -53,12 +63,10 @@ def write_json_lines(df: DataFrame, path: str, order_col: str | None = None) ->
     w.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """S3: one JSON object per line."""
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.json(path)
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType,
+                    rename: dict[str, str] | None = None) -> DataFrame:
+    """S3: one JSON object per line (splittable), parsed with a fixed schema."""
+    return spark.read.text(path).select(_parse(F.col("value"), schema, rename).alias("r")).select("r.*")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
