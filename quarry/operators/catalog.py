@@ -209,3 +209,38 @@ def discover_fks(tables: dict[str, DataFrame], prof: DataFrame | None = None,
                     ["c_table", "c_ord", "p_table", "p_ord"])
             .select(F.col("c_table").alias("table_name"), F.col("c_field").alias("field_name"),
                     F.col("p_table").alias("ref_table"), F.col("p_field").alias("ref_field")))
+
+
+COMMENT_MODES = ["origin", "no_comment", "generation", "merge"]
+
+
+def apply_comment_mode(cat_tables: DataFrame, cat_fields: DataFrame, mode: str,
+                       descriptions: DataFrame | None = None):
+    """``origin`` keeps comments; ``no_comment`` erases them all;
+    ``generation`` erases then fills from ``descriptions``; ``merge`` fills
+    only empty field comments and table comments shorter than 10 characters.
+
+    ``descriptions(table_name, field_name, description)`` holds the generated
+    texts (``field_name`` NULL for a table); they are tidied (P21)."""
+    from quarry.operators.responses import tidy_description
+    if mode not in COMMENT_MODES:
+        raise NotImplementedError(f"Unsupported comment mode {mode}.")
+    if mode == "origin":
+        return cat_tables, cat_fields
+    if mode in ("no_comment", "generation"):
+        cat_tables = cat_tables.withColumn("comment", F.lit(""))
+        cat_fields = cat_fields.withColumn("comment", F.lit(""))
+    if mode == "no_comment" or descriptions is None:
+        return cat_tables, cat_fields
+    d = descriptions.select("table_name", "field_name", tidy_description(F.col("description")).alias("_d"))
+    fd = d.where(F.col("field_name").isNotNull())
+    td = d.where(F.col("field_name").isNull()).select("table_name", F.col("_d").alias("_td"))
+    fields = (cat_fields.join(fd, ["table_name", "field_name"], "left")
+              .withColumn("comment", F.when(F.length(F.coalesce("comment", F.lit(""))) == 0,
+                                            F.coalesce("_d", F.col("comment"))).otherwise(F.col("comment")))
+              .drop("_d"))
+    tables = (cat_tables.join(td, "table_name", "left")
+              .withColumn("comment", F.when(F.length(F.coalesce("comment", F.lit(""))) < 10,
+                                            F.coalesce("_td", F.col("comment"))).otherwise(F.col("comment")))
+              .drop("_td"))
+    return tables, fields

@@ -71,7 +71,17 @@ def sort_results(df: DataFrame) -> DataFrame:
 
 
 def inspect_predictions(df: DataFrame, prompt_col: str = "prompt", n: int | None = None) -> DataFrame:
-    """The question cut out of the prompt after ``【Question】``."""
-    q = F.regexp_extract(F.col(prompt_col), r"(?s)【Question】\s*(.*?)(\n【|$)", 1)
-    out = df.withColumn("question_text", F.regexp_replace(q, r"^\s+|\s+$", ""))
+    """The question cut out of the prompt - the first non-empty line
+    after the last ``【Question】`` (templates also name the section in their
+    instruction sentence, so the first occurrence is not the question);
+    without the marker the first 200 characters (``...`` when cut).  ``n``
+    keeps the first rows (a preview is the feature)."""
+    from quarry.operators.responses import strip_ws
+    text = F.col(prompt_col)
+    pos = F.locate("【Question】", text)
+    after = F.substring_index(text, "【Question】", -1)
+    first = F.filter(F.split(after, "\n"), lambda l: F.length(strip_ws(l)) > 0)[0]
+    fallback = F.when(F.length(text) > 200, F.concat(F.left(text, F.lit(200)), F.lit("..."))).otherwise(text)
+    q = F.when(pos > 0, F.coalesce(strip_ws(first), F.lit(""))).otherwise(fallback)
+    out = df.withColumn("question_text", q)
     return out.limit(n) if n else out

@@ -304,3 +304,139 @@ def enum_values(tables: dict[str, DataFrame], max_distinct: int = 1000) -> DataF
     names = spark.createDataFrame(rows, "table_name string, field_ord int, field_name string")
     return (small.join(ex, ["table_name", "field_ord"]).join(names, ["table_name", "field_ord"])
             .select("table_name", "field_name", "field_ord", "n_values", F.col("examples").alias("values")))
+
+
+# ----------------------------------------------------- category and dates --
+# The original asks a language model; here the same labels come from rules
+# over the profile, and a user table of overrides can fix any field.
+
+DATE_TEXT_RE = (r"^\d{4}([-/.]\d{1,2}([-/.]\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?)?)?$"
+                r"|^\d{8}$|^\d{4}(0[1-9]|1[0-2])(\.0)?$")
+INTEGRAL = ["TINYINT", "SMALLINT", "INTEGER", "BIGINT"]
+
+
+def field_categories(tables: dict[str, DataFrame], prof: DataFrame | None = None,
+                     overrides: DataFrame | None = None, enum_max: int = 50) -> DataFrame:
+    """``(table_name, field_name, category, dim_or_meas)``.
+
+    * DateTime types -> DateTime; booleans -> Enum.
+    * date-like values -> DateTime: text where at least 90% of the distinct
+      values look like dates, integers that all look like years (1000-2999)
+      or ``yyyymmdd`` days.
+    * text -> Enum when it has at most ``enum_max`` distinct values that
+      repeat (at most half the count), Text when values exceed 30
+      characters, else Code.
+    * numbers -> Enum for repeating integers with at most ``enum_max``
+      values; Code for unique integers or ``*key``/``*id`` names; Measure
+      otherwise.  Only Measure has the Measure role."""
+    if prof is None:
+        prof = profile(tables, n_examples=0)
+    d = distinct_values(tables)
+    share = d.groupBy("table_name", "field_ord").agg(
+        F.avg(F.col("v").rlike(DATE_TEXT_RE).cast("double")).alias("date_share"),
+        F.min(F.when(F.col("num_key").isNotNull(),
+                     F.col("v").rlike(r"^(19|20)\d{2}(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])$")))
+        .alias("all_yyyymmdd"))
+    p = prof.join(share, ["table_name", "field_ord"], "left")
+    abbr = F.upper(F.substring_index("type_name", "(", 1))
+    integral = abbr.isin(INTEGRAL)
+    repeating = (F.col("n_distinct") <= enum_max) & (F.col("n_distinct") * 2 <= F.col("n_count"))
+    name = F.lower("field_name")
+    id_like = name.endswith("key") | name.endswith("id")
+    unique = (F.col("n_distinct") == F.col("n_count")) & (F.col("n_count") > 0)
+    year_like = integral & (F.col("min_value") >= 1000) & (F.col("max_value") <= 2999) & ~id_like
+    date_like = (((F.col("type_cate") == "String") & (F.coalesce("date_share", F.lit(0.0)) >= 0.9))
+                 | ((F.col("type_cate") == "Number") & (year_like | (integral & F.coalesce("all_yyyymmdd", F.lit(False))))))
+    cat = (F.when(F.col("type_cate") == "DateTime", "DateTime")
+           .when(F.col("type_cate") == "Bool", "Enum")
+           .when((F.col("n_count") > 0) & date_like, "DateTime")
+           .when(F.col("type_cate") == "String",
+                 F.when(repeating, "Enum").when(F.col("max_len") > 30, "Text").otherwise("Code"))
+           .when(F.col("type_cate") == "Number",
+                 F.when(integral & repeating & ~id_like, "Enum")
+                 .when(integral & (unique | id_like), "Code")
+                 .when(integral, "Measure").otherwise("Measure"))
+           .otherwise("Code"))
+    out = p.select("table_name", "field_name", cat.alias("category"))
+    if overrides is not None:
+        o = overrides.select("table_name", "field_name", F.col("category").alias("_oc"))
+        out = (out.join(o, ["table_name", "field_name"], "left")
+               .withColumn("category", F.coalesce("_oc", "category")).drop("_oc"))
+    return out.withColumn("dim_or_meas", F.when(F.col("category") == "Measure", "Measure").otherwise("Dimension"))
+
+
+def _grain_from_micros(m: Column) -> list[tuple[Column, str]]:
+    return [((m % 1000) != 0, "MICROSECOND"), ((m % 1_000_000) != 0, "MILLISECOND"),
+            ((F.floor(m / 1_000_000) % 60) != 0, "SECOND"), ((F.floor(m / 60_000_000) % 60) != 0, "MINUTE"),
+            ((F.floor(m / 3_600_000_000) % 24) != 0, "HOUR")]
+
+
+def date_granularity(tables: dict[str, DataFrame]) -> DataFrame:
+    """P14 for date and timestamp fields: the finest unit that is ever
+    non-zero over all values - MICROSECOND, MILLISECOND, SECOND, MINUTE,
+    HOUR, else DAY when a day of month other than 1 occurs, MONTH when a
+    month other than January occurs, else YEAR.  One aggregate per table."""
+    out = None
+    for t, df in tables.items():
+        aggs, fields = [], []
+        for i, name, dt in _profilable(df):
+            if not isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+                continue
+            c = F.col(f"`{name}`")
+            checks = []
+            if not isinstance(dt, T.DateType):
+                checks = _grain_from_micros(F.unix_micros(c.cast("timestamp")))
+            checks += [(F.dayofmonth(c) != 1, "DAY"), (F.month(c) != 1, "MONTH")]
+            for j, (cond, unit) in enumerate(checks):
+                aggs.append(F.max(cond.cast("int")).alias(f"f{i}_{j}"))
+            fields.append((i, name, [u for _, u in checks]))
+        if not fields:
+            continue
+        wide = df.agg(*aggs)
+        rows = []
+        for i, name, units in fields:
+            g = None
+            for j, unit in enumerate(units):
+                hit = F.col(f"f{i}_{j}") == 1
+                g = F.when(hit, F.lit(unit)) if g is None else g.when(hit, F.lit(unit))
+            g = g.otherwise(F.when(F.col(f"f{i}_0").isNull(), F.lit(None)).otherwise(F.lit("YEAR")))
+            rows.append(F.struct(F.lit(t).alias("table_name"), F.lit(name).alias("field_name"),
+                                 g.alias("date_min_gran")))
+        part = wide.select(F.inline(F.array(*rows)))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# --- fixed values: text shapes and the time unit each one shows ---
+TEXT_GRAINS = [
+    (r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}\.\d{4,6}$", "MICROSECOND"),
+    (r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}\.\d{1,3}$", "MILLISECOND"),
+    (r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}$", "SECOND"),
+    (r"^\d{2}:\d{2}:\d{2}$", "SECOND"),
+    (r"^\d{4}-\d{2}-\d{2}$", "DAY"),
+    (r"^\d{8}$", "DAY"),
+    (r"^\d{4}(0[1-9]|1[0-2])(\.0)?$", "MONTH"),
+    (r"^\d{4}-\d{2}$", "MONTH"),
+    (r"^\d{4}$", "YEAR"),
+]
+# --- end of fixed values ---
+
+
+def text_date_granularity(values: DataFrame, key_cols: list[str], value_col: str = "v") -> DataFrame:
+    """P14 for date-like text: each distinct value votes for the unit its
+    shape shows (``yyyy-MM`` becomes WEEK when a part exceeds 12); the unit
+    with most votes wins, finer units first on ties."""
+    v = F.col(value_col)
+    unit = None
+    for pat, u in TEXT_GRAINS:
+        if u == "MONTH" and pat == r"^\d{4}-\d{2}$":
+            shown = F.when(F.substring(v, 6, 2).cast("int") > 12, F.lit("WEEK")).otherwise(F.lit("MONTH"))
+        else:
+            shown = F.lit(u)
+        unit = F.when(v.rlike(pat), shown) if unit is None else unit.when(v.rlike(pat), shown)
+    unit = unit.otherwise(F.lit("OTHER"))
+    from quarry.functions.types import DATE_GRANULARITIES
+    order = F.array_position(F.array(*[F.lit(x) for x in reversed(DATE_GRANULARITIES)]), F.col("unit"))
+    votes = values.select(*key_cols, value_col).distinct().select(*key_cols, unit.alias("unit"))
+    counted = votes.groupBy(*key_cols, "unit").agg(F.count(F.lit(1)).alias("n")).withColumn("o", order)
+    return counted.groupBy(*key_cols).agg(F.max_by("unit", F.struct("n", "o")).alias("date_min_gran"))
