@@ -75,12 +75,26 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_whole_texts(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Each file as one value; an unreadable/missing path gives ``''``."""
+    """Each file as one value; a missing or unreadable path gives ``''``.
+
+    Files are read per parent folder with a name filter (a missing folder
+    contributes nothing), then left-joined onto the expected paths."""
+    import posixpath
     expected = spark.createDataFrame([(p,) for p in paths], "path string")
-    got = (spark.read.option("wholetext", True).option("ignoreMissingFiles", True)
-           .text([p for p in paths])
-           .select(F.input_file_name().alias("_uri"), F.col("value")))
-    got = got.withColumn("path", F.regexp_replace("_uri", r"^file:", "")).drop("_uri")
+    by_dir: dict[str, list[str]] = {}
+    for p in paths:
+        by_dir.setdefault(posixpath.dirname(p), []).append(posixpath.basename(p))
+    got = None
+    for d, names in by_dir.items():
+        try:
+            part = (spark.read.option("pathGlobFilter", "{" + ",".join(names) + "}")
+                    .text(d, wholetext=True).select(F.input_file_name().alias("_uri"), "value"))
+        except Exception:  # noqa: BLE001 - a folder that does not exist holds nothing
+            continue
+        got = part if got is None else got.unionByName(part)
+    if got is None:
+        return expected.select("path", F.lit("").alias("text"))
+    got = got.withColumn("path", F.regexp_replace("_uri", r"^file:/+", "/")).drop("_uri")
     return expected.join(got, "path", "left").select("path", F.coalesce("value", F.lit("")).alias("text"))
 
 
