@@ -225,3 +225,97 @@ def fk_filter(parsed: Column) -> Column:
         return F.exists(tabs, lambda tb: _table_matches(tb["name"], t)
                         & F.exists(tb["cols"], lambda col: col["name"] == c))
     return parsed.withField("fks", F.filter(parsed["fks"], lambda k: has(k["lt"], k["lc"]) & has(k["rt"], k["rc"])))
+
+
+# ------------------------------------------------- selected columns (M3/M4) --
+
+def _catalog_arrays(cat_tables: DataFrame, cat_fields: DataFrame, cat_fks: DataFrame,
+                    example_num: int, max_len: int, show_type_detail: bool) -> DataFrame:
+    """One row per database holding its tables (catalog order) with field
+    line parts, and its FK lines - schema-sized."""
+    t = F.upper(F.col("type")) if show_type_detail else F.upper(F.substring_index("type", "(", 1))
+    abbr = F.upper(F.substring_index("type", "(", 1))
+    comment = F.coalesce(F.col("comment"), F.lit(""))
+    head = F.concat(F.lit("("), F.col("field_name"), F.lit(":"), t,
+                    F.when(comment != "", F.concat(F.lit(", "), F.trim(comment))).otherwise(F.lit("")),
+                    F.when(F.coalesce("primary_key", F.lit(False)), F.lit(", Primary Key")).otherwise(F.lit("")))
+    raw = F.filter(F.coalesce("examples", F.array().cast("array<string>")), lambda x: x.isNotNull())
+    ex = example_list(raw, abbr, example_num, max_len, 100) if example_num > 0 else F.array().cast("array<string>")
+    f = cat_fields.select("db", "table_name", F.struct(
+        F.col("field_ord").alias("ord"), F.col("field_name").alias("name"), head.alias("head"),
+        ex.alias("ex"), ((F.size(raw) > 0) & F.lit(example_num > 0)).alias("has_ex")).alias("f"))
+    per_table = f.groupBy("db", "table_name").agg(F.array_sort(F.collect_list("f")).alias("fields"))
+    comment_t = F.coalesce(F.col("comment"), F.lit(""))
+    qual = F.when(F.coalesce(F.length("schema"), F.lit(0)) > 0,
+                  F.concat(F.col("schema"), F.lit("."), F.col("table_name"))).otherwise(F.col("table_name"))
+    header = F.concat(F.lit(TABLE_HEAD), qual, F.when((comment_t != "") & (comment_t != "None"),
+                                                       F.concat(F.lit(", "), comment_t)).otherwise(F.lit("")))
+    tabs = (cat_tables.join(per_table, ["db", "table_name"], "left")
+            .groupBy("db").agg(F.array_sort(F.collect_list(F.struct(
+                F.col("table_ord").alias("ord"), F.col("table_name").alias("name"), header.alias("header"),
+                F.coalesce("fields", F.array().cast(per_table.schema["fields"].dataType)).alias("fields"))))
+                .alias("tables"),
+                F.first("schema", ignorenulls=True).alias("db_schema")))
+    fk = cat_fks.groupBy("db").agg(F.array_sort(F.collect_list(F.struct(
+        F.col("fk_ord").alias("ord"), "table_name", "ref_table", "ref_schema",
+        F.concat_ws("", "table_name", F.lit("."), "field_name", F.lit("="), "ref_table", F.lit("."),
+                    "ref_field").alias("line")))).alias("fks"))
+    return tabs.join(fk, "db", "left")
+
+
+def to_mschema_with_selected(cat_tables: DataFrame, cat_fields: DataFrame, cat_fks: DataFrame,
+                             requests: DataFrame, example_num: int = 3, show_type_detail: bool = False,
+                             broadcast_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+    """M3 + M4 for ``requests(req_id, db, selected_cols array<string>,
+    selected_values map<string, array<string>>)`` -> ``(req_id, mschema)``.
+
+    Columns are named ``table.column`` (any case); the tables shown are those
+    of the selected columns; a field with examples gets the caller's values
+    first (order-preserving de-duplication); examples longer than 100
+    characters are dropped; tables are sorted by text length (stable); FKs
+    as in M2.  Each request reads its database's catalog arrays, joined by a
+    broadcast when their size is known to be small."""
+    # schema-sized and read twice (size check, join): computed once
+    cat = _catalog_arrays(cat_tables, cat_fields, cat_fks, example_num, 100, show_type_detail).persist()
+    size = cat.select(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0
+    cat_side = F.broadcast(cat) if size <= broadcast_bytes else cat
+    r = requests.select("req_id", "db",
+                        F.transform(F.coalesce("selected_cols", F.array().cast("array<string>")),
+                                    lambda s: F.lower(s)).alias("_sel"),
+                        F.map_from_entries(F.transform(F.map_entries(F.coalesce(
+                            "selected_values", F.create_map().cast("map<string,array<string>>"))),
+                            lambda e: F.struct(F.lower(e["key"]).alias("k"), e["value"].alias("v"))))
+                        .alias("_vals"))
+    j = r.join(cat_side, "db", "left")
+    j = j.withColumn("_stabs", F.array_distinct(F.transform("_sel", lambda s: F.substring_index(s, ".", 1))))
+
+    def field_line(tname, fld):
+        key = F.concat(F.lower(tname), F.lit("."), F.lower(fld["name"]))
+        sel_vals = F.coalesce(F.col("_vals")[key], F.array().cast("array<string>"))
+        ex = F.when(fld["has_ex"], F.array_distinct(F.concat(sel_vals, fld["ex"]))).otherwise(fld["ex"])
+        return F.concat(fld["head"], F.when(F.size(ex) > 0, F.concat(F.lit(", Examples: ["),
+                                                                     F.array_join(ex, ", "), F.lit("]")))
+                        .otherwise(F.lit("")), F.lit(")"))
+
+    chosen = F.filter("tables", lambda tb: F.array_contains(F.col("_stabs"), F.lower(tb["name"])))
+    texts = F.transform(chosen, lambda tb: F.struct(
+        F.concat(tb["header"], F.lit("\n[\n"), F.array_join(F.transform(
+            F.filter(tb["fields"], lambda fl: F.array_contains(
+                F.col("_sel"), F.concat(F.lower(tb["name"]), F.lit("."), F.lower(fl["name"])))),
+            lambda fl: field_line(tb["name"], fl)), ",\n"), F.lit("\n]")).alias("txt"),
+        tb["ord"].alias("ord")))
+    j = j.withColumn("_texts", texts)
+    ordered = F.array_sort(F.transform("_texts", lambda x: F.struct(F.length(x["txt"]).alias("n"),
+                                                                     x["ord"].alias("ord"), x["txt"].alias("txt"))))
+    fks = F.coalesce("fks", F.array().cast(cat.schema["fks"].dataType))
+    kept = F.filter(fks, lambda k: k["ref_schema"].eqNullSafe(F.col("db_schema"))
+                    & F.array_contains(F.col("_stabs"), F.lower(k["table_name"]))
+                    & F.array_contains(F.col("_stabs"), F.lower(k["ref_table"])))
+    body = F.array_join(F.transform(ordered, lambda x: x["txt"]), "\n")
+    text = F.concat(F.lit(DB_HEAD + " "), F.col("db"), F.lit("\n" + SCHEMA_HEAD),
+                    F.when(F.size("_texts") > 0, F.concat(F.lit("\n"), body)).otherwise(F.lit("")),
+                    F.when(F.size(fks) > 0, F.concat(F.lit("\n" + FK_HEAD), F.when(
+                        F.size(kept) > 0, F.concat(F.lit("\n"), F.array_join(F.transform(kept, lambda k: k["line"]),
+                                                                             "\n"))).otherwise(F.lit(""))))
+                    .otherwise(F.lit("")))
+    return j.select("req_id", text.alias("mschema"))

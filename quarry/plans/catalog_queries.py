@@ -358,3 +358,51 @@ def mschema_dump_roundtrip_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["mschema_dump_roundtrip"] = ORACLES["mschema_text"]
+
+
+# ------------------------------------------------ selected columns (M3/M4) --
+from quarry.operators.mschema import to_mschema_with_selected  # noqa: E402
+from quarry.plans.fixtures import F1_SQL, samples  # noqa: E402
+
+SEL_TABLES = ["orders", "customer"]
+SEL_EXTRA = ["customer.c_name", "customer.c_custkey"]
+
+
+@register("mschema_selected")
+def mschema_selected_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 + M4 per F1 record: the columns its SQL names plus the customer's
+    key and name, with the customer id from the SQL as a selected value."""
+    tables = load_many(spark, sf_dir, SEL_TABLES)
+    ct, cf, ck = build_catalog(spark, "tpch", tables, primary_keys=TPCH_KEYS,
+                               foreign_keys=[fk for fk in TPCH_FKS if fk[0] in tables and fk[2] in tables])
+    names = [f"{t}.{c}" for t in SEL_TABLES for c in tables[t].columns]
+    f1 = samples(spark, sf_dir)
+    named = F.filter(F.array(*[F.lit(n) for n in names]),
+                     lambda n: F.regexp_like(F.col("sql"), F.concat(F.lit("(?i)\\b"),
+                                                                   F.substring_index(n, ".", -1), F.lit("\\b"))))
+    req = f1.select(F.col("idx").alias("req_id"), F.lit("tpch").alias("db"),
+                    F.concat(named, F.array(*[F.lit(x) for x in SEL_EXTRA])).alias("selected_cols"),
+                    F.create_map(F.lit("orders.o_custkey"), F.array(F.regexp_extract("sql", r"= (\d+)$", 1)))
+                    .alias("selected_values"))
+    return to_mschema_with_selected(ct, cf, ck, req).select(F.col("req_id").alias("idx"), "mschema")
+
+
+def _sel_oracle():
+    cust_ex = _examples_sql("customer", "c_custkey", "BIGINT", 3)
+    name_ex = _examples_sql("customer", "c_name", "TEXT", 3)
+    ord_ex = f"string_split({_examples_sql('orders', 'o_custkey', 'BIGINT', 3)}, ', ')"
+    return f"""
+WITH f1 AS ({F1_SQL}),
+r AS (SELECT idx, regexp_extract(sql, '= (\\d+)$', 1) AS v FROM f1),
+o AS (SELECT idx, '# Table: orders' || chr(10) || '[' || chr(10) || '(o_custkey:BIGINT, Examples: ['
+   || array_to_string(list_concat([v], list_filter({ord_ex}, lambda x: x <> v)), ', ') || '])' || chr(10) || ']' AS t
+   FROM r),
+c AS (SELECT '# Table: customer' || chr(10) || '[' || chr(10) || '(c_custkey:BIGINT, Primary Key, Examples: ['
+   || {cust_ex} || ']),' || chr(10) || '(c_name:TEXT, Examples: [' || {name_ex} || '])' || chr(10) || ']' AS t)
+SELECT o.idx, '【DB_ID】 tpch' || chr(10) || '【Schema】' || chr(10)
+  || CASE WHEN length(o.t) <= length(c.t) THEN o.t || chr(10) || c.t ELSE c.t || chr(10) || o.t END
+  || chr(10) || '【Foreign keys】' || chr(10) || 'orders.o_custkey=customer.c_custkey' AS mschema
+FROM o, c"""
+
+
+ORACLES["mschema_selected"] = _sel_oracle()
