@@ -171,13 +171,19 @@ def discover_fks(tables: dict[str, DataFrame], prof: DataFrame | None = None,
     (non-null, all distinct), both have the same key-like type, and every
     distinct non-null child value occurs in the parent.
 
-    Candidate pairs are cut by type and by the min/max of pass A before any
-    value is compared, so they stay schema-sized; the check itself is one
-    join of distinct child values against distinct parent values (each
-    value meets only the few candidate parents of its column)."""
+    Candidate pairs are cut by type, distinct counts and the min/max of pass
+    A before any value is compared, so they stay schema-sized.  The check is
+    one join of distinct child values with distinct parent values on the
+    typed value (long or text), so only real matches are produced; a value
+    fans out to at most the columns holding it.  Matches per candidate pair
+    equal to the child's distinct count make a FK."""
+    from pyspark import StorageLevel
+
     from quarry.operators.profile import distinct_values
+    # the distinct values feed both the profile and the inclusion check
+    vals = distinct_values(tables).persist(StorageLevel.MEMORY_AND_DISK)
     if prof is None:
-        prof = profile(tables, n_examples=0)
+        prof = profile(tables, n_examples=0, distinct=vals)
     keys = discover_keys(prof).join(
         prof.select("table_name", "field_ord", "n_distinct", "min_value", "max_value",
                     F.col("n_count")), ["table_name", "field_ord"])
@@ -191,19 +197,32 @@ def discover_fks(tables: dict[str, DataFrame], prof: DataFrame | None = None,
         F.col("field_name").alias("p_field"), F.col("type_name"),
         F.col("min_value").alias("p_min"), F.col("max_value").alias("p_max"))
     numeric_ok = (F.col("c_min").isNull() | ((F.col("c_min") >= F.col("p_min")) & (F.col("c_max") <= F.col("p_max"))))
+    p_nd = keys.select(F.col("table_name").alias("p_table"), F.col("field_ord").alias("p_ord"),
+                       F.col("n_distinct").alias("p_nd"))
     cands = (child.join(parent, "type_name")  # both sides schema-sized
+             .join(p_nd, ["p_table", "p_ord"])
              .where(~((F.col("c_table") == F.col("p_table")) & (F.col("c_ord") == F.col("p_ord"))))
-             .where((F.col("c_nd") > 0) & numeric_ok))
+             .where((F.col("c_nd") > 0) & (F.col("c_nd") <= F.col("p_nd")) & numeric_ok))
+    cands = cands.persist(StorageLevel.MEMORY_AND_DISK)
     n_cands = cands.count()
-    vals = distinct_values(tables).select("table_name", "field_ord", "v")
-    cv = vals.select(F.col("table_name").alias("c_table"), F.col("field_ord").alias("c_ord"), "v")
-    pv = vals.select(F.col("table_name").alias("p_table"), F.col("field_ord").alias("p_ord"), "v",
-                     F.lit(1).alias("hit"))
-    c_small = F.broadcast(cands) if n_cands <= candidate_broadcast_rows else cands
-    probe = cv.join(c_small.select("c_table", "c_ord", "p_table", "p_ord"), ["c_table", "c_ord"])
-    matched = (probe.join(pv, ["p_table", "p_ord", "v"], "left")
+    pairs = cands.select("c_table", "c_ord", "p_table", "p_ord", "c_nd")
+    pairs = F.broadcast(pairs) if n_cands <= candidate_broadcast_rows else pairs
+    cset = cands.select("c_table", "c_ord").distinct()
+    pset = cands.select("p_table", "p_ord").distinct()
+    # join values on their typed key: only actual matches are produced
+    cv = vals.join(F.broadcast(cset.withColumnRenamed("c_table", "table_name").withColumnRenamed("c_ord", "field_ord")),
+                   ["table_name", "field_ord"], "left_semi").select(
+        F.col("table_name").alias("c_table"), F.col("field_ord").alias("c_ord"), "kl", "ks")
+    pv = vals.join(F.broadcast(pset.withColumnRenamed("p_table", "table_name").withColumnRenamed("p_ord", "field_ord")),
+                   ["table_name", "field_ord"], "left_semi").select(
+        F.col("table_name").alias("p_table"), F.col("field_ord").alias("p_ord"), "kl", "ks")
+    hits = (cv.where(F.col("kl").isNotNull()).join(pv.where(F.col("kl").isNotNull()).drop("ks"), "kl")
+            .select("c_table", "c_ord", "p_table", "p_ord")
+            .unionByName(cv.where(F.col("ks").isNotNull()).join(pv.where(F.col("ks").isNotNull()).drop("kl"), "ks")
+                         .select("c_table", "c_ord", "p_table", "p_ord")))
+    matched = (hits.join(pairs, ["c_table", "c_ord", "p_table", "p_ord"])
                .groupBy("c_table", "c_ord", "p_table", "p_ord")
-               .agg(F.count(F.lit(1)).alias("n_child"), F.count("hit").alias("n_hit")))
+               .agg(F.count(F.lit(1)).alias("n_hit"), F.first("c_nd").alias("n_child")))
     fk = matched.where(F.col("n_child") == F.col("n_hit"))
     return (fk.join(cands.select("c_table", "c_ord", "c_field", "p_table", "p_ord", "p_field"),
                     ["c_table", "c_ord", "p_table", "p_ord"])

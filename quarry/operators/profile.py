@@ -56,14 +56,14 @@ def value_text(c: Column, dt: T.DataType) -> Column:
 
 
 def column_stats(table_name: str, df: DataFrame) -> DataFrame:
-    """Pass A for one table: one aggregate, unpivoted to one row per field."""
+    """Pass A for one table: one aggregate (no text casts), unpivoted to one
+    row per field.  Text lengths come from pass B: the longest value is among
+    the distinct values."""
     cols = _profilable(df)
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for i, name, dt in cols:
         c = F.col(f"`{name}`")
-        txt_len = F.length(value_text(c, dt))
-        aggs += [F.count(c).alias(f"n{i}"), F.max(txt_len).alias(f"xl{i}"),
-                 F.min(txt_len).alias(f"nl{i}")]
+        aggs.append(F.count(c).alias(f"n{i}"))
         if isinstance(dt, T.NumericType):
             d = c.cast("double")
             aggs += [F.max(d).alias(f"mx{i}"), F.min(d).alias(f"mn{i}"),
@@ -83,8 +83,6 @@ def column_stats(table_name: str, df: DataFrame) -> DataFrame:
             (F.col(f"mn{i}") if num else nul).alias("min_value"),
             (F.col(f"av{i}") if num else nul).alias("avg_value"),
             (F.col(f"sm{i}") if num else nul).alias("sum_value"),
-            F.coalesce(F.col(f"xl{i}").cast("long"), F.lit(-1).cast("long")).alias("max_len"),
-            F.coalesce(F.col(f"nl{i}").cast("long"), F.lit(-1).cast("long")).alias("min_len"),
         ))
     return wide.select(F.inline(F.array(*rows)))
 
@@ -106,13 +104,44 @@ def long_values(table_name: str, df: DataFrame) -> DataFrame:
             .select(F.lit(table_name).alias("table_name"), "field_ord", "v", "num_key"))
 
 
+def _typed_keys(table_name: str, df: DataFrame) -> DataFrame:
+    """``(table_name, field_ord, kl, kd, ks)``: one typed key per non-null
+    value - integers as long, floats as double, everything else as exact
+    text - so de-duplication hashes 8-byte keys and casts nothing."""
+    structs = []
+    for i, name, dt in _profilable(df):
+        c = F.col(f"`{name}`")
+        integral = isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+        floating = isinstance(dt, (T.FloatType, T.DoubleType))
+        structs.append(F.struct(
+            F.lit(i).alias("field_ord"),
+            (c.cast("long") if integral else F.lit(None).cast("long")).alias("kl"),
+            (c.cast("double") if floating else F.lit(None).cast("double")).alias("kd"),
+            (c.cast("string") if not (integral or floating) else F.lit(None).cast("string")).alias("ks")))
+    return (df.select(F.inline(F.array(*structs)))
+            .where(F.col("kl").isNotNull() | F.col("kd").isNotNull() | F.col("ks").isNotNull())
+            .select(F.lit(table_name).alias("table_name"), "field_ord", "kl", "kd", "ks"))
+
+
 def distinct_values(tables: dict[str, DataFrame]) -> DataFrame:
-    """All tables' distinct ``(table_name, field_ord, v, num_key)`` in one shuffle."""
-    parts = [long_values(n, df) for n, df in tables.items()]
+    """All tables' distinct ``(table_name, field_ord, v, num_key)`` in one
+    shuffle (typed keys, map-side combine); the text ``v`` is made after
+    de-duplication (decimals shown through float, as examples are)."""
+    parts = [_typed_keys(n, df) for n, df in tables.items()]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    return u.distinct()
+    d = u.distinct()
+    decimal_fields = [(n, i) for n, df in tables.items() for i, _, dt in _profilable(df)
+                      if isinstance(dt, T.DecimalType)]
+    is_dec = F.lit(False)
+    for n, i in decimal_fields:
+        is_dec = is_dec | ((F.col("table_name") == n) & (F.col("field_ord") == i))
+    text = F.coalesce(F.col("kl").cast("string"), F.col("kd").cast("string"),
+                      F.when(is_dec, F.col("ks").cast("double").cast("string")).otherwise(F.col("ks")))
+    num = F.coalesce(F.col("kl").cast("double"), F.col("kd"),
+                     F.when(is_dec, F.col("ks").cast("double")))
+    return d.select("table_name", "field_ord", text.alias("v"), num.alias("num_key"), "kl", "ks")
 
 
 def first_values(distinct: DataFrame, n: int | None) -> DataFrame:
@@ -143,23 +172,31 @@ def examples_to_str(examples: Column, type_cate: Column) -> Column:
     return F.filter(kept, lambda x: F.length(x) > 0)
 
 
-def profile(tables: dict[str, DataFrame], n_examples: int | None = 5) -> DataFrame:
-    """One profile row per (table, field): pass A statistics, distinct count
-    and the first ``n_examples`` distinct values (P2, P3, P5, P7, P8)."""
+def profile(tables: dict[str, DataFrame], n_examples: int | None = 5,
+            distinct: DataFrame | None = None) -> DataFrame:
+    """One profile row per (table, field): pass A statistics, and from pass
+    B the distinct count, the min/max text length and the first
+    ``n_examples`` distinct values (P2, P3, P5, P7, P8).  ``distinct`` may be
+    a persisted :func:`distinct_values` result shared with other steps."""
     stats = None
     for name, df in tables.items():
         s = column_stats(name, df)
         stats = s if stats is None else stats.unionByName(s)
-    d = distinct_values(tables)
-    counts = d.groupBy("table_name", "field_ord").agg(F.count(F.lit(1)).alias("n_distinct"))
-    ex = first_values(d, n_examples)
+    d = distinct if distinct is not None else distinct_values(tables)
     key = ["table_name", "field_ord"]
-    return (stats.join(counts, key, "left").join(ex, key, "left")
-            .select("table_name", "field_name", "field_ord", "type_name", "type_cate", "n_rows",
-                    "n_count",
-                    F.coalesce("n_distinct", F.lit(0).cast("long")).alias("n_distinct"),
-                    "max_value", "min_value", "avg_value", "sum_value", "max_len", "min_len",
-                    F.coalesce("examples", F.array().cast("array<string>")).alias("raw_examples"))
+    per = d.groupBy(*key).agg(F.count(F.lit(1)).alias("n_distinct"),
+                              F.max(F.length("v")).alias("_xl"), F.min(F.length("v")).alias("_nl"))
+    out = stats.join(per, key, "left")
+    if n_examples == 0:
+        out = out.withColumn("examples", F.lit(None).cast("array<string>"))
+    else:
+        out = out.join(first_values(d, n_examples), key, "left")
+    return (out.select("table_name", "field_name", "field_ord", "type_name", "type_cate", "n_rows",
+                       "n_count", F.coalesce("n_distinct", F.lit(0).cast("long")).alias("n_distinct"),
+                       "max_value", "min_value", "avg_value", "sum_value",
+                       F.coalesce(F.col("_xl").cast("long"), F.lit(-1).cast("long")).alias("max_len"),
+                       F.coalesce(F.col("_nl").cast("long"), F.lit(-1).cast("long")).alias("min_len"),
+                       F.coalesce("examples", F.array().cast("array<string>")).alias("raw_examples"))
             .withColumn("examples", examples_to_str(F.col("raw_examples"), F.col("type_cate"))))
 
 
