@@ -132,23 +132,37 @@ def to_mschema(cat_tables: DataFrame, cat_fields: DataFrame, cat_fks: DataFrame,
 # ``name`` the bare table name used for matching (quirk Q2).
 
 TABLE_RE = r"# Table: (.+?)\n\[([\s\S]+?)\]\n"
+TABLE_BLOCK_RE = r"# Table: ((.+?)\n\[([\s\S]+?)\]\n)"
 
 
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    from quarry.operators.responses import strip_ws
+    return strip_ws(c)
 
 
-def _col_line(item: Column) -> Column:
-    """Text between the first ``(`` and the last ``)`` of a column item,
-    wrapped in parentheses again; its name is before the first ``,`` then
-    before the first ``:``."""
+def _col_line_slow(item: Column) -> Column:
+    """Index arithmetic for items without a ``(...)`` pair."""
     lpos = F.locate("(", item)
     start0 = F.when(lpos > 0, lpos).otherwise(F.lit(1))  # 0-based start of inner = left + 1
     rrev = F.locate(")", F.reverse(item))
     end0 = F.when(rrev > 0, F.length(item) - rrev).otherwise(F.length(item))  # 0-based exclusive end
     inner = F.substr(item, start0 + 1, F.greatest(end0 - start0, F.lit(0)))
-    name = _strip(F.substring_index(F.substring_index(_strip(inner), ",", 1), ":", 1))
-    return F.struct(name.alias("name"), F.concat(F.lit("("), inner, F.lit(")")).alias("line"))
+    return F.concat(F.lit("("), inner, F.lit(")"))
+
+
+def _col_line(item: Column) -> Column:
+    """Text between the first ``(`` and the last ``)`` of a column item,
+    wrapped in parentheses again; its name is before the first ``,`` then
+    before the first ``:``.  One greedy regex covers well-formed items."""
+    paren = F.regexp_extract(item, r"(?s)(\(.*\))", 1)
+    line = F.when(paren != "", paren).otherwise(_col_line_slow(item))
+    return F.struct(line.alias("line"))
+
+
+def _named(c: Column) -> Column:
+    """Add the column name read from the line."""
+    name = _strip(F.regexp_extract(c["line"], r"^\(([^,:]*)", 1))
+    return F.struct(name.alias("name"), c["line"].alias("line"))
 
 
 def bare_table_name(key: Column) -> Column:
@@ -180,18 +194,21 @@ def parse_schema(text) -> Column:
     ``# Table:`` block (e.g. DDL, quirk Q1) gives ``parsed = false``."""
     t = F.col(text) if isinstance(text, str) else text
     t2 = F.when(t.contains(FK_HEAD), t).otherwise(F.concat(t, F.lit("\n")))
-    heads = F.regexp_extract_all(t2, F.lit(TABLE_RE), 1)
-    bodies = F.regexp_extract_all(t2, F.lit(TABLE_RE), 2)
-    # zip once: an outer expression used inside a lambda is re-evaluated per element
-    zipped = F.arrays_zip(heads.alias("h"), bodies.alias("b"))
-    tables = F.transform(zipped, lambda z: F.struct(
-        z["h"].alias("key"), bare_table_name(z["h"]).alias("name"),
-        F.transform(F.split(_strip(z["b"]), ",\n"), _col_line).alias("cols")))
+    # one regex pass: each block is "name\n[ body ]\n"; head and body are
+    # then cut with string functions
+    blocks = F.regexp_extract_all(t2, F.lit(TABLE_BLOCK_RE), 1)
+
+    def table(b):
+        head = F.substring_index(b, "\n[", 1)
+        body = F.substr(b, F.length(head) + F.lit(3), F.length(b) - F.length(head) - F.lit(4))
+        return F.struct(head.alias("key"), bare_table_name(head).alias("name"),
+                        F.transform(F.transform(F.split(_strip(body), ",\n"), _col_line), _named).alias("cols"))
+    tables = F.transform(blocks, table)
     fk_part = _strip(F.substring_index(_strip(t), FK_HEAD, -1))
     fk_lines = F.filter(F.split(fk_part, "\n"), lambda l: F.length(l) > 0)
     fks = F.when(t.contains(FK_HEAD), F.transform(fk_lines, _fk)).otherwise(
         F.array().cast("array<struct<lt:string,lc:string,rt:string,rc:string>>"))
-    return F.struct((F.size(heads) > 0).alias("parsed"), tables.alias("tables"), fks.alias("fks"))
+    return F.struct((F.size(tables) > 0).alias("parsed"), tables.alias("tables"), fks.alias("fks"))
 
 
 def render_schema(db_id: Column, parsed: Column, indent: Column | None = None) -> Column:

@@ -32,9 +32,14 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# every character Python's ``str.strip()`` removes, built from the rule
+WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+
+
 def strip_ws(c: Column) -> Column:
-    """Python ``str.strip()``: leading and trailing white space of any kind."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Python ``str.strip()``: leading and trailing white space of any kind
+    (``btrim`` with the character set - much cheaper than a regex)."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def _tail(c: Column, sep: str) -> Column:
