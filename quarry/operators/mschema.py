@@ -208,7 +208,7 @@ def parse_schema(text) -> Column:
     fk_lines = F.filter(F.split(fk_part, "\n"), lambda l: F.length(l) > 0)
     fks = F.when(t.contains(FK_HEAD), F.transform(fk_lines, _fk)).otherwise(
         F.array().cast("array<struct<lt:string,lc:string,rt:string,rc:string>>"))
-    return F.struct((F.size(tables) > 0).alias("parsed"), tables.alias("tables"), fks.alias("fks"))
+    return F.struct((F.size(blocks) > 0).alias("parsed"), tables.alias("tables"), fks.alias("fks"))
 
 
 def render_schema(db_id: Column, parsed: Column, indent: Column | None = None) -> Column:
