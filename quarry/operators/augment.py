@@ -80,20 +80,36 @@ def schema_shuffle(parsed: Column, rec: Column, seed: int = 42, tab_p: float = 0
     return parsed.withField("tables", tabs).withField("fks", fks)
 
 
-def _in_sql(sql: Column, name: Column) -> Column:
-    """``name`` occurs in ``sql`` as a whole word, case-insensitively."""
-    return F.regexp_like(sql, F.concat(F.lit("(?i)\\b"), regex_escape(name), F.lit("\\b")))
+def sql_words(sql) -> Column:
+    """Lower-cased maximal word runs of a SQL text (Unicode word characters).
+    Materialise it as a column before the array edits that read it."""
+    c = F.col(sql) if isinstance(sql, str) else sql
+    return F.regexp_extract_all(F.lower(c), F.lit(r"(?U)(\w+)"), 1)
+
+
+def _in_sql(sql: Column, name: Column, words: Column | None = None) -> Column:
+    """``name`` occurs in ``sql`` as a whole word, case-insensitively.
+
+    For a name made of word characters that is exactly membership in the
+    SQL's word runs (``words`` from :func:`sql_words`): no regex is compiled
+    per name.  Other names fall back to a word-boundary regex."""
+    slow = F.regexp_like(sql, F.concat(F.lit("(?iU)\\b"), regex_escape(name), F.lit("\\b")))
+    if words is None:
+        return slow
+    return F.when(name.rlike(r"(?U)^\w+$"), F.array_contains(words, F.lower(name))).otherwise(slow)
 
 
 def schema_filter(parsed: Column, rec: Column, sql: Column, seed: int = 42, tab_p: float = 0.8,
-                  col_p: float = 0.7) -> Column:
+                  col_p: float = 0.7, words: Column | None = None) -> Column:
     """A2: a table stays if its name (header before ``,``) is a whole word of
     the SQL, else with ``tab_p``; in a kept table a column stays by the same
-    test, else with ``col_p``; then FKs are filtered (M7)."""
-    kept = F.filter(parsed["tables"], lambda t: _in_sql(sql, t["name"])
+    test, else with ``col_p``; then FKs are filtered (M7).  Pass ``words``
+    (a column holding :func:`sql_words`) to test names without regexes."""
+    kept = F.filter(parsed["tables"], lambda t: _in_sql(sql, t["name"], words)
                     | _draw(seed, "a2_tab", tab_p, rec, t["key"]))
     kept = F.transform(kept, lambda t: t.withField("cols", F.filter(
-        t["cols"], lambda c: _in_sql(sql, c["name"]) | _draw(seed, "a2_col", col_p, rec, t["key"], c["name"]))))
+        t["cols"], lambda c: _in_sql(sql, c["name"], words)
+        | _draw(seed, "a2_col", col_p, rec, t["key"], c["name"]))))
     return fk_filter(parsed.withField("tables", kept))
 
 
@@ -189,7 +205,8 @@ def augment_record(df, seed: int = 42, shuffle=True, filter_=True, permute=True,
     if shuffle:
         out = out.withColumn("_p", schema_shuffle(F.col("_p"), rec, seed))
     if filter_:
-        out = out.withColumn("_p", schema_filter(F.col("_p"), rec, F.col(sql_col), seed))
+        out = out.withColumn("_w", sql_words(sql_col))
+        out = out.withColumn("_p", schema_filter(F.col("_p"), rec, F.col(sql_col), seed, words=F.col("_w")))
     indent = None
     if permute:
         out = (out.withColumn("_label", permute_label(rec, seed))
@@ -197,7 +214,7 @@ def augment_record(df, seed: int = 42, shuffle=True, filter_=True, permute=True,
         out = out.withColumn("_p", schema_permute(F.col("_p"), F.col("_label")))
         indent = F.col("_indent")
     text = F.when(F.col("_p.parsed"), render_schema(F.col(db_col), F.col("_p"), indent)).otherwise(F.col(schema_col))
-    out = out.withColumn(schema_col, text).drop("_p", "_label", "_indent")
+    out = out.withColumn(schema_col, text).drop("_p", "_label", "_indent", "_w")
     if tidy:
         out = out.withColumn(sql_col, sql_tidy(sql_col))
     return out
