@@ -147,3 +147,28 @@ def json_reply_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = json_replies(spark, sf_dir).select("idx", R.json_reply("reply").alias("m"))
     return m.select("idx", F.col("m")["sql"].alias("j_sql"), F.col("m")["ok"].alias("j_ok"),
                     F.size("m").alias("n_keys"))
+
+
+# ------------------------------------------------------------- streaming --
+
+@register("stream_clean_replies")
+def stream_clean_replies_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1, R2 and A5 applied by a Structured Streaming query: F2 replies are
+    written to a folder, streamed through the cleaners (``availableNow``) into
+    a Parquet sink with its checkpoint in the shared folder, and read back."""
+    from quarry.session import scratch_path
+    from quarry.streaming.replies import REPLY_SCHEMA, stream_clean
+    src, sink = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-sink")
+    replies(spark, sf_dir).select(*[f.name for f in REPLY_SCHEMA.fields]).write.parquet(src)
+    q = stream_clean(spark, src, sink)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(sink).select("idx", "extracted", "cleaned", "tidy")
+
+
+ORACLES["stream_clean_replies"] = f"""
+SELECT e.idx, e.extracted, c.cleaned, t.tidy
+FROM ({ORACLES['extract_sql'].strip()}) e
+JOIN ({ORACLES['clean_sql'].strip()}) c ON c.idx = e.idx
+JOIN ({ORACLES['sql_tidy'].strip()}) t ON t.idx = e.idx"""
