@@ -69,20 +69,18 @@ def fill_forward(df: DataFrame, part_col: str, order_col: str, value_col: str, o
     in ``order_col`` (an integer key) order.
 
     Windows run per (part, bucket of ``order_col``) - at most ``bucket_size``
-    rows each - and a small per-bucket table carries the last value across
-    bucket boundaries."""
-    b = F.floor(F.col(order_col) / F.lit(bucket_size))
-    d = df.withColumn("_b", b)
+    rows each.  Each bucket's running value at its last row is its tail; a
+    window over the small per-bucket table carries the last tail forward
+    across buckets.  The tails are aggregated from the windowed rows, which
+    are already partitioned by (part, bucket), so the input is read once."""
+    d = df.withColumn("_b", F.floor(F.col(order_col) / F.lit(bucket_size)))
     w_in = (Window.partitionBy(part_col, "_b").orderBy(order_col)
             .rowsBetween(Window.unboundedPreceding, 0))
-    d = d.withColumn("_local", F.last(value_col, ignorenulls=True).over(w_in))
-    tails = (d.where(F.col(value_col).isNotNull()).groupBy(part_col, "_b")
-             .agg(F.max_by(value_col, order_col).alias("_tail")))
+    w = d.withColumn("_local", F.last(value_col, ignorenulls=True).over(w_in))
+    tails = w.groupBy(part_col, "_b").agg(F.max_by("_local", order_col).alias("_tail"))
     w_carry = (Window.partitionBy(part_col).orderBy("_b")
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = tails.select(part_col, "_b", "_tail")
-    buckets = d.select(part_col, "_b").distinct().join(carry, [part_col, "_b"], "left")
-    buckets = buckets.withColumn("_carry", F.last("_tail", ignorenulls=True).over(w_carry))
-    return (d.join(buckets.select(part_col, "_b", "_carry"), [part_col, "_b"], "left")
+    carry = tails.withColumn("_carry", F.last("_tail", ignorenulls=True).over(w_carry))
+    return (w.join(carry.select(part_col, "_b", "_carry"), [part_col, "_b"], "left")
             .withColumn(out_col, F.coalesce("_local", "_carry"))
             .drop("_b", "_local", "_carry"))
