@@ -104,12 +104,14 @@ def long_values(table_name: str, df: DataFrame) -> DataFrame:
             .select(F.lit(table_name).alias("table_name"), "field_ord", "v", "num_key"))
 
 
-def _typed_keys(table_name: str, df: DataFrame) -> DataFrame:
+def _typed_keys(table_name: str, df: DataFrame, only: set | None = None) -> DataFrame:
     """``(table_name, field_ord, kl, kd, ks)``: one typed key per non-null
     value - integers as long, floats as double, everything else as exact
     text - so de-duplication hashes 8-byte keys and casts nothing."""
     structs = []
     for i, name, dt in _profilable(df):
+        if only is not None and (table_name, i) not in only:
+            continue
         c = F.col(f"`{name}`")
         integral = isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
         floating = isinstance(dt, (T.FloatType, T.DoubleType))
@@ -123,11 +125,13 @@ def _typed_keys(table_name: str, df: DataFrame) -> DataFrame:
             .select(F.lit(table_name).alias("table_name"), "field_ord", "kl", "kd", "ks"))
 
 
-def distinct_values(tables: dict[str, DataFrame]) -> DataFrame:
+def distinct_values(tables: dict[str, DataFrame], only: set | None = None) -> DataFrame:
     """All tables' distinct ``(table_name, field_ord, v, num_key)`` in one
     shuffle (typed keys, map-side combine); the text ``v`` is made after
-    de-duplication (decimals shown through float, as examples are)."""
-    parts = [_typed_keys(n, df) for n, df in tables.items()]
+    de-duplication (decimals shown through float, as examples are).
+    ``only`` restricts it to a set of ``(table_name, field_ord)``."""
+    parts = [_typed_keys(n, df, only) for n, df in tables.items()
+             if only is None or any(t == n for t, _ in only)]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
