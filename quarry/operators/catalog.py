@@ -171,9 +171,8 @@ def discover_fks(tables: dict[str, DataFrame], prof: DataFrame | None = None,
     (non-null, all distinct), both have the same key-like type, and every
     distinct non-null child value occurs in the parent.
 
-    Pass 1 is the profile (one small row per column, kept); candidate pairs
-    are cut by type, uniqueness, distinct counts and min/max, so they stay
-    schema-sized.  Pass 2 reads only the candidate columns.  The check is
+    Candidate pairs are cut by type, uniqueness, distinct counts and the
+    min/max of pass A, so they stay schema-sized.  The check is
     one join of distinct child values with distinct parent values on the
     typed value (long or text), so only real matches are produced; a value
     fans out to at most the columns holding it.  Matches per candidate pair
@@ -181,9 +180,12 @@ def discover_fks(tables: dict[str, DataFrame], prof: DataFrame | None = None,
     from pyspark import StorageLevel
 
     from quarry.operators.profile import distinct_values
-    # pass 1: the profile - one row per column - decides the candidates
+    # one distinct pass feeds both the profile and the inclusion check; it is
+    # kept on local disk (deterministic, so a lost block is recomputed) and
+    # released once the schema-sized answer is known
+    vals = distinct_values(tables).persist(StorageLevel.DISK_ONLY)
     if prof is None:
-        prof = profile(tables, n_examples=0)
+        prof = profile(tables, n_examples=0, distinct=vals)
     prof = prof.persist(StorageLevel.MEMORY_AND_DISK)
     keys = discover_keys(prof).join(
         prof.select("table_name", "field_ord", "n_distinct", "min_value", "max_value",
@@ -206,15 +208,8 @@ def discover_fks(tables: dict[str, DataFrame], prof: DataFrame | None = None,
              .where((F.col("c_nd") > 0) & (F.col("c_nd") <= F.col("p_nd")) & numeric_ok))
     cands = cands.persist(StorageLevel.MEMORY_AND_DISK)
     n_cands = cands.count()
-    # pass 2: distinct values of the candidate columns only
-    needed = {(r.t, r.o) for r in cands.select(F.col("c_table").alias("t"), F.col("c_ord").alias("o")).union(
-        cands.select("p_table", "p_ord")).distinct().collect()}  # schema-sized
-    vals = distinct_values(tables, needed) if needed else None
     pairs = cands.select("c_table", "c_ord", "p_table", "p_ord", "c_nd")
     pairs = F.broadcast(pairs) if n_cands <= candidate_broadcast_rows else pairs
-    if vals is None:
-        return cands.select(F.col("c_table").alias("table_name"), F.col("c_field").alias("field_name"),
-                            F.col("p_table").alias("ref_table"), F.col("p_field").alias("ref_field")).limit(0)
     cset = cands.select("c_table", "c_ord").distinct()
     pset = cands.select("p_table", "p_ord").distinct()
     # join values on their typed key: only actual matches are produced
@@ -232,10 +227,15 @@ def discover_fks(tables: dict[str, DataFrame], prof: DataFrame | None = None,
                .groupBy("c_table", "c_ord", "p_table", "p_ord")
                .agg(F.count(F.lit(1)).alias("n_hit"), F.first("c_nd").alias("n_child")))
     fk = matched.where(F.col("n_child") == F.col("n_hit"))
-    return (fk.join(cands.select("c_table", "c_ord", "c_field", "p_table", "p_ord", "p_field"),
-                    ["c_table", "c_ord", "p_table", "p_ord"])
-            .select(F.col("c_table").alias("table_name"), F.col("c_field").alias("field_name"),
-                    F.col("p_table").alias("ref_table"), F.col("p_field").alias("ref_field")))
+    out = (fk.join(cands.select("c_table", "c_ord", "c_field", "p_table", "p_ord", "p_field"),
+                   ["c_table", "c_ord", "p_table", "p_ord"])
+           .select(F.col("c_table").alias("table_name"), F.col("c_field").alias("field_name"),
+                   F.col("p_table").alias("ref_table"), F.col("p_field").alias("ref_field")))
+    found = out.collect()  # schema-sized: at most one row per candidate pair
+    vals.unpersist()
+    cands.unpersist()
+    spark = out.sparkSession
+    return spark.createDataFrame(found, "table_name string, field_name string, ref_table string, ref_field string")
 
 
 COMMENT_MODES = ["origin", "no_comment", "generation", "merge"]
