@@ -43,6 +43,7 @@ def _with_timeout(spark: SparkSession, tag: str, fn, timeout_s: float):
     result = {}
 
     def work():
+        sc.setInterruptOnCancel(True)  # a cancelled text frees its task slots at once
         sc.addJobTag(tag)
         try:
             result["v"] = ("ok", fn())
@@ -118,6 +119,7 @@ def run_texts(spark: SparkSession, texts: DataFrame, register_db: Callable[[str]
     ``ok``/``error``/``timeout``, and ``rows(text_id, row_no, cells)``."""
     out_dir = scratch_path(spark, "results")
     outcomes, pending, batch = [], [], []
+    sql_of: dict[str, str] = {}
     current_db = [None]
     bno = [0]
 
@@ -127,21 +129,37 @@ def run_texts(spark: SparkSession, texts: DataFrame, register_db: Callable[[str]
             bno[0] += 1
             batch.clear()
 
+    def retry_timeouts(results):
+        """A text that timed out while others ran may only have waited for
+        task slots: run it once more on its own before calling it slow."""
+        final = []
+        for o in results:
+            if o[1] == "timeout":
+                o = _run_batch(spark, [(o[0], sql_of[o[0]])], out_dir, timeout_s, sink, bno[0])[0]
+                bno[0] += 1
+            final.append(o)
+        return final
+
     with ThreadPoolExecutor(max_workers=threads) as pool:
         for r in texts.select("text_id", "db", "sql").orderBy("db", "text_id").toLocalIterator():
             if register_db is not None and r["db"] != current_db[0]:
                 flush()
+                done = []
                 for f in pending:  # views change: finish this database first
-                    outcomes += f.result()
+                    done += f.result()
+                outcomes += retry_timeouts(done)
                 pending = []
                 register_db(r["db"])
                 current_db[0] = r["db"]
+            sql_of[r["text_id"]] = r["sql"] or ""
             batch.append((r["text_id"], r["sql"] or ""))
             if len(batch) >= batch_size:
                 flush()
         flush()
+        done = []
         for f in pending:
-            outcomes += f.result()
+            done += f.result()
+    outcomes += retry_timeouts(done)
     out = spark.createDataFrame(outcomes, OUTCOME_SCHEMA)
     if sink == "noop" or not any(o[1] == "ok" for o in outcomes):
         rows = spark.createDataFrame([], "text_id string, row_no long, cells array<string>")
