@@ -236,17 +236,17 @@ SELECT conv_id, CAST(len(regexp_extract_all(full_, '(\w+|[^\w\s])', 1)) AS INTEG
 FROM t""")
 def conversation_mask_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1 on the ``conversations`` table: each conversation up to its last
-    assistant turn is one sample whose earlier turns are masked."""
+    assistant turn is one sample whose earlier turns are masked.  Every
+    formatted turn ends in white space, so token counts add up turn by turn:
+    they are summed per conversation (map-side partial aggregation) instead
+    of gathering a conversation's text into one row."""
     conv = load(spark, sf_dir, "conversations")
-    msgs = (conv.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct(
-        "turn", "role", F.col("text").alias("content")))).alias("m")))
-    last_a = F.array_max(F.transform(F.filter("m", lambda x: x["role"] == "assistant"), lambda x: x["turn"]))
-    s = msgs.withColumn("_la", last_a).where(F.col("_la").isNotNull())
-    s = s.withColumn("conversations", F.transform(F.filter("m", lambda x: x["turn"] <= F.col("_la")),
-                                                  lambda x: F.struct(x["role"].alias("role"),
-                                                                     x["content"].alias("content"))))
-    full = T.chat_text(F.col("conversations"))
-    prompt = F.concat(T.chat_text(F.slice("conversations", 1, F.size("conversations") - 1)),
-                      F.lit("<|im_start|>assistant\n"))
-    tok = T.default_tokenize
-    return s.select("conv_id", F.size(tok(full)).alias("n_tokens"), F.size(tok(prompt)).alias("n_masked"))
+    last_a = conv.where(F.col("role") == "assistant").groupBy("conv_id").agg(F.max("turn").alias("_la"))
+    turns = conv.join(last_a, "conv_id").where(F.col("turn") <= F.col("_la"))
+    text = T.chat_text(F.array(F.struct(F.col("role").alias("role"), F.col("text").alias("content"))))
+    n = F.size(T.default_tokenize(text))
+    opener = F.size(T.default_tokenize(F.lit("<|im_start|>assistant\n")))
+    per = turns.groupBy("conv_id").agg(
+        F.sum(n).cast("int").alias("n_tokens"),
+        F.sum(F.when(F.col("turn") < F.col("_la"), n).otherwise(0)).cast("int").alias("_pm"))
+    return per.select("conv_id", "n_tokens", (F.col("_pm") + opener).cast("int").alias("n_masked"))
