@@ -227,10 +227,21 @@ def value_exists(tables: dict[str, DataFrame], probes: DataFrame,
     fdf = spark.createDataFrame(fields, "table_name string, field_name string, field_ord int, numeric boolean")
     p = probes.join(F.broadcast(fdf), ["table_name", "field_name"])  # schema-sized side
     p = p.withColumn("nv", _norm_value(F.col("value"), F.col("numeric")))
+    # only the probed fields are read (schema-sized list -> column pruning)
+    probed = {(r.table_name, r.field_name) for r in p.select("table_name", "field_name").distinct().collect()}
     vals = None
     for t, df in tables.items():
-        lv = long_values(t, df)
+        keep = [f.name for f in df.schema.fields if (t, f.name) in probed]
+        if not keep:
+            continue
+        ords = {f.name: i for i, f in enumerate(df.schema.fields)}
+        lv = long_values(t, df.select(*[F.col(f"`{c}`") for c in keep]))
+        # long_values numbers the selected columns; map back to table ordinals
+        remap = F.element_at(F.array(*[F.lit(ords[c]) for c in keep]), F.col("field_ord") + 1)
+        lv = lv.withColumn("field_ord", remap)
         vals = lv if vals is None else vals.unionByName(lv)
+    if vals is None:
+        return p.select("table_name", "field_name", "value", F.lit(False).alias("exists"))
     vals = vals.join(F.broadcast(fdf.select("table_name", "field_ord", "numeric")), ["table_name", "field_ord"])
     vals = vals.select("table_name", "field_ord", _norm_value(F.col("v"), F.col("numeric")).alias("nv"))
     keys = p.select("table_name", "field_ord", "nv").distinct()
