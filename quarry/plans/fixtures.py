@@ -16,19 +16,26 @@ def _sql_text(custkey) -> F.Column:
     return F.concat(F.lit("SELECT COUNT(*) FROM orders WHERE o_custkey = "), custkey.cast("string"))
 
 
-def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """processed records, one per order; the database is the nation."""
+def _orders_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders joined to their customer's nation (the 'database')."""
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-    return j.select(
-        F.col("o_orderkey").alias("idx"), F.col("n_name").alias("db_name"),
-        F.concat(F.lit("How many orders did customer "), F.col("o_custkey").cast("string"),
-                 F.lit(" place?")).alias("question"),
-        F.when(F.col("o_orderkey") % 3 == 0, F.lit(""))
-        .otherwise(F.concat(F.lit("status refers to "), F.col("o_orderstatus"))).alias("evidence"),
-        _sql_text(F.col("o_custkey")).alias("sql"))
+    return o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+
+
+def _f1_cols():
+    return [F.col("o_orderkey").alias("idx"), F.col("n_name").alias("db_name"),
+            F.concat(F.lit("How many orders did customer "), F.col("o_custkey").cast("string"),
+                     F.lit(" place?")).alias("question"),
+            F.when(F.col("o_orderkey") % 3 == 0, F.lit(""))
+            .otherwise(F.concat(F.lit("status refers to "), F.col("o_orderstatus"))).alias("evidence"),
+            _sql_text(F.col("o_custkey")).alias("sql")]
+
+
+def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """processed records, one per order; the database is the nation."""
+    return _orders_by_nation(spark, sf_dir).select(*_f1_cols())
 
 
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,19 +53,23 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("idx", "sql", pred.alias("pred_sql"))
 
 
-def schema_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F1 records with an M-Schema text holding a commented table and a FK."""
-    f1 = samples(spark, sf_dir)
-    txt = F.concat(
-        F.lit("【DB_ID】 "), F.col("db_name"), F.lit(NL + "【Schema】" + NL),
+def _schema_text_col() -> F.Column:
+    return F.concat(
+        F.lit("【DB_ID】 "), F.col("n_name"), F.lit(NL + "【Schema】" + NL),
         F.lit("# Table: orders" + NL + "[" + NL),
-        F.lit("(o_orderkey:BIGINT, Primary Key, Examples: ["), F.col("idx").cast("string"),
+        F.lit("(o_orderkey:BIGINT, Primary Key, Examples: ["), F.col("o_orderkey").cast("string"),
         F.lit("])," + NL),
         F.lit("(o_custkey:BIGINT)," + NL + "(o_orderstatus:TEXT, Examples: [F, O, P])" + NL + "]" + NL),
         F.lit("# Table: customer, buyers" + NL + "[" + NL),
         F.lit("(c_custkey:BIGINT, Primary Key)," + NL + "(c_name:TEXT)" + NL + "]" + NL),
         F.lit("【Foreign keys】" + NL + "orders.o_custkey=customer.c_custkey"))
-    return f1.select("idx", "db_name", "sql", txt.alias("db_schema"))
+
+
+def schema_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 records with an M-Schema text holding a commented table and a FK."""
+    return _orders_by_nation(spark, sf_dir).select(
+        F.col("o_orderkey").alias("idx"), F.col("n_name").alias("db_name"),
+        _sql_text(F.col("o_custkey")).alias("sql"), _schema_text_col().alias("db_schema"))
 
 
 def result_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,10 +131,9 @@ SELECT * FROM g UNION ALL SELECT * FROM p"""
 
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 records with F3's schema text: ``(idx, db_name, question, evidence,
-    db_schema, sql)``."""
-    f1 = samples(spark, sf_dir)
-    f3 = schema_texts(spark, sf_dir).select("idx", "db_schema")
-    return f1.join(f3, "idx").select("idx", "db_name", "question", "evidence", "db_schema", "sql")
+    db_schema, sql)`` - both from one join."""
+    return _orders_by_nation(spark, sf_dir).select(*_f1_cols(), _schema_text_col().alias("db_schema")).select(
+        "idx", "db_name", "question", "evidence", "db_schema", "sql")
 
 
 PROCESSED_SQL = f"""SELECT f1.idx, f1.db_name, f1.question, f1.evidence, f3.db_schema, f1.sql
