@@ -81,7 +81,9 @@ def random_split(df: DataFrame, key: str, ratio: float = 0.8, seed: int = 42,
         raise ValueError("train ratio must be in (0, 1)")
     h = df.withColumn("_h", keyed_hash(seed, purpose, key))
     r = global_rank(h, ["_h", key], "_r", 0)
-    n = df.count()  # one number; the cut must be known before labelling
+    # one number, read from the checkpointed ranks rather than recomputing the input
+    top = r.agg(F.max("_r")).first()[0]
+    n = 0 if top is None else top + 1
     cut = int(n * ratio)
     return r.withColumn("split", F.when(F.col("_r") < cut, "train").otherwise("test")).drop("_h", "_r")
 
@@ -129,11 +131,13 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int = 42, purpose: str = "sa
     dataset is smaller), else all rows."""
     if n is None or n <= 0:
         return df
-    total = df.count()
+    h = df.withColumn("_h", keyed_hash(seed, purpose, key))
+    r = global_rank(h, ["_h", key], "_r", 0)
+    top = r.agg(F.max("_r")).first()[0]  # read from the checkpointed ranks
+    total = 0 if top is None else top + 1
     if n > total:
         raise ValueError(f"sample of {n} from {total} rows")
-    h = df.withColumn("_h", keyed_hash(seed, purpose, key))
-    return global_rank(h, ["_h", key], "_r", 0).where(F.col("_r") < n).drop("_h", "_r")
+    return r.where(F.col("_r") < n).drop("_h", "_r")
 
 
 def assemble(datasets: list[tuple[str, DataFrame, int]], key: str = "idx", seed: int = 42,
