@@ -114,3 +114,15 @@ def test_example_list_rules(spark):
                                 ([], "DATE")], "e array<string>, t string")
     out = [r[0] for r in df.select(MS.example_list(F.col("e"), F.col("t"))).collect()]
     assert out == [["b", "c"], ["2020-01-01"], []]
+
+
+def test_distinct_schema_parse_matches_row_local(spark):
+    # a corpus repeating one schema text per database takes the broadcast path
+    from conftest import SF_SMALL
+    from quarry.plans.fixtures import samples
+    f1 = samples(spark, SF_SMALL)
+    df = f1.withColumn("db_schema", F.concat(F.lit(TEXT.replace("【DB_ID】 db", "【DB_ID】 ")), F.lit("")))
+    df = df.withColumn("db_schema", F.regexp_replace("db_schema", "【DB_ID】 ", F.concat(F.lit("【DB_ID】 "), F.col("db_name"))))
+    a = {r.idx: (r.db_schema, r.sql) for r in A.augment_record(df, dedupe_parse=True).collect()}
+    b = {r.idx: (r.db_schema, r.sql) for r in A.augment_record(df, dedupe_parse=False).collect()}
+    assert a == b and len(a) == f1.count()
