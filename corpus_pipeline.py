@@ -44,7 +44,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     ship_package(spark)
     groups = minhash.groups(docs, minhash.Params(words=5))
     extra = groups.where("NOT kept").select(F.col("doc_id").alias("copy_id"))
-    return docs.join(extra, F.col("doc_id").cast("long") == F.col("copy_id"), "left_anti")
+    return docs.join(extra, docs["doc_id"].cast("long") == extra["copy_id"], "left_anti")
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

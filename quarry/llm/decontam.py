@@ -94,7 +94,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) ->
 def decontaminate(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
     """``docs`` without the texts that overlap a benchmark item."""
     leaks = contaminated(docs, benchmark, p).select(F.col("doc_id").alias("leak_id")).distinct()
-    return docs.join(leaks, F.col("doc_id").cast("long") == F.col("leak_id"), "left_anti")
+    return docs.join(leaks, docs["doc_id"].cast("long") == leaks["leak_id"], "left_anti")
 
 
 def _seed_sql(table: str, key: str) -> str:

@@ -98,7 +98,7 @@ def dedup_lines(docs: DataFrame, p: Params = Params()) -> DataFrame:
     the structs ``line_dedup``: (n_lines, n_removed)."""
     gone = removals(docs, p).groupBy(F.col("doc_id").alias("line_dedup_id")).agg(
         F.collect_set("chunk").alias("line_dedup_gone"))
-    joined = docs.join(gone, F.col("doc_id").cast("long") == F.col("line_dedup_id"), "left").drop("line_dedup_id")
+    joined = docs.join(gone, docs["doc_id"].cast("long") == gone["line_dedup_id"], "left").drop("line_dedup_id")
     others = [c for c in docs.columns if c != "text"]
     whole = joined.select(F.struct(*others).alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                           F.col("text").isNull().alias("void"), "line_dedup_gone")

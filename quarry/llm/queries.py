@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.llm import bpe, decontam, lines, minhash, quality, toxicity
+from quarry.llm import bpe, decontam, html, lines, minhash, ppm, quality, rindex, toxicity, vectors
 from quarry.llm.store import crc_fold, id_text, read_table
 
 
@@ -53,6 +53,26 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.links(read_table(spark, sf_dir, "embeddings"))
+
+
+def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ppm.scores(read_table(spark, sf_dir, "documents"), lambda doc_id: crc_fold(doc_id, 7) != 2)
+    return out.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                      "base_score", "score")
+
+
+def op10_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rindex.dedup(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -60,6 +80,10 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_minhash": op5_minhash,
     "op6_decontamination": op6_decontamination,
+    "op7_html": op7_html,
+    "op8_embeddings": op8_embeddings,
+    "op9_ppm": op9_ppm,
+    "op10_run_index": op10_run_index,
 }
 
 ORACLES = {

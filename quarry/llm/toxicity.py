@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from quarry.llm.store import id_text
+from quarry.llm.store import id_text, keep
 from quarry.llm.textbytes import LOWER_CODE, TERM, WORDS, distinct, mix, pieces, word_ranges
 
 STEMS = (4, 5)  # bytes of a term that count as its stem
@@ -85,46 +85,61 @@ def hashed(data: np.ndarray, off: np.ndarray, bits: int) -> tuple[np.ndarray, np
 
 
 def _columns(batches, bits: int):
-    """(toxic, its distinct hashed columns) of each labelled text."""
+    """The distinct hashed columns of each labelled text."""
     for batch in batches:
         for rows, data, off in pieces(batch, "text"):
             value, at = hashed(data, off, bits)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label")[rows.start:rows.stop],
-                 pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(value.astype(np.int64)))],
-                ["label", "columns"])
+                [batch.column("doc_id")[rows.start:rows.stop], batch.column("label")[rows.start:rows.stop],
+                 pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(value.astype(np.int32)))],
+                ["doc_id", "label", "columns"])
 
 
-def _telling(value: np.ndarray, y_of: np.ndarray, y: np.ndarray, p: Params) -> np.ndarray:
+def _picked(batches, cols: np.ndarray):
+    """The same lists with the picked columns only, as their numbers."""
+    for batch in batches:
+        c = batch.column("columns")
+        value, at = np.asarray(c.flatten()), np.concatenate([[0], np.cumsum(np.diff(np.asarray(c.offsets)))])
+        k = np.minimum(np.searchsorted(cols, value), max(len(cols) - 1, 0))
+        hit = cols[k] == value if len(cols) else np.zeros(len(value), dtype=bool)
+        to = np.concatenate([[0], np.cumsum(hit)])[at]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("label"),
+             pa.ListArray.from_arrays(pa.array(to, pa.int32()), pa.array(k[hit].astype(np.int32)))],
+            ["doc_id", "label", "columns"])
+
+
+def _telling(rows: DataFrame, p: Params) -> np.ndarray:
     """Sorted columns that tell the labels apart best (G-test on presence)."""
-    ids, inv, n = np.unique(value, return_inverse=True, return_counts=True)
-    pos = np.bincount(inv, y_of, len(ids))
-    total, share = len(y), y.mean()
-    with np.errstate(divide="ignore", invalid="ignore"):
-        def part(seen, expected):
-            return np.where(seen > 0, seen * np.log(seen / expected), 0.0)
-        g = (part(pos, n * share) + part(n - pos, n * (1 - share))
-             + part(y.sum() - pos, (total - n) * share) + part(total - n - y.sum() + pos, (total - n) * (1 - share)))
-    g[(n < p.min_rows) | (g < 5.4)] = 0  # 5.4: half of chi-square's 0.1 % point for one degree of freedom
-    best = np.argsort(-g, kind="stable")[:p.max_columns]
-    return np.sort(ids[best[g[best] > 0]])
-
-
-def learn(y: np.ndarray, value: np.ndarray, at: np.ndarray, p: Params) -> Machine:
-    """Fit by mini-batch Adagrad on the logistic loss."""
+    total, positive = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+    if not 0 < positive < total:
+        return np.zeros(0, np.int64)
+    share = positive / total
+    n, pos = F.col("n"), F.col("pos")
+
+    def part(seen, expected):
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+    g = (part(pos, n * share) + part(n - pos, n * (1 - share)) + part(positive - pos, (total - n) * share)
+         + part(total - n - positive + pos, (total - n) * (1 - share)))
+    best = (rows.select("label", F.explode("columns").alias("c")).groupBy("c")
+            .agg(F.count("*").alias("n"), F.sum("label").alias("pos")).where(n >= p.min_rows)
+            .where(n < total).select("c", g.alias("g"))
+            .where("g >= 5.4")  # half of chi-square's 0.1 % point for one degree of freedom
+            .orderBy(F.desc("g"), "c").limit(p.max_columns))
+    return np.sort(np.array([r["c"] for r in best.collect()], dtype=np.int64))
+
+
+def learn(y: np.ndarray, k: np.ndarray, start: np.ndarray, cols: np.ndarray, p: Params) -> Machine:
+    """Fit by mini-batch Adagrad on the logistic loss; row i has the columns
+    numbered ``k[start[i]:start[i + 1]]``."""
     if len(y) == 0 or y.min() == y.max():
         return Machine(np.zeros(0, np.uint64), np.zeros(0), np.zeros((0, p.rank)), -745.0, p.hash_bits)
-    row_of = np.repeat(np.arange(len(y)), np.diff(at))
-    cols = _telling(value, y[row_of], y, p)
     rng = np.random.default_rng(p.seed)
-    m = Machine(cols, np.zeros(len(cols)), rng.normal(0, 0.02, (len(cols), p.rank)),
+    m = Machine(cols.astype(np.uint64), np.zeros(len(cols)), rng.normal(0, 0.02, (len(cols), p.rank)),
                 float(np.log(y.mean() / (1 - y.mean()))), p.hash_bits)
     if len(cols) == 0:
         return m
-    k = np.minimum(np.searchsorted(cols, value), len(cols) - 1)
-    hit = cols[k] == value
-    k, row_of = k[hit], row_of[hit]
-    start = np.searchsorted(row_of, np.arange(len(y) + 1))
     gw, gv, gb = np.full(len(cols), 1e-3), np.full(m.v.shape, 1e-3), 1e-3
     for _ in range(p.epochs):
         order = rng.permutation(len(y))
@@ -159,12 +174,14 @@ def fit(docs: DataFrame, labels: DataFrame, learned_from, p: Params = Params(),
               .where(F.col("doc_id").isNotNull() & F.col("label").isin(0.0, 1.0)).where(learned_from(F.col("doc_id")))
               .groupBy("doc_id").agg(F.max("label").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(p.max_rows))
-    rows = (id_text(docs).join(F.broadcast(chosen), "doc_id").select("label", "text")  # at most max_rows (id, label)
-            .mapInArrow(lambda it: _columns(it, bits), "label double, columns array<long>").toPandas())
-    y = rows["label"].to_numpy(dtype=float)
-    size = np.array([len(c) for c in rows["columns"]], dtype=np.int64)
-    value = np.concatenate([np.asarray(c) for c in rows["columns"]] or [np.zeros(0)]).astype(np.uint64)
-    return learn(y, value, np.concatenate([[0], np.cumsum(size)]).astype(np.int64), p)
+    rows = keep(id_text(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")  # at most max_rows (id, label)
+                .mapInArrow(lambda it: _columns(it, bits), "doc_id long, label double, columns array<int>"), "toxicity-terms")
+    cols = _telling(rows, p)
+    some = (rows.mapInArrow(lambda it: _picked(it, cols), rows.schema).toPandas()
+            .sort_values("doc_id", kind="stable", ignore_index=True))  # max_rows short lists
+    size = np.array([len(c) for c in some["columns"]], dtype=np.int64)
+    k = np.concatenate([np.asarray(c, dtype=np.int64) for c in some["columns"]] or [np.zeros(0, np.int64)])
+    return learn(some["label"].to_numpy(dtype=float), k, np.concatenate([[0], np.cumsum(size)]).astype(np.int64), cols, p)
 
 
 def _run(batches, shared, threshold=None):
