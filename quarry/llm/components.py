@@ -45,9 +45,10 @@ def _contract(frames):
 def _stars(e: DataFrame) -> bool:
     """Whether every vertex has one link down, to a vertex that has none: then
     the links are the components."""
-    several = e.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
-    inner = e.select(F.col("b").alias("a")).distinct().join(e.select("a").distinct(), "a")
-    return several.union(inner).isEmpty()
+    ends = e.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.lit(1).alias("down")),
+                                      F.struct(F.col("b").alias("v"), F.lit(0).alias("down")))).alias("x")).select("x.*")
+    return ends.groupBy("v").agg(F.sum("down").alias("down"), F.min("down").alias("least")).where(
+        "down > 1 OR (down = 1 AND least = 0)").isEmpty()
 
 
 def components(links: DataFrame, name: str) -> DataFrame:

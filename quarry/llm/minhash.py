@@ -11,10 +11,11 @@ commonest posting list, a common pair must occur within the first
 skipped. Colliding texts are counted on whole signatures, and those with
 ``match`` collisions are confirmed on the whole shingle sets.
 
-No list is expanded into all its pairs: in each round every list compares its
-members with one leader, and members already in the leader's component are left
-out; links join components between rounds. What then remains in a list, texts
-of different components that no leader has linked, is compared exhaustively.
+No list is expanded into rows of all its pairs. First every list compares its
+members with ``leaders`` of them, and the links found join components. What then
+remains in a list, texts of different components, is compared exhaustively on
+the signatures inside the tasks, in blocks of at most ``block`` texts, and only
+pairs with enough collisions leave them, each from the first list it shares.
 
 Defined results: null text and text without words give an empty set, which is
 linked with nothing; fewer words than a shingle has make one shingle of all of
@@ -44,7 +45,9 @@ class Params:
     percent: int = 80  # 100 * intersection >= percent * union
     size: int = 64     # coordinates of a signature
     match: int = 38    # collisions needed; P(Bin(64, 0.8) < 38) < 1e-4
-    rounds: int = 3    # leader rounds before the remaining pairs are compared
+    leaders: int = 3   # texts of a list that all its others are compared with first
+    block: int = 2048  # texts of a list that meet in one task
+    broadcast_ids: int = 1_000_000  # up to so many wanted ids (8 bytes each) are broadcast, more are shuffled
     seed: int = 29
 
 
@@ -111,23 +114,30 @@ def _confirm(batches, p: Params):
         yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
 
 
-def _confirmed(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
-    """The pairs (a, b) with enough collisions and the similarity."""
-    side = lambda c: sigs.select(F.col("doc_id").alias(c), F.col("sig").alias(f"s{c}"), F.col("n").alias(f"n{c}"))
-    hits = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
-    near = (pairs.join(side("a"), "a").join(side("b"), "b")
-            .where(100 * F.least("na", "nb") >= p.percent * F.greatest("na", "nb")).where(hits >= p.match).select("a", "b"))
-    near = keep(near, "minhash-pairs")
-    some = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-    sets = (texts.join(some, "doc_id", "left_semi")
+def _confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
+    """The pairs (a, b) that reach the similarity on their whole sets."""
+    some = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    some = keep(reps.select("doc_id", "key1").join(some, "doc_id"), "minhash-wanted")
+    wanted = F.broadcast(some) if some.count() <= p.broadcast_ids else some
+    sets = (texts.join(wanted.select("doc_id"), "doc_id", "left_semi")
             .mapInArrow(lambda it: _sets(it, p), "doc_id long, key1 long, shingles binary")
-            .join(sigs.select("doc_id", "key1"), ["doc_id", "key1"], "left_semi").dropDuplicates(["doc_id"]))
+            .join(wanted, ["doc_id", "key1"], "left_semi").dropDuplicates(["doc_id"]))
     sets = keep(sets, "minhash-sets")
-    wide = (near.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
+    wide = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b"))
     return wide.mapInArrow(lambda it: _confirm(it, p), "a long, b long")
 
 
+def _enough(pairs: DataFrame, reps: DataFrame, p: Params) -> DataFrame:
+    """The pairs (a, b) with sizes near enough and ``match`` collisions."""
+    side = lambda c: reps.select(F.col("doc_id").alias(c), F.col("sig").alias(f"s{c}"), F.col("n").alias(f"n{c}"))
+    same = F.size(F.filter("same", lambda x: x))
+    met = (pairs.join(side("a"), "a").join(side("b"), "b")
+           .where(100 * F.least("na", "nb") >= p.percent * F.greatest("na", "nb"))
+           .select("a", "b", F.zip_with("sa", "sb", lambda x, y: x == y).alias("same")))
+    return met.where(same >= p.match).select("a", "b")
+
+
 def _postings(reps: DataFrame, p: Params) -> DataFrame:
     """(pair, doc_id) of every prefix, lists of one text left out. ``pair`` is
     the coordinate and the value in one long."""
@@ -143,38 +153,89 @@ def _postings(reps: DataFrame, p: Params) -> DataFrame:
                 .select(F.col("p.pair").alias("pair"), "doc_id"), "minhash-prefixes")
 
 
+def _collide(batches, p: Params):
+    """Pairs of texts of different components with enough collisions, from rows
+    sorted by list and block pair; each pair from the first list it shares."""
+    key, rows = None, []
+
+    def pairs():
+        n = len(rows)
+        doc, comp, size, block = (np.array([r[k] for r in rows], dtype=np.int64) for k in (0, 1, 2, 3))
+        if n < 2 or (comp == comp[0]).all():
+            return
+        sig = np.array([r[4] for r in rows], dtype=np.int32)
+        lists: dict[int, frozenset] = {}
+        for a in range(0, n, 64):
+            one = slice(a, min(a + 64, n))
+            fits = (np.arange(n)[None, :] > np.arange(n)[one, None]) & (comp[one, None] != comp[None, :])
+            if key[1] != key[2]:
+                fits &= block[one, None] != block[None, :]
+            low, high = np.minimum(size[one, None], size[None, :]), np.maximum(size[one, None], size[None, :])
+            u, v = np.nonzero(fits & (100 * low >= p.percent * high))
+            u = u + a
+            for s in range(0, len(u), 8192):
+                x, y = u[s:s + 8192], v[s:s + 8192]
+                enough = (sig[x] == sig[y]).sum(axis=1) >= p.match
+                for i, j in zip(x[enough].tolist(), y[enough].tolist()):
+                    for k in (i, j):
+                        if k not in lists:
+                            lists[k] = frozenset(rows[k][5])
+                    if min(lists[i] & lists[j]) == key[0]:
+                        yield min(doc[i], doc[j]), max(doc[i], doc[j])
+
+    def out(found):
+        found = np.array(list(found), dtype=np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+    for batch in batches:
+        cols = [batch.column(c).to_pylist() for c in ("pair", "i", "j", "doc_id", "component", "n", "block", "sig", "lists")]
+        found = []
+        for pair, i, j, *row in zip(*cols):
+            if (pair, i, j) != key:
+                if key is not None:
+                    found += pairs()
+                key, rows = (pair, i, j), []
+            rows.append(row)
+        yield out(found)
+    if key is not None:
+        yield out(pairs())
+
+
+def _leader_pairs(post: DataFrame, p: Params) -> DataFrame:
+    """Every list's members with its leaders: the smallest by as many hashes of the id."""
+    leads = post.groupBy("pair").agg(*[F.min(F.struct(
+        (F.col("doc_id") if r == 0 else F.xxhash64("doc_id", F.lit(r))).alias("h"), "doc_id")).alias(f"l{r}")
+        for r in range(p.leaders)])
+    leads = leads.select("pair", F.array_distinct(F.array(*[f"l{r}.doc_id" for r in range(p.leaders)])).alias("leads"))
+    return (post.join(leads, "pair").select("doc_id", F.explode("leads").alias("lead")).where("doc_id <> lead")
+            .select(F.least("doc_id", "lead").alias("a"), F.greatest("doc_id", "lead").alias("b")).distinct())
+
+
+def _remaining_pairs(post: DataFrame, reps: DataFrame, labels: DataFrame, p: Params) -> DataFrame:
+    """Colliding pairs of texts that are in one list but not yet in one component."""
+    at = (post.join(labels.select(F.col("vertex").alias("doc_id"), "component"), "doc_id", "left")
+          .withColumn("component", F.coalesce("component", "doc_id")))
+    open_ = (at.groupBy("pair").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members"))
+             .where("lo < hi").select("pair", F.ceil(F.col("members") / p.block).cast("int").alias("blocks")))
+    mine = at.join(open_, "pair")
+    carried = (mine.groupBy("doc_id", "component").agg(F.collect_list(F.struct("pair", "blocks")).alias("lists"))
+               .join(reps.select("doc_id", "n", "sig"), "doc_id"))
+    met = (carried.select("doc_id", "component", "n", F.explode("lists").alias("l"), "sig", F.col("lists.pair").alias("lists"))
+           .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("l.blocks")).cast("int"))
+           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("l.blocks") - 1)))
+           .select(F.col("l.pair").alias("pair"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                   "doc_id", "component", "n", "block", "sig", "lists"))
+    return (met.repartition("pair", "i", "j").sortWithinPartitions("pair", "i", "j", "doc_id")
+            .mapInArrow(lambda it: _collide(it, p), "a long, b long"))
+
+
 def links(texts: DataFrame, reps: DataFrame, p: Params) -> DataFrame:
     """(a, b): links between representatives with the components of all links."""
     post = _postings(reps, p)
-    found = tried = None
-    labels = post.select(F.col("doc_id").alias("vertex"), F.col("doc_id").alias("component")).distinct()
-    for r in range(p.rounds + 1):
-        at = post.join(labels.select(F.col("vertex").alias("doc_id"), "component"), "doc_id", "left") \
-            .withColumn("component", F.coalesce("component", "doc_id"))
-        # lists whose members are in different components yet
-        open_ = at.groupBy("pair").agg(
-            F.min(F.struct(F.xxhash64("doc_id", F.lit(r)).alias("h"), "doc_id", "component")).alias("lead"),
-            F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").drop("lo", "hi")
-        if r < p.rounds:
-            pairs = (at.join(open_, "pair").where(F.col("component") != F.col("lead.component"))
-                     .select(F.least("doc_id", "lead.doc_id").alias("a"), F.greatest("doc_id", "lead.doc_id").alias("b")))
-        else:
-            rest = at.join(open_.select("pair"), "pair", "left_semi")
-            x, y = (rest.select("pair", F.col("doc_id").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
-            pairs = x.join(y, "pair").where("a < b AND ca <> cb").select("a", "b")
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = keep(pairs, "minhash-tries")
-        if pairs.isEmpty():
-            if r < p.rounds:
-                continue
-            break
-        tried = pairs if tried is None else tried.union(pairs)
-        new = keep(_confirmed(pairs, reps, texts, p), "minhash-links")
-        found = new if found is None else found.union(new)
-        labels = components(found, "minhash")
-    return found if found is not None else post.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).limit(0)
+    first = keep(_enough(_leader_pairs(post, p), reps, p), "minhash-led")
+    first = keep(_confirmed(first, reps, texts, p), "minhash-links")
+    rest = keep(_remaining_pairs(post, reps, components(first, "minhash"), p), "minhash-rest")
+    return first.union(_confirmed(rest, reps, texts, p))
 
 
 def groups(docs: DataFrame, p: Params = Params()) -> DataFrame:
