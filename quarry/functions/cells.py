@@ -47,12 +47,23 @@ def canonical_cell(c: Column, dt: T.DataType) -> Column:
 
 
 def cells_array(df, cols: list[str] | None = None) -> Column:
-    """``array<string>`` of canonical cells for the given columns, in order."""
+    """``array<string>`` of canonical cells for the given columns, in order.
+
+    Without ``cols`` every column is taken by position, so results with equal
+    column names need ``df.toDF(...)`` first (see ``result_cells``)."""
     fields = [f for f in df.schema.fields if cols is None or f.name in cols]
     if cols is not None:
         order = {c: i for i, c in enumerate(cols)}
         fields.sort(key=lambda f: order[f.name])
-    return F.array(*[canonical_cell(F.col(f"`{f.name}`"), f.dataType) for f in fields])
+    cells = [canonical_cell(F.col("`" + f.name.replace("`", "``") + "`"), f.dataType) for f in fields]
+    return (F.array(*cells) if cells else F.array()).cast("array<string>")
+
+
+def result_cells(df):
+    """``df`` as one column ``cells``; columns are told apart by position, so
+    a result may repeat column names (joins, ``count(*), count(*)``)."""
+    d = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return d.select(cells_array(d).alias("cells"))
 
 
 def cell_value(cell: Column) -> Column:

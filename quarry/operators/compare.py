@@ -8,26 +8,26 @@ pair's rows are collected into one task or to the driver:
 
 * set and bag equality: one aggregation on ``(pair_id, row_key)`` with
   map-side combine, then one per pair.
-* column permutations (E6, E9): only for pairs not already decided, each
-  column gets an order-independent fingerprint of its value bag; a gold column
-  can only take a pred column with the same fingerprint, so no true match is
-  lost.  Candidates are enumerated per pair from fingerprints (a few rows per
-  pair) and every candidate is tested as a bag in one job.  Beyond
-  ``max_candidates`` a pair is reported ``undecided``, never 0.
+* column permutations (E6, E9): only for pairs not already decided.  Columns
+  get classes that no permutation can change (the bag of their values, refined
+  by the rows the values stand in); a gold column can only take a predicted
+  column of its class.  Classes of one column are settled at once; tied columns
+  are assigned one per step, as rows ``(pair, partial assignment)``, and an
+  assignment survives a step only if both sides' bags of the assigned cells are
+  equal.  The search is exact and has no limit on candidates.
 """
 
 from __future__ import annotations
 
-import itertools
-
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.cells import NULL_CELL
 from quarry.functions.ranking import rank_within
+from quarry.functions.sqltext import text_key
+from quarry.session import scratch_path
 
 ROWS_SCHEMA = "pair_id long, side string, row_no long, cells array<string>"
 HEADS_SCHEMA = "pair_id long, side string, n_rows long, n_cols int"
@@ -69,117 +69,90 @@ def identity_match(rows: DataFrame) -> DataFrame:
         F.min(F.col("ng") == F.col("np")).alias("same_bag"))
 
 
-def column_fingerprints(rows: DataFrame) -> DataFrame:
-    """Per (pair, side, col): ``fp`` = order-free hash of the column's value
-    bag; ``lab`` = hash of the column row by row (equal labels mean
-    interchangeable columns)."""
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """Written once under the shared checkpoint folder: read by several branches."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_DEC = T.DecimalType(38, 0)
+
+
+def column_classes(rows: DataFrame, rounds: int = 2) -> DataFrame:
+    """Per (pair, side, col): ``fp``, a hash that equal columns of equal
+    results share whatever their order, and ``lab``, a hash of the column row
+    by row (equal labels mean interchangeable columns).
+
+    ``fp`` starts as the bag of the column's values; each round adds, to every
+    value, the bag of (class, value) of the row it stands in."""
     c = rows.select("pair_id", "side", "row_no", F.posexplode("cells").alias("col", "cv"))
-    dec = T.DecimalType(38, 0)
-    bag = (c.groupBy("pair_id", "side", "col", "cv").agg(F.count(F.lit(1)).alias("m"))
-           .groupBy("pair_id", "side", "col")
-           .agg(F.sum(F.xxhash64("cv", "m").cast(dec)).alias("fp")))
-    lab = c.groupBy("pair_id", "side", "col").agg(F.sum(F.xxhash64("row_no", "cv").cast(dec)).alias("lab"))
-    return bag.join(lab, ["pair_id", "side", "col"])
-
-
-CAND_SCHEMA = "pair_id long, cand_id int, perm array<int>, status string"
-
-
-def _enumerate(g: list, p: list, max_candidates: int) -> tuple[list, bool]:
-    """Permutations of pred columns onto gold columns that keep fingerprints
-    equal; columns identical row by row are interchangeable, so only one
-    representative per equivalent assignment is kept."""
-    gold_cols = [x["col"] for x in g]
-    gold_fp = {x["col"]: x["fp"] for x in g}
-    gold_lab = {x["col"]: x["lab"] for x in g}
-    pred_lab = {x["col"]: x["lab"] for x in p}
-    by_fp: dict[str, list[int]] = {}
-    for x in p:
-        by_fp.setdefault(x["fp"], []).append(x["col"])
-    classes: dict[str, list[int]] = {}
-    for c in gold_cols:
-        classes.setdefault(gold_fp[c], []).append(c)
-    per_class = [(gcols, list(itertools.permutations(by_fp[fp]))) for fp, gcols in classes.items()]
-    seen, out = set(), []
-    for combo in itertools.product(*[opts for _, opts in per_class]):
-        perm = {}
-        for (gcols, _), assign in zip(per_class, combo):
-            perm.update(dict(zip(gcols, assign)))
-        groups: dict[str, list[str]] = {}
-        for c in gold_cols:
-            groups.setdefault(gold_lab[c], []).append(pred_lab[perm[c]])
-        sig = tuple(sorted((k, tuple(sorted(v))) for k, v in groups.items()))
-        if sig in seen:
-            continue
-        seen.add(sig)
-        if len(out) >= max_candidates:
-            return out, True
-        out.append([perm[c] for c in gold_cols])
-    return out, False
-
-
-def _enumerate_batches(max_candidates: int):
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for r in pdf.itertuples(index=False):
-                cands, capped = _enumerate(list(r.g), list(r.p), max_candidates)
-                status = "capped" if capped else "ok"
-                rows += [(int(r.pair_id), i, c, status) for i, c in enumerate(cands)]
-            yield pd.DataFrame(rows, columns=["pair_id", "cand_id", "perm", "status"])
-    return run
-
-
-def permutation_match(rows: DataFrame, pairs: DataFrame, max_candidates: int = 10000) -> DataFrame:
-    """E6/E9 for ``pairs``: ``(pair_id, perm_eq, undecided)``.
-
-    Fingerprints are gathered into one row per pair (two small arrays).  If
-    the fingerprint multisets differ no permutation can match; if every
-    class has one column per side the single candidate is built with array
-    functions; only pairs with tied classes are enumerated in Python
-    (``mapInPandas``, no shuffle)."""
-    r = rows.join(pairs.select("pair_id"), "pair_id", "left_semi")
-    fps = column_fingerprints(r).select("pair_id", "side", "col", F.col("fp").cast("string").alias("fp"),
-                                        F.col("lab").cast("string").alias("lab"))
+
+    def classed(x, *parts):
+        return x.groupBy("pair_id", "side", "col").agg(
+            F.sum(F.xxhash64(*parts).cast(_DEC)).cast("string").alias("fp"),
+            F.sum(F.xxhash64("row_no", "cv").cast(_DEC)).cast("string").alias("lab"))
+
+    fp = classed(c, "cv")
+    for _ in range(rounds):
+        j = c.join(fp.select("pair_id", "side", "col", "fp"), ["pair_id", "side", "col"])
+        row = j.groupBy("pair_id", "side", "row_no").agg(F.sum(F.xxhash64("fp", "cv").cast(_DEC)).cast("string").alias("rs"))
+        fp = classed(j.join(row, ["pair_id", "side", "row_no"]), "fp", "cv", "rs")
+    return fp
+
+
+def _bags_equal(state: DataFrame, rows: DataFrame) -> DataFrame:
+    """The assignments under which both sides have the same bag of rows, over
+    the columns assigned so far."""
+    cells = lambda f: row_key(F.transform("done", lambda a: F.element_at("cells", a[f] + 1)))
+    gold = F.col("side") == "gold"
+    keys = (rows.join(state.select("pair_id", "cand", "done"), "pair_id")
+            .select("pair_id", "cand", F.when(gold, cells("g")).otherwise(cells("p")).alias("k"),
+                    F.when(gold, 1).otherwise(-1).alias("n")))
+    wrong = (keys.groupBy("pair_id", "cand", "k").agg(F.sum("n").alias("n")).where("n <> 0")
+             .select("pair_id", "cand").distinct())
+    return state.join(wrong, ["pair_id", "cand"], "left_anti")
+
+
+def permutation_match(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """E6/E9 for ``pairs``: ``(pair_id, perm_eq)``; exact."""
+    r = _kept(rows.join(pairs.select("pair_id"), "pair_id", "left_semi"), "perm_rows")
     col = F.struct(F.col("col").cast("int").alias("col"), "fp", "lab")
-    per = fps.groupBy("pair_id").agg(
+    per = column_classes(r).groupBy("pair_id").agg(  # two short arrays per pair
         F.array_sort(F.collect_list(F.when(F.col("side") == "gold", col))).alias("g"),
         F.array_sort(F.collect_list(F.when(F.col("side") == "pred", col))).alias("p"))
-    gfp = F.transform("g", lambda x: x["fp"])
-    possible = F.array_sort(gfp) == F.array_sort(F.transform("p", lambda x: x["fp"]))
-    tied = F.size(F.array_distinct(gfp)) < F.size("g")
-    # one small row per pair, read by three branches: computed once.  It is
-    # deterministic, so a lost cache block is simply recomputed.
-    per = per.select("pair_id", "g", "p", possible.alias("possible"), tied.alias("tied")).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    per.count()
-    simple = per.where(~F.col("tied") | ~F.col("possible")).select(
-        "pair_id", F.lit(0).alias("cand_id"),
-        F.when(F.col("possible"), F.transform("g", lambda x: F.filter("p", lambda y: y["fp"] == x["fp"])[0]["col"]))
-        .cast("array<int>").alias("perm"),
-        F.when(F.col("possible"), F.lit("ok")).otherwise(F.lit("none")).alias("status"))
-    enumerated = per.where(F.col("tied") & F.col("possible")).select("pair_id", "g", "p").mapInPandas(
-        _enumerate_batches(max_candidates), CAND_SCHEMA)
-    cands = simple.unionByName(enumerated).persist(StorageLevel.MEMORY_AND_DISK)
-    cands.count()
-    ok = cands.where(F.col("perm").isNotNull())
-    gold = (r.where(F.col("side") == "gold").join(ok.select("pair_id", "cand_id"), "pair_id")
-            .select("pair_id", "cand_id", F.lit(1).alias("g"), row_key(F.col("cells")).alias("k")))
-    pred = (r.where(F.col("side") == "pred").join(ok.select("pair_id", "cand_id", "perm"), "pair_id")
-            .select("pair_id", "cand_id", F.lit(0).alias("g"),
-                    row_key(F.transform("perm", lambda i: F.element_at("cells", i + 1))).alias("k")))
-    per_key = gold.unionByName(pred).groupBy("pair_id", "cand_id", "k").agg(
-        F.sum("g").alias("ng"), F.sum(1 - F.col("g")).alias("np"))
-    per_cand = per_key.groupBy("pair_id", "cand_id").agg(F.min(F.col("ng") == F.col("np")).alias("eq"))
-    per_pair = per_cand.groupBy("pair_id").agg(F.max("eq").alias("perm_eq"))
-    status = cands.groupBy("pair_id").agg(F.max(F.col("status") == "capped").alias("capped"))
-    return (status.join(per_pair, "pair_id", "left")
-            .select("pair_id", F.coalesce("perm_eq", F.lit(False)).alias("perm_eq"),
-                    (F.col("capped") & ~F.coalesce("perm_eq", F.lit(False))).alias("undecided")))
-
-
-def score_pairs(rows: DataFrame, heads: DataFrame, max_candidates: int = 10000) -> DataFrame:
-    """E5 + E6: ``(pair_id, ex_bird, ex_eq, undecided)`` for every pair.
+    classes = lambda c: F.array_sort(F.transform(c, lambda x: x["fp"]))
+    per = per.where(classes("g") == classes("p"))
+    alone = lambda x: F.size(F.filter("g", lambda y: y["fp"] == x["fp"])) == 1
+    state = per.select(
+        "pair_id", F.lit("").alias("cand"),
+        F.transform(F.filter("g", alone), lambda x: F.struct(
+            x["col"].alias("g"), F.filter("p", lambda y: y["fp"] == x["fp"])[0]["col"].alias("p"))).alias("done"),
+        F.filter("g", lambda x: ~alone(x)).alias("todo"), "p")
+    state = _kept(_bags_equal(state, r), "perm_state")
+    found = state.where(F.size("todo") == 0).select("pair_id").distinct()
+    while True:
+        state = state.where(F.size("todo") > 0).join(found, "pair_id", "left_anti")
+        if state.isEmpty():
+            break
+        x = F.col("todo")[0]
+        fits = F.filter("p", lambda y: (y["fp"] == x["fp"]) & ~F.exists("done", lambda a: a["p"] == y["col"]))
+        # of predicted columns that are equal row by row, the first stands for all
+        state = state.withColumn("fits", fits).select("*", F.inline(F.array(F.struct(F.col("fits").alias("open"))))).drop("fits")
+        state = state.withColumn("y", F.explode(F.filter("open", lambda y: ~F.exists(
+            "open", lambda z: (z["lab"] == y["lab"]) & (z["col"] < y["col"])))))
+        state = state.select(
+            "pair_id", F.concat_ws(",", "cand", F.col("y.col").cast("string")).alias("cand"),
+            F.concat("done", F.array(F.struct(x["col"].alias("g"), F.col("y.col").alias("p")))).alias("done"),
+            F.slice("todo", 2, F.size("todo")).alias("todo"), "p")
+        state = _kept(_bags_equal(state, r), "perm_state")
+        found = _kept(found.union(state.where(F.size("todo") == 0).select("pair_id")).distinct(), "perm_found")
+    return pairs.select("pair_id").join(found.withColumn("perm_eq", F.lit(True)), "pair_id", "left").select(
+        "pair_id", F.coalesce("perm_eq", F.lit(False)).alias("perm_eq"))
+
+
+def score_pairs(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """E5 + E6: ``(pair_id, ex_bird, ex_eq)`` for every pair.
 
     ``ex_bird``: the two row sets are equal (column order matters, row order
     and duplicates do not).  ``ex_eq``: some column permutation makes the row
@@ -192,16 +165,11 @@ def score_pairs(rows: DataFrame, heads: DataFrame, max_candidates: int = 10000)
     eq_pre = (F.when(both_empty, F.lit(1)).when(F.col("gn") != F.col("pn"), F.lit(0))
               .when(F.col("gw") != F.col("pw"), F.lit(0)).when(F.col("same_bag"), F.lit(1))
               .when(F.col("gw") <= 1, F.lit(0)))
-    base = base.select("pair_id", ex_bird.alias("ex_bird"), eq_pre.alias("eq_pre")).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    base.count()
-    need = base.where(F.col("eq_pre").isNull()).select("pair_id")
-    perm = permutation_match(rows, need, max_candidates)
-    return (base.join(perm, "pair_id", "left")
-            .select("pair_id", F.col("ex_bird").cast("int").alias("ex_bird"),
-                    F.coalesce("eq_pre", F.when(F.col("undecided"), F.lit(None))
-                               .otherwise(F.col("perm_eq").cast("int"))).cast("int").alias("ex_eq"),
-                    F.coalesce("undecided", F.lit(False)).alias("undecided")))
+    base = _kept(base.select("pair_id", ex_bird.alias("ex_bird"), eq_pre.alias("eq_pre")), "scores")
+    perm = permutation_match(rows, base.where(F.col("eq_pre").isNull()).select("pair_id"))
+    return base.join(perm, "pair_id", "left").select(
+        "pair_id", F.col("ex_bird").cast("int").alias("ex_bird"),
+        F.coalesce("eq_pre", F.col("perm_eq").cast("int")).cast("int").alias("ex_eq"))
 
 
 def bag_equal(rows: DataFrame, heads: DataFrame) -> DataFrame:
@@ -249,7 +217,7 @@ def frame_similarity(rows: DataFrame, heads: DataFrame, ordered: DataFrame | Non
     """Jaccard over (row position, value) between the two sides.
 
     ``ordered(pair_id, ordered)`` says which pairs keep the original row order
-    (either query text contains ``order by``); others use the greedy
+    (either query text contains ``order by``); others use the
     alignment ``aligned(pair_id, side, row_no, pos)`` (E14)."""
     pos = positions(rows)
     if aligned is not None:
@@ -275,53 +243,39 @@ def frame_similarity(rows: DataFrame, heads: DataFrame, ordered: DataFrame | Non
                     .otherwise(F.col("inter") / F.col("uni")).alias("df_sim")))
 
 
-ALIGN_SCHEMA = "pair_id long, side string, row_no long, pos long"
-
-
-def _align(pdf: pd.DataFrame) -> pd.DataFrame:
-    pid = int(pdf["pair_id"].iloc[0])
-    sides = {}
-    for side in ("gold", "pred"):
-        s = pdf[pdf["side"] == side].sort_values("row_no")
-        sides[side] = (list(s["row_no"]), [set(c) for c in s["cells"]])
-    left, right = "gold", "pred"
-    if len(sides[left][0]) > len(sides[right][0]):
-        left, right = right, left
-    lrows, lsets = sides[left]
-    rrows, rsets = list(sides[right][0]), list(sides[right][1])
-    for i in range(len(lsets)):
-        best, best_j = -1.0, -1
-        for j in range(i, len(rsets)):
-            u = len(lsets[i] | rsets[j])
-            sim = 1.0 if u == 0 else len(lsets[i] & rsets[j]) / u
-            if sim > best:
-                best, best_j = sim, j
-        rsets[i], rsets[best_j] = rsets[best_j], rsets[i]
-        rrows[i], rrows[best_j] = rrows[best_j], rrows[i]
-    out = [(pid, left, int(r), i) for i, r in enumerate(lrows)]
-    out += [(pid, right, int(r), i) for i, r in enumerate(rrows)]
-    return pd.DataFrame(out, columns=["pair_id", "side", "row_no", "pos"])
-
-
-def greedy_alignment(rows: DataFrame) -> DataFrame:
-    """Greedy row alignment per pair (inherently sequential inside a
-    pair, O(rows^2)); pairs are the parallel axis."""
-    return rows.groupBy("pair_id").applyInPandas(_align, ALIGN_SCHEMA)
+def align_rows(rows: DataFrame) -> DataFrame:
+    """A row alignment ``(pair_id, side, row_no, pos)`` for unordered
+    results.  Rows with the same set of values are paired first, the k-th such
+    row of one side with the k-th of the other; the rows left over are paired
+    in their own order; what a longer side has beyond that follows.  All of it
+    is ranks and joins on (pair, row key), so no pair's rows meet in one task."""
+    pos = positions(rows).select("pair_id", "side", "row_no", "pos",
+                                 F.md5(F.to_json(F.array_sort(F.array_distinct("cells")))).alias("k"))
+    twin = rank_within(pos.withColumn("_g", F.concat_ws("|", F.col("pair_id").cast("string"), "side", "k")),
+                       "_g", ["pos"], "nth", "_n").drop("_g", "_n")
+    gold = twin.where("side = 'gold'").drop("side")
+    pred = twin.where("side = 'pred'").drop("side")
+    both = (gold.select("pair_id", "k", "nth", F.col("pos").alias("at"), F.col("row_no").alias("gr"))
+            .join(pred.select("pair_id", "k", "nth", F.col("row_no").alias("pr")), ["pair_id", "k", "nth"], "full_outer"))
+    both = _kept(both, "aligned")
+    paired = both.where("gr IS NOT NULL AND pr IS NOT NULL")
+
+    def left(of, side):
+        rest = both.where(f"{of} IS NOT NULL AND {'pr' if of == 'gr' else 'gr'} IS NULL").select("pair_id", F.col(of).alias("row_no"), "at")
+        return rank_within(rest.withColumn("_g", F.col("pair_id").cast("string")), "_g", ["row_no"], "i", "_n").drop("_g", "_n")
+
+    g, p = left("gr", "gold"), left("pr", "pred")
+    sizes = rows.where("side = 'gold'").groupBy("pair_id").agg(F.count("*").alias("n"))
+    rest = (p.drop("at").join(g.select("pair_id", "i", "at"), ["pair_id", "i"], "left").join(sizes, "pair_id", "left")
+            .select("pair_id", F.lit("pred").alias("side"), "row_no",
+                    F.coalesce("at", F.coalesce("n", F.lit(0)) + F.col("i")).cast("long").alias("pos")))
+    golds = both.where("gr IS NOT NULL").select("pair_id", F.lit("gold").alias("side"), F.col("gr").alias("row_no"), F.col("at").alias("pos"))
+    return golds.union(paired.select("pair_id", F.lit("pred").alias("side"), F.col("pr").alias("row_no"), F.col("at").alias("pos"))).union(rest)
 
 
 def sql_text_key(sql: Column) -> Column:
-    """E11 re-aimed: normalised SQL text - comments and a trailing ``;``
-    dropped, identifier quotes unified, white space collapsed and text
-    lower-cased outside single-quoted literals."""
-    s = F.regexp_replace(sql, r"(?s)/\*.*?\*/", " ")
-    s = F.regexp_replace(s, r"--[^\n]*", " ")
-    s = F.regexp_replace(s, r"[`\[\]]", '"')
-    parts = F.split(s, "'")
-    s = F.array_join(F.transform(parts, lambda p, i: F.when(i % 2 == 0, F.lower(F.regexp_replace(p, r"\s+", " ")))
-                                 .otherwise(p)), "'")
-    s = F.regexp_replace(s, r"\s*;\s*$", "")
-    s = F.regexp_replace(s, r"\s*([(),=<>+*/-])\s*", "$1")
-    return F.regexp_replace(s, r"^\s+|\s+$", "")
+    """E11 re-aimed: normalised SQL text; literals are compared as they are."""
+    return text_key(sql)
 
 
 def sql_text_match(gold: Column, pred: Column) -> Column:

@@ -126,7 +126,7 @@ def frame_similarity_aligned_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E14 + E15 without an ``order by``: greedy alignment first (rows-only
     check; pytest compares it with a direct Python rendering of the rule)."""
     rows, heads = f4_rows(spark, sf_dir)
-    fs = C.frame_similarity(rows, heads, aligned=C.greedy_alignment(rows))
+    fs = C.frame_similarity(rows, heads, aligned=C.align_rows(rows))
     return fs.select("pair_id", F.round("df_sim", 6).alias("df_sim"))
 
 

@@ -21,7 +21,7 @@ def score(spark, pairs):
             rows += [(pid, side, i, list(r)) for i, r in enumerate(data)]
     r = spark.createDataFrame(rows, C.ROWS_SCHEMA)
     h = spark.createDataFrame(heads, C.HEADS_SCHEMA)
-    return {x.pair_id: (x.ex_bird, x.ex_eq, x.undecided) for x in C.score_pairs(r, h).collect()}
+    return {x.pair_id: (x.ex_bird, x.ex_eq) for x in C.score_pairs(r, h).collect()}
 
 
 def test_python_equality_of_cells(spark):
@@ -72,22 +72,19 @@ def test_tied_fingerprints_need_search(spark):
     assert out[2][1] == 0
 
 
-def test_candidate_cap_reports_undecided(spark):
-    # six identical-bag columns that differ row by row: 720 candidates
-    g = [[f"n:{(i + j) % 6}" for j in range(6)] for i in range(6)]
-    p = [[r[(j + 1) % 6] for j in range(6)] for r in g]
-    # swap two cells within one column: bags stay equal, rows no longer match
-    p[0][0], p[1][0] = p[1][0], p[0][0]
-    rows = score_capped(spark, g, p, 5)
-    assert rows[1] == (None, True)
-
-
-def score_capped(spark, g, p, cap):
-    rows = [(1, "gold", i, r) for i, r in enumerate(g)] + [(1, "pred", i, r) for i, r in enumerate(p)]
-    heads = [(1, "gold", len(g), 6), (1, "pred", len(p), 6)]
-    r = spark.createDataFrame(rows, C.ROWS_SCHEMA)
-    h = spark.createDataFrame(heads, C.HEADS_SCHEMA)
-    return {x.pair_id: (x.ex_eq, x.undecided) for x in C.score_pairs(r, h, max_candidates=cap).collect()}
+def test_tied_and_identical_columns_are_decided(spark):
+    # a Latin square: eight columns with equal value bags that differ row by row,
+    # and eight columns that are equal row by row
+    n = 8
+    g = [[f"n:{(i * j) % 11}" for j in range(1, n + 1)] for i in range(1, 11)]
+    perm = [3, 0, 7, 1, 6, 2, 5, 4]
+    p = [[r[k] for k in perm] for r in reversed(g)]
+    bad = [list(r) for r in p]
+    bad[0][0], bad[1][0] = bad[1][0], bad[0][0]  # the column's bag stays, its rows change
+    same = [[f"s:{i}"] * n for i in range(5)]
+    out = score(spark, {1: (g, p, n, n), 2: (g, bad, n, n), 3: (same, same[::-1], n, n),
+                        4: ([["n:1"] + r for r in same], [r + ["n:1"] for r in same], n + 1, n + 1)})
+    assert [out[i][1] for i in (1, 2, 3, 4)] == [1, 0, 1, 1]
 
 
 def brute_ex_eq(g, p):
@@ -122,23 +119,23 @@ def test_has_null_and_row_jaccard(spark):
 
 
 def py_align(L, R):
-    """The greedy alignment rule written directly in Python."""
-    swap = len(L) > len(R)
-    if swap:
-        L, R = R, L
-    R = list(R)
-    for i in range(len(L)):
-        best, bj = -1, -1
-        for j in range(i, len(R)):
-            u = len(L[i] | R[j])
-            s = 1.0 if u == 0 else len(L[i] & R[j]) / u
-            if s > best:
-                best, bj = s, j
-        R[i], R[bj] = R[bj], R[i]
-    if swap:
-        L, R = R, L
+    """The alignment rule written directly in Python: equal value sets first, in
+    order, then the rows left over in their own order."""
+    left, at, used = list(R), {}, set()
+    for i, x in enumerate(L):
+        for j, y in enumerate(left):
+            if j not in used and x == y:
+                at[j] = i
+                used.add(j)
+                break
+    free = iter([i for i in range(len(L)) if i not in at.values()])
+    extra = iter(range(len(L), len(L) + len(R)))
+    rest = [j for j in range(len(R)) if j not in used]
+    n_free = len(L) - len(at)
+    for k, j in enumerate(rest):
+        at[j] = next(free) if k < n_free else next(extra)
     a = {(i, v) for i, s in enumerate(L) for v in s}
-    b = {(i, v) for i, s in enumerate(R) for v in s}
+    b = {(at[j], v) for j, s in enumerate(R) for v in s}
     return 1.0 if not a | b else len(a & b) / len(a | b)
 
 
@@ -146,15 +143,15 @@ def test_frame_similarity_aligned_matches_python(spark):
     rnd = random.Random(7)
     vals = ["s:a", "s:b", "s:c", "n:1", "n:2"]
     rows, heads, expect = [], [], {}
-    for pid in range(6):
-        g = [[rnd.choice(vals) for _ in range(2)] for _ in range(rnd.randint(0, 5))]
-        p = [[rnd.choice(vals) for _ in range(2)] for _ in range(rnd.randint(0, 5))]
+    for pid in range(8):
+        g = [[rnd.choice(vals) for _ in range(2)] for _ in range(rnd.randint(0, 6))]
+        p = [[rnd.choice(vals) for _ in range(2)] for _ in range(rnd.randint(0, 6))]
         rows += [(pid, "gold", i, r) for i, r in enumerate(g)] + [(pid, "pred", i, r) for i, r in enumerate(p)]
         heads += [(pid, "gold", len(g), 2), (pid, "pred", len(p), 2)]
         expect[pid] = py_align([set(r) for r in g], [set(r) for r in p])
     r = spark.createDataFrame(rows, C.ROWS_SCHEMA)
     h = spark.createDataFrame(heads, C.HEADS_SCHEMA)
-    got = {x.pair_id: x.df_sim for x in C.frame_similarity(r, h, aligned=C.greedy_alignment(r)).collect()}
+    got = {x.pair_id: x.df_sim for x in C.frame_similarity(r, h, aligned=C.align_rows(r)).collect()}
     for pid in expect:
         assert abs(got[pid] - expect[pid]) < 1e-9, (pid, got[pid], expect[pid])
 

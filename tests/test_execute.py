@@ -18,6 +18,12 @@ def test_outcomes_and_scores(spark):
         (4, "d", slow, "SELECT 1"),                                # time-out (Q8)
         (5, "d", "SELECT n_nationkey, n_name FROM nation", "SELECT n_name, n_nationkey FROM nation"),
         (6, "d", "SELECT 1 AS a WHERE 1 = 0", "SELECT 2 AS b WHERE 1 = 0"),  # both empty
+        (7, "d", "SELECT count(*), count(*) FROM nation", "SELECT count(*), count(*) FROM nation"),  # equal names
+        (8, "d", "SELECT a.n_name, b.n_name FROM nation a JOIN nation b USING (n_nationkey)",
+         "SELECT b.n_name, a.n_name FROM nation a JOIN nation b USING (n_nationkey)"),
+        (9, "d", "DROP VIEW nation", "SELECT n_name FROM nation"),           # commands do not run
+        (10, "d", "WITH x AS (SELECT 1) INSERT INTO nation SELECT * FROM x", "SELECT 1"),
+        (11, "d", "SET spark.sql.shuffle.partitions=1", "SELECT 1"),
     ], "pair_id long, db string, pred_sql string, gold_sql string")
     out = {r.pair_id: r for r in X.evaluate_pairs(spark, pairs, timeout_s=8, threads=4).collect()}
     assert (out[1].ex_eq, out[1].ex_bird, out[1].executable) == (1, 1, 1)
@@ -26,6 +32,16 @@ def test_outcomes_and_scores(spark):
     assert (out[4].executable, out[4].outcome, out[4].ex_eq) == (1, "timeout", 0)
     assert (out[5].ex_eq, out[5].ex_bird) == (1, 0)
     assert (out[6].ex_eq, out[6].ex_bird) == (1, 1)
+    assert all((out[i].ex_eq, out[i].executable) == (1, 1) for i in (7, 8))
+    assert all((out[i].executable, out[i].outcome, out[i].gold_failed) == (0, "error", False) for i in (9, 10, 11))
+    assert spark.table("nation").count() == 25 and len(out) == 11
+
+
+def test_pair_limit_is_for_both_texts(spark):
+    pairs = spark.createDataFrame([(1, "d", "p", "g"), (2, "d", "p", "p")], "pair_id long, db string, pred_sql string, gold_sql string")
+    texts = [(r.text_id, "ok", None, 1, 6.0) for r in X.pair_texts(pairs).collect()]
+    log = spark.createDataFrame(texts, "text_id string, status string, message string, n_cols int, seconds double")
+    assert {r.pair_id: r.outcome for r in X.outcome_flags(pairs, log, 10).collect()} == {1: "timeout", 2: "ok"}
 
 
 def test_dry_run(spark):
