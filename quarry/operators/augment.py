@@ -11,23 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quarry.functions.sqltext import drop_line_comments
 from quarry.operators.responses import extract_sql
 
 
-def _uncomment(part: Column) -> Column:
-    return F.regexp_replace(part, r"--[^\n]*(\n|$)", "\n")
-
-
 def sql_tidy(x) -> Column:
-    """A5: ``--`` comments become a newline (outside single-quoted literals,
-    so two lines never fuse and ``'--'`` in a string survives); if three or
+    """A5: ``--`` comments outside literals are removed up to their newline
+    (so two lines never fuse and ``'--'`` in a string survives); if three or
     more newlines remain, white space collapses to single spaces; then R1."""
     c = F.col(x) if isinstance(x, str) else x
-    parts = F.split(c, "'")
-    # even positions of the quote split lie outside string literals
-    uncommented = F.array_join(
-        F.transform(parts, lambda p, i: F.when(i % 2 == 0, _uncomment(p)).otherwise(p)), "'")
-    s = F.when(c.contains("--"), uncommented).otherwise(c)
+    s = F.when(c.contains("--"), drop_line_comments(c)).otherwise(c)
     n_newlines = F.size(F.split(s, "\n")) - 1
     s = F.when(n_newlines >= 3, F.regexp_replace(F.regexp_replace(s, r"\s+", " "), r"^ | $", "")).otherwise(s)
     return extract_sql(s)
@@ -99,18 +92,30 @@ def _in_sql(sql: Column, name: Column, words: Column | None = None) -> Column:
     return F.when(name.rlike(r"(?U)^\w+$"), F.array_contains(words, F.lower(name))).otherwise(slow)
 
 
-def schema_filter(parsed: Column, rec: Column, sql: Column, seed: int = 42, tab_p: float = 0.8,
-                  col_p: float = 0.7, words: Column | None = None) -> Column:
-    """A2: a table stays if its name (header before ``,``) is a whole word of
+def kept_tables(parsed: Column, rec: Column, sql: Column, seed: int = 42, tab_p: float = 0.8,
+                col_p: float = 0.7, words: Column | None = None) -> Column:
+    """A2 without its last step: a table stays if its name (header before ``,``) is a whole word of
     the SQL, else with ``tab_p``; in a kept table a column stays by the same
-    test, else with ``col_p``; then FKs are filtered (M7).  Pass ``words``
+    test, else with ``col_p``.  Pass ``words``
     (a column holding :func:`sql_words`) to test names without regexes."""
     kept = F.filter(parsed["tables"], lambda t: _in_sql(sql, t["name"], words)
                     | _draw(seed, "a2_tab", tab_p, rec, t["key"]))
     kept = F.transform(kept, lambda t: t.withField("cols", F.filter(
         t["cols"], lambda c: _in_sql(sql, c["name"], words)
         | _draw(seed, "a2_col", col_p, rec, t["key"], c["name"]))))
-    return fk_filter(parsed.withField("tables", kept))
+    return parsed.withField("tables", kept)
+
+
+def schema_filter(df, parsed: str, out: str, rec: Column, sql: str, seed: int = 42, tab_p: float = 0.8, col_p: float = 0.7):
+    """A2 on a DataFrame: column ``out`` holds ``parsed`` with the kept tables
+    and columns, and the FKs among them (M7).  The SQL's words and the kept
+    tables are columns of their own (a one-row Generate keeps the optimizer
+    from pasting them into the foreign-key test), so each is made once per
+    record instead of once per foreign key."""
+    pin = lambda d, c, e: d.withColumn(c, e).select(*d.columns, F.inline(F.array(F.struct(F.col(c)))))
+    d = pin(df, "_w", sql_words(sql))
+    d = pin(d, "_kept", kept_tables(F.col(parsed), rec, F.col(sql), seed, tab_p, col_p, words=F.col("_w")))
+    return d.withColumn(out, fk_filter(F.col("_kept"))).drop("_w", "_kept")
 
 
 # --- fixed values: example labels and their weights (A3) ---
@@ -205,8 +210,7 @@ def augment_record(df, seed: int = 42, shuffle=True, filter_=True, permute=True,
     if shuffle:
         out = out.withColumn("_p", schema_shuffle(F.col("_p"), rec, seed))
     if filter_:
-        out = out.withColumn("_w", sql_words(sql_col))
-        out = out.withColumn("_p", schema_filter(F.col("_p"), rec, F.col(sql_col), seed, words=F.col("_w")))
+        out = schema_filter(out, "_p", "_p", rec, sql_col, seed)
     indent = None
     if permute:
         out = (out.withColumn("_label", permute_label(rec, seed))
@@ -214,7 +218,7 @@ def augment_record(df, seed: int = 42, shuffle=True, filter_=True, permute=True,
         out = out.withColumn("_p", schema_permute(F.col("_p"), F.col("_label")))
         indent = F.col("_indent")
     text = F.when(F.col("_p.parsed"), render_schema(F.col(db_col), F.col("_p"), indent)).otherwise(F.col(schema_col))
-    out = out.withColumn(schema_col, text).drop("_p", "_label", "_indent", "_w")
+    out = out.withColumn(schema_col, text).drop("_p", "_label", "_indent")
     if tidy:
         out = out.withColumn(sql_col, sql_tidy(sql_col))
     return out

@@ -131,8 +131,9 @@ def to_mschema(cat_tables: DataFrame, cat_fields: DataFrame, cat_fks: DataFrame,
 # ``key`` is the full header text (may hold ", comment" or "schema."),
 # ``name`` the bare table name used for matching (quirk Q2).
 
-TABLE_RE = r"# Table: (.+?)\n\[([\s\S]+?)\]\n"
-TABLE_BLOCK_RE = r"# Table: ((.+?)\n\[([\s\S]+?)\]\n)"
+# --- fixed values: a table block is a heading line, "[", the column lines, "]" ---
+TABLE_BLOCK_RE = r"# Table: ([^\n]+?\n\[(?s:.+?)\]\n)"
+# --- end of fixed values ---
 
 
 def _strip(c: Column) -> Column:

@@ -134,19 +134,46 @@ def sql_only(x) -> Column:
             .otherwise(c))
 
 
-def json_reply(x, schema: str = "map<string,string>") -> Column:
-    """Newlines removed; the last ```` ```json ```` block parsed as JSON,
-    retried with Python-literal repairs (single quotes, True/False/None);
-    otherwise an empty map.  Text is never evaluated as code."""
+# one token: a JSON string, a Python string, or a run without quotes
+_REPLY_TOKEN = r"""("(?:[^"\\]|\\.)*+"|'(?:[^'\\]|\\.)*+'|[^"']++|["'])"""
+
+
+def _as_json(body: Column) -> Column:
+    """Python literal text as JSON: the quotes that delimit strings and the
+    bare words True, False, None change; what strings hold does not."""
+    def token(t):
+        inner = F.substr(t, F.lit(2), F.length(t) - 2)
+        string = F.concat(F.lit('"'), F.replace(F.replace(inner, F.lit("\\'"), F.lit("'")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+        words = t
+        for a, b in (("True", "true"), ("False", "false"), ("None", "null")):
+            words = F.regexp_replace(words, rf"\b{a}\b", b)
+        return (F.when(t.startswith("'") & (F.length(t) > 1), string).when(t.startswith('"'), t).otherwise(words))
+    return F.array_join(F.transform(F.regexp_extract_all(body, F.lit(_REPLY_TOKEN), 1), token), "")
+
+
+def _json_body(x) -> Column:
     c = F.regexp_replace(_c(x), "\n", "")
     blocks = F.regexp_extract_all(c, F.lit(r"(?s)```json(.*?)```"), 1)
-    body = strip_ws(F.element_at(blocks, -1))
-    repaired = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
-        body, "'", '"'), r"\bTrue\b", "true"), r"\bFalse\b", "false"), r"\bNone\b", "null")
-    parsed = F.coalesce(F.from_json(body, schema, {"mode": "PERMISSIVE"}),
-                        F.from_json(repaired, schema, {"mode": "PERMISSIVE"}))
-    empty = F.create_map().cast(schema)
-    return F.when(F.size(blocks) > 0, F.coalesce(parsed, empty)).otherwise(empty)
+    return F.when(F.size(blocks) > 0, strip_ws(F.element_at(blocks, -1)))
+
+
+def json_reply(x, schema: str = "map<string,string>") -> Column:
+    """Newlines removed; the last ```` ```json ```` block parsed as JSON,
+    retried as a Python literal; otherwise an empty map.  Text is never
+    evaluated as code."""
+    body = _json_body(x)
+    read = lambda b: F.from_json(b, schema, {"mode": "PERMISSIVE"})
+    return F.coalesce(read(body), read(_as_json(body)), read(F.lit("{}")))
+
+
+def json_replies(x, schema: str = "map<string,string>") -> Column:
+    """R4 for replies that hold a list: its elements as an array; a reply that
+    holds one object gives one element, anything else none."""
+    body = _json_body(x)
+    many = lambda b: F.when(b.startswith("["), F.from_json(b, f"array<{schema}>", {"mode": "PERMISSIVE"})) \
+        .when(b.startswith("{"), F.array(F.from_json(b, schema, {"mode": "PERMISSIVE"})))
+    found = lambda b: F.when(F.forall(many(b), lambda m: m.isNotNull()), many(b))
+    return F.coalesce(found(body), found(_as_json(body)), F.from_json(F.lit("[]"), f"array<{schema}>"))
 
 
 def strip_prompt(pred: Column, prompt: Column) -> Column:

@@ -9,7 +9,7 @@ from quarry.operators import catalog as CAT
 from quarry.operators import metrics as M
 from quarry.operators import profile as PRO
 from quarry.plans.catalog_queries import COLS, NUMERIC, TPCH_KEYS
-from quarry.sources.tables import load_many
+from quarry.sources.tables import load, load_many
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -161,3 +161,66 @@ def prediction_inspect_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.plans.train_queries import chat_train_q
     c = chat_train_q(spark, sf_dir)
     return M.inspect_predictions(c, "prompt").select("id", "question_text")
+
+
+# Shapes whose answer is stated, not computed: a text per order, one of these by its key.
+LITERAL_SHAPES = [  # (statement, its tidy form, a second statement, whether the two match)
+    ("SELECT a -- don't count dups\nFROM t -- x\nWHERE b = 1", "SELECT a \nFROM t \nWHERE b = 1",
+     "select A from T where B=1", 1),
+    ("SELECT 'a--b' FROM t", "SELECT 'a--b' FROM t", "SELECT 'a--c' FROM t", 0),
+    ("SELECT 'a - b', \"x--y\" FROM t", "SELECT 'a - b', \"x--y\" FROM t", "SELECT 'a-b', \"x--y\" FROM t", 0),
+    ("SELECT 'it''s -- fine' FROM t -- it's not", "SELECT 'it''s -- fine' FROM t ",
+     "SELECT 'it''s -- fine' /* it's */ FROM `t`;", 0),
+    ("SELECT [a] FROM t;", "SELECT [a] FROM t;", "select  \"a\"\nfrom t -- it's quoted\n", 1),
+    ("SELECT 'A'", "SELECT 'A'", "SELECT 'a'", 0),
+]
+
+LITERAL_REPLIES = [  # (last JSON block of a reply, its sql, its ok)
+    ("""{'sql': "WHERE n = 'x'", 'ok': True}""", "WHERE n = 'x'", "true"),
+    ("""{"sql": "n = 'True'", "ok": false}""", "n = 'True'", "false"),
+    ("""{'sql': 'say "hi"', 'ok': None}""", 'say "hi"', None),
+    ("""[{'sql': 'a', 'ok': True}, {'sql': 'b', 'ok': False}]""", "a", "true"),
+    ("""not json""", None, None),
+]
+
+
+def _sql_case(key, values):
+    text = lambda v: "NULL" if v is None else str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
+    return f"CASE {key} " + " ".join(f"WHEN {i} THEN {text(v)}" for i, v in enumerate(values)) + " END"
+
+
+def _shape(key, values):
+    out = F.lit(None)
+    for i, v in enumerate(values):
+        out = F.when(key == i, F.lit(v)).otherwise(out)
+    return out
+
+
+_K = f"o_orderkey % {len(LITERAL_SHAPES)}"
+
+
+@register("sql_literals", f"""SELECT o_orderkey AS idx, {_sql_case(_K, [s[1] for s in LITERAL_SHAPES])} AS tidy,
+ {_sql_case(_K, [s[3] for s in LITERAL_SHAPES])} AS text_match FROM orders""")
+def sql_literals_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 and E11 where quotes stand in comments and comment marks in literals."""
+    from quarry.operators.augment import sql_tidy
+    from quarry.operators.compare import sql_text_match
+    o = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("idx"))
+    k = F.col("idx") % len(LITERAL_SHAPES)
+    o = o.withColumn("x", _shape(k, [s[0] for s in LITERAL_SHAPES])).withColumn("y", _shape(k, [s[2] for s in LITERAL_SHAPES]))
+    return o.select("idx", sql_tidy("x").alias("tidy"), sql_text_match(F.col("x"), F.col("y")).alias("text_match"))
+
+
+_R = f"o_orderkey % {len(LITERAL_REPLIES)}"
+
+
+@register("json_literals", f"""SELECT o_orderkey AS idx, {_sql_case(_R, [s[1] for s in LITERAL_REPLIES])} AS first_sql,
+ {_sql_case(_R, [s[2] for s in LITERAL_REPLIES])} AS first_ok, CASE {_R} WHEN 3 THEN 2 WHEN 4 THEN 0 ELSE 1 END AS n FROM orders""")
+def json_literals_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4 on Python-style replies, strings that hold quotes, and lists."""
+    from quarry.operators.responses import json_replies
+    o = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("idx"))
+    body = _shape(F.col("idx") % len(LITERAL_REPLIES), [s[0] for s in LITERAL_REPLIES])
+    o = o.withColumn("all", json_replies(F.concat(F.lit("Here: ```json\n"), body, F.lit("\n```"))))
+    return o.select("idx", F.get("all", F.lit(0))["sql"].alias("first_sql"), F.get("all", F.lit(0))["ok"].alias("first_ok"),
+                    F.size("all").alias("n"))

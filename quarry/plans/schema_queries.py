@@ -151,8 +151,7 @@ kk AS (SELECT k.*, '' AS k_key FROM k
           + "\nSELECT idx, db_schema FROM out")
 def schema_filter_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _parsed(spark, sf_dir)
-    p = p.withColumn("w", A.sql_words("sql"))
-    p = p.withColumn("s", A.schema_filter(F.col("p"), F.col("idx"), F.col("sql"), SEED, words=F.col("w")))
+    p = A.schema_filter(p, "p", "s", F.col("idx"), "sql", SEED)
     return p.select("idx", MS.render_schema(F.col("db_name"), F.col("s")).alias("db_schema"))
 
 
@@ -161,8 +160,7 @@ SELECT f3.idx, CAST((SELECT count(*) FROM k WHERE k.idx = f3.idx) AS INTEGER) AS
  CAST((SELECT count(*) FROM kk WHERE kk.idx = f3.idx) AS INTEGER) AS n_fk_after FROM f3""")
 def fk_filter_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _parsed(spark, sf_dir)
-    p = p.withColumn("w", A.sql_words("sql"))
-    p = p.withColumn("s", A.schema_filter(F.col("p"), F.col("idx"), F.col("sql"), SEED, words=F.col("w")))
+    p = A.schema_filter(p, "p", "s", F.col("idx"), "sql", SEED)
     return p.select("idx", F.size("p.fks").alias("n_fk_before"), F.size("s.fks").alias("n_fk_after"))
 
 

@@ -83,7 +83,7 @@ def test_permute_label_first_occurrence(spark):
 def test_filter_keeps_tables_and_columns_named_in_sql(spark):
     df = spark.createDataFrame([(1, TEXT, "SELECT o_cust FROM ORDERS")], "idx long, t string, sql string")
     df = df.withColumn("p", MS.parse_schema("t"))
-    out = df.select(A.schema_filter(F.col("p"), F.col("idx"), F.col("sql"), 42, 0.0, 0.0).alias("q")).first()["q"]
+    out = A.schema_filter(df, "p", "q", F.col("idx"), "sql", 42, 0.0, 0.0).first()["q"]
     assert [t["name"] for t in out["tables"]] == ["orders"]
     assert [c["name"] for c in out["tables"][0]["cols"]] == ["o_cust"]
     assert out["fks"] == []
