@@ -251,7 +251,7 @@ def apply_comment_mode(cat_tables: DataFrame, cat_fields: DataFrame, mode: str,
     texts (``field_name`` NULL for a table); they are tidied (P21)."""
     from quarry.operators.responses import tidy_description
     if mode not in COMMENT_MODES:
-        raise NotImplementedError(f"Unsupported comment mode {mode}.")
+        raise NotImplementedError(f"comment mode must be one of {COMMENT_MODES}, not {mode!r}")
     if mode == "origin":
         return cat_tables, cat_fields
     if mode in ("no_comment", "generation"):

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.session import scratch_path
 from quarry.functions.text import has_url, is_email
 from quarry.functions.types import sql_type_name, type_category
 
@@ -66,8 +67,11 @@ def column_stats(table_name: str, df: DataFrame) -> DataFrame:
         aggs.append(F.count(c).alias(f"n{i}"))
         if isinstance(dt, T.NumericType):
             d = c.cast("double")
+            # integers and decimals also exactly: doubles stop telling them apart at 2^53
+            exact = c.cast("decimal(38,0)") if isinstance(dt, T.IntegralType) else c
             aggs += [F.max(d).alias(f"mx{i}"), F.min(d).alias(f"mn{i}"),
-                     F.avg(d).alias(f"av{i}"), F.sum(d).alias(f"sm{i}")]
+                     F.avg(d).alias(f"av{i}"), F.sum(d).alias(f"sm{i}"), F.max(c).cast("string").alias(f"xt{i}"),
+                     F.min(c).cast("string").alias(f"nt{i}"), F.sum(exact).cast("string").alias(f"st{i}")]
     wide = df.agg(*aggs)
     rows = []
     for i, name, dt in cols:
@@ -83,10 +87,26 @@ def column_stats(table_name: str, df: DataFrame) -> DataFrame:
             (F.col(f"mn{i}") if num else nul).alias("min_value"),
             (F.col(f"av{i}") if num else nul).alias("avg_value"),
             (F.col(f"sm{i}") if num else nul).alias("sum_value"),
+            *[(F.col(f"{k}{i}") if num else F.lit(None).cast("string")).alias(a)
+              for k, a in (("xt", "max_text"), ("nt", "min_text"), ("st", "sum_text"))],
         ))
     return wide.select(F.inline(F.array(*rows)))
 
 
+def text_lengths(table_name: str, df: DataFrame) -> DataFrame:
+    """Longest, shortest, mean and total text length of every text field,
+    over all values, in one aggregate."""
+    cols = [name for _, name, dt in _profilable(df) if isinstance(dt, T.StringType)]
+    n = {c: F.length("`" + c.replace("`", "``") + "`") for c in cols}
+    aggs = [f(n[c]).alias(f"{k}{i}") for i, c in enumerate(cols)
+            for k, f in (("x", F.max), ("n", F.min), ("a", F.avg), ("s", F.sum))]
+    rows = [F.struct(F.lit(table_name).alias("table_name"), F.lit(c).alias("field_name"),
+                     F.col(f"x{i}").cast("long").alias("max_len"), F.col(f"n{i}").cast("long").alias("min_len"),
+                     F.col(f"a{i}").alias("avg_len"), F.col(f"s{i}").cast("long").alias("sum_len"))
+            for i, c in enumerate(cols)]
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
 def long_values(table_name: str, df: DataFrame) -> DataFrame:
     """Pass B input: ``(table_name, field_ord, v, num_key)``, non-null values only.
 
@@ -197,7 +217,7 @@ def profile(tables: dict[str, DataFrame], n_examples: int | None = 5,
         out = out.join(first_values(d, n_examples), key, "left")
     return (out.select("table_name", "field_name", "field_ord", "type_name", "type_cate", "n_rows",
                        "n_count", F.coalesce("n_distinct", F.lit(0).cast("long")).alias("n_distinct"),
-                       "max_value", "min_value", "avg_value", "sum_value",
+                       "max_value", "min_value", "avg_value", "sum_value", "max_text", "min_text", "sum_text",
                        F.coalesce(F.col("_xl").cast("long"), F.lit(-1).cast("long")).alias("max_len"),
                        F.coalesce(F.col("_nl").cast("long"), F.lit(-1).cast("long")).alias("min_len"),
                        F.coalesce("examples", F.array().cast("array<string>")).alias("raw_examples"))
@@ -206,50 +226,64 @@ def profile(tables: dict[str, DataFrame], n_examples: int | None = 5,
 
 # ------------------------------------------------------------------ probes --
 
-def _norm_value(v: Column, numeric: Column) -> Column:
-    """Text that equal values share: numbers through double."""
-    return F.when(numeric, v.cast("double").cast("string")).otherwise(v)
+KINDS = ("exact", "float", "text")
+EXACT = T.DecimalType(38, 9)
+
+
+def _kind(dt: T.DataType) -> str:
+    if isinstance(dt, (T.IntegralType, T.DecimalType)):
+        return "exact"
+    return "float" if isinstance(dt, (T.FloatType, T.DoubleType)) else "text"
+
+
+def _probe_keys(kind: Column, value: Column) -> list[Column]:
+    """Typed keys of a probe's text: exact numbers by decimal, floats by double."""
+    return [F.when(kind == "exact", value.try_cast(EXACT)).alias("ke"),
+            F.when(kind == "float", value.try_cast("double")).alias("kf"), F.when(kind == "text", value).alias("kt")]
 
 
 def value_exists(tables: dict[str, DataFrame], probes: DataFrame,
                  broadcast_rows: int = 1_000_000) -> DataFrame:
     """``probes(table_name, field_name, value)`` + ``exists`` - whether the
-    field holds the value (numbers compared as numbers, text as text).
+    field holds the value.  Integers and decimals are compared exactly, floats
+    as doubles, the rest as text; a probe that is not of the field's kind is
+    not there.
 
-    The tables are scanned once, unpivoted; the probe set is broadcast only
-    when its row count is under ``broadcast_rows`` (checked), else the
-    semi-join shuffles both sides."""
-    fields = []
-    for t, df in tables.items():
-        for i, name, dt in _profilable(df):
-            fields.append((t, name, i, isinstance(dt, T.NumericType)))
+    The tables are scanned once, unpivoted, reading the probed fields only."""
+    fields = [(t, f.name, i, _kind(f.dataType)) for t, df in tables.items() for i, f in enumerate(df.schema.fields)
+              if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
     spark = probes.sparkSession
-    fdf = spark.createDataFrame(fields, "table_name string, field_name string, field_ord int, numeric boolean")
+    fdf = spark.createDataFrame(fields, "table_name string, field_name string, field_ord int, kind string")
     p = probes.join(F.broadcast(fdf), ["table_name", "field_name"])  # schema-sized side
-    p = p.withColumn("nv", _norm_value(F.col("value"), F.col("numeric")))
-    # only the probed fields are read (schema-sized list -> column pruning)
+    p = p.select("table_name", "field_name", "value", "field_ord", *_probe_keys(F.col("kind"), F.col("value")))
     probed = {(r.table_name, r.field_name) for r in p.select("table_name", "field_name").distinct().collect()}
     vals = None
     for t, df in tables.items():
-        keep = [f.name for f in df.schema.fields if (t, f.name) in probed]
-        if not keep:
-            continue
-        ords = {f.name: i for i, f in enumerate(df.schema.fields)}
-        lv = long_values(t, df.select(*[F.col(f"`{c}`") for c in keep]))
-        # long_values numbers the selected columns; map back to table ordinals
-        remap = F.element_at(F.array(*[F.lit(ords[c]) for c in keep]), F.col("field_ord") + 1)
-        lv = lv.withColumn("field_ord", remap)
-        vals = lv if vals is None else vals.unionByName(lv)
+        structs = []
+        for i, f in enumerate(df.schema.fields):
+            if (t, f.name) in probed:
+                c, k = F.col("`" + f.name.replace("`", "``") + "`"), _kind(f.dataType)
+                structs.append(F.struct(
+                    F.lit(i).alias("field_ord"), (c.cast(EXACT) if k == "exact" else F.lit(None).cast(EXACT)).alias("ke"),
+                    (c.cast("double") if k == "float" else F.lit(None).cast("double")).alias("kf"),
+                    (c.cast("string") if k == "text" else F.lit(None).cast("string")).alias("kt")))
+        if structs:
+            part = df.select(F.inline(F.array(*structs))).select(F.lit(t).alias("table_name"), "field_ord", "ke", "kf", "kt")
+            vals = part if vals is None else vals.unionByName(part)
     if vals is None:
         return p.select("table_name", "field_name", "value", F.lit(False).alias("exists"))
-    vals = vals.join(F.broadcast(fdf.select("table_name", "field_ord", "numeric")), ["table_name", "field_ord"])
-    vals = vals.select("table_name", "field_ord", _norm_value(F.col("v"), F.col("numeric")).alias("nv"))
-    keys = p.select("table_name", "field_ord", "nv").distinct()
-    small = keys.count() <= broadcast_rows
-    hit = vals.join(F.broadcast(keys) if small else keys, ["table_name", "field_ord", "nv"], "left_semi")
-    hit = hit.distinct().withColumn("exists", F.lit(True))
-    return (p.join(hit, ["table_name", "field_ord", "nv"], "left")
-            .select("table_name", "field_name", "value", F.coalesce("exists", F.lit(False)).alias("exists")))
+    keys = p.select("table_name", "field_ord", "ke", "kf", "kt").distinct()
+    small = keys.where(F.coalesce(F.length("kt"), F.lit(0)) <= 1000).count() == keys.count() <= broadcast_rows  # at most 1 KB each
+    same = lambda a, b: ((a["table_name"] == b["table_name"]) & (a["field_ord"] == b["field_ord"])
+                         & a["ke"].eqNullSafe(b["ke"]) & a["kf"].eqNullSafe(b["kf"]) & a["kt"].eqNullSafe(b["kt"]))
+    some = F.col("ke").isNotNull() | F.col("kf").isNotNull() | F.col("kt").isNotNull()
+    vals = vals.where(some).alias("v")
+    side = (F.broadcast(keys) if small else keys).alias("k")
+    hit = vals.join(side, same({c: F.col(f"v.{c}") for c in vals.columns}, {c: F.col(f"k.{c}") for c in vals.columns}), "left_semi")
+    hit = hit.distinct().withColumn("exists", F.lit(True)).alias("h")
+    q = p.alias("p")
+    return (q.join(hit, same({c: F.col(f"p.{c}") for c in vals.columns}, {c: F.col(f"h.{c}") for c in vals.columns}), "left")
+            .select("p.table_name", "p.field_name", "p.value", F.coalesce("h.exists", F.lit(False)).alias("exists")))
 
 
 # ----------------------------------------------------------------- preview --
@@ -290,13 +324,6 @@ def preview_markdown(df: DataFrame, n: int = 5, max_str_len: int = 30) -> DataFr
 
 # ---------------------------------------------------------- profile block --
 
-def _num_text(c: Column, type_name: Column) -> Column:
-    """A statistic as its column type shows it: integers without ``.0``."""
-    integral = F.upper(F.substring_index(type_name, "(", 1)).isin(
-        "TINYINT", "SMALLINT", "INTEGER", "BIGINT")
-    return F.when(integral, c.cast("long").cast("string")).otherwise(c.cast("string"))
-
-
 def field_profile_text(prof: DataFrame, cat_fields: DataFrame | None = None) -> DataFrame:
     """One text block per (table, field): name, type, comment if any,
     primary key, unique (true for a primary key), nullable, counts, numeric
@@ -327,8 +354,7 @@ def field_profile_text(prof: DataFrame, cat_fields: DataFrame | None = None) ->
         F.concat(F.lit("UNIQUE: "), F.when(F.col("primary_key") | F.col("unique"), "True").otherwise("False")),
         F.concat(F.lit("NULLABLE: "), b("nullable")),
         line("COUNT: ", F.col("n_count")), line("COUNT(DISTINCT): ", F.col("n_distinct")),
-        line("MAX: ", _num_text(F.col("max_value"), F.col("type_name"))),
-        line("MIN: ", _num_text(F.col("min_value"), F.col("type_name"))),
+        line("MAX: ", F.col("max_text")), line("MIN: ", F.col("min_text")),
         line("AVG: ", F.col("avg_value")),
         F.when(F.col("max_len") >= 0, F.concat(F.lit("MAX(CHAR_LENGTH): "), F.col("max_len").cast("string"))),
         F.when(F.col("min_len") >= 0, F.concat(F.lit("MIN(CHAR_LENGTH): "), F.col("min_len").cast("string"))),
@@ -341,21 +367,21 @@ def field_profile_text(prof: DataFrame, cat_fields: DataFrame | None = None) ->
 
 # ------------------------------------------------------------ enumeration --
 
-def enum_values(tables: dict[str, DataFrame], max_distinct: int = 1000) -> DataFrame:
-    """Every distinct value of the fields that can be enumerated - those
-    with at most ``max_distinct`` distinct values (the rule P13 uses for
-    ``Enum``); their value lists are therefore bounded."""
-    d = distinct_values(tables)
-    counts = d.groupBy("table_name", "field_ord").agg(F.count(F.lit(1)).alias("n_values"))
-    small = counts.where(F.col("n_values") <= max_distinct)
-    ex = first_values(d.join(small.select("table_name", "field_ord"), ["table_name", "field_ord"], "left_semi"),
-                      None)
-    names = None
+def enum_values(tables: dict[str, DataFrame], categories: DataFrame | None = None) -> DataFrame:
+    """Every distinct value of the fields labelled ``Enum`` by P13 (or in
+    ``categories(table_name, field_name, category)``), however many there are."""
     spark = next(iter(tables.values())).sparkSession
-    rows = [(t, i, name) for t, df in tables.items() for i, name, _ in _profilable(df)]
-    names = spark.createDataFrame(rows, "table_name string, field_ord int, field_name string")
-    return (small.join(ex, ["table_name", "field_ord"]).join(names, ["table_name", "field_ord"])
-            .select("table_name", "field_name", "field_ord", "n_values", F.col("examples").alias("values")))
+    names = spark.createDataFrame([(t, i, name) for t, df in tables.items() for i, name, _ in _profilable(df)],
+                                  "table_name string, field_ord int, field_name string")
+    path = scratch_path(spark, "distinct")  # three readers, one shuffle of the tables
+    distinct_values(tables).write.parquet(path)
+    distinct = spark.read.parquet(path)
+    labels = field_categories(tables, distinct=distinct) if categories is None else categories
+    enums = names.join(labels.where("category = 'Enum'").select("table_name", "field_name"), ["table_name", "field_name"])
+    ex = first_values(distinct.join(enums.select("table_name", "field_ord"), ["table_name", "field_ord"], "left_semi"), None)
+    return (enums.join(ex, ["table_name", "field_ord"])
+            .select("table_name", "field_name", "field_ord", F.size("examples").cast("long").alias("n_values"),
+                    F.col("examples").alias("values")))
 
 
 # ----------------------------------------------------- category and dates --
@@ -368,8 +394,10 @@ INTEGRAL = ["TINYINT", "SMALLINT", "INTEGER", "BIGINT"]
 
 
 def field_categories(tables: dict[str, DataFrame], prof: DataFrame | None = None,
-                     overrides: DataFrame | None = None, enum_max: int = 50) -> DataFrame:
-    """``(table_name, field_name, category, dim_or_meas)``.
+                     overrides: DataFrame | None = None, enum_max: int = 50,
+                     distinct: DataFrame | None = None) -> DataFrame:
+    """``(table_name, field_name, category, dim_or_meas)``.  ``distinct``
+    may be a written :func:`distinct_values` result shared with other steps.
 
     * DateTime types -> DateTime; booleans -> Enum.
     * date-like values -> DateTime: text where at least 90% of the distinct
@@ -381,9 +409,9 @@ def field_categories(tables: dict[str, DataFrame], prof: DataFrame | None = None
     * numbers -> Enum for repeating integers with at most ``enum_max``
       values; Code for unique integers or ``*key``/``*id`` names; Measure
       otherwise.  Only Measure has the Measure role."""
+    d = distinct if distinct is not None else distinct_values(tables)
     if prof is None:
-        prof = profile(tables, n_examples=0)
-    d = distinct_values(tables)
+        prof = profile(tables, n_examples=0, distinct=d)
     share = d.groupBy("table_name", "field_ord").agg(
         F.avg(F.col("v").rlike(DATE_TEXT_RE).cast("double")).alias("date_share"),
         F.min(F.when(F.col("num_key").isNotNull(),

@@ -35,15 +35,14 @@ TEMPLATES = {
     ("nl2sqlite", "en"): "You are a SQLite engineer. " + _ASK_EN.replace("{dialect}", "SQLite"),
     ("nl2postgresql", "en"): "You are a PostgreSQL engineer. " + _ASK_EN.replace("{dialect}", "PostgreSQL"),
     ("self_refine", "zh"): (
-        "你是一名SQLite工程师。下面的【SQL】没有给出正确结果。请根据【数据库schema】、【参考信息】和该SQL的"
-        "【执行结果】改正它，写出能回答【用户问题】的SQL。\n\n【数据库schema】\n{db_schema}\n\n【参考信息】\n"
-        "{evidence}\n\n【用户问题】\n{question}\n\n【SQL】\n{error_sql}\n\n【执行结果】\n{error_info}\n\n```sql"),
-    ("candidate", "zh"): "候选{id}\n【SQL】\n{sql}\n【执行结果】\n{exec_info}",
+        "【用户问题】\n{question}\n\n【数据库schema】\n{db_schema}\n\n【参考信息】\n{evidence}\n\n"
+        "之前写的【SQL】\n{error_sql}\n\n运行后得到【执行结果】\n{error_info}\n\n"
+        "这条语句没有答对问题。想一想错在哪里，重新写一条SQLite语句，只输出语句。\n\n```sql"),
+    ("candidate", "zh"): "<{id}>\n{sql}\n-- 运行结果：\n{exec_info}",
     ("selection", "zh"): (
-        "你是一名SQLite工程师。对于【用户问题】，下面有{num}条候选【SQL】及其【执行结果】（前10行）。请比较"
-        "这些候选，并根据【数据库schema】、【参考信息】和【用户问题】选出正确的一条。\n\n【数据库schema】\n"
-        "{db_schema}\n\n【参考信息】\n{evidence}\n\n【用户问题】\n{question}\n\n{candidates}\n\n"
-        "请回答所选的候选：{items}"),
+        "【用户问题】\n{question}\n\n【数据库schema】\n{db_schema}\n\n【参考信息】\n{evidence}\n\n"
+        "有人写了{num}种答案，每种都附上了运行结果的开头：\n\n{candidates}\n\n"
+        "哪一种真正回答了问题？只写它的编号（{items}）。"),
 }
 
 # --- fixed values: task names accepted by prompt rendering ---
@@ -142,8 +141,7 @@ def selection_prompts(records: DataFrame, candidates: DataFrame) -> DataFrame:
            .groupBy("idx").agg(F.array_sort(F.collect_list(F.struct("cand_no", "txt"))).alias("c")))
     per = per.select("idx", F.size("c").alias("num"),
                      F.array_join(F.transform("c", lambda x: x["txt"]), "\n\n").alias("candidates"),
-                     F.array_join(F.transform("c", lambda x: F.concat(F.lit("候选"), x["cand_no"].cast("string"))),
-                                  "、").alias("items"))
+                     F.array_join(F.transform("c", lambda x: x["cand_no"].cast("string")), "、").alias("items"))
     j = records.join(per, "idx")
     v = _values(records)
     v.update({"num": F.col("num"), "candidates": F.col("candidates"), "items": F.col("items")})

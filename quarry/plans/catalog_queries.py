@@ -279,17 +279,68 @@ ORACLES["field_profile"] = _profile_block_sql("region") + "\nUNION ALL\n" + _pro
 
 @register("enum_values")
 def enum_values_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = PRO.enum_values({"orders": load(spark, sf_dir, "orders")}, max_distinct=10)
+    e = PRO.enum_values(load_many(spark, sf_dir, ENUM_TABLES))
     return e.select("table_name", "field_name", F.col("n_values").cast("long").alias("n_values"),
                     F.array_join("values", ", ").alias("values"))
 
 
+ENUM_TABLES = ["orders", "customer", "part", "lineitem"]
+
+
+def _enum_sql(t, c, ty):
+    """The Enum rule of P13 for text and integers: repeating, at most 50 values."""
+    if ty not in ("TEXT", "INTEGER", "BIGINT") or c.endswith("key"):
+        return None
+    k = f"{c}::DOUBLE" if ty != "TEXT" else "NULL::DOUBLE"
+    year = "" if ty == "TEXT" else f" AND NOT (min({c}) >= 1000 AND max({c}) <= 2999)"
+    return (f"SELECT '{t}' AS table_name, '{c}' AS field_name, count(DISTINCT {c}) AS n_values, "
+            f"(SELECT string_agg(v, ', ' ORDER BY k NULLS LAST, v) FROM (SELECT DISTINCT {k} AS k, cast({c} AS VARCHAR) AS v "
+            f"FROM {t} WHERE {c} IS NOT NULL)) AS \"values\" FROM {t} "
+            f"HAVING count(DISTINCT {c}) <= 50 AND count(DISTINCT {c}) * 2 <= count({c}){year}")
+
+
 ORACLES["enum_values"] = "\nUNION ALL\n".join(
-    f"SELECT * FROM (SELECT 'orders' AS table_name, '{c}' AS field_name, count(DISTINCT {c}) AS n_values, "
-    f"(SELECT string_agg(v, ', ' ORDER BY k NULLS LAST, v) FROM (SELECT DISTINCT "
-    f"{c + '::DOUBLE' if ty in NUMERIC else 'NULL::DOUBLE'} AS k, cast({c} AS VARCHAR) AS v FROM orders "
-    f"WHERE {c} IS NOT NULL)) AS \"values\" FROM orders) WHERE n_values <= 10"
-    for c, ty in COLS["orders"])
+    q for t in ENUM_TABLES for c, ty in COLS[t] if (q := _enum_sql(t, c, ty)))
+
+
+@register("profile_big_ids")
+def profile_big_ids_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P7 and P6 beyond 2^53, where doubles merge neighbours: exact extremes,
+    exact sum, and a probe for a value and for its absent neighbour."""
+    ids = load(spark, sf_dir, "orders").select(
+        (F.col("o_orderkey") * 2 + F.lit(2 ** 53)).alias("id"), (F.col("o_totalprice").cast("decimal(20,2)")).alias("price"))
+    prof = profile({"big": ids}, n_examples=0).select("field_name", "max_text", "min_text", "sum_text")
+    top = ids.agg(F.max("id").alias("m")).select(F.explode(F.array("m", F.col("m") + 1)).alias("v"))
+    probes = top.select(F.lit("big").alias("table_name"), F.lit("id").alias("field_name"), F.col("v").cast("string").alias("value"))
+    found = PRO.value_exists({"big": ids}, probes)
+    return prof.select("field_name", "max_text", "min_text", "sum_text", F.lit(None).cast("boolean").alias("found")).union(
+        found.select(F.lit("probe"), "value", F.lit(None).cast("string"), F.lit(None).cast("string"), "exists"))
+
+
+ORACLES["profile_big_ids"] = """
+WITH b AS (SELECT o_orderkey * 2 + 9007199254740992 AS id, cast(o_totalprice AS DECIMAL(20,2)) AS price FROM orders)
+SELECT 'id' AS field_name, cast(max(id) AS VARCHAR) AS max_text, cast(min(id) AS VARCHAR) AS min_text,
+ cast(sum(id) AS VARCHAR) AS sum_text, NULL::BOOLEAN AS found FROM b
+UNION ALL SELECT 'price', cast(max(price) AS VARCHAR), cast(min(price) AS VARCHAR), cast(sum(price) AS VARCHAR), NULL FROM b
+UNION ALL SELECT 'probe', cast(max(id) AS VARCHAR), NULL, NULL, true FROM b
+UNION ALL SELECT 'probe', cast(max(id) + 1 AS VARCHAR), NULL, NULL, false FROM b"""
+
+
+@register("text_lengths")
+def text_lengths_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P8 in full: longest, shortest, mean and total length of text fields."""
+    out = None
+    for t in ("documents", "customer", "part"):
+        x = PRO.text_lengths(t, load(spark, sf_dir, t))
+        out = x if out is None else out.union(x)
+    return out.withColumn("avg_len", F.round("avg_len", 6))
+
+
+ORACLES["text_lengths"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS field_name, max(length({c})) AS max_len, min(length({c})) AS min_len, "
+    f"round(avg(length({c})), 6) AS avg_len, cast(sum(length({c})) AS BIGINT) AS sum_len FROM {t}"
+    for t, cs in (("documents", ("text", "lang", "source")), ("customer", ("c_name", "c_mktsegment")),
+                  ("part", ("p_name", "p_brand", "p_type"))) for c in cs)
 
 
 @register("key_discovery")

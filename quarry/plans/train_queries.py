@@ -102,7 +102,7 @@ c AS (SELECT idx, 1 AS cand_no, pred_sql AS sql, '' AS exec_info FROM f2
   UNION ALL SELECT idx, 2, s, '' FROM s3 UNION ALL SELECT idx, 3, sql, '' FROM f2),
 b AS (SELECT idx, cand_no, {fill_sql(G.TEMPLATES[('candidate', 'zh')], CAND_VALS)} AS txt FROM c),
 per AS (SELECT idx, count(*) AS num, string_agg(txt, chr(10) || chr(10) ORDER BY cand_no) AS candidates,
-  string_agg('候选' || cand_no, '、' ORDER BY cand_no) AS items FROM b GROUP BY idx),
+  string_agg(cast(cand_no AS VARCHAR), '、' ORDER BY cand_no) AS items FROM b GROUP BY idx),
 r AS ({PROCESSED_SQL})
 SELECT r.idx, {fill_sql(G.TEMPLATES[('selection', 'zh')], SEL_VALS)} AS prompt FROM r JOIN per ON r.idx = per.idx""")
 def candidate_prompt_q(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ by file position.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,28 +74,40 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.regexp_replace("value", _WS, "").alias("value"))
 
 
+def _path_of(uri: Column) -> Column:
+    """The path in a file URI or plain path, escapes decoded."""
+    plain = F.regexp_replace(uri, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return F.when(uri.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))).otherwise(plain)
+
+
 def read_whole_texts(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Each file as one value; a missing or unreadable path gives ``''``.
+    """Each file as one value; a missing path gives ``''``.
 
     Files are read per parent folder with a name filter (a missing folder
-    contributes nothing), then left-joined onto the expected paths."""
+    contributes nothing), then left-joined onto the expected paths by the
+    decoded path, so names with spaces and any file system's scheme match."""
     import posixpath
-    expected = spark.createDataFrame([(p,) for p in paths], "path string")
+    import re
+    from pyspark.errors import AnalysisException
     by_dir: dict[str, list[str]] = {}
     for p in paths:
         by_dir.setdefault(posixpath.dirname(p), []).append(posixpath.basename(p))
     got = None
     for d, names in by_dir.items():
+        glob = "{" + ",".join(re.sub(r"([\\{}\[\],*?])", r"\\\1", n) for n in names) + "}"
         try:
-            part = (spark.read.option("pathGlobFilter", "{" + ",".join(names) + "}")
-                    .text(d, wholetext=True).select(F.input_file_name().alias("_uri"), "value"))
-        except Exception:  # noqa: BLE001 - a folder that does not exist holds nothing
+            part = (spark.read.option("pathGlobFilter", glob).text(d, wholetext=True)
+                    .select(_path_of(F.col("_metadata.file_path")).alias("_at"), "value"))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             continue
         got = part if got is None else got.unionByName(part)
+    expected = spark.createDataFrame([(p, re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", p)) for p in paths],
+                                     "path string, _at string")
     if got is None:
         return expected.select("path", F.lit("").alias("text"))
-    got = got.withColumn("path", F.regexp_replace("_uri", r"^file:/+", "/")).drop("_uri")
-    return expected.join(got, "path", "left").select("path", F.coalesce("value", F.lit("")).alias("text"))
+    return expected.join(got, "_at", "left").select("path", F.coalesce("value", F.lit("")).alias("text"))
 
 
 def save_lines(df: DataFrame, col: str, path: str) -> None:
@@ -142,15 +154,19 @@ MSCHEMA_DUMP = T.StructType([
 
 def dump_mschema(cat_tables: DataFrame, cat_fields: DataFrame, cat_fks: DataFrame) -> DataFrame:
     """S11 dump: catalog tables -> one nested row per database."""
-    f = cat_fields.groupBy("db", "table_name").agg(F.map_from_entries(F.collect_list(F.struct(
-        "field_name", F.struct("type", "primary_key", "nullable", "default", "autoincrement",
-                               "unique", "comment", "examples", "category", "dim_or_meas"))))
-        .alias("fields"))
+    def in_order(ordinal, name, value):
+        """A map whose entries follow ``ordinal``, however the rows arrive."""
+        rows = F.array_sort(F.collect_list(F.struct(F.col(ordinal).alias("o"), F.col(name).alias("k"))))
+        values = F.map_from_entries(F.collect_list(F.struct(name, value)))
+        return F.map_from_entries(F.transform(rows, lambda x: F.struct(x["k"], F.element_at(values, x["k"]))))
+
+    f = cat_fields.groupBy("db", "table_name").agg(in_order("field_ord", "field_name", F.struct(
+        "type", "primary_key", "nullable", "default", "autoincrement", "unique", "comment", "examples", "category",
+        "dim_or_meas")).alias("fields"))
     t = (cat_tables.join(f, ["db", "table_name"], "left")
-         .groupBy("db", "schema").agg(F.map_from_entries(F.collect_list(F.struct(
-             "table_name", F.struct("fields", F.array().cast("array<string>").alias("examples"),
-                                    F.coalesce("comment", F.lit("")).alias("comment")))))
-             .alias("tables")))
+         .groupBy("db", "schema").agg(in_order("table_ord", "table_name", F.struct(
+             "fields", F.array().cast("array<string>").alias("examples"),
+             F.coalesce("comment", F.lit("")).alias("comment"))).alias("tables")))
     k = cat_fks.groupBy("db").agg(F.transform(F.array_sort(F.collect_list(F.struct(
         "fk_ord", F.array("table_name", "field_name", "ref_schema", "ref_table", "ref_field").alias("a")))),
         lambda x: x["a"]).alias("foreign_keys"))
