@@ -165,77 +165,63 @@ def discover_keys(prof: DataFrame) -> DataFrame:
 KEY_TYPES = ["TINYINT", "SMALLINT", "INTEGER", "BIGINT", "TEXT"]
 
 
-def discover_fks(tables: dict[str, DataFrame], prof: DataFrame | None = None,
-                 candidate_broadcast_rows: int = 100_000) -> DataFrame:
+WORD = 62  # columns per bit mask
+
+
+def discover_fks(tables: dict[str, DataFrame]) -> DataFrame:
     """P17 FK discovery: ``child -> parent`` when the parent column is unique
     (non-null, all distinct), both have the same key-like type, and every
     distinct non-null child value occurs in the parent.
 
-    Candidate pairs are cut by type, uniqueness, distinct counts and the
-    min/max of pass A, so they stay schema-sized.  The check is
-    one join of distinct child values with distinct parent values on the
-    typed value (long or text), so only real matches are produced; a value
-    fans out to at most the columns holding it.  Matches per candidate pair
-    equal to the child's distinct count make a FK."""
-    from pyspark import StorageLevel
-
-    from quarry.operators.profile import distinct_values
-    # one distinct pass feeds both the profile and the inclusion check; it is
-    # kept on local disk (deterministic, so a lost block is recomputed) and
-    # released once the schema-sized answer is known
-    vals = distinct_values(tables).persist(StorageLevel.DISK_ONLY)
-    if prof is None:
-        prof = profile(tables, n_examples=0, distinct=vals)
-    prof = prof.persist(StorageLevel.MEMORY_AND_DISK)
-    keys = discover_keys(prof).join(
-        prof.select("table_name", "field_ord", "n_distinct", "min_value", "max_value",
-                    F.col("n_count")), ["table_name", "field_ord"])
-    keys = keys.where(F.col("type_name").isin(KEY_TYPES))
-    child = keys.select(F.col("table_name").alias("c_table"), F.col("field_ord").alias("c_ord"),
-                        F.col("field_name").alias("c_field"), F.col("type_name"),
-                        F.col("n_distinct").alias("c_nd"), F.col("min_value").alias("c_min"),
-                        F.col("max_value").alias("c_max"))
-    parent = keys.where("is_unique").select(
-        F.col("table_name").alias("p_table"), F.col("field_ord").alias("p_ord"),
-        F.col("field_name").alias("p_field"), F.col("type_name"),
-        F.col("min_value").alias("p_min"), F.col("max_value").alias("p_max"))
-    numeric_ok = (F.col("c_min").isNull() | ((F.col("c_min") >= F.col("p_min")) & (F.col("c_max") <= F.col("p_max"))))
-    p_nd = keys.select(F.col("table_name").alias("p_table"), F.col("field_ord").alias("p_ord"),
-                       F.col("n_distinct").alias("p_nd"))
-    cands = (child.join(parent, "type_name")  # both sides schema-sized
-             .join(p_nd, ["p_table", "p_ord"])
-             .where(~((F.col("c_table") == F.col("p_table")) & (F.col("c_ord") == F.col("p_ord"))))
-             .where((F.col("c_nd") > 0) & (F.col("c_nd") <= F.col("p_nd")) & numeric_ok))
-    cands = cands.persist(StorageLevel.MEMORY_AND_DISK)
-    n_cands = cands.count()
-    pairs = cands.select("c_table", "c_ord", "p_table", "p_ord", "c_nd")
-    pairs = F.broadcast(pairs) if n_cands <= candidate_broadcast_rows else pairs
-    cset = cands.select("c_table", "c_ord").distinct()
-    pset = cands.select("p_table", "p_ord").distinct()
-    # join values on their typed key: only actual matches are produced
-    cv = vals.join(F.broadcast(cset.withColumnRenamed("c_table", "table_name").withColumnRenamed("c_ord", "field_ord")),
-                   ["table_name", "field_ord"], "left_semi").select(
-        F.col("table_name").alias("c_table"), F.col("field_ord").alias("c_ord"), "kl", "ks")
-    pv = vals.join(F.broadcast(pset.withColumnRenamed("p_table", "table_name").withColumnRenamed("p_ord", "field_ord")),
-                   ["table_name", "field_ord"], "left_semi").select(
-        F.col("table_name").alias("p_table"), F.col("field_ord").alias("p_ord"), "kl", "ks")
-    hits = (cv.where(F.col("kl").isNotNull()).join(pv.where(F.col("kl").isNotNull()).drop("ks"), "kl")
-            .select("c_table", "c_ord", "p_table", "p_ord")
-            .unionByName(cv.where(F.col("ks").isNotNull()).join(pv.where(F.col("ks").isNotNull()).drop("kl"), "ks")
-                         .select("c_table", "c_ord", "p_table", "p_ord")))
-    matched = (hits.join(pairs, ["c_table", "c_ord", "p_table", "p_ord"])
-               .groupBy("c_table", "c_ord", "p_table", "p_ord")
-               .agg(F.count(F.lit(1)).alias("n_hit"), F.first("c_nd").alias("n_child")))
-    fk = matched.where(F.col("n_child") == F.col("n_hit"))
-    out = (fk.join(cands.select("c_table", "c_ord", "c_field", "p_table", "p_ord", "p_field"),
-                   ["c_table", "c_ord", "p_table", "p_ord"])
-           .select(F.col("c_table").alias("table_name"), F.col("c_field").alias("field_name"),
-                   F.col("p_table").alias("ref_table"), F.col("p_field").alias("ref_field")))
-    found = out.collect()  # schema-sized: at most one row per candidate pair
-    vals.unpersist()
-    cands.unpersist()
-    spark = out.sparkSession
-    return spark.createDataFrame(found, "table_name string, field_name string, ref_table string, ref_field string")
+    One shuffle of values: each distinct typed value gets the set of columns
+    that hold it, as bit masks combined on the map side (a value in all rows is
+    one row per task).  Values with the same set are counted together, and the
+    counts of the sets that hold two columns are those columns' common values;
+    no value is joined to another.  Long texts travel as digests."""
+    spark = next(iter(tables.values())).sparkSession
+    cols = [(t, f.name, sql_type_name(f.dataType)) for t, df in tables.items() for f in df.schema.fields
+            if sql_type_name(f.dataType) in KEY_TYPES]
+    number = {(t, c): i for i, (t, c, _) in enumerate(cols)}
+    words = range(-(-max(len(cols), 1) // WORD))
+    values = sizes = None
+    for t, df in tables.items():
+        mine = [(c, ty) for tt, c, ty in cols if tt == t]
+        if not mine:
+            continue
+        rows, counts = [], []
+        for c, ty in mine:
+            x, i = F.col("`" + c.replace("`", "``") + "`"), number[t, c]
+            text = F.when(F.length(x) > 32, F.concat(F.lit("\u0001"), F.md5(x))).otherwise(x) if ty == "TEXT" else F.lit(None)
+            number_ = x.cast("long") if ty != "TEXT" else F.lit(None).cast("long")
+            rows.append(F.struct(number_.alias("kl"), text.cast("string").alias("ks"),
+                                 *[F.lit(1 << i % WORD if i // WORD == w else 0).cast("long").alias(f"m{w}") for w in words]))
+            counts.append(F.struct(F.lit(i).alias("col"), F.count(x).alias("n_count"), F.count(F.lit(1)).alias("n_rows")))
+        v = df.select(F.inline(F.array(*rows))).where("kl IS NOT NULL OR ks IS NOT NULL")
+        s = df.agg(F.array(*counts).alias("c")).select(F.inline("c"))
+        values = v if values is None else values.unionByName(v)
+        sizes = s if sizes is None else sizes.unionByName(s)
+    if values is None:
+        return spark.createDataFrame([], "table_name string, field_name string, ref_table string, ref_field string")
+    masks = [f"m{w}" for w in words]
+    sets = (values.groupBy("kl", "ks").agg(*[F.bit_or(m).alias(m) for m in masks])
+            .groupBy(*masks).agg(F.count(F.lit(1)).alias("n")))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(len(cols) - 1)), lambda i: F.element_at(
+        F.array(*masks), F.floor(i / WORD).cast("int") + 1)
+        .bitwiseAND(F.element_at(F.array(*[F.lit(1 << b).cast("long") for b in range(WORD)]), (i % WORD).cast("int") + 1)) != 0)
+    held = sets.select("n", bits.alias("held"))
+    common = (held.select("n", "held", F.explode("held").alias("child")).select("n", "child", F.explode("held").alias("parent"))
+              .groupBy("child", "parent").agg(F.sum("n").alias("common")))
+    names = spark.createDataFrame([(i, t, c, ty) for i, (t, c, ty) in enumerate(cols)],
+                                  "col int, table_name string, field_name string, type_name string")
+    # from here on everything is schema-sized
+    own = common.where("child = parent").select(F.col("child").alias("col"), F.col("common").alias("n_distinct"))
+    known = names.join(sizes, "col").join(own, "col")
+    child = known.select(F.col("col").alias("child"), "table_name", "field_name", F.col("type_name").alias("ct"), "n_distinct")
+    parent = known.where("n_count = n_rows AND n_distinct = n_count").select(
+        F.col("col").alias("parent"), F.col("table_name").alias("ref_table"), F.col("field_name").alias("ref_field"),
+        F.col("type_name").alias("pt"))
+    return (common.where("child <> parent").join(child, "child").join(parent, "parent")
+            .where("ct = pt AND common = n_distinct").select("table_name", "field_name", "ref_table", "ref_field"))
 
 
 COMMENT_MODES = ["origin", "no_comment", "generation", "merge"]

@@ -131,13 +131,13 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int = 42, purpose: str = "sa
     dataset is smaller), else all rows."""
     if n is None or n <= 0:
         return df
-    h = df.withColumn("_h", keyed_hash(seed, purpose, key))
-    r = global_rank(h, ["_h", key], "_r", 0)
+    # only keys are ranked and written out; the rows themselves are read once
+    r = global_rank(df.select(key).withColumn("_h", keyed_hash(seed, purpose, key)), ["_h", key], "_r", 0)
     top = r.agg(F.max("_r")).first()[0]  # read from the checkpointed ranks
     total = 0 if top is None else top + 1
     if n > total:
         raise ValueError(f"sample of {n} from {total} rows")
-    return r.where(F.col("_r") < n).drop("_h", "_r")
+    return df.join(r.where(F.col("_r") < n).select(key), key, "left_semi")
 
 
 def assemble(datasets: list[tuple[str, DataFrame, int]], key: str = "idx", seed: int = 42,

@@ -88,9 +88,10 @@ def length_batches(df: DataFrame, batch_size: int, key: str = "id", max_len: int
     t = (df.withColumn("input_ids", F.slice("input_ids", 1, max_len))
          .withColumn("labels", F.slice("labels", 1, max_len))
          .withColumn("_len", F.size("input_ids")))
-    r = global_rank(t, ["_len", key], "_r", 0).withColumn("batch", F.floor(F.col("_r") / batch_size))
+    # lengths and keys are ranked; the token arrays are shuffled once, by key
+    r = global_rank(t.select(key, "_len"), ["_len", key], "_r", 0).withColumn("batch", F.floor(F.col("_r") / batch_size))
     mx = r.groupBy("batch").agg(F.max("_len").alias("_mx"))  # one row per batch
-    r = r.join(mx, "batch")
+    r = t.join(r.join(mx, "batch").drop("_len"), key)
 
     def pad(col, value):
         fill = F.array_repeat(F.lit(value), (F.col("_mx") - F.size(col)).cast("int"))
