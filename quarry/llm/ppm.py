@@ -1,8 +1,8 @@
 """Language-model scoring by prediction by partial matching (PPM).
 
 Texts are read as byte streams: the words (A-Z lower-cased) with one space
-between them, an end byte after the last, four end bytes before the first. The
-model is the trie of all contexts of up to four bytes in the learned texts, with
+between them, an end byte after the last, ``order`` end bytes before the first. The
+model is the trie of all contexts of up to ``order`` bytes in the learned texts, with
 the counts of the bytes that followed them. A byte is predicted in the longest
 context that has occurred; if it never followed there, the model escapes to the
 next shorter one (estimation D: every first occurrence of a byte gives half a
@@ -11,7 +11,7 @@ offered; below order 0 the bytes never seen share what is left. Beside it a word
 unigram model gives the baseline.
 
 How it runs: texts are dealt to blocks of about ``block_bytes`` by a hash of the
-id. Each block reports its distinct five-byte strings (four of context and the
+id. Each block reports its distinct strings (a longest context and its
 byte) and words with their learned counts; the sums over blocks are the trie's
 leaves, and the counts of shorter contexts are sums of those. The probability of
 every distinct string is worked out with joins on that table, and each block
@@ -37,7 +37,6 @@ from quarry.llm.store import id_text, keep
 from quarry.llm.textbytes import LOWER_CODE, SPACE, WORDS, _LOWER, buffers, word_ranges
 
 U = np.uint64
-ORDER = 4
 END, GAP = 10, 32
 PIECE = 2 << 20
 WORD, STRING = 0, 1  # kinds of keys
@@ -45,37 +44,38 @@ WORD, STRING = 0, 1  # kinds of keys
 
 @dataclass(frozen=True)
 class Params:
+    order: int = 6  # bytes of the longest context; a context and its byte fit a positive long up to 6
     block_bytes: int = 24 << 20
 
 
-def stream(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of some texts: the five-byte string that ends at every scored byte, the
+def stream(data: np.ndarray, off: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of some texts: the string (context and byte) that ends at every scored byte, the
     rows' offsets into those; the word hashes and the rows' offsets into them."""
     rows = len(off) - 1
     inside = ~SPACE[data] if len(data) else np.zeros(0, bool)
     s, e, at = word_ranges(data, off, inside)
     hashes = WORDS.of(WORDS.sums(data, LOWER_CODE), s, e) if len(s) else np.zeros(0, np.uint64)
     n = np.diff(at)
-    lead = np.arange(1, rows + 1) * ORDER + np.concatenate([[0], np.cumsum(n == 0)[:-1]]) if rows else np.zeros(0, int)
+    lead = np.arange(1, rows + 1) * order + np.concatenate([[0], np.cumsum(n == 0)[:-1]]) if rows else np.zeros(0, int)
     word_row = np.repeat(np.arange(rows), n)
     before = np.arange(len(s)) + lead[word_row] if len(s) else np.zeros(0, int)  # bytes put before each word, beside words' own
     where = np.arange(int(inside.sum())) + np.repeat(before, e - s)
     row_bytes = np.bincount(word_row, e - s + 1, rows).astype(np.int64) if len(s) else np.zeros(rows, np.int64)
     row_bytes[n == 0] = 1
     to = np.concatenate([[0], np.cumsum(row_bytes)])
-    full = np.full(to[-1] + rows * ORDER, GAP, dtype=np.uint8)
+    full = np.full(to[-1] + rows * order, GAP, dtype=np.uint8)
     full[where] = _LOWER[data[inside]]
-    first = to[:-1] + np.arange(rows) * ORDER
-    for k in range(ORDER):
+    first = to[:-1] + np.arange(rows) * order
+    for k in range(order):
         full[first + k] = END
-    full[first + ORDER + row_bytes - 1] = END
-    string = np.zeros(len(full) - ORDER if rows else 0, dtype=np.uint64)
-    for k in range(ORDER + 1):
+    full[first + order + row_bytes - 1] = END
+    string = np.zeros(len(full) - order if rows else 0, dtype=np.uint64)
+    for k in range(order + 1):
         string = string << U(8) | full[k:k + len(string)].astype(np.uint64)
     scored = np.ones(len(string), dtype=bool)
-    for k in range(ORDER):  # strings that end in a row's leading end bytes
+    for k in range(order):  # strings that end in a row's leading end bytes
         if rows > 1:
-            scored[first[1:] + k - ORDER] = False
+            scored[first[1:] + k - order] = False
     return string[scored], to, hashes, at
 
 
@@ -115,13 +115,13 @@ def _texts(table: pa.Table):
         row += len(off) - 1
 
 
-def _report(table: pa.Table) -> pa.Table:
+def _report(table: pa.Table, order: int) -> pa.Table:
     """(block, kind, key, n) of a block: its distinct strings and words with
     their learned counts."""
     learn = table["learn"].to_numpy()
     strings, found = [], []
     for row, data, off in _texts(table):
-        string, to, hashes, at = stream(data, off)
+        string, to, hashes, at = stream(data, off, order)
         mine = learn[row:row + len(off) - 1]
         strings.append(_counted(string, np.repeat(mine, np.diff(to))))
         found.append(_counted(hashes, np.repeat(mine, np.diff(at))))
@@ -158,7 +158,7 @@ class Lookup:
         return out
 
 
-def _score(texts: pa.Table, numbers: pa.Table, total: int, kinds: int, ends: int) -> pa.Table:
+def _score(texts: pa.Table, numbers: pa.Table, order: int, total: int, kinds: int, ends: int) -> pa.Table:
     """One row for each text of a block, from the numbers sent back to it."""
     learn, parts = texts["learn"].to_numpy(), []
     kind, key = numbers["kind"].to_numpy(), numbers["key"].to_numpy().view(np.uint64)
@@ -174,7 +174,7 @@ def _score(texts: pa.Table, numbers: pa.Table, total: int, kinds: int, ends: int
     own = Lookup(*_merged(found))  # words of this block alone are not sent: their counts are its own
     floor = np.log10(total + kinds + 1)
     for row, data, off in _texts(texts):
-        string, to, hashes, at = stream(data, off)
+        string, to, hashes, at = stream(data, off, order)
         rows = len(off) - 1
         mine = learn[row:row + rows]
         score = np.add.reduceat(prob.of(string, -np.log10(256)), to[:-1])
@@ -198,16 +198,16 @@ def _low(k: int):
     return F.col("string").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1))
 
 
-def probabilities(strings: DataFrame) -> DataFrame:
+def probabilities(strings: DataFrame, order: int) -> DataFrame:
     """(string, logp): log10 of the last byte's probability after the others.
     ``strings``: (string, n), all distinct strings with their learned counts."""
     seen, contexts = {}, {}
     below = strings.where("n > 0").withColumnRenamed("n", "c")
-    for k in range(ORDER, -1, -1):  # counts of shorter contexts are sums of the longer ones'
-        if k < ORDER:
+    for k in range(order, -1, -1):  # counts of shorter contexts are sums of the longer ones'
+        if k < order:
             below = below.groupBy(_low(k).alias("string")).agg(F.sum("c").alias("c"))
         seen[k] = below = keep(below, f"ppm-order{k}")
-    for k in range(ORDER + 1):
+    for k in range(order + 1):
         each = seen[k].withColumn("ctx", F.shiftright("string", 8))
         if k:  # of the context's bytes, their counts one order below: what an escape excludes there
             each = each.withColumn("s", F.col("string").bitwiseAND(F.lit((1 << 8 * k) - 1))).join(
@@ -216,14 +216,14 @@ def probabilities(strings: DataFrame) -> DataFrame:
             each = each.withColumn("x", F.lit(0).cast("long"))
         contexts[k] = each.groupBy("ctx").agg(F.sum("c").alias(f"total{k}"), F.count("*").alias(f"kinds{k}"), F.sum("x").alias(f"also{k}"))
     out = strings.select("string")
-    for k in range(ORDER, -1, -1):
+    for k in range(order, -1, -1):
         out = (out.withColumn("low", _low(k)).withColumn("ctx", F.shiftright("low", 8))
                .join(seen[k].select(F.col("string").alias("low"), F.col("c").alias(f"c{k}")), "low", "left")
                .join(contexts[k], "ctx", "left").drop("low", "ctx"))
     logp, escaped = F.lit(None).cast("double"), F.lit(0.0)
-    for k in range(ORDER, -1, -1):
+    for k in range(order, -1, -1):
         c, total, kinds = F.col(f"c{k}"), F.col(f"total{k}"), F.col(f"kinds{k}")
-        if k < ORDER:  # the bytes of the next longer context, if it has occurred, are excluded
+        if k < order:  # the bytes of the next longer context, if it has occurred, are excluded
             total, kinds = (total - F.coalesce(f"also{k + 1}", F.lit(0)), kinds - F.coalesce(f"kinds{k + 1}", F.lit(0)))
         logp = F.coalesce(logp, escaped + F.log10((c - 0.5) / total))
         escaped = escaped + F.when(kinds > 0, F.log10(0.5 * kinds / total)).otherwise(0.0)
@@ -239,16 +239,16 @@ def scores(docs: DataFrame, learned, p: Params = Params()) -> DataFrame:
     blocks = max(1, -(-size // p.block_bytes))
     texts = texts.select(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).cast("int").alias("block"),
                          "doc_id", "text", "learn")
-    keys = keep(texts.groupBy("block").applyInArrow(_report, "block int, kind byte, key long, n long")
+    keys = keep(texts.groupBy("block").applyInArrow(lambda t: _report(t, p.order), "block int, kind byte, key long, n long")
                 .groupBy("kind", "key").agg(F.sum("n").alias("n"), F.collect_list("block").alias("blocks")), "ppm-keys")
     total, kinds = keys.where(F.col("kind") == WORD).agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
     total, kinds = total + ends, kinds + (ends > 0)
     strings = keys.where(F.col("kind") == STRING).select(F.col("key").alias("string"), "n", "blocks")
-    logp = probabilities(strings.select("string", "n"))
+    logp = probabilities(strings.select("string", "n"), p.order)
     back = (strings.join(logp, "string").select(F.explode("blocks").alias("block"), F.lit(STRING).cast("byte").alias("kind"),
                                                 F.col("string").alias("key"), F.col("logp").alias("value"))
             .union(keys.where((F.col("kind") == WORD) & (F.size("blocks") > 1))
                    .select(F.explode("blocks").alias("block"), "kind", "key", F.col("n").cast("double").alias("value"))))
     return texts.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
-        lambda t, n: _score(t, n, total, kinds, ends), SCORES)
+        lambda t, n: _score(t, n, p.order, total, kinds, ends), SCORES)

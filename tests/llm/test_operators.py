@@ -319,15 +319,15 @@ def test_vectors_equal_brute_force(spark):
 
 # 9 ---------------------------------------------------------------------------
 
-@pytest.mark.parametrize("block", [1 << 20, 600])
-def test_ppm_equals_brute_force(docs, texts, block):
+@pytest.mark.parametrize("order,block", [(ppm.Params.order, 1 << 20), (2, 600)])
+def test_ppm_equals_brute_force(docs, texts, order, block):
     learned = [t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2]
-    got = ppm.scores(docs, lambda i: queries.crc_fold(i, 7) != 2, ppm.Params(block_bytes=block)).collect()
+    got = ppm.scores(docs, lambda i: queries.crc_fold(i, 7) != 2, ppm.Params(order=order, block_bytes=block)).collect()
     assert len(got) == len(texts) + 2
     ids = [i for i in texts if texts[i] is None or len(texts[i]) < 3000]
     n, bases = brute.base(learned, [texts[i] for i in ids])
     by = {r.doc_id: r for r in got if r.doc_id is not None}
-    for i, b, s in zip(ids, bases, brute.ppm(learned, [texts[i] for i in ids], ppm.ORDER)):
+    for i, b, s in zip(ids, bases, brute.ppm(learned, [texts[i] for i in ids], order)):
         r = by[i]
         assert r.train_tokens == n and r.n_tokens == len(brute.words(texts[i])) + 1
         assert r.base_score == pytest.approx(b, abs=1e-6) and r.score == pytest.approx(s, abs=1e-6), i
