@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions.cells import cells_array
 from quarry.operators import compare as C
 from quarry.operators import metrics as M
-from quarry.plans.fixtures import F2_SQL, F4_SQL, replies, result_pairs
+from quarry.plans.fixtures import CUSTOMER_PAIR, F2_SQL, F4_SQL, replies, result_pairs
 from quarry.sources.tables import load
 
 QUERIES: dict = {}
@@ -28,7 +28,7 @@ def f4_rows(spark: SparkSession, sf_dir: str):
     """F4 as stored results: rows with canonical cells, and headers."""
     w = result_pairs(spark, sf_dir)
     rows = w.select("pair_id", "side", "row_no", cells_array(w, ["c0", "c1"]).alias("cells"))
-    pairs = load(spark, sf_dir, "region").select(F.col("r_regionkey").cast("long").alias("pair_id"))
+    pairs = rows.select("pair_id").distinct()
     return rows, C.heads_from_rows(rows, pairs, default_cols=2)
 
 
@@ -80,7 +80,7 @@ def quick_reject_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("has_null", f"""WITH cells AS ({F4_SQL}), sides AS (
- SELECT r_regionkey AS pair_id, s AS side FROM region, (VALUES ('gold'), ('pred')) t(s))
+ SELECT pair_id, s AS side FROM (SELECT DISTINCT pair_id FROM cells), (VALUES ('gold'), ('pred')) t(s))
 SELECT CAST(sides.pair_id AS BIGINT) AS pair_id, sides.side,
  coalesce(count(cells.row_no) = 0 OR bool_or(cells.c0 IS NULL OR cells.c1 IS NULL), true) AS has_null
 FROM sides LEFT JOIN cells ON sides.pair_id = cells.pair_id AND sides.side = cells.side
@@ -111,9 +111,9 @@ v AS (SELECT DISTINCT pair_id, side, pos, 's:' || c0 AS cv FROM pos UNION SELECT
 g AS (SELECT * FROM v WHERE side = 'gold'), p AS (SELECT * FROM v WHERE side = 'pred'),
 j AS (SELECT coalesce(g.pair_id, p.pair_id) AS pair_id, g.cv IS NOT NULL AND p.cv IS NOT NULL AS both_
  FROM g FULL OUTER JOIN p ON g.pair_id = p.pair_id AND g.pos = p.pos AND g.cv = p.cv)
-SELECT CAST(r_regionkey AS BIGINT) AS pair_id,
+SELECT CAST(a.pair_id AS BIGINT) AS pair_id,
  CASE WHEN count(j.pair_id) = 0 THEN 1.0 ELSE round(sum(CASE WHEN both_ THEN 1 ELSE 0 END) / count(j.pair_id), 6) END AS df_sim
-FROM region LEFT JOIN j ON j.pair_id = r_regionkey GROUP BY r_regionkey""")
+FROM (SELECT DISTINCT pair_id FROM cells) a LEFT JOIN j ON j.pair_id = a.pair_id GROUP BY a.pair_id""")
 def frame_similarity_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, heads = f4_rows(spark, sf_dir)
     ordered = heads.select("pair_id", F.lit(True).alias("ordered")).distinct()
@@ -134,8 +134,9 @@ def _score_table(spark, sf_dir):
     rows, heads = f4_rows(spark, sf_dir)
     s = C.score_pairs(rows, heads)
     db = load(spark, sf_dir, "region").select(F.col("r_regionkey").cast("long").alias("pair_id"),
-                                              F.col("r_name").alias("db_name"))
-    return s.join(db, "pair_id").withColumn("executable", F.lit(1))
+                                              F.col("r_name").alias("region"))
+    name = F.coalesce("region", F.when(F.col("pair_id") < CUSTOMER_PAIR, "bulk").otherwise("customers"))
+    return s.join(db, "pair_id", "left").withColumn("db_name", name).drop("region").withColumn("executable", F.lit(1))
 
 
 @register("accuracy", F5_HEAD + """
@@ -147,7 +148,8 @@ def accuracy_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("accuracy_by_db", F5_HEAD + """
-, s AS (SELECT r_name AS db_name, ex_eq, ex_bird, 1 AS executable FROM f5 JOIN region ON r_regionkey = pair_id)
+, s AS (SELECT coalesce(r_name, CASE WHEN pair_id < 1000 THEN 'bulk' ELSE 'customers' END) AS db_name, ex_eq, ex_bird,
+ 1 AS executable FROM f5 LEFT JOIN region ON r_regionkey = pair_id)
 SELECT coalesce(db_name, 'ALL') AS db_name, count(*) AS n,
  count(*) FILTER (WHERE ex_eq = 1) AS ex_eq_n, round(100.0 * count(*) FILTER (WHERE ex_eq = 1) / count(*), 2) AS ex_eq_pct,
  count(*) FILTER (WHERE ex_bird = 1) AS ex_bird_n, round(100.0 * count(*) FILTER (WHERE ex_bird = 1) / count(*), 2) AS ex_bird_pct,

@@ -72,19 +72,30 @@ def schema_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         _sql_text(F.col("o_custkey")).alias("sql"), _schema_text_col().alias("db_schema"))
 
 
+BULK_PAIR = 996       # a pair with a third of all orders (predicted columns swapped)
+CUSTOMER_PAIR = 1000  # plus the customer's key
+
+
 def result_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """gold and predicted result rows (two text columns) for five pairs."""
-    g = load(spark, sf_dir, "nation").select(
-        F.col("n_regionkey").cast("long").alias("pair_id"), F.lit("gold").alias("side"),
-        F.col("n_nationkey").cast("long").alias("row_no"), F.col("n_name").alias("c0"),
-        F.col("n_nationkey").cast("string").alias("c1"))
-    swap = F.col("pair_id") == 1
-    p = (g.where(~((F.col("pair_id") == 2) & (F.col("row_no") % 2 == 0)))
+    """gold and predicted result rows (two text columns): five pairs of
+    nations by region, one pair per customer with orders, and one bulk pair.
+    By its id modulo 5 a pair's prediction is the same (0, 4), has its columns
+    swapped (1), lacks the even rows (2) or repeats every row (3)."""
+    def rows(df, pair, row, c0, c1):
+        return df.select(pair.cast("long").alias("pair_id"), F.lit("gold").alias("side"), F.col(row).cast("long").alias("row_no"),
+                         F.col(c0).cast("string").alias("c0"), F.col(c1).cast("string").alias("c1"))
+    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    g = (rows(load(spark, sf_dir, "nation"), F.col("n_regionkey"), "n_nationkey", "n_name", "n_nationkey")
+         .unionByName(rows(o, F.col("o_custkey") + CUSTOMER_PAIR, "o_orderkey", "o_orderstatus", "o_orderpriority"))
+         .unionByName(rows(o.where("o_orderkey % 3 = 0"), F.lit(BULK_PAIR), "o_orderkey", "o_orderstatus", "o_orderpriority")))
+    kind = F.col("pair_id") % 5
+    swap = kind == 1
+    p = (g.where(~((kind == 2) & (F.col("row_no") % 2 == 0)))
          .select("pair_id", F.lit("pred").alias("side"), "row_no",
                  F.when(swap, F.col("c1")).otherwise(F.col("c0")).alias("c0"),
                  F.when(swap, F.col("c0")).otherwise(F.col("c1")).alias("c1")))
-    dup = g.where(F.col("pair_id") == 3).select(
-        "pair_id", F.lit("pred").alias("side"), (F.col("row_no") + 100).alias("row_no"), "c0", "c1")
+    dup = g.where(kind == 3).select(
+        "pair_id", F.lit("pred").alias("side"), (F.col("row_no") + 1_000_000_000_000).alias("row_no"), "c0", "c1")
     return g.unionByName(p).unionByName(dup)
 
 
@@ -117,15 +128,17 @@ F3_SQL = """SELECT o_orderkey AS idx, n_name AS db_name,
   '【Foreign keys】', chr(10), 'orders.o_custkey=customer.c_custkey') AS db_schema
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
 
-F4_SQL = """WITH g AS (
+F4_SQL = f"""WITH g AS (
  SELECT n_regionkey AS pair_id, 'gold' AS side, n_nationkey AS row_no, n_name AS c0, cast(n_nationkey AS string) AS c1
- FROM nation),
+ FROM nation
+ UNION ALL SELECT o_custkey + {CUSTOMER_PAIR}, 'gold', o_orderkey, o_orderstatus, o_orderpriority FROM orders
+ UNION ALL SELECT {BULK_PAIR}, 'gold', o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 3 = 0),
 p AS (
  SELECT pair_id, 'pred' AS side, row_no,
-  CASE WHEN pair_id = 1 THEN c1 ELSE c0 END AS c0, CASE WHEN pair_id = 1 THEN c0 ELSE c1 END AS c1
- FROM g WHERE NOT (pair_id = 2 AND row_no % 2 = 0)
+  CASE WHEN pair_id % 5 = 1 THEN c1 ELSE c0 END AS c0, CASE WHEN pair_id % 5 = 1 THEN c0 ELSE c1 END AS c1
+ FROM g WHERE NOT (pair_id % 5 = 2 AND row_no % 2 = 0)
  UNION ALL
- SELECT pair_id, 'pred' AS side, row_no + 100 AS row_no, c0, c1 FROM g WHERE pair_id = 3)
+ SELECT pair_id, 'pred' AS side, row_no + 1000000000000 AS row_no, c0, c1 FROM g WHERE pair_id % 5 = 3)
 SELECT * FROM g UNION ALL SELECT * FROM p"""
 
 
