@@ -43,7 +43,7 @@ from quarry.llm.store import id_text, keep
 from quarry.llm.textbytes import Rolling, mix, pieces
 
 U = np.uint64
-CUT = 4 << 20      # bytes of text that a task looks at together
+CUT = 2 << 20      # bytes of text that a task looks at together
 PLACE_BITS = 28    # of a place in those bytes, beside the hash's first bits
 HASH = Rolling(71)
 SECOND = Rolling(73)
@@ -54,7 +54,7 @@ class Params:
     length: int = 100
     gram: int = 32
     hot: int = 8192            # different pieces of an anchor that may share a bucket
-    bucket_bytes: int = 2 << 20
+    bucket_bytes: int = 1 << 20
 
 
 def anchors(data: np.ndarray, off: np.ndarray, p: Params):
