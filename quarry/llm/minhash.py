@@ -15,7 +15,10 @@ No list is expanded into rows of all its pairs. First every list compares its
 members with ``leaders`` of them, and the links found join components. What then
 remains in a list, texts of different components, is compared exhaustively on
 the signatures inside the tasks, in blocks of at most ``block`` texts, and only
-pairs with enough collisions leave them, each from the first list it shares.
+pairs with enough collisions leave them, each from the first list it shares; sets
+of at most ``few`` shingles travel beside the signature (as 32-bit values) and
+are compared there too, so a crowd of short texts that are alike, but not enough,
+sends nothing on.
 
 Defined results: null text and text without words give an empty set, which is
 linked with nothing; fewer words than a shingle has make one shingle of all of
@@ -47,6 +50,7 @@ class Params:
     match: int = 38    # collisions needed; P(Bin(64, 0.8) < 38) < 1e-4
     leaders: int = 3   # texts of a list that all its others are compared with first
     block: int = 2048  # texts of a list that meet in one task
+    few: int = 256     # shingles of a set that is small enough to travel with its signature
     broadcast_ids: int = 1_000_000  # up to so many wanted ids (8 bytes each) are broadcast, more are shuffled
     seed: int = 29
 
@@ -83,11 +87,12 @@ def _signatures(batches, p: Params):
             sig = np.empty((len(n), p.size), dtype=np.int32)
             for i in range(p.size):
                 sig[:, i] = per_row((v * a[i] + b[i]) >> U(32), at, np.minimum, 0).astype(np.uint32).view(np.int32)
+            few = [v[a:b].astype(np.uint32).tobytes() if b - a <= p.few else None for a, b in zip(at[:-1], at[1:])]
             sig = pa.FixedSizeListArray.from_arrays(pa.array(sig.ravel()), p.size).cast(pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id")[rows.start:rows.stop], pa.array(n), pa.array(_key(v, at, 1)),
-                 pa.array(_key(v, at, 2)), sig],
-                ["doc_id", "n", "key1", "key2", "sig"])
+                 pa.array(_key(v, at, 2)), sig, pa.array(few, pa.binary())],
+                ["doc_id", "n", "key1", "key2", "sig", "few"])
 
 
 def _sets(batches, p: Params):
@@ -158,6 +163,14 @@ def _collide(batches, p: Params):
     sorted by list and block pair; each pair from the first list it shares."""
     key, rows = None, []
 
+    def alike(x, y):
+        """False only for sets that are too far apart; two points of slack, as
+        32-bit values may coincide."""
+        if x is None or y is None:
+            return True
+        common = len(x & y)
+        return 100 * common >= (p.percent - 2) * (len(x) + len(y) - common)
+
     def pairs():
         n = len(rows)
         doc, comp, size, block = (np.array([r[k] for r in rows], dtype=np.int64) for k in (0, 1, 2, 3))
@@ -165,6 +178,7 @@ def _collide(batches, p: Params):
             return
         sig = np.array([r[4] for r in rows], dtype=np.int32)
         lists: dict[int, frozenset] = {}
+        sets: dict[int, frozenset | None] = {}
         for a in range(0, n, 64):
             one = slice(a, min(a + 64, n))
             fits = (np.arange(n)[None, :] > np.arange(n)[one, None]) & (comp[one, None] != comp[None, :])
@@ -180,7 +194,8 @@ def _collide(batches, p: Params):
                     for k in (i, j):
                         if k not in lists:
                             lists[k] = frozenset(rows[k][5])
-                    if min(lists[i] & lists[j]) == key[0]:
+                            sets[k] = None if rows[k][6] is None else frozenset(np.frombuffer(rows[k][6], np.uint32).tolist())
+                    if min(lists[i] & lists[j]) == key[0] and alike(sets[i], sets[j]):
                         yield min(doc[i], doc[j]), max(doc[i], doc[j])
 
     def out(found):
@@ -188,7 +203,7 @@ def _collide(batches, p: Params):
         return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
 
     for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("pair", "i", "j", "doc_id", "component", "n", "block", "sig", "lists")]
+        cols = [batch.column(c).to_pylist() for c in ("pair", "i", "j", "doc_id", "component", "n", "block", "sig", "lists", "few")]
         found = []
         for pair, i, j, *row in zip(*cols):
             if (pair, i, j) != key:
@@ -219,12 +234,12 @@ def _remaining_pairs(post: DataFrame, reps: DataFrame, labels: DataFrame, p: Par
              .where("lo < hi").select("pair", F.ceil(F.col("members") / p.block).cast("int").alias("blocks")))
     mine = at.join(open_, "pair")
     carried = (mine.groupBy("doc_id", "component").agg(F.collect_list(F.struct("pair", "blocks")).alias("lists"))
-               .join(reps.select("doc_id", "n", "sig"), "doc_id"))
-    met = (carried.select("doc_id", "component", "n", F.explode("lists").alias("l"), "sig", F.col("lists.pair").alias("lists"))
+               .join(reps.select("doc_id", "n", "sig", "few"), "doc_id"))
+    met = (carried.select("doc_id", "component", "n", F.explode("lists").alias("l"), "sig", F.col("lists.pair").alias("lists"), "few")
            .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("l.blocks")).cast("int"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("l.blocks") - 1)))
            .select(F.col("l.pair").alias("pair"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                   "doc_id", "component", "n", "block", "sig", "lists"))
+                   "doc_id", "component", "n", "block", "sig", "lists", "few"))
     return (met.repartition("pair", "i", "j").sortWithinPartitions("pair", "i", "j", "doc_id")
             .mapInArrow(lambda it: _collide(it, p), "a long, b long"))
 
@@ -242,9 +257,9 @@ def groups(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each document."""
     texts = id_text(docs)
     sigs = keep(texts.mapInArrow(lambda it: _signatures(it, p),
-                                 "doc_id long, n long, key1 long, key2 long, sig array<int>"), "minhash-signatures")
+                                 "doc_id long, n long, key1 long, key2 long, sig array<int>, few binary"), "minhash-signatures")
     mine = (sigs.where("doc_id IS NOT NULL").groupBy("doc_id")
-            .agg(F.max(F.struct("n", "key1", "key2", "sig")).alias("s")).select("doc_id", "s.*"))
+            .agg(F.max(F.struct("n", "key1", "key2", "sig", "few")).alias("s")).select("doc_id", "s.*"))
     mine = keep(mine, "minhash-documents")
     full = mine.where("n > 0")
     classes = full.groupBy("n", "key1", "key2").agg(F.min("doc_id").alias("rep"))
