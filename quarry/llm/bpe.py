@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 
 from quarry.llm.store import id_text
 
-CACHE = 250_000
+CACHE = 400_000
 END = "\x01"  # stands for the word-end suffix; not a byte-level symbol
 #: Fixed value: characters that the tokenizers library's pattern engine counts as white space.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -181,7 +181,8 @@ class Encoder:
         got = self.pieces.get(piece)
         if got is None:
             symbols = self.symbols
-            ids = self.word("".join([symbols[b] for b in piece.encode("utf-8")]) + END)
+            plain = piece.isascii() and piece.isprintable()  # such bytes stand for themselves
+            ids = self.word((piece if plain else "".join([symbols[b] for b in piece.encode("utf-8")])) + END)
             got = self.pieces[piece] = (len(ids), " ".join(map(str, ids)), " ".join([self.name[i] for i in ids]))
         return got
 
@@ -194,7 +195,13 @@ class Encoder:
                 if part in self.added:
                     parts.append((1, str(self.added[part]), part))
                 else:
-                    parts += map(self._piece, self.split.findall(self.normal(part)))
+                    part = self.normal(part)
+                    if part.isalpha():  # one run of letters
+                        parts.append(self._piece(part))
+                    elif part[:-1].isalpha() and part[-1] in ".,;:!?|":
+                        parts += (self._piece(part[:-1]), self._piece(part[-1]))
+                    else:
+                        parts += map(self._piece, self.split.findall(part))
             got = parts[0] if len(parts) == 1 else (
                 sum(p[0] for p in parts), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts]))
         if len(self.words) >= CACHE:  # words not met since the last change of generation are forgotten
