@@ -44,7 +44,7 @@ WORD, STRING = 0, 1  # kinds of keys
 
 @dataclass(frozen=True)
 class Params:
-    order: int = 6  # bytes of the longest context; a context and its byte fit a positive long up to 6
+    order: int = 5  # bytes of the longest context; a context and its byte fit a positive long up to 6
     block_bytes: int = 24 << 20
 
 
