@@ -53,9 +53,10 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids): the token ids of every kept document."""
+    """(doc_id, n_tokens, ids): the token ids of every kept document. A smaller
+    cache than usual: the processes also hold what the stages before left."""
     ship_package(spark)
-    return bpe.encode(docs).select("doc_id", "n_tokens", "ids")
+    return bpe.encode(docs, cache=60_000).select("doc_id", "n_tokens", "ids")
 
 
 STAGES = [

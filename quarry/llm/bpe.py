@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame
 
 from quarry.llm.store import id_text
 
-CACHE = 400_000
+CACHE = 250_000
+PAIRS = 200_000  # remembered pair tests
 END = "\x01"  # stands for the word-end suffix; not a byte-level symbol
 #: Fixed value: characters that the tokenizers library's pattern engine counts as white space.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -55,6 +56,8 @@ class Encoder:
     def __init__(self, path: str):
         import regex
 
+        self.cache = CACHE
+
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -146,7 +149,7 @@ class Encoder:
         key = a << 20 | b
         got = self.pairs.get(key)
         if got is None:
-            if len(self.pairs) >= 4 * CACHE:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             rank = self.rank
             got = not any((r := rank.get((x, y))) is not None and r < ux and r <= uy
@@ -204,7 +207,7 @@ class Encoder:
                         parts += map(self._piece, self.split.findall(part))
             got = parts[0] if len(parts) == 1 else (
                 sum(p[0] for p in parts), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts]))
-        if len(self.words) >= CACHE:  # words not met since the last change of generation are forgotten
+        if len(self.words) >= self.cache:  # words not met since the last change of generation are forgotten
             self.before, self.words, self.pieces = self.words, {}, {}
         self.words[word] = got
         return got
@@ -246,8 +249,9 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _encoded(batches, path: str | None, make, names):
+def _encoded(batches, path: str | None, make, names, cache: int):
     e = encoder(path or default_path())
+    e.cache = cache
     for batch in batches:
         ids, text = batch.column("doc_id"), batch.column("text")
         for a in range(0, len(batch), 256):  # a few hundred encodings at once
@@ -256,19 +260,20 @@ def _encoded(batches, path: str | None, make, names):
             yield pa.RecordBatch.from_arrays([ids[a:a + 256], *cols], ["doc_id", *(n for n, _ in names)])
 
 
-def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, cache: int = CACHE) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) of every row. ``path`` names a tokenizer
-    file that every executor has (by default the installed word-level one)."""
+    file that every executor has (by default the installed word-level one);
+    ``cache`` bounds the words that a process remembers, in two generations."""
     names = [("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
 
     def make(n, ids, names):
         return n, np.array(ids.split(), dtype=np.int32), names
 
-    return id_text(docs).mapInArrow(lambda it: _encoded(it, path, make, names),
+    return id_text(docs).mapInArrow(lambda it: _encoded(it, path, make, names, cache),
                                     "doc_id long, n_tokens long, ids array<int>, decoded string")
 
 
-def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
+def digests(docs: DataFrame, path: str | None = None, cache: int = CACHE) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): the same run, digested in
     the task so that ids and decoded texts need not leave it."""
     names = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
@@ -276,5 +281,5 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     def make(n, ids, names):
         return n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(names.encode()).hexdigest()
 
-    return id_text(docs).mapInArrow(lambda it: _encoded(it, path, make, names),
+    return id_text(docs).mapInArrow(lambda it: _encoded(it, path, make, names, cache),
                                     "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
-PIECE = 2 << 20  # bytes handled at once, so that the work arrays stay small
+PIECE = 1 << 20  # bytes handled at once, so that the work arrays stay small
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
