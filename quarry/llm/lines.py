@@ -16,6 +16,12 @@ Defined results: null text is an empty text and loses nothing; a row with a
 null id keeps its text and takes no part; rows with the same id and chunk
 number are one place, so exactly repeated rows are both kept or both cut;
 other columns are ignored by ``removals`` and carried by ``dedup_lines``.
+
+Chunks of one line are never nominated and a passage inside a larger chunk is
+not seen, so short repeats stay. ``dedup_passages`` leaves none: it compares
+every two consecutive non-blank lines (with the blank ones between them) and
+cuts each line of such a window whose bytes occur at an earlier place. Its rows
+with one id and different texts are cut by their own windows only.
 """
 
 from __future__ import annotations
@@ -113,6 +119,81 @@ def dedup_lines(docs: DataFrame, p: Params = Params()) -> DataFrame:
                       "line_dedup")
 
 
+def windowed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``lines`` and ``windows``: array of (first, last), the
+    lines of every two consecutive non-blank lines."""
+    df = _pin(docs.withColumn("lines", F.split("text", "\n", -1)), "lines")
+    df = _pin(df.withColumn("filled", F.array_compact(F.transform(
+        "lines", lambda x, i: F.when(F.trim(x) != "", i)))), "filled")
+    return _pin(df.withColumn("windows", F.transform(
+        F.slice("filled", 1, F.greatest(F.size("filled") - 1, F.lit(0))), lambda a, j: F.struct(
+            a.alias("first"), F.get("filled", j + 1).alias("last")))), "windows").drop("filled")
+
+
+def _window_text(w: Column) -> Column:
+    return F.array_join(F.slice("lines", w["first"] + 1, w["last"] - w["first"] + 1), "\n")
+
+
+def repeated_windows(docs: DataFrame) -> DataFrame:
+    """(doc_id, no, h) of every window whose bytes occur at an earlier place;
+    ``h`` is the window's hash."""
+    texts = id_text(docs).where("doc_id IS NOT NULL")
+    rows = windowed(texts).select("doc_id", F.posexplode(F.transform(
+        "windows", lambda w: F.xxhash64(_window_text(w)))).alias("no", "h"))
+    rows = keep(rows, "line-windows")
+    place = F.struct("doc_id", "no")
+    again = rows.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    wanted = (rows.join(again.select("h"), "h").groupBy("doc_id")
+              .agg(F.collect_set(F.struct("no", "h")).alias("wanted")))
+    found = (windowed(texts.join(wanted, "doc_id"))
+             .select("doc_id", F.explode(F.transform("wanted", lambda w: F.struct(
+                 w["no"].alias("no"), w["h"].alias("h"), _window_text(F.get("windows", w["no"])).alias("bytes")))).alias("w"))
+             .select("doc_id", "w.no", "w.h", "w.bytes").where(F.xxhash64("bytes") == F.col("h")))
+    found = keep(found, "line-window-repeats")
+    first = (found.groupBy("h", "bytes").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+             .where("first <> last"))
+    return (found.join(first, ["h", "bytes"]).where(F.struct("doc_id", "no") != F.col("first"))
+            .select("doc_id", "no", "h").distinct())
+
+
+def dedup_passages(docs: DataFrame) -> DataFrame:
+    """``docs`` (all columns) with the lines of repeated windows cut from
+    ``text``, and the structs ``line_dedup``: (n_lines, n_removed)."""
+    gone = repeated_windows(docs).groupBy(F.col("doc_id").alias("line_dedup_id")).agg(
+        F.collect_set(F.struct("no", "h")).alias("line_dedup_gone"))
+    joined = docs.join(gone, docs["doc_id"].cast("long") == gone["line_dedup_id"], "left").drop("line_dedup_id")
+    others = [c for c in docs.columns if c != "text"]
+    whole = joined.select(F.struct(*others).alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+                          F.col("text").isNull().alias("void"),
+                          F.coalesce("line_dedup_gone", F.array().cast("array<struct<no:int,h:bigint>>")).alias("gone"))
+    # rows of one id may have different texts: a window counts where its hash is the row's own
+    own = F.filter("gone", lambda g: F.coalesce(
+        F.xxhash64(_window_text(F.get("windows", g["no"]))) == g["h"], F.lit(False)))
+    cut = F.flatten(F.transform(own, lambda g: F.sequence(
+        F.get("windows", g["no"])["first"], F.get("windows", g["no"])["last"])))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), cut)
+    out = _pin(windowed(whole).withColumn("left", left), "left")
+    kept = F.when(F.col("void"), F.lit(None).cast("string")).otherwise(
+        F.array_join(F.transform("left", lambda i: F.get("lines", i)), "\n"))
+    out = out.select("row", kept.alias("text"), F.struct(
+        F.size("lines").alias("n_lines"), (F.size("lines") - F.size("left")).alias("n_removed")).alias("line_dedup"))
+    return out.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns],
+                      "line_dedup")
+
+
+#: ``dedup_passages`` in DuckDB SQL.
+PASSAGES_SQL = """
+l AS (SELECT DISTINCT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM {docs}),
+u AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM l),
+p AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS j FROM u WHERE trim(line) <> ''),
+w AS (SELECT doc_id, i, j, row_number() OVER (PARTITION BY array_to_string(lines[i:j], chr(10)) ORDER BY doc_id, i) AS place
+      FROM p JOIN l USING (doc_id) WHERE j IS NOT NULL),
+x AS (SELECT DISTINCT doc_id, unnest(range(i, j + 1)) AS i, TRUE AS gone FROM w WHERE place > 1),
+deduped AS (SELECT doc_id, count(*)::BIGINT AS n_lines, count(gone)::BIGINT AS n_removed,
+            coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (gone IS NULL), '') AS text
+            FROM u LEFT JOIN x USING (doc_id, i) GROUP BY doc_id)
+"""
+
 #: The same in DuckDB SQL, as ``op4`` returns it; 2 and 3 are ``Params``' values.
 DEDUP_SQL = """
 l AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines FROM {docs}),

@@ -39,12 +39,19 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"))
 
 
-def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = lines.dedup_lines(read_table(spark, sf_dir, "documents"))
+def _cut_lines(out: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("line_dedup.n_lines").cast("long").alias("n_lines"),
                       F.col("line_dedup.n_removed").cast("long").alias("n_removed"), F.md5("text").alias("kept_md5"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cut_lines(lines.dedup_lines(read_table(spark, sf_dir, "documents")))
+
+
+def op4_line_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cut_lines(lines.dedup_passages(read_table(spark, sf_dir, "documents")))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.groups(read_table(spark, sf_dir, "documents"), minhash.Params(words=2))
 
@@ -78,6 +85,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_bpe": op3_bpe,
     "op4_line_dedup": op4_line_dedup,
+    "op4_line_passages": op4_line_passages,
     "op5_minhash": op5_minhash,
     "op6_decontamination": op6_decontamination,
     "op7_html": op7_html,
@@ -89,5 +97,7 @@ QUERIES = {
 ORACLES = {
     "op4_line_dedup": "WITH " + lines.DEDUP_SQL.replace("{docs}", "documents").strip()
                       + "\nSELECT doc_id, n_lines, n_removed, md5(text) AS kept_md5 FROM deduped",
+    "op4_line_passages": "WITH " + lines.PASSAGES_SQL.replace("{docs}", "documents").strip()
+                         + "\nSELECT doc_id, n_lines, n_removed, md5(text) AS kept_md5 FROM deduped",
     "op6_decontamination": "WITH " + decontam.LEAKS_SQL.replace("{docs}", "documents").strip() + "\nSELECT * FROM leaks",
 }
