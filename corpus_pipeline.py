@@ -49,7 +49,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that overlap a benchmark item."""
-    return decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+    return decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark"), decontam.Params(shortest=1))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,10 +9,15 @@ pair counts as contaminated if some ``window`` consecutive aligned tokens agree
 in at least ``agree`` of them (for a shorter overlap in the same share of it,
 rounded up, if the whole item lies in the text).
 
+The masks miss no pair that the rule of 10 in 13 accepts: every placement of
+three substitutions in 13 tokens leaves all tokens of some mask, and items whose
+length would escape them have shorter masks of their own, which the texts are
+read through only if the benchmark has items of that length.
+
 All work is DataFrame expressions. Defined results: null text has no tokens;
-items of fewer tokens than the longest mask are compared through the masks that
-fit, and one shorter than all masks matches nothing; a null doc_id or item_id
-takes no part; repeated rows give the pair once; other columns are ignored.
+items of fewer tokens than ``Params.shortest`` match nothing; a null doc_id or
+item_id takes no part; repeated rows give the pair once; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -24,14 +29,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 from quarry.llm.store import id_text, keep
 
 #: Offsets that each seed reads. The first is solid, the others skip positions.
-MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 8, 9))
-SPAN = 1 + max(m[-1] for m in MASKS)
+MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 8, 9),
+         (0, 1, 2, 6, 9, 10), (0, 1, 2, 5, 6, 7), (0, 1, 2, 4, 6, 8), (0, 1, 4, 5, 6, 7))
+#: Masks for whole items of so many tokens, beside those above.
+SHORT = {1: ((0,),), 2: ((0, 1),), 3: ((0, 1, 2),), 4: ((0, 1, 2, 3),), 5: ((0, 1, 2), (0, 1, 3)),
+         6: ((0, 1, 2, 3), (0, 1, 3, 4)), 7: ((0, 1, 2, 3), (0, 1, 3, 4)),
+         9: ((0, 1, 2, 4), (0, 3, 4, 5)), 10: ((0, 1, 2, 4), (0, 3, 4, 5))}
 
 
 @dataclass
 class Params:
     window: int = 13
     agree: int = 10
+    shortest: int = 6  # tokens of the shortest item that is looked for
     broadcast_seeds: int = 2_000_000  # up to so many benchmark seeds (24 bytes each) are broadcast, more are shuffled
 
 
@@ -39,15 +49,32 @@ def tokens(text) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1), "")
 
 
-def seeds(df: DataFrame, id_col: str) -> DataFrame:
-    """(id, pos, seed) of every masked window of ``tokens``."""
+def short_masks(lengths) -> dict:
+    """mask -> lengths of the items that need it, of those in ``lengths``."""
+    need: dict = {}
+    for n in sorted(lengths):
+        for m in SHORT.get(n, ()):
+            need.setdefault(m, []).append(n)
+    return need
+
+
+def seeds(df: DataFrame, id_col: str, short: dict, items: bool = False) -> DataFrame:
+    """(id, pos, seed) of every masked window of ``tokens``; ``items`` are read
+    through the ``short`` masks of their own length only."""
+    masks = [*MASKS, *short]
+    span = 1 + max(m[-1] for m in masks)
     h = df.select(id_col, F.transform("tokens", lambda t: F.xxhash64(t)).alias("h"))
     # one-row Generate: the hashes are made once, not once for each shifted slice
-    h = h.select(id_col, F.inline(F.array(F.struct("h")))).where(F.size("h") > MASKS[0][-1])
-    shifted = [F.col("h")] + [F.slice("h", k + 1, F.greatest(F.size("h") - k, F.lit(0))) for k in range(1, SPAN)]
-    at = h.select(id_col, F.posexplode(F.arrays_zip(*[a.alias(f"h{k}") for k, a in enumerate(shifted)])).alias("pos", "z"))
-    made = [F.when(F.col(f"z.h{m[-1]}").isNotNull(), F.xxhash64(F.lit(i), *[F.col(f"z.h{k}") for k in m]))
-            for i, m in enumerate(MASKS)]
+    h = h.select(id_col, F.inline(F.array(F.struct("h")))).where(F.size("h") > min(m[-1] for m in masks))
+    shifted = [F.col("h")] + [F.slice("h", k + 1, F.greatest(F.size("h") - k, F.lit(0))) for k in range(1, span)]
+    at = h.select(id_col, F.size("h").alias("n"),
+                  F.posexplode(F.arrays_zip(*[a.alias(f"h{k}") for k, a in enumerate(shifted)])).alias("pos", "z"))
+    made = []
+    for i, m in enumerate(masks):
+        fits = F.col(f"z.h{m[-1]}").isNotNull()
+        if items and m in short:
+            fits &= F.col("n").isin(short[m])
+        made.append(F.when(fits, F.xxhash64(F.lit(i), *[F.col(f"z.h{k}") for k in m])))
     return at.select(id_col, "pos", F.explode(F.array(*made)).alias("seed")).where("seed IS NOT NULL")
 
 
@@ -57,12 +84,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) ->
     text has its tail only), its overlap and agreeing tokens."""
     texts = id_text(docs).where("doc_id IS NOT NULL")
     items = (id_text(benchmark, "item_id").withColumnRenamed("doc_id", "item_id").where("item_id IS NOT NULL")
-             .distinct().select("item_id", tokens("text").alias("tokens")))
+             .distinct().select("item_id", tokens("text").alias("tokens")).where(F.size("tokens") >= p.shortest))
     items = keep(items, "benchmark-items")
-    wanted = seeds(items, "item_id").withColumnRenamed("pos", "item_pos")
+    lengths = items.select(F.size("tokens").alias("n")).where(F.col("n").isin(list(SHORT))).distinct().collect()
+    short = short_masks(r.n for r in lengths)
+    wanted = seeds(items, "item_id", short, items=True).withColumnRenamed("pos", "item_pos")
     if wanted.count() <= p.broadcast_seeds:
         wanted = F.broadcast(wanted)
-    hits = (seeds(texts.select("doc_id", tokens("text").alias("tokens")), "doc_id").join(wanted, "seed")
+    hits = (seeds(texts.select("doc_id", tokens("text").alias("tokens")), "doc_id", short).join(wanted, "seed")
             .select("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("position")).distinct())
     hits = keep(hits, "benchmark-hits")
     some = texts.join(hits.select("doc_id").distinct(), "doc_id", "left_semi").distinct()
@@ -100,12 +129,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -
 def _seed_sql(table: str, key: str) -> str:
     masks = " UNION ALL ".join(
         f"SELECT {key}, i - 1 AS pos, '{n}' || {' || chr(31) || '.join(f't[i + {k}]' for k in m)} AS seed "
-        f"FROM {table}, range(1, len(t) - {m[-1]} + 1) r(i)" for n, m in enumerate(MASKS))
+        f"FROM {table}, range(1, len(t) - {m[-1]} + 1) r(i)" for n, m in enumerate(MASKS[:3]))
     return f"({masks})"
 
 
 _P = Params()
-#: The same in DuckDB SQL: windows compared as text, all diagonals verified.
+#: The same in DuckDB SQL: windows compared as text, all diagonals verified. It
+#: nominates through the first three masks, so a pair only the others hit is not in it.
 LEAKS_SQL = f"""
 bt AS (SELECT DISTINCT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS t
        FROM benchmark WHERE item_id IS NOT NULL),

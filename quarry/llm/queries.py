@@ -57,7 +57,8 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
+                                 decontam.Params(shortest=1))
 
 
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:

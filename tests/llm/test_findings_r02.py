@@ -1,8 +1,11 @@
 """Cases of the second review that the earlier code left undone."""
 
+import math
 import random
+from itertools import combinations
 
-from quarry.llm import lines
+import brute
+from quarry.llm import decontam, lines
 
 
 def table(spark, rows):
@@ -51,3 +54,53 @@ def test_passages_leave_no_repeated_window(spark):
     assert all(not want[100 + i][0] for i in range(60))
     chunked = {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()}
     assert any(chunked[100 + i] for i in range(60))  # what the chunk rule leaves
+
+
+def overlaps(a, b, window=13, agree=10):
+    """The rule of the module on every diagonal, items of any length."""
+    for d in range(-len(b) + 1, len(a)):
+        lo, hi = max(0, -d), min(len(b), len(a) - d)
+        same = [a[d + k] == b[k] for k in range(lo, hi)]
+        n = len(same)
+        if n >= window:
+            if max(sum(same[k:k + window]) for k in range(n - window + 1)) >= agree:
+                return True
+        elif n and n == len(b) and sum(same) >= math.ceil(n * agree / window):
+            return True
+    return False
+
+
+def test_masks_hit_every_accepted_placement():
+    for n in range(1, 14):
+        masks = decontam.MASKS + decontam.SHORT.get(n, ())
+        for bad in combinations(range(n), n - math.ceil(n * 10 / 13)):
+            assert any(s + m[-1] < n and not any(s + o in bad for o in m) for m in masks for s in range(n)), (n, bad)
+
+
+def test_decontamination_finds_sparse_agreement(spark):
+    rng = random.Random(12)
+    fresh = iter(range(10 ** 6))
+    new = lambda n: [f"w{next(fresh)}" for _ in range(n)]
+    items, texts = {}, {}
+
+    def put(length, bad):
+        i = len(items)
+        items[i] = new(length)
+        texts[i] = new(rng.randint(0, 9)) + [f"x{i}k{k}" if k in bad else w for k, w in enumerate(items[i])] + new(4)
+
+    for length in (16, 24, 40):  # every fourth token substituted
+        put(length, set(range(3, length, 4)))
+    for _ in range(40):  # random triples
+        put(13, set(rng.sample(range(13), 3)))
+    for length in range(1, 13):  # whole short items, as many substitutions as the rule takes, and one more
+        for more in (0, 1):
+            for _ in range(4):
+                put(length, set(rng.sample(range(length), length - math.ceil(length * 10 / 13) + more)))
+    want = {(i, j) for i, a in texts.items() for j, b in items.items() if overlaps(a, b)}
+    docs = table(spark, [(i, " ".join(t)) for i, t in texts.items()])
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench, decontam.Params(shortest=1)).collect()}
+    assert got == want and len(want) == 3 + 40 + 12 * 4
+    longer = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench).collect()}
+    joined = [{i: " ".join(t) for i, t in x.items()} for x in (texts, items)]
+    assert longer == brute.leaks(*joined)
