@@ -73,8 +73,8 @@ TPCH_FKS = [("nation", "n_regionkey", "region", "r_regionkey"),
 
 
 @register("mschema_text")
-def mschema_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = load_many(spark, sf_dir, ["region", "nation"])
+def mschema_text(spark: SparkSession, sf_dir: str, names=("region", "nation")) -> DataFrame:
+    tables = load_many(spark, sf_dir, names)
     ct, cf, ck = build_catalog(spark, "tpch", tables, primary_keys=TPCH_KEYS,
                                foreign_keys=[fk for fk in TPCH_FKS
                                              if fk[0] in tables and fk[2] in tables])
@@ -99,6 +99,15 @@ COLS = {
     "part": [("p_partkey", "BIGINT"), ("p_name", "TEXT"), ("p_brand", "TEXT"), ("p_type", "TEXT"),
              ("p_size", "INTEGER"), ("p_retailprice", "DOUBLE")],
     "nation": [("n_nationkey", "INTEGER"), ("n_name", "TEXT"), ("n_regionkey", "INTEGER")],
+    "events": [("event_id", "BIGINT"), ("ts", "TIMESTAMP"), ("user_id", "BIGINT"), ("event_type", "TEXT"),
+               ("value", "DOUBLE"), ("props", "TEXT")],
+    "documents": [("doc_id", "BIGINT"), ("text", "TEXT"), ("lang", "TEXT"), ("source", "TEXT"), ("n_chars", "BIGINT")],
+    # profiles leave arrays out: embeddings.embedding
+    "embeddings": [("vec_id", "BIGINT"), ("label", "INTEGER")],
+    "pages": [("page_id", "BIGINT"), ("url", "TEXT"), ("html", "TEXT")],
+    "benchmark": [("item_id", "BIGINT"), ("text", "TEXT")],
+    "labels": [("doc_id", "BIGINT"), ("quality", "INTEGER"), ("toxic", "INTEGER")],
+    "conversations": [("conv_id", "BIGINT"), ("turn", "BIGINT"), ("role", "TEXT"), ("text", "TEXT")],
 }
 NUMERIC = {"BIGINT", "INTEGER", "DOUBLE"}
 CATE = {"BIGINT": "Number", "INTEGER": "Number", "DOUBLE": "Number", "TEXT": "String",
@@ -344,24 +353,28 @@ ORACLES["text_lengths"] = "\nUNION ALL\n".join(
 
 
 @register("key_discovery")
-def key_discovery_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prof = profile(load_many(spark, sf_dir, TPCH), n_examples=0)
+def key_discovery_q(spark: SparkSession, sf_dir: str, names=tuple(TPCH)) -> DataFrame:
+    prof = profile(load_many(spark, sf_dir, names), n_examples=0)
     return CAT.discover_keys(prof).select("table_name", "field_name", "is_unique")
 
 
-ORACLES["key_discovery"] = "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, '{c}' AS field_name, count({c}) = count(*) AND count(DISTINCT {c}) = count(*) "
-    f"AND count(*) > 0 AS is_unique FROM {t}" for t in TPCH for c, _ in COLS[t])
+def _key_sql(names):
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS field_name, count({c}) = count(*) AND count(DISTINCT {c}) = count(*) "
+        f"AND count(*) > 0 AS is_unique FROM {t}" for t in names for c, _ in COLS[t])
+
+
+ORACLES["key_discovery"] = _key_sql(TPCH)
 
 
 @register("fk_discovery")
-def fk_discovery_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return CAT.discover_fks(load_many(spark, sf_dir, TPCH))
+def fk_discovery_q(spark: SparkSession, sf_dir: str, names=tuple(TPCH)) -> DataFrame:
+    return CAT.discover_fks(load_many(spark, sf_dir, names))
 
 
-def _fk_sql():
+def _fk_sql(names=tuple(TPCH)):
     key_types = {"INTEGER", "BIGINT", "TEXT"}
-    cols = [(t, c, ty) for t in TPCH for c, ty in COLS[t] if ty in key_types]
+    cols = [(t, c, ty) for t in names for c, ty in COLS[t] if ty in key_types]
     parts = []
     for pt, pc, pty in cols:
         for ct, cc, cty in cols:
@@ -396,10 +409,10 @@ FROM part GROUP BY p_brand"""
 
 
 @register("mschema_dump_roundtrip")
-def mschema_dump_roundtrip_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mschema_dump_roundtrip_q(spark: SparkSession, sf_dir: str, names=("region", "nation")) -> DataFrame:
     """Catalog -> nested JSON file -> catalog -> M-Schema text."""
     from quarry.sources.files import MSCHEMA_DUMP, dump_mschema, load_mschema
-    tables = load_many(spark, sf_dir, ["region", "nation"])
+    tables = load_many(spark, sf_dir, names)
     ct, cf, ck = build_catalog(spark, "tpch", tables, primary_keys=TPCH_KEYS,
                                foreign_keys=[fk for fk in TPCH_FKS if fk[0] in tables and fk[2] in tables])
     path = scratch_path(spark, "mschema_dump")

@@ -102,8 +102,8 @@ def _descriptions(spark, tables):
 
 
 @register("comment_modes")
-def comment_modes_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = load_many(spark, sf_dir, COMMENT_TABLES)
+def comment_modes_q(spark: SparkSession, sf_dir: str, names=tuple(COMMENT_TABLES)) -> DataFrame:
+    tables = load_many(spark, sf_dir, names)
     ct, cf, _ = CAT.build_catalog(spark, "tpch", tables, primary_keys=TPCH_KEYS,
                                   table_comments=TABLE_COMMENTS, field_comments=FIELD_COMMENTS, n_examples=0)
     desc = _descriptions(spark, tables)
@@ -116,9 +116,9 @@ def comment_modes_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def _comment_oracle():
+def _comment_oracle(names=tuple(COMMENT_TABLES)):
     rows_t, rows_f = [], []
-    for t in COMMENT_TABLES:
+    for t in names:
         tc = TABLE_COMMENTS.get(t, "")
         n = f"(SELECT count(*) FROM {t})"
         gen_t = f"'{t} table with ' || {n} || ' rows'"
