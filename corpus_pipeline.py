@@ -3,7 +3,7 @@
 ``STAGES`` are (name, function) pairs. Each function takes (spark, docs, sf_dir)
 and returns a DataFrame that is written as Parquet and read again as the next
 stage's ``docs``. All stages but the last return the columns of ``documents``;
-the last one returns each kept document's ids.
+the last one returns each kept document's ids and the text decoded from them.
 
 Defined results: a document with a null id is scored, encoded and kept (it is
 never linked, cut or matched); null texts are empty texts; repeated rows share
@@ -53,10 +53,11 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids): the token ids of every kept document. A smaller
-    cache than usual: the processes also hold what the stages before left."""
+    """(doc_id, n_tokens, ids, decoded): the token ids of every kept document and
+    the text they decode to. A smaller cache than usual: the processes also hold
+    what the stages before left."""
     ship_package(spark)
-    return bpe.encode(docs, cache=60_000).select("doc_id", "n_tokens", "ids")
+    return bpe.encode(docs, cache=60_000)
 
 
 STAGES = [

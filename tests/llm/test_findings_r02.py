@@ -5,7 +5,10 @@ import random
 from itertools import combinations
 
 import brute
-from quarry.llm import decontam, lines
+import corpus_pipeline
+from tokenizers import Tokenizer
+from conftest import SF_SMALL
+from quarry.llm import bpe, decontam, lines
 
 
 def table(spark, rows):
@@ -104,3 +107,13 @@ def test_decontamination_finds_sparse_agreement(spark):
     longer = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench).collect()}
     joined = [{i: " ".join(t) for i, t in x.items()} for x in (texts, items)]
     assert longer == brute.leaks(*joined)
+
+
+def test_pipeline_returns_decoded_texts(spark):
+    texts = {1: "A short text, encoded  twice.", 2: "naïve café\nzwei Zeilen", 3: "", 4: None}
+    stage = dict(corpus_pipeline.STAGES)["encoding"]
+    lib = Tokenizer.from_file(bpe.default_path())
+    got = stage(spark, table(spark, list(texts.items())), SF_SMALL).collect()
+    assert len(got) == 4
+    for r in got:
+        assert r.decoded == lib.decode(r.ids, skip_special_tokens=False)
