@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.llm import bpe, decontam, html, lines, minhash, ppm, quality, rindex, toxicity, vectors
+from quarry.llm import bpe, decontam, html, lines, minhash, ppm, quality, rindex, toxicity, vectors, whitening
 from quarry.llm.store import crc_fold, id_text, read_table
 
 
@@ -81,6 +81,11 @@ def op10_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -93,6 +98,7 @@ QUERIES = {
     "op8_embeddings": op8_embeddings,
     "op9_ppm": op9_ppm,
     "op10_run_index": op10_run_index,
+    "op11_whitening": op11_whitening,
 }
 
 ORACLES = {
