@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.llm import bpe, decontam, html, lines, minhash, ppm, quality, rindex, toxicity, vectors, whitening
+from quarry.llm import bpe, decontam, html, lines, minhash, mixing, ppm, quality, rindex, search, toxicity, vectors, whitening
 from quarry.llm.store import crc_fold, id_text, read_table
 
 
@@ -86,6 +86,15 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = mixing.documents(read_table(spark, sf_dir, "documents"))
+    return mixing.taken(placed, mixing.pieces_of(placed)).drop("source")
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -99,6 +108,8 @@ QUERIES = {
     "op9_ppm": op9_ppm,
     "op10_run_index": op10_run_index,
     "op11_whitening": op11_whitening,
+    "op12_mixing": op12_mixing,
+    "op13_search": op13_search,
 }
 
 ORACLES = {
@@ -107,4 +118,6 @@ ORACLES = {
     "op4_line_passages": "WITH " + lines.PASSAGES_SQL.replace("{docs}", "documents").strip()
                          + "\nSELECT doc_id, n_lines, n_removed, md5(text) AS kept_md5 FROM deduped",
     "op6_decontamination": "WITH " + decontam.LEAKS_SQL.replace("{docs}", "documents").strip() + "\nSELECT * FROM leaks",
+    "op13_search": "WITH " + search.SEARCH_SQL.replace("{docs}", "documents").replace("{items}", "benchmark").strip()
+                   + "\nSELECT * FROM ranked",
 }
