@@ -207,9 +207,9 @@ def row_jaccard(a: Column, b: Column) -> Column:
 
 def positions(rows: DataFrame) -> DataFrame:
     """0-based row position per (pair, side) in ``row_no`` order."""
-    k = rows.withColumn("_ps", F.concat_ws("|", F.col("pair_id").cast("string"), "side"))
-    r = rank_within(k, "_ps", ["row_no"], "pos", "_n")
-    return r.drop("_ps", "_n")
+    k = rows.select("pair_id", "side", "row_no", F.concat_ws("|", F.col("pair_id").cast("string"), "side").alias("_ps"))
+    r = rank_within(k, "_ps", ["row_no"], "pos", "_n")  # keys only: the cells do not travel to be ranked
+    return rows.join(r.drop("_ps", "_n"), ["pair_id", "side", "row_no"])
 
 
 def frame_similarity(rows: DataFrame, heads: DataFrame, ordered: DataFrame | None = None,

@@ -6,15 +6,20 @@ A table is read once per pass, never once per column:
   min/max/avg/sum (numeric columns only) and the min/max character length of
   the text cast.  Partial aggregation runs map-side, so only one row per task
   crosses the network.
-* pass B - every table is unpivoted to ``(table, field, value)`` rows, all
+* pass B - every table is unpivoted to ``(table, field, key)`` rows, all
   tables together, and de-duplicated by one shuffle (map-side combine first,
-  so a hot value or a low-cardinality column costs one row per task).  Distinct
-  counts and the first ``n`` values per field (a window group limit, applied
-  before the shuffle) both read that one exchange.
+  so a hot value or a low-cardinality column costs one row per task).  Keys are
+  typed and short: texts of more than ``SHORT`` characters travel as 128-bit
+  digests with their length.  Distinct counts, text lengths and the first ``n``
+  values per field (a window group limit, applied before the shuffle) all read
+  that one exchange.  Long texts among the first values come from a pass of
+  their own in which every task keeps its ``n`` least per field.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,10 +129,15 @@ def long_values(table_name: str, df: DataFrame) -> DataFrame:
             .select(F.lit(table_name).alias("table_name"), "field_ord", "v", "num_key"))
 
 
-def _typed_keys(table_name: str, df: DataFrame, only: set | None = None) -> DataFrame:
-    """``(table_name, field_ord, kl, kd, ks)``: one typed key per non-null
-    value - integers as long, floats as double, everything else as exact
-    text - so de-duplication hashes 8-byte keys and casts nothing."""
+SHORT = 32  # characters up to which a text is its own key
+
+
+def _typed_keys(table_name: str, df: DataFrame, only: set | None = None, whole: bool = False) -> DataFrame:
+    """``(table_name, field_ord, kl, kd, ks, n_chars)``: one typed key per
+    non-null value - integers as long, floats as double, everything else as
+    text - so de-duplication hashes short keys and casts nothing.  A long text's
+    key is its digest (one character longer than any text that is its own key);
+    ``whole`` keeps it as it is."""
     structs = []
     for i, name, dt in _profilable(df):
         if only is not None and (table_name, i) not in only:
@@ -135,22 +145,28 @@ def _typed_keys(table_name: str, df: DataFrame, only: set | None = None) -> Data
         c = F.col(f"`{name}`")
         integral = isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
         floating = isinstance(dt, (T.FloatType, T.DoubleType))
+        is_text = isinstance(dt, T.StringType)
+        text = c.cast("string")
+        if is_text and not whole:
+            text = F.when(F.length(c) > SHORT, F.concat(F.lit("\u0001"), F.md5(c))).otherwise(c)
         structs.append(F.struct(
             F.lit(i).alias("field_ord"),
             (c.cast("long") if integral else F.lit(None).cast("long")).alias("kl"),
             (c.cast("double") if floating else F.lit(None).cast("double")).alias("kd"),
-            (c.cast("string") if not (integral or floating) else F.lit(None).cast("string")).alias("ks")))
+            (text if not (integral or floating) else F.lit(None).cast("string")).alias("ks"),
+            (F.length(c) if is_text else F.lit(None).cast("int")).alias("n_chars")))
     return (df.select(F.inline(F.array(*structs)))
             .where(F.col("kl").isNotNull() | F.col("kd").isNotNull() | F.col("ks").isNotNull())
-            .select(F.lit(table_name).alias("table_name"), "field_ord", "kl", "kd", "ks"))
+            .select(F.lit(table_name).alias("table_name"), "field_ord", "kl", "kd", "ks", "n_chars"))
 
 
-def distinct_values(tables: dict[str, DataFrame], only: set | None = None) -> DataFrame:
-    """All tables' distinct ``(table_name, field_ord, v, num_key)`` in one
+def distinct_values(tables: dict[str, DataFrame], only: set | None = None, whole: bool = False) -> DataFrame:
+    """All tables' distinct ``(table_name, field_ord, v, num_key, n_chars)`` in one
     shuffle (typed keys, map-side combine); the text ``v`` is made after
-    de-duplication (decimals shown through float, as examples are).
+    de-duplication (decimals shown through float, as examples are) and NULL for
+    long texts unless ``whole``.  ``n_chars`` is the length of a text value.
     ``only`` restricts it to a set of ``(table_name, field_ord)``."""
-    parts = [_typed_keys(n, df, only) for n, df in tables.items()
+    parts = [_typed_keys(n, df, only, whole) for n, df in tables.items()
              if only is None or any(t == n for t, _ in only)]
     u = parts[0]
     for p in parts[1:]:
@@ -161,11 +177,43 @@ def distinct_values(tables: dict[str, DataFrame], only: set | None = None) -> Da
     is_dec = F.lit(False)
     for n, i in decimal_fields:
         is_dec = is_dec | ((F.col("table_name") == n) & (F.col("field_ord") == i))
-    text = F.coalesce(F.col("kl").cast("string"), F.col("kd").cast("string"),
-                      F.when(is_dec, F.col("ks").cast("double").cast("string")).otherwise(F.col("ks")))
+    shown = F.when(is_dec, F.col("ks").cast("double").cast("string")).otherwise(F.col("ks"))
+    if not whole:
+        shown = F.when(F.coalesce("n_chars", F.lit(0)) <= SHORT, shown)
+    text = F.coalesce(F.col("kl").cast("string"), F.col("kd").cast("string"), shown)
     num = F.coalesce(F.col("kl").cast("double"), F.col("kd"),
                      F.when(is_dec, F.col("ks").cast("double")))
-    return d.select("table_name", "field_ord", text.alias("v"), num.alias("num_key"), "kl", "ks")
+    return d.select("table_name", "field_ord", text.alias("v"), num.alias("num_key"), "n_chars", "kl", "ks")
+
+
+def _least_texts(batches, n: int):
+    """The ``n`` least distinct values of every column, over a task's batches."""
+    best: dict[str, pa.Array] = {}
+    for batch in batches:
+        for name, col in zip(batch.schema.names, batch.columns):
+            col = col.cast(pa.large_string()).drop_null()
+            if name in best and len(best[name]) == n:
+                col = col.filter(pc.less(col, best[name][-1]))
+            if len(col):
+                both = pa.concat_arrays([best[name], col]) if name in best else col
+                both = pc.unique(both)
+                best[name] = both.take(pc.sort_indices(both)[:n])
+    for name, col in best.items():
+        yield pa.RecordBatch.from_arrays([pa.array([int(name)] * len(col), pa.int32()), col.cast(pa.string())], ["field_ord", "v"])
+
+
+def long_examples(tables: dict[str, DataFrame], n: int) -> DataFrame | None:
+    """The least long texts of every text field, at most ``n`` from each task."""
+    out = None
+    for t, df in tables.items():
+        cols = [(i, F.col("`" + name.replace("`", "``") + "`")) for i, name, dt in _profilable(df) if isinstance(dt, T.StringType)]
+        if not cols:
+            continue
+        long_ = df.select(*[F.when(F.length(c) > SHORT, c).alias(str(i)) for i, c in cols])
+        long_ = long_.where(F.coalesce(*[F.col(f"`{i}`") for i, _ in cols]).isNotNull())
+        part = long_.mapInArrow(lambda it: _least_texts(it, n), "field_ord int, v string").select(F.lit(t).alias("table_name"), "field_ord", "v")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def first_values(distinct: DataFrame, n: int | None) -> DataFrame:
@@ -200,7 +248,8 @@ def profile(tables: dict[str, DataFrame], n_examples: int | None = 5,
             distinct: DataFrame | None = None) -> DataFrame:
     """One profile row per (table, field): pass A statistics, and from pass
     B the distinct count, the min/max text length and the first
-    ``n_examples`` distinct values (P2, P3, P5, P7, P8).  ``distinct`` may be
+    ``n_examples`` distinct values (P2, P3, P5, P7, P8; ``None``: all but the
+    long texts).  ``distinct`` may be
     a persisted :func:`distinct_values` result shared with other steps."""
     stats = None
     for name, df in tables.items():
@@ -208,13 +257,17 @@ def profile(tables: dict[str, DataFrame], n_examples: int | None = 5,
         stats = s if stats is None else stats.unionByName(s)
     d = distinct if distinct is not None else distinct_values(tables)
     key = ["table_name", "field_ord"]
-    per = d.groupBy(*key).agg(F.count(F.lit(1)).alias("n_distinct"),
-                              F.max(F.length("v")).alias("_xl"), F.min(F.length("v")).alias("_nl"))
+    chars = F.coalesce("n_chars", F.length("v"))
+    per = d.groupBy(*key).agg(F.count(F.lit(1)).alias("n_distinct"), F.max(chars).alias("_xl"), F.min(chars).alias("_nl"))
     out = stats.join(per, key, "left")
     if n_examples == 0:
         out = out.withColumn("examples", F.lit(None).cast("array<string>"))
     else:
-        out = out.join(first_values(d, n_examples), key, "left")
+        shown = d.where("v IS NOT NULL").select(*key, "v", "num_key")
+        texts = long_examples(tables, n_examples) if n_examples is not None else None
+        if texts is not None:
+            shown = shown.unionByName(texts.distinct().withColumn("num_key", F.lit(None).cast("double")))
+        out = out.join(first_values(shown, n_examples), key, "left")
     return (out.select("table_name", "field_name", "field_ord", "type_name", "type_cate", "n_rows",
                        "n_count", F.coalesce("n_distinct", F.lit(0).cast("long")).alias("n_distinct"),
                        "max_value", "min_value", "avg_value", "sum_value", "max_text", "min_text", "sum_text",
@@ -378,7 +431,12 @@ def enum_values(tables: dict[str, DataFrame], categories: DataFrame | None = Non
     distinct = spark.read.parquet(path)
     labels = field_categories(tables, distinct=distinct) if categories is None else categories
     enums = names.join(labels.where("category = 'Enum'").select("table_name", "field_name"), ["table_name", "field_name"])
-    ex = first_values(distinct.join(enums.select("table_name", "field_ord"), ["table_name", "field_ord"], "left_semi"), None)
+    # only these fields' values are read as they are
+    only = {(r.table_name, r.field_ord) for r in enums.select("table_name", "field_ord").collect()}
+    if not only:
+        return enums.select("table_name", "field_name", "field_ord", F.lit(0).cast("long").alias("n_values"),
+                            F.array().cast("array<string>").alias("values"))
+    ex = first_values(distinct_values(tables, only, whole=True), None)
     return (enums.join(ex, ["table_name", "field_ord"])
             .select("table_name", "field_name", "field_ord", F.size("examples").cast("long").alias("n_values"),
                     F.col("examples").alias("values")))
@@ -413,7 +471,7 @@ def field_categories(tables: dict[str, DataFrame], prof: DataFrame | None = None
     if prof is None:
         prof = profile(tables, n_examples=0, distinct=d)
     share = d.groupBy("table_name", "field_ord").agg(
-        F.avg(F.col("v").rlike(DATE_TEXT_RE).cast("double")).alias("date_share"),
+        F.avg(F.coalesce(F.col("v").rlike(DATE_TEXT_RE), F.lit(False)).cast("double")).alias("date_share"),
         F.min(F.when(F.col("num_key").isNotNull(),
                      F.col("v").rlike(r"^(19|20)\d{2}(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])$")))
         .alias("all_yyyymmdd"))

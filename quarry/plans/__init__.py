@@ -9,19 +9,19 @@ from __future__ import annotations
 
 def spark_queries():
     from quarry.plans import (catalog_queries, corpus_queries, eval_queries, response_queries,
-                              schema_queries, train_queries, exec_queries, rule_queries, whole_queries)
+                              schema_queries, train_queries, exec_queries, rule_queries, whole_queries, source_queries)
     out = {}
     for mod in (catalog_queries, corpus_queries, response_queries, schema_queries, eval_queries,
-                train_queries, exec_queries, rule_queries, whole_queries):
+                train_queries, exec_queries, rule_queries, whole_queries, source_queries):
         out.update(mod.QUERIES)
     return out
 
 
 def oracle_queries():
     from quarry.plans import (catalog_queries, corpus_queries, eval_queries, response_queries,
-                              schema_queries, train_queries, exec_queries, rule_queries, whole_queries)
+                              schema_queries, train_queries, exec_queries, rule_queries, whole_queries, source_queries)
     out = {}
     for mod in (catalog_queries, corpus_queries, response_queries, schema_queries, eval_queries,
-                train_queries, exec_queries, rule_queries, whole_queries):
+                train_queries, exec_queries, rule_queries, whole_queries, source_queries):
         out.update(mod.ORACLES)
     return out

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.cells import cells_array
+from quarry.operators import align
 from quarry.operators import compare as C
 from quarry.operators import metrics as M
-from quarry.plans.fixtures import CUSTOMER_PAIR, F2_SQL, F4_SQL, replies, result_pairs
+from quarry.plans.fixtures import (CUSTOMER_PAIR, F2_SQL, F4_SQL, F5_SQL, altered_pairs, pair_texts, replies,
+                                   result_pairs)
 from quarry.sources.tables import load
 
 QUERIES: dict = {}
@@ -130,6 +132,33 @@ def frame_similarity_aligned_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fs.select("pair_id", F.round("df_sim", 6).alias("df_sim"))
 
 
+@register("frame_similarity_mixed", f"""WITH cells AS ({F5_SQL}),
+pos AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY row_no) - 1 AS pos FROM cells WHERE pair_id % 4 IN (1, 2)),
+v AS (SELECT pair_id, side, pos, unnest([c0, c1, c2, c3]) AS cv FROM pos),
+g AS (SELECT * FROM v WHERE side = 'gold'), p AS (SELECT * FROM v WHERE side = 'pred'),
+ordered AS (SELECT coalesce(g.pair_id, p.pair_id) AS pair_id, count(g.cv) FILTER (WHERE p.cv IS NOT NULL) / count(*) AS df_sim
+ FROM g FULL OUTER JOIN p ON g.pair_id = p.pair_id AND g.pos = p.pos AND g.cv = p.cv GROUP BY ALL),
+-- without an order every predicted row meets the gold row it was made from, or one that shares as much
+shared AS (SELECT pair_id, CASE WHEN kind <= 3 THEN 4 WHEN kind <= 5 THEN 3 WHEN kind = 6 THEN 2 ELSE 1 END AS both_
+ FROM cells WHERE side = 'pred' AND pair_id % 4 NOT IN (1, 2)),
+golds AS (SELECT pair_id, count(*) AS n FROM cells WHERE side = 'gold' AND pair_id % 4 NOT IN (1, 2) GROUP BY pair_id),
+aligned AS (SELECT golds.pair_id, coalesce(sum(both_), 0) / (4 * n + coalesce(sum(4 - both_), 0)) AS df_sim
+ FROM golds LEFT JOIN shared USING (pair_id) GROUP BY golds.pair_id, n)
+SELECT CAST(pair_id AS BIGINT) AS pair_id, round(df_sim, 6) AS df_sim FROM ordered
+UNION ALL SELECT CAST(pair_id AS BIGINT), round(df_sim, 6) FROM aligned""")
+def frame_similarity_mixed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E14 + E15: the query texts say whether a pair keeps its order; the others
+    are aligned by similarity."""
+    w = altered_pairs(spark, sf_dir)
+    rows = w.select("pair_id", "side", "row_no", cells_array(w, ["c0", "c1", "c2", "c3"]).alias("cells"))
+    pairs = rows.select("pair_id").distinct()
+    ordered = align.ordered_pairs(pair_texts(pairs))
+    free = rows.join(ordered.where("NOT ordered"), "pair_id", "left_semi")
+    heads = C.heads_from_rows(rows, pairs, default_cols=4)
+    fs = C.frame_similarity(rows, heads, ordered=ordered, aligned=align.align_similar(free, C.positions(free)))
+    return fs.select("pair_id", F.round("df_sim", 6).alias("df_sim"))
+
+
 def _score_table(spark, sf_dir):
     rows, heads = f4_rows(spark, sf_dir)
     s = C.score_pairs(rows, heads)

@@ -99,6 +99,35 @@ def result_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.unionByName(p).unionByName(dup)
 
 
+def altered_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """gold and predicted rows of four text columns per customer, and the
+    bulk pair. Predicted rows come in the opposite order; by the order's key
+    modulo 8 a row is the same (0-3; every fifth of the 3s is missing), has
+    another key (4), price (5), key and price (6), or key, price and status (7)."""
+    o = load(spark, sf_dir, "orders")
+    def rows(df, pair):
+        return df.select(pair.cast("long").alias("pair_id"), F.col("o_orderkey").cast("long").alias("row_no"),
+                         F.concat(F.lit("k"), F.col("o_orderkey").cast("string")).alias("c0"),
+                         F.concat(F.lit("p"), F.round(F.col("o_totalprice") * 100).cast("long").cast("string")).alias("c1"),
+                         F.col("o_orderstatus").alias("c2"), F.col("o_orderpriority").alias("c3"))
+    g = rows(o, F.col("o_custkey") + CUSTOMER_PAIR).union(rows(o.where("o_orderkey % 3 = 0"), F.lit(BULK_PAIR)))
+    kind = F.col("row_no") % 8
+    p = g.where(~((kind == 3) & (F.col("row_no") % 5 == 0))).select(
+        "pair_id", F.lit("pred").alias("side"), (F.lit(1_000_000_000_000) - F.col("row_no")).alias("row_no"),
+        F.when(kind.isin(4, 6, 7), F.concat(F.lit("x"), "c0")).otherwise(F.col("c0")).alias("c0"),
+        F.when(kind.isin(5, 6, 7), F.concat(F.lit("y"), "c1")).otherwise(F.col("c1")).alias("c1"),
+        F.when(kind == 7, F.lit("Z")).otherwise(F.col("c2")).alias("c2"), "c3")
+    return g.select("pair_id", F.lit("gold").alias("side"), "row_no", "c0", "c1", "c2", "c3").unionByName(p)
+
+
+def pair_texts(pairs: DataFrame) -> DataFrame:
+    """The two query texts of every F5 pair: some gold and some predicted ones ask for an order."""
+    head = F.concat(F.lit("SELECT * FROM orders WHERE o_custkey = "), (F.col("pair_id") - CUSTOMER_PAIR).cast("string"))
+    order = lambda k, text: F.when(F.col("pair_id") % 4 == k, F.lit(text)).otherwise(F.lit(""))
+    return pairs.select("pair_id", F.concat(head, order(1, " ORDER BY o_orderkey")).alias("gold_sql"),
+                        F.concat(F.lower(head), order(2, " order by o_totalprice")).alias("pred_sql"))
+
+
 F1_SQL = """SELECT o_orderkey AS idx, n_name AS db_name,
  concat('How many orders did customer ', cast(o_custkey AS string), ' place?') AS question,
  CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE concat('status refers to ', o_orderstatus) END AS evidence,
@@ -142,6 +171,18 @@ p AS (
 SELECT * FROM g UNION ALL SELECT * FROM p"""
 
 
+F5_SQL = f"""WITH g AS (
+ SELECT p AS pair_id, o_orderkey AS row_no, 'k' || cast(o_orderkey AS string) AS c0,
+  'p' || cast(cast(round(o_totalprice * 100) AS BIGINT) AS string) AS c1, o_orderstatus AS c2, o_orderpriority AS c3
+ FROM (SELECT *, o_custkey + {CUSTOMER_PAIR} AS p FROM orders
+  UNION ALL SELECT *, {BULK_PAIR} AS p FROM orders WHERE o_orderkey % 3 = 0))
+SELECT pair_id, 'gold' AS side, row_no, row_no % 8 AS kind, c0, c1, c2, c3 FROM g
+UNION ALL
+SELECT pair_id, 'pred', 1000000000000 - row_no, row_no % 8, CASE WHEN row_no % 8 IN (4, 6, 7) THEN 'x' || c0 ELSE c0 END,
+ CASE WHEN row_no % 8 IN (5, 6, 7) THEN 'y' || c1 ELSE c1 END, CASE WHEN row_no % 8 = 7 THEN 'Z' ELSE c2 END, c3
+FROM g WHERE NOT (row_no % 8 = 3 AND row_no % 5 = 0)"""
+
+
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 records with F3's schema text: ``(idx, db_name, question, evidence,
     db_schema, sql)`` - both from one join."""

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.sources.jsonarrays import elements
+
 RAW_SCHEMA = T.StructType([
     T.StructField("db_id", T.StringType()), T.StructField("db_name", T.StringType()),
     T.StructField("question", T.StringType()), T.StructField("evidence", T.StringType()),
@@ -40,11 +42,10 @@ RAW_RENAME = {"SQL": "SQL_upper"}
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType,
                     rename: dict[str, str] | None = None) -> DataFrame:
     """Files each holding one JSON array of objects, with ``_file``
-    and ``_pos`` (position in the array).  A JSON array is not splittable, so
-    each file is one task; many files spread over the cluster."""
-    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("_file"), "value")
-    items = raw.select("_file", F.posexplode(_parse(F.col("value"), T.ArrayType(schema), rename))
-                       .alias("_pos", "r"))
+    and ``_pos`` (position in the array).  Large files are read by many tasks
+    (``quarry.sources.jsonarrays``)."""
+    items = elements(spark, path).select(F.col("file").alias("_file"), F.col("pos").alias("_pos"),
+                                         _parse(F.col("text"), schema, rename).alias("r"))
     return items.select("_file", "_pos", "r.*")
 
 
