@@ -7,7 +7,7 @@ links, so a vertex with a third of all links is never one group's list.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from quarry.llm.store import keep
@@ -35,11 +35,11 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[far], ids[label[far]]
 
 
-def _contract(frames):
+def _contract(batches):
     """Links of one task's batches replaced by stars with the same components."""
-    for pdf in frames:
-        a, b = forest(pdf["a"].to_numpy(), pdf["b"].to_numpy())
-        yield pd.DataFrame({"a": a, "b": b})
+    for batch in batches:
+        a, b = forest(batch.column("a").to_numpy(), batch.column("b").to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
 def _stars(e: DataFrame) -> bool:
@@ -55,7 +55,7 @@ def components(links: DataFrame, name: str) -> DataFrame:
     """``links``: (a, b) long. Returns (vertex, component): the smallest id
     reachable, for every vertex that has a link to another one."""
     e = (links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
-         .mapInPandas(_contract, "a long, b long").distinct())
+         .mapInArrow(_contract, "a long, b long").distinct())
     e = keep(e, f"{name}-links")
     for _ in range(ROUNDS):
         if _stars(e):

@@ -15,10 +15,10 @@ No list is expanded into rows of all its pairs. First every list compares its
 members with ``leaders`` of them, and the links found join components. What then
 remains in a list, texts of different components, is compared exhaustively on
 the signatures inside the tasks, in blocks of at most ``block`` texts, and only
-pairs with enough collisions leave them, each from the first list it shares; sets
-of at most ``few`` shingles travel beside the signature (as 32-bit values) and
-are compared there too, so a crowd of short texts that are alike, but not enough,
-sends nothing on.
+pairs with enough collisions leave them, each from the first list it shares. Of
+the texts that come there, sets of at most ``few`` shingles are made again (as
+32-bit values) and compared too, so a crowd of short texts that are alike, but
+not enough, sends nothing on.
 
 Defined results: null text and text without words give an empty set, which is
 linked with nothing; fewer words than a shingle has make one shingle of all of
@@ -51,7 +51,7 @@ class Params:
     leaders: int = 3   # texts of a list that all its others are compared with first
     block: int = 2048  # texts of a list that meet in one task
     few: int = 256     # shingles of a set that is small enough to travel with its signature
-    broadcast_ids: int = 1_000_000  # up to so many wanted ids (8 bytes each) are broadcast, more are shuffled
+    broadcast_ids: int = 250_000  # up to so many wanted ids and keys (under 100 bytes each as a hash table) are broadcast, more are shuffled
     seed: int = 29
 
 
@@ -87,22 +87,43 @@ def _signatures(batches, p: Params):
             sig = np.empty((len(n), p.size), dtype=np.int32)
             for i in range(p.size):
                 sig[:, i] = per_row((v * a[i] + b[i]) >> U(32), at, np.minimum, 0).astype(np.uint32).view(np.int32)
-            few = [v[a:b].astype(np.uint32).tobytes() if b - a <= p.few else None for a, b in zip(at[:-1], at[1:])]
             sig = pa.FixedSizeListArray.from_arrays(pa.array(sig.ravel()), p.size).cast(pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id")[rows.start:rows.stop], pa.array(n), pa.array(_key(v, at, 1)),
-                 pa.array(_key(v, at, 2)), sig, pa.array(few, pa.binary())],
-                ["doc_id", "n", "key1", "key2", "sig", "few"])
+                 pa.array(_key(v, at, 2)), sig], ["doc_id", "n", "key1", "key2", "sig"])
 
 
-def _sets(batches, p: Params):
+def _blobs(v: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Each row's values as the bytes of one binary value, without copies by row."""
+    return pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [
+        None, pa.py_buffer((at * v.itemsize).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(v))]).cast(pa.binary())
+
+
+def _sets(batches, p: Params, few: int | None = None):
+    """Whole shingle sets of the rows with the wanted set (repeated rows of an id
+    may hold another text than the one that counts); with ``few`` only sets of at
+    most so many shingles, as 32-bit values."""
     for batch in batches:
         for rows, data, off in pieces(batch, "text"):
             v, at = shingles(data, off, p.words)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id")[rows.start:rows.stop], pa.array(_key(v, at, 1)),
-                 pa.array([v[s:e].tobytes() for s, e in zip(at[:-1], at[1:])], pa.binary())],
-                ["doc_id", "key1", "shingles"])
+            n = np.diff(at)
+            on = _key(v, at, 1) == np.asarray(batch.column("want")[rows.start:rows.stop])
+            if few is not None:
+                on &= n <= few
+                v = v[np.repeat(on, n)].astype(np.uint32)
+                at = np.concatenate([[0], np.cumsum(np.where(on, n, 0))])
+            sets = pa.Array.from_buffers(pa.large_binary(), len(n), [
+                None, pa.py_buffer((at * v.itemsize).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(v))])
+            on = pa.array(on)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id")[rows.start:rows.stop].filter(on), sets.filter(on).cast(pa.binary())],
+                                             ["doc_id", "shingles"])
+
+
+def _sets_of(texts: DataFrame, wanted: DataFrame, p: Params, few: int | None = None) -> DataFrame:
+    """(doc_id, shingles) of the ``wanted`` (doc_id, key1)."""
+    wanted = wanted.select("doc_id", F.col("key1").alias("want"))
+    return (texts.join(F.broadcast(wanted) if wanted.count() <= p.broadcast_ids else wanted, "doc_id")
+            .mapInArrow(lambda it: _sets(it, p, few), "doc_id long, shingles binary").dropDuplicates(["doc_id"]))
 
 
 def _confirm(batches, p: Params):
@@ -123,11 +144,7 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, p: Params) -
     """The pairs (a, b) that reach the similarity on their whole sets."""
     some = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     some = keep(reps.select("doc_id", "key1").join(some, "doc_id"), "minhash-wanted")
-    wanted = F.broadcast(some) if some.count() <= p.broadcast_ids else some
-    sets = (texts.join(wanted.select("doc_id"), "doc_id", "left_semi")
-            .mapInArrow(lambda it: _sets(it, p), "doc_id long, key1 long, shingles binary")
-            .join(wanted, ["doc_id", "key1"], "left_semi").dropDuplicates(["doc_id"]))
-    sets = keep(sets, "minhash-sets")
+    sets = keep(_sets_of(texts, some, p), "minhash-sets")
     wide = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b"))
     return wide.mapInArrow(lambda it: _confirm(it, p), "a long, b long")
@@ -160,29 +177,38 @@ def _postings(reps: DataFrame, p: Params) -> DataFrame:
 
 def _collide(batches, p: Params):
     """Pairs of texts of different components with enough collisions, from rows
-    sorted by list and block pair; each pair from the first list it shares."""
-    key, rows = None, []
-
-    def alike(x, y):
-        """False only for sets that are too far apart; two points of slack, as
-        32-bit values may coincide."""
-        if x is None or y is None:
-            return True
-        common = len(x & y)
-        return 100 * common >= (p.percent - 2) * (len(x) + len(y) - common)
-
-    def pairs():
-        n = len(rows)
-        doc, comp, size, block = (np.array([r[k] for r in rows], dtype=np.int64) for k in (0, 1, 2, 3))
+    sorted by list and block pair; each pair from the first list it shares. One
+    block pair at a time is held, as arrays."""
+    def pairs(t: pa.Table):
+        """``t``: the rows of one block pair."""
+        doc, comp, size, block = (t[c].to_numpy() for c in ("doc_id", "component", "n", "block"))
+        n = len(doc)
         if n < 2 or (comp == comp[0]).all():
             return
-        sig = np.array([r[4] for r in rows], dtype=np.int32)
-        lists: dict[int, frozenset] = {}
-        sets: dict[int, frozenset | None] = {}
+        pair, split = t["pair"][0].as_py(), t["i"][0].as_py() != t["j"][0].as_py()
+        t = t.combine_chunks()
+        sig = t["sig"].chunk(0).flatten().to_numpy().reshape(n, -1)
+        lists, few = t["lists"].chunk(0), t["few"].chunk(0)
+
+        def first(i, j):
+            """Whether ``pair`` is the first list that both are in."""
+            both = np.intersect1d(lists[i].values.to_numpy(), lists[j].values.to_numpy(), assume_unique=True)
+            return both[0] == pair
+
+        def alike(i, j):
+            """False only for sets that are too far apart; two points of slack, as
+            32-bit values may coincide."""
+            if not (few[i].is_valid and few[j].is_valid):
+                return True
+            x, y = (np.frombuffer(few[k].as_buffer(), np.uint32) for k in (i, j))
+            both = np.sort(np.concatenate([x, y]))
+            common = int((both[1:] == both[:-1]).sum())
+            return 100 * common >= (p.percent - 2) * (len(x) + len(y) - common)
+
         for a in range(0, n, 64):
             one = slice(a, min(a + 64, n))
             fits = (np.arange(n)[None, :] > np.arange(n)[one, None]) & (comp[one, None] != comp[None, :])
-            if key[1] != key[2]:
+            if split:
                 fits &= block[one, None] != block[None, :]
             low, high = np.minimum(size[one, None], size[None, :]), np.maximum(size[one, None], size[None, :])
             u, v = np.nonzero(fits & (100 * low >= p.percent * high))
@@ -191,29 +217,27 @@ def _collide(batches, p: Params):
                 x, y = u[s:s + 8192], v[s:s + 8192]
                 enough = (sig[x] == sig[y]).sum(axis=1) >= p.match
                 for i, j in zip(x[enough].tolist(), y[enough].tolist()):
-                    for k in (i, j):
-                        if k not in lists:
-                            lists[k] = frozenset(rows[k][5])
-                            sets[k] = None if rows[k][6] is None else frozenset(np.frombuffer(rows[k][6], np.uint32).tolist())
-                    if min(lists[i] & lists[j]) == key[0] and alike(sets[i], sets[j]):
+                    if first(i, j) and alike(i, j):
                         yield min(doc[i], doc[j]), max(doc[i], doc[j])
 
-    def out(found):
-        found = np.array(list(found), dtype=np.int64).reshape(-1, 2)
+    def out(held):
+        found = np.array(list(pairs(pa.Table.from_batches(held))), dtype=np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
 
+    held, at = [], None
     for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("pair", "i", "j", "doc_id", "component", "n", "block", "sig", "lists", "few")]
-        found = []
-        for pair, i, j, *row in zip(*cols):
-            if (pair, i, j) != key:
-                if key is not None:
-                    found += pairs()
-                key, rows = (pair, i, j), []
-            rows.append(row)
-        yield out(found)
-    if key is not None:
-        yield out(pairs())
+        key = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("pair", "i", "j")])
+        cut = np.append(0, np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1)
+        for a, b in zip(cut, np.append(cut[1:], batch.num_rows)):
+            if b == a:
+                continue
+            if held and tuple(key[:, a]) != at:
+                yield out(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            at = tuple(key[:, a])
+    if held:
+        yield out(held)
 
 
 def _leader_pairs(post: DataFrame, p: Params) -> DataFrame:
@@ -226,7 +250,7 @@ def _leader_pairs(post: DataFrame, p: Params) -> DataFrame:
             .select(F.least("doc_id", "lead").alias("a"), F.greatest("doc_id", "lead").alias("b")).distinct())
 
 
-def _remaining_pairs(post: DataFrame, reps: DataFrame, labels: DataFrame, p: Params) -> DataFrame:
+def _remaining_pairs(post: DataFrame, reps: DataFrame, texts: DataFrame, labels: DataFrame, p: Params) -> DataFrame:
     """Colliding pairs of texts that are in one list but not yet in one component."""
     at = (post.join(labels.select(F.col("vertex").alias("doc_id"), "component"), "doc_id", "left")
           .withColumn("component", F.coalesce("component", "doc_id")))
@@ -234,8 +258,12 @@ def _remaining_pairs(post: DataFrame, reps: DataFrame, labels: DataFrame, p: Par
              .where("lo < hi").select("pair", F.ceil(F.col("members") / p.block).cast("int").alias("blocks")))
     mine = at.join(open_, "pair")
     carried = (mine.groupBy("doc_id", "component").agg(F.collect_list(F.struct("pair", "blocks")).alias("lists"))
-               .join(reps.select("doc_id", "n", "sig", "few"), "doc_id"))
-    met = (carried.select("doc_id", "component", "n", F.explode("lists").alias("l"), "sig", F.col("lists.pair").alias("lists"), "few")
+               .join(reps.select("doc_id", "n", "key1", "sig"), "doc_id"))
+    carried = keep(carried, "minhash-carried")
+    small = _sets_of(texts, carried.where(F.col("n") <= p.few), p, p.few).withColumnRenamed("shingles", "few")
+    carried = carried.join(small, "doc_id", "left")
+    met = (carried.select("doc_id", "component", "n", F.explode("lists").alias("l"), "sig",
+                          F.array_sort(F.col("lists.pair")).alias("lists"), "few")
            .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("l.blocks")).cast("int"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("l.blocks") - 1)))
            .select(F.col("l.pair").alias("pair"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
@@ -249,7 +277,7 @@ def links(texts: DataFrame, reps: DataFrame, p: Params) -> DataFrame:
     post = _postings(reps, p)
     first = keep(_enough(_leader_pairs(post, p), reps, p), "minhash-led")
     first = keep(_confirmed(first, reps, texts, p), "minhash-links")
-    rest = keep(_remaining_pairs(post, reps, components(first, "minhash"), p), "minhash-rest")
+    rest = keep(_remaining_pairs(post, reps, texts, components(first, "minhash"), p), "minhash-rest")
     return first.union(_confirmed(rest, reps, texts, p))
 
 
@@ -257,9 +285,9 @@ def groups(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each document."""
     texts = id_text(docs)
     sigs = keep(texts.mapInArrow(lambda it: _signatures(it, p),
-                                 "doc_id long, n long, key1 long, key2 long, sig array<int>, few binary"), "minhash-signatures")
+                                 "doc_id long, n long, key1 long, key2 long, sig array<int>"), "minhash-signatures")
     mine = (sigs.where("doc_id IS NOT NULL").groupBy("doc_id")
-            .agg(F.max(F.struct("n", "key1", "key2", "sig", "few")).alias("s")).select("doc_id", "s.*"))
+            .agg(F.max(F.struct("n", "key1", "key2", "sig")).alias("s")).select("doc_id", "s.*"))
     mine = keep(mine, "minhash-documents")
     full = mine.where("n > 0")
     classes = full.groupBy("n", "key1", "key2").agg(F.min("doc_id").alias("rep"))
