@@ -1,27 +1,31 @@
 """Line de-duplication by content-defined chunks of lines.
 
-A text's lines are hashed; a rolling hash over every ``window`` consecutive
-line hashes marks the chunk ends (where it is 0 modulo ``modulus``), so chunks
-depend on nearby lines only and a passage shifted to another place in another
-text is cut alike. A chunk of two or more non-blank lines whose bytes occur
-elsewhere is kept at its first place (smallest doc_id, then chunk number) and
-removed from all others. Equal digests only nominate chunks: the removal
-groups by the chunk's own bytes.
-
-All work is DataFrame expressions. What is shuffled by digest is one short row
-per chunk, pre-aggregated, so a chunk in a third of all texts is one row per
-task.
-
-Defined results: null text is an empty text and loses nothing; a row with a
-null id keeps its text and takes no part; rows with the same id and chunk
-number are one place, so exactly repeated rows are both kept or both cut;
-other columns are ignored by ``removals`` and carried by ``dedup_lines``.
-
-Chunks of one line are never nominated and a passage inside a larger chunk is
-not seen, so short repeats stay. ``dedup_passages`` leaves none: it compares
-every two consecutive non-blank lines (with the blank ones between them) and
-cuts each line of such a window whose bytes occur at an earlier place. Its rows
-with one id and different texts are cut by their own windows only.
+A text's non-blank lines are hashed; a rolling hash over every ``window`` of them
+decides which lines are boundaries (all but those where it is 0 modulo
+``modulus``), so boundaries depend on nearby lines only and a passage shifted to
+another place in another text is cut alike. A chunk reaches from one boundary to
+the next, both included: it has two non-blank lines at least, neighbouring chunks
+share a line, and a passage needs two of its lines to be boundaries for what lies
+between them to be seen. A chunk whose bytes occur elsewhere stays at its first
+place (smallest doc_id, then place) and its lines are removed from all others.
+Equal hashes only nominate chunks: the removal groups by the chunk's own bytes.
+
+What is left are lines before the first and after the last boundary of a repeated
+passage, and short passages with fewer than two boundaries; the share found of
+all lines that stand in repeated windows of two is measured in ``tests/llm``
+(over 0.9). ``dedup_passages`` leaves none: there every non-blank line is a
+boundary, so its chunks are the windows of two consecutive non-blank lines.
+
+All work is DataFrame expressions. What is shuffled by hash is one short row per
+chunk, pre-aggregated to its first and last place, so a chunk in a third of all
+texts is one row per task; the joins back to the chunks' places carry one row for
+each of them, which Spark splits where they pile up (skew join).
+
+Defined results: null text is an empty text and loses nothing; a row with a null
+id keeps its text and takes no part; rows with the same id and chunk number are
+one place, so exactly repeated rows are both kept or both cut; rows with one id
+and different texts are cut by their own chunks only; other columns are ignored
+by ``repeated_chunks`` and carried by ``dedup_lines``.
 """
 
 from __future__ import annotations
@@ -35,9 +39,8 @@ from quarry.llm.store import id_text, keep
 
 @dataclass
 class Params:
-    window: int = 2     # lines under one rolling hash
-    modulus: int = 3    # mean lines in a chunk
-    min_lines: int = 2  # non-blank lines of a chunk that may be removed
+    window: int = 2   # non-blank lines under one rolling hash
+    modulus: int = 13  # a line in so many is no boundary; 0: every line is one
 
 
 def line_hash(line: Column) -> Column:
@@ -53,126 +56,64 @@ def _pin(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def chunked(docs: DataFrame, p: Params) -> DataFrame:
-    """``docs`` with ``lines`` and ``chunks``: array of (no, first, size)."""
-    df = docs.withColumn("lines", F.split("text", "\n", -1))
-    df = _pin(df, "lines").withColumn("hashes", F.transform("lines", line_hash))
-    df = _pin(df, "hashes")
-    roll = F.transform("hashes", lambda x, i: sum(
-        (F.coalesce(F.get("hashes", i - F.lit(k)), F.lit(0)) * (31 ** k) for k in range(1, p.window)), x))
-    df = _pin(df.withColumn("roll", roll), "roll")
-    df = df.withColumn("ends", F.array_compact(F.transform(
-        "roll", lambda r, i: F.when(F.pmod(r, F.lit(p.modulus)) == 0, i + 1))))
-    df = _pin(df, "ends")
-    df = df.withColumn("ends", F.array_union("ends", F.array(F.size("lines"))))
-    df = _pin(df, "ends")
-    return _pin(df.withColumn("chunks", F.transform("ends", lambda e, j: F.struct(
-        j.alias("no"), F.coalesce(F.get("ends", j - 1), F.lit(0)).alias("first"),
-        (e - F.coalesce(F.get("ends", j - 1), F.lit(0))).alias("size")))), "chunks").drop("hashes", "roll", "ends")
-
-
-def _text(chunk: Column) -> Column:
-    return F.array_join(F.slice("lines", chunk["first"] + 1, chunk["size"]), "\n")
-
-
-def removals(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """(doc_id, chunk) of every chunk to remove."""
-    texts = id_text(docs).where("doc_id IS NOT NULL")
-    cut = chunked(texts, p)
-    rows = cut.select("doc_id", F.explode(F.filter(F.transform("chunks", lambda c: F.struct(
-        c["no"].alias("chunk"), F.md5(_text(c)).alias("digest"),
-        F.size(F.filter(F.slice("lines", c["first"] + 1, c["size"]), lambda x: F.trim(x) != "")).alias("n"))),
-        lambda c: c["n"] >= p.min_lines)).alias("c")).select("doc_id", "c.chunk", "c.digest")
-    rows = keep(rows, "line-chunks")
-    again = rows.groupBy("digest").agg(F.count_distinct(F.struct("doc_id", "chunk")).alias("n")).where("n > 1")
-    # a text has a bounded number of chunks: its list is one row of the join below
-    wanted = (rows.join(again.select("digest"), "digest").groupBy("doc_id")
-              .agg(F.collect_set(F.struct("chunk", "digest")).alias("wanted")))
-    found = (chunked(texts.join(wanted, "doc_id"), p)
-             .select("doc_id", "lines", "chunks", F.explode("wanted").alias("w"))
-             .select("doc_id", "w.chunk", "w.digest",
-                     _text(F.element_at("chunks", F.col("w.chunk") + 1)).alias("bytes")))
-    found = keep(found, "line-repeats")
-    first = (found.groupBy("digest", "bytes").agg(F.min(F.struct("doc_id", "chunk")).alias("first"),
-                                                  F.max(F.struct("doc_id", "chunk")).alias("last"))
-             .where("first <> last"))
-    return (found.join(first, ["digest", "bytes"]).where(F.struct("doc_id", "chunk") != F.col("first"))
-            .select("doc_id", "chunk").distinct())
-
-
-def dedup_lines(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """``docs`` (all columns) with the repeated chunks cut from ``text``, and
-    the structs ``line_dedup``: (n_lines, n_removed)."""
-    gone = removals(docs, p).groupBy(F.col("doc_id").alias("line_dedup_id")).agg(
-        F.collect_set("chunk").alias("line_dedup_gone"))
-    joined = docs.join(gone, docs["doc_id"].cast("long") == gone["line_dedup_id"], "left").drop("line_dedup_id")
-    others = [c for c in docs.columns if c != "text"]
-    whole = joined.select(F.struct(*others).alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-                          F.col("text").isNull().alias("void"), "line_dedup_gone")
-    cut = chunked(whole, p).withColumn("left", F.filter(
-        "chunks", lambda c: ~F.coalesce(F.array_contains("line_dedup_gone", c["no"]), F.lit(False))))
-    kept = F.when(F.col("void"), F.lit(None).cast("string")).when(F.col("line_dedup_gone").isNull(), F.col("text")) \
-        .otherwise(F.array_join(F.transform("left", _text), "\n"))
-    n_left = F.aggregate("left", F.lit(0), lambda s, c: s + c["size"])
-    out = cut.select("row", kept.alias("text"), F.struct(
-        F.size("lines").alias("n_lines"), (F.size("lines") - n_left).alias("n_removed")).alias("line_dedup"))
-    return out.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns],
-                      "line_dedup")
-
-
-def windowed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``lines`` and ``windows``: array of (first, last), the
-    lines of every two consecutive non-blank lines."""
+    """``docs`` with ``lines`` and ``chunks``: array of (first, last) line."""
     df = _pin(docs.withColumn("lines", F.split("text", "\n", -1)), "lines")
-    df = _pin(df.withColumn("filled", F.array_compact(F.transform(
-        "lines", lambda x, i: F.when(F.trim(x) != "", i)))), "filled")
-    return _pin(df.withColumn("windows", F.transform(
-        F.slice("filled", 1, F.greatest(F.size("filled") - 1, F.lit(0))), lambda a, j: F.struct(
-            a.alias("first"), F.get("filled", j + 1).alias("last")))), "windows").drop("filled")
-
-
-def _window_text(w: Column) -> Column:
+    df = _pin(df.withColumn("bounds", F.array_compact(F.transform(
+        "lines", lambda x, i: F.when(F.trim(x) != "", i)))), "bounds")
+    if p.modulus:
+        df = _pin(df.withColumn("hashes", F.transform("bounds", lambda i: line_hash(F.get("lines", i)))), "hashes")
+        df = _pin(df.withColumn("roll", F.transform("hashes", lambda x, k: sum(
+            (F.coalesce(F.get("hashes", k - F.lit(j)), F.lit(0)) * (31 ** j) for j in range(1, p.window)), x))), "roll")
+        df = _pin(df.withColumn("bounds", F.filter(
+            "bounds", lambda i, k: F.pmod(F.get("roll", k), F.lit(p.modulus)) != 0)), "bounds").drop("hashes", "roll")
+    return _pin(df.withColumn("chunks", F.transform(
+        F.slice("bounds", 1, F.greatest(F.size("bounds") - 1, F.lit(0))), lambda a, j: F.struct(
+            a.alias("first"), F.get("bounds", j + 1).alias("last")))), "chunks").drop("bounds")
+
+
+def _text(w: Column) -> Column:
     return F.array_join(F.slice("lines", w["first"] + 1, w["last"] - w["first"] + 1), "\n")
 
 
-def repeated_windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, no, h) of every window whose bytes occur at an earlier place;
-    ``h`` is the window's hash."""
+def repeated_chunks(docs: DataFrame, p: Params = Params()) -> DataFrame:
+    """(doc_id, no, h) of every chunk whose bytes occur at an earlier place;
+    ``h`` is the chunk's hash."""
     texts = id_text(docs).where("doc_id IS NOT NULL")
-    rows = windowed(texts).select("doc_id", F.posexplode(F.transform(
-        "windows", lambda w: F.xxhash64(_window_text(w)))).alias("no", "h"))
-    rows = keep(rows, "line-windows")
+    rows = chunked(texts, p).select("doc_id", F.posexplode(F.transform(
+        "chunks", lambda w: F.xxhash64(_text(w)))).alias("no", "h"))
+    rows = keep(rows, "line-chunks")
     place = F.struct("doc_id", "no")
     again = rows.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
     wanted = (rows.join(again.select("h"), "h").groupBy("doc_id")
               .agg(F.collect_set(F.struct("no", "h")).alias("wanted")))
-    found = (windowed(texts.join(wanted, "doc_id"))
+    found = (chunked(texts.join(wanted, "doc_id"), p)
              .select("doc_id", F.explode(F.transform("wanted", lambda w: F.struct(
-                 w["no"].alias("no"), w["h"].alias("h"), _window_text(F.get("windows", w["no"])).alias("bytes")))).alias("w"))
+                 w["no"].alias("no"), w["h"].alias("h"), _text(F.get("chunks", w["no"])).alias("bytes")))).alias("w"))
              .select("doc_id", "w.no", "w.h", "w.bytes").where(F.xxhash64("bytes") == F.col("h")))
-    found = keep(found, "line-window-repeats")
+    found = keep(found, "line-repeats")
     first = (found.groupBy("h", "bytes").agg(F.min(place).alias("first"), F.max(place).alias("last"))
              .where("first <> last"))
     return (found.join(first, ["h", "bytes"]).where(F.struct("doc_id", "no") != F.col("first"))
             .select("doc_id", "no", "h").distinct())
 
 
-def dedup_passages(docs: DataFrame) -> DataFrame:
-    """``docs`` (all columns) with the lines of repeated windows cut from
+def dedup_lines(docs: DataFrame, p: Params = Params()) -> DataFrame:
+    """``docs`` (all columns) with the lines of repeated chunks cut from
     ``text``, and the structs ``line_dedup``: (n_lines, n_removed)."""
-    gone = repeated_windows(docs).groupBy(F.col("doc_id").alias("line_dedup_id")).agg(
+    gone = repeated_chunks(docs, p).groupBy(F.col("doc_id").alias("line_dedup_id")).agg(
         F.collect_set(F.struct("no", "h")).alias("line_dedup_gone"))
     joined = docs.join(gone, docs["doc_id"].cast("long") == gone["line_dedup_id"], "left").drop("line_dedup_id")
     others = [c for c in docs.columns if c != "text"]
     whole = joined.select(F.struct(*others).alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                           F.col("text").isNull().alias("void"),
                           F.coalesce("line_dedup_gone", F.array().cast("array<struct<no:int,h:bigint>>")).alias("gone"))
-    # rows of one id may have different texts: a window counts where its hash is the row's own
+    # rows of one id may have different texts: a chunk counts where its hash is the row's own
     own = F.filter("gone", lambda g: F.coalesce(
-        F.xxhash64(_window_text(F.get("windows", g["no"]))) == g["h"], F.lit(False)))
+        F.xxhash64(_text(F.get("chunks", g["no"]))) == g["h"], F.lit(False)))
     cut = F.flatten(F.transform(own, lambda g: F.sequence(
-        F.get("windows", g["no"])["first"], F.get("windows", g["no"])["last"])))
+        F.get("chunks", g["no"])["first"], F.get("chunks", g["no"])["last"])))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), cut)
-    out = _pin(windowed(whole).withColumn("left", left), "left")
+    out = _pin(chunked(whole, p).withColumn("left", left), "left")
     kept = F.when(F.col("void"), F.lit(None).cast("string")).otherwise(
         F.array_join(F.transform("left", lambda i: F.get("lines", i)), "\n"))
     out = out.select("row", kept.alias("text"), F.struct(
@@ -181,11 +122,17 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
                       "line_dedup")
 
 
-#: ``dedup_passages`` in DuckDB SQL.
-PASSAGES_SQL = """
-l AS (SELECT DISTINCT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM {docs}),
+def dedup_passages(docs: DataFrame) -> DataFrame:
+    """``dedup_lines`` where every non-blank line is a boundary."""
+    return dedup_lines(docs, Params(modulus=0))
+
+
+def _sql(bounds: str) -> str:
+    return f"""
+l AS (SELECT DISTINCT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM {{docs}}),
 u AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM l),
-p AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS j FROM u WHERE trim(line) <> ''),
+b AS (SELECT doc_id, i FROM {bounds}),
+p AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS j FROM b),
 w AS (SELECT doc_id, i, j, row_number() OVER (PARTITION BY array_to_string(lines[i:j], chr(10)) ORDER BY doc_id, i) AS place
       FROM p JOIN l USING (doc_id) WHERE j IS NOT NULL),
 x AS (SELECT DISTINCT doc_id, unnest(range(i, j + 1)) AS i, TRUE AS gone FROM w WHERE place > 1),
@@ -194,18 +141,9 @@ deduped AS (SELECT doc_id, count(*)::BIGINT AS n_lines, count(gone)::BIGINT AS n
             FROM u LEFT JOIN x USING (doc_id, i) GROUP BY doc_id)
 """
 
-#: The same in DuckDB SQL, as ``op4`` returns it; 2 and 3 are ``Params``' values.
-DEDUP_SQL = """
-l AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines FROM {docs}),
-u AS (SELECT DISTINCT doc_id, text, unnest(lines) AS line, generate_subscripts(lines, 1) AS i, len(lines) AS n FROM l),
-h AS (SELECT *, ('0x' || substr(md5(line), 25, 8))::BIGINT AS x FROM u),
-r AS (SELECT *, (x + 31 * coalesce(lag(x) OVER w, 0)) % 3 = 0 OR i = n AS ends FROM h
-      WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-c AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
-      FROM r),
-k AS (SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS bytes, count(*) AS size,
-             count(*) FILTER (trim(line) <> '') AS filled FROM c GROUP BY doc_id, chunk),
-m AS (SELECT *, filled >= 2 AND row_number() OVER (PARTITION BY bytes, filled >= 2 ORDER BY doc_id, chunk) > 1 AS gone FROM k),
-deduped AS (SELECT doc_id, sum(size)::BIGINT AS n_lines, coalesce(sum(size) FILTER (gone), 0)::BIGINT AS n_removed,
-            coalesce(string_agg(bytes, chr(10) ORDER BY chunk) FILTER (NOT gone), '') AS text FROM m GROUP BY doc_id)
-"""
+
+#: ``dedup_passages`` and ``dedup_lines`` in DuckDB SQL (31, 13: ``Params``' values).
+PASSAGES_SQL = _sql("u WHERE trim(line) <> ''")
+DEDUP_SQL = _sql("""(SELECT doc_id, i, ('0x' || substr(md5(line), 25, 8))::BIGINT
+  + 31 * coalesce(lag(('0x' || substr(md5(line), 25, 8))::BIGINT) OVER (PARTITION BY doc_id ORDER BY i), 0) AS roll
+  FROM u WHERE trim(line) <> '') WHERE roll % 13 <> 0""")

@@ -46,31 +46,24 @@ def near(texts, k, percent=80):
     return {i: len(s) for i, s in sets.items()}, groups(sorted(texts), linked)
 
 
-def chunks(text, modulus=3):
+def chunks(text, modulus=13):
+    """(first, last, lines) between neighbouring boundary lines."""
     lines = (text or "").split("\n")
-    h = [int(hashlib.md5(x.encode()).hexdigest()[24:32], 16) for x in lines]
-    out, now = [], []
-    for i, line in enumerate(lines):
-        now.append(line)
-        if (h[i] + 31 * (h[i - 1] if i else 0)) % modulus == 0:
-            out.append(now)
-            now = []
-    return out + ([now] if now else [])
+    filled = [i for i, x in enumerate(lines) if x.strip(" ")]
+    h = [int(hashlib.md5(lines[i].encode()).hexdigest()[24:32], 16) for i in filled]
+    bounds = [i for k, i in enumerate(filled) if (h[k] + 31 * (h[k - 1] if k else 0)) % modulus]
+    return [(a, b, tuple(lines[a:b + 1])) for a, b in zip(bounds, bounds[1:])]
 
 
 def line_dedup(texts):
+    """doc_id -> (text, removed): lines of all chunks seen before are cut."""
     seen, out = set(), {}
     for i in sorted(texts):
-        kept, gone = [], 0
-        for c in chunks(texts[i]):
-            key = tuple(c)
-            if sum(bool(x.strip(" ")) for x in c) >= 2:
-                if key in seen:
-                    gone += len(c)
-                    continue
-                seen.add(key)
-            kept.append("\n".join(c))
-        out[i] = ("\n".join(kept), gone)
+        x, gone = (texts[i] or "").split("\n"), set()
+        for a, b, c in chunks(texts[i]):
+            gone |= set(range(a, b + 1)) if c in seen else set()
+            seen.add(c)
+        out[i] = ("\n".join(line for k, line in enumerate(x) if k not in gone), len(gone))
     return out
 
 
