@@ -27,7 +27,10 @@ a third of all texts), do not meet in one bucket: their windows are keyed by a
 Defined results: a null text is an empty text; texts shorter than ``length``
 lose nothing; a row with a null id loses nothing and repeats nothing; rows with
 one doc_id stand at one place (exactly repeated rows do not repeat each other);
-matches never cross texts; other columns are ignored.
+of several texts with one doc_id the one that counts is the longest in bytes
+(ties: the greatest hash), rows with another one lose nothing and repeat nothing;
+matches never cross texts; a text of 256 MB or more is an error; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -355,7 +358,14 @@ def dedup(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept): the removed spans of every
     row's text in bytes, and the remaining bytes."""
     texts = id_text(docs)
-    spans = (repeats(texts.where("doc_id IS NOT NULL"), p).groupBy("doc_id")
+    # ids with several texts, and the text of each that counts: 24 bytes a row, combined where the rows lie
+    mark = F.struct(F.octet_length("text").alias("n"), F.xxhash64("text").alias("h"))
+    several = keep(texts.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(mark).alias("least"), F.max(mark).alias("most"))
+                   .where("least <> most").select("doc_id", F.col("most.h").alias("counts")), "repeats-ids")
+    texts = texts.join(several, "doc_id", "left").withColumn(
+        "own", F.col("doc_id").isNotNull() & (F.col("counts").isNull() | (F.col("counts") == F.xxhash64("text")))).drop("counts")
+    spans = (repeats(texts.where("own").drop("own"), p).groupBy("doc_id")
              .agg(F.collect_set(F.struct("lo", "size")).alias("spans")))
-    return texts.join(spans, "doc_id", "left").mapInArrow(
+    texts = texts.join(spans, "doc_id", "left").select("doc_id", "text", F.when(F.col("own"), F.col("spans")).alias("spans"))
+    return texts.mapInArrow(
         _kept, "doc_id long, n_bytes long, n_removed long, spans array<struct<start: int, end: int>>, kept binary")
