@@ -190,6 +190,8 @@ def links(vectors: DataFrame, p: Params = Params(), id_col: str = "vec_id", col:
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
            .select("t", "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                    "block", "rep", "n", "size", "unit", "cells"))
+    # dealt anew: a join by (t, cell) would leave all block pairs of a cell in one task
+    met = met.repartition("t", "cell", "i", "j")
     found = keep(met.groupBy("t", "cell", "i", "j").applyInArrow(lambda g: _compare(g, need, p), "a long, n long, b long"),
                  "vectors-links")
     counts = found.where("n IS NOT NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n_links"))
