@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from quarry.llm.store import id_text
+from quarry.llm.store import id_text, one_each
 from quarry.llm.textbytes import SPACE, mix, per_row, pieces, words
 
 
@@ -146,12 +146,13 @@ def _rows(batches, names):
 
 def fit(docs: DataFrame, labels: DataFrame, learned_from, p: Params = Params(), label: str = "quality") -> Ranking | None:
     """Learn from the labelled rows for which ``learned_from(doc_id)`` holds;
-    ``max_rows`` bounds what reaches the driver."""
+    ``max_rows`` bounds what reaches the driver, one row for each id (of several
+    the one whose text has the smallest hash)."""
     chosen = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("label"))
               .where(F.col("doc_id").isNotNull() & F.col("label").isin(0.0, 1.0)).where(learned_from(F.col("doc_id")))
               .groupBy("doc_id").agg(F.max("label").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(p.max_rows))
-    rows = (id_text(docs).join(F.broadcast(chosen), "doc_id").select("label", "text")  # at most max_rows (id, label)
+    rows = (one_each(id_text(docs).join(F.broadcast(chosen), "doc_id")).select("label", "text")  # at most max_rows (id, label)
             .mapInArrow(lambda it: _rows(it, ["label"]), "label double, x array<double>").toPandas())
     if len(rows) == 0:
         return None

@@ -28,6 +28,13 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def one_each(rows: DataFrame) -> DataFrame:
+    """One row (doc_id, label, text) for each id: a grouped minimum by the text's
+    hash, combined where the rows lie, so a hot id is one row per task."""
+    return rows.groupBy("doc_id").agg(F.first("label").alias("label"), F.min(F.struct(F.xxhash64("text"), "text")).alias("t")).select(
+        "doc_id", "label", F.col("t.text").alias("text"))
+
+
 def crc_fold(id_col, n: int):
     """crc32 of the id written as text, modulo ``n`` (null id: null)."""
     return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(n))

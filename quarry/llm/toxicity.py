@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from quarry.llm.store import id_text, keep
+from quarry.llm.store import id_text, keep, one_each
 from quarry.llm.textbytes import LOWER_CODE, TERM, WORDS, distinct, mix, pieces, word_ranges
 
 STEMS = (4, 5)  # bytes of a term that count as its stem
@@ -33,7 +33,8 @@ STEMS = (4, 5)  # bytes of a term that count as its stem
 class Params:
     hash_bits: int = 26      # columns that a term is hashed to
     max_rows: int = 12_000   # labelled texts learned from: the smallest by a hash of the id
-    max_columns: int = 4096  # columns with a weight, the most telling ones by G-test
+    max_columns: int = 4096  # columns with a weight for being telling by themselves, by G-test
+    common: int = 512        # further columns, the commonest: a term may tell only together with another
     min_rows: int = 4        # learned texts that a column must occur in
     rank: int = 8            # length of the vectors v_i
     epochs: int = 14
@@ -110,7 +111,8 @@ def _picked(batches, cols: np.ndarray):
 
 
 def _telling(rows: DataFrame, p: Params) -> np.ndarray:
-    """Sorted columns that tell the labels apart best (G-test on presence)."""
+    """Sorted columns that tell the labels apart best (G-test on presence), and
+    the commonest of the others, which may matter in pairs only."""
     total, positive = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if not 0 < positive < total:
         return np.zeros(0, np.int64)
@@ -122,12 +124,14 @@ def _telling(rows: DataFrame, p: Params) -> np.ndarray:
 
     g = (part(pos, n * share) + part(n - pos, n * (1 - share)) + part(positive - pos, (total - n) * share)
          + part(total - n - positive + pos, (total - n) * (1 - share)))
-    best = (rows.select("label", F.explode("columns").alias("c")).groupBy("c")
+    seen = (rows.select("label", F.explode("columns").alias("c")).groupBy("c")
             .agg(F.count("*").alias("n"), F.sum("label").alias("pos")).where(n >= p.min_rows)
-            .where(n < total).select("c", g.alias("g"))
-            .where("g >= 5.4")  # half of chi-square's 0.1 % point for one degree of freedom
-            .orderBy(F.desc("g"), "c").limit(p.max_columns))
-    return np.sort(np.array([r["c"] for r in best.collect()], dtype=np.int64))
+            .where(n < total).select("c", "n", g.alias("g")))
+    seen = keep(seen, "toxicity-columns")
+    best = (seen.where("g >= 5.4")  # half of chi-square's 0.1 % point for one degree of freedom
+            .orderBy(F.desc("g"), "c").limit(p.max_columns).select("c"))
+    often = seen.where("g < 5.4").orderBy(F.desc("n"), "c").limit(p.common).select("c")
+    return np.sort(np.array([r["c"] for r in best.union(often).collect()], dtype=np.int64))
 
 
 def learn(y: np.ndarray, k: np.ndarray, start: np.ndarray, cols: np.ndarray, p: Params) -> Machine:
@@ -168,13 +172,14 @@ def fit(docs: DataFrame, labels: DataFrame, learned_from, p: Params = Params(),
     """Learn from the labelled rows for which ``learned_from(doc_id)`` holds.
 
     ``max_rows`` bounds what reaches the driver; the rows are those whose id has
-    the smallest hash, whatever the partitioning."""
+    the smallest hash, whatever the partitioning, and one row for each id (of
+    several the one whose text has the smallest hash)."""
     bits = p.hash_bits
     chosen = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("label"))
               .where(F.col("doc_id").isNotNull() & F.col("label").isin(0.0, 1.0)).where(learned_from(F.col("doc_id")))
               .groupBy("doc_id").agg(F.max("label").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(p.max_rows))
-    rows = keep(id_text(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")  # at most max_rows (id, label)
+    rows = keep(one_each(id_text(docs).join(F.broadcast(chosen), "doc_id")).select("doc_id", "label", "text")  # at most max_rows (id, label)
                 .mapInArrow(lambda it: _columns(it, bits), "doc_id long, label double, columns array<int>"), "toxicity-terms")
     cols = _telling(rows, p)
     some = (rows.mapInArrow(lambda it: _picked(it, cols), rows.schema).toPandas()
