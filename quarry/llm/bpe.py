@@ -11,8 +11,10 @@ stored last tokens, read backwards.
 ``encode`` covers tokenizers of the kind of ``word_bpe_49k.json``: composed,
 space-folded, lower-cased text, split by the file's pattern, byte-level symbols,
 a suffix on each word's last symbol. Each process keeps the encodings of the words it
-has met, in two generations of up to ``CACHE`` words, so memory is bounded; the
-results do not depend on it.
+has met, in two generations of up to ``CACHE`` words of at most ``LONGEST``
+characters, so memory is bounded (a longer run without white space, as in texts
+written without it, is put together from its pieces each time); the results do
+not depend on it.
 
 Defined results: a null text is an empty text, with no ids and an empty decoded
 text; a null id is encoded like any other; repeated rows are encoded alike;
@@ -33,6 +35,7 @@ from pyspark.sql import DataFrame
 from quarry.llm.store import id_text
 
 CACHE = 250_000
+LONGEST = 64     # characters of a word or piece that is remembered
 PAIRS = 200_000  # remembered pair tests
 END = "\x01"  # stands for the word-end suffix; not a byte-level symbol
 #: Fixed value: characters that the tokenizers library's pattern engine counts as white space.
@@ -186,7 +189,11 @@ class Encoder:
             symbols = self.symbols
             plain = piece.isascii() and piece.isprintable()  # such bytes stand for themselves
             ids = self.word((piece if plain else "".join([symbols[b] for b in piece.encode("utf-8")])) + END)
-            got = self.pieces[piece] = (len(ids), " ".join(map(str, ids)), " ".join([self.name[i] for i in ids]))
+            got = (len(ids), " ".join(map(str, ids)), " ".join([self.name[i] for i in ids]))
+            if len(piece) <= LONGEST:
+                if len(self.pieces) >= self.cache:
+                    self.pieces = {}
+                self.pieces[piece] = got
         return got
 
     def _known(self, word: str) -> tuple[int, str, str]:
@@ -207,6 +214,8 @@ class Encoder:
                         parts += map(self._piece, self.split.findall(part))
             got = parts[0] if len(parts) == 1 else (
                 sum(p[0] for p in parts), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts]))
+        if len(word) > LONGEST:
+            return got
         if len(self.words) >= self.cache:  # words not met since the last change of generation are forgotten
             self.before, self.words, self.pieces = self.words, {}, {}
         self.words[word] = got
@@ -249,9 +258,18 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _encoded(batches, path: str | None, make, names, cache: int):
-    e = encoder(path or default_path())
+def _encoded(batches, path: str | None, make, names, cache: int, release: bool = False):
+    path = path or default_path()
+    e = encoder(path)
     e.cache = cache
+    try:
+        yield from _rows(e, batches, make, names)
+    finally:
+        if release:
+            _ENCODERS.pop(path, None)
+
+
+def _rows(e: Encoder, batches, make, names):
     for batch in batches:
         ids, text = batch.column("doc_id"), batch.column("text")
         for a in range(0, len(batch), 256):  # a few hundred encodings at once
@@ -260,16 +278,19 @@ def _encoded(batches, path: str | None, make, names, cache: int):
             yield pa.RecordBatch.from_arrays([ids[a:a + 256], *cols], ["doc_id", *(n for n, _ in names)])
 
 
-def encode(docs: DataFrame, path: str | None = None, cache: int = CACHE) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, cache: int = CACHE, release: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) of every row. ``path`` names a tokenizer
     file that every executor has (by default the installed word-level one);
-    ``cache`` bounds the words that a process remembers, in two generations."""
+    ``cache`` bounds the words that a process remembers, in two generations;
+    ``release`` gives the tables of a tokenizer back after each task (they take
+    under a second to make, and 80 MB and the remembered words as long as the
+    process lives), for jobs whose other stages need the memory."""
     names = [("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
 
     def make(n, ids, names):
         return n, np.array(ids.split(), dtype=np.int32), names
 
-    return id_text(docs).mapInArrow(lambda it: _encoded(it, path, make, names, cache),
+    return id_text(docs).mapInArrow(lambda it: _encoded(it, path, make, names, cache, release),
                                     "doc_id long, n_tokens long, ids array<int>, decoded string")
 
 
