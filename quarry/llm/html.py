@@ -57,6 +57,7 @@ UNLIKELY = re.compile(
     r"related|recommend\w*|widgets?|toolbar|pagination|pager|skip|hidden|copyright|disclaimer|legal|tags?|byline-ads?)(?=$|[\s_-])",
     re.I)
 CONTENT = {"article", "main"}
+REACH = 64  # ancestors that a block's points reach; the last gets 1/189 of them
 BASE = {"article": 30.0, "main": 25.0, "section": 3.0, "div": 3.0, "blockquote": 2.0, "pre": 2.0, "td": 2.0,
         "ul": -3.0, "ol": -3.0, "dl": -3.0, "li": -3.0, "address": -3.0, "th": -5.0}
 
@@ -71,6 +72,8 @@ class Page:
         self._linked = 0
         self._links = 0
         self._owner = 0
+        self._open_of: dict[str, int] = {}  # open elements by name
+        self._content = 0
         self._parse(source)
 
     def _flush(self, owner: int) -> None:
@@ -102,25 +105,35 @@ class Page:
                     out = True
                 elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                     out = True
-        if name == "header" and not any(self.tag[e] in CONTENT for e in stack):
+        if name == "header" and not self._content:
             unlikely = True
         self.parent.append(stack[-1])
         self.tag.append(name)
         self.out.append(out)
         self.holds.append(unlikely)
         if name in CONTENT:  # a part around an article is not dropped for its name
-            for e in stack:
+            for e in reversed(stack):
                 self.holds[e] = False
+                if self.tag[e] in CONTENT:  # those above were cleared by it
+                    break
+            self._content += 1
+        self._open_of[name] = self._open_of.get(name, 0) + 1
         stack.append(len(self.tag) - 1)
 
     def _pop(self, stack: list[int], to: int) -> None:
         for e in stack[to:]:
-            if self.tag[e] == "a":
+            tag = self.tag[e]
+            self._open_of[tag] -= 1
+            if tag == "a":
                 self._links -= 1
+            if tag in CONTENT:
+                self._content -= 1
         del stack[to:]
 
     def _end(self, stack: list[int], names: set[str], stops: set[str]) -> None:
         """Close the innermost of ``names`` unless one of ``stops`` is nearer."""
+        if not any(self._open_of.get(name) for name in names):
+            return
         for k in range(len(stack) - 1, 0, -1):
             tag = self.tag[stack[k]]
             if tag in names:
@@ -200,14 +213,15 @@ class Page:
             # a bare text block of a container counts as a paragraph in it
             up, share = (self.parent[e] if self.tag[e] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") else e), 1.0
             step = 0
-            while up > 0:
+            while up > 0 and step < REACH:
                 points[up] += own * share
                 up, step = self.parent[up], step + 1
                 share = 1.0 / (2 if step == 1 else step * 3)
-            while e >= 0:
-                length[e] += len(text)
-                linked[e] += links
-                e = self.parent[e]
+            length[e] += len(text)
+            linked[e] += links
+        for e in range(n - 1, 0, -1):  # children come after parents
+            length[self.parent[e]] += length[e]
+            linked[self.parent[e]] += linked[e]
         best, most = 0, float("-inf")
         for e in range(1, n):
             if length[e] and not gone[e] and self.tag[e] not in ("html", "body", "p"):
