@@ -126,23 +126,26 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -
     return docs.join(leaks, docs["doc_id"].cast("long") == leaks["leak_id"], "left_anti")
 
 
-def _seed_sql(table: str, key: str) -> str:
-    masks = " UNION ALL ".join(
-        f"SELECT {key}, i - 1 AS pos, '{n}' || {' || chr(31) || '.join(f't[i + {k}]' for k in m)} AS seed "
-        f"FROM {table}, range(1, len(t) - {m[-1]} + 1) r(i)" for n, m in enumerate(MASKS[:3]))
-    return f"({masks})"
+def _seed_sql(table: str, key: str, items: bool = False) -> str:
+    short = short_masks(SHORT)
+    made = []
+    for n, m in enumerate([*MASKS, *short]):
+        own = f" WHERE len(t) IN ({', '.join(map(str, short[m]))})" if items and m in short else ""
+        made.append(f"SELECT {key}, i - 1 AS pos, '{n}' || {' || chr(31) || '.join(f't[i + {k}]' for k in m)} AS seed "
+                    f"FROM {table}, range(1, len(t) - {m[-1]} + 1) r(i){own}")
+    return f"({' UNION ALL '.join(made)})"
 
 
 _P = Params()
-#: The same in DuckDB SQL: windows compared as text, all diagonals verified. It
-#: nominates through the first three masks, so a pair only the others hit is not in it.
+#: The same in DuckDB SQL, for items of any length: masked windows compared as text,
+#: all diagonals they name verified.
 LEAKS_SQL = f"""
 bt AS (SELECT DISTINCT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS t
        FROM benchmark WHERE item_id IS NOT NULL),
 dt AS (SELECT DISTINCT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS t
        FROM {{docs}} WHERE doc_id IS NOT NULL),
 hit AS (SELECT DISTINCT d.doc_id, b.item_id, d.pos - b.pos AS position
-        FROM {_seed_sql('dt', 'doc_id')} d JOIN {_seed_sql('bt', 'item_id')} b USING (seed)),
+        FROM {_seed_sql('dt', 'doc_id')} d JOIN {_seed_sql('bt', 'item_id', items=True)} b USING (seed)),
 al AS (SELECT hit.*, greatest(-position, 0) AS skip, len(bt.t) AS n,
               least(len(bt.t), len(dt.t) - position) - greatest(-position, 0) AS n_tokens, dt.t AS dtok, bt.t AS btok
        FROM hit JOIN dt USING (doc_id) JOIN bt USING (item_id)),
