@@ -54,7 +54,7 @@ class Params:
     shard: int = 1024         # blocks
     levels: int = 6           # levels of the tree that one job descends
     cell: int = 64            # permuted blocks that a join key stands for
-    bucket: int = 50_000      # documents of a source whose offsets one window settles
+    bucket: int = 4096        # documents of a source whose offsets one window settles
     copies: int = 65_536      # equal rows that are dealt out together
     seed: int = 53
 
