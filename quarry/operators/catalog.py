@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.types import sql_type_name
+from quarry.operators.keys import KEY_TYPES, common_values
 from quarry.operators.profile import profile
 
 TABLES_SCHEMA = T.StructType([
@@ -127,6 +128,23 @@ def has_table(cat_tables: DataFrame, table: str) -> DataFrame:
     return cat_tables.where(F.col("table_name") == table).select("db").distinct()
 
 
+def has_field(cat_fields: DataFrame, table: str, field: str) -> DataFrame:
+    """The databases whose ``table`` has ``field``."""
+    return field_info(cat_fields, table, field).select("db").distinct()
+
+
+def field_info(cat_fields: DataFrame, table: str, field: str) -> DataFrame:
+    """The catalog row of one field (one per database that has it)."""
+    return cat_fields.where((F.col("table_name") == table) & (F.col("field_name") == field))
+
+
+def table_info(cat_tables: DataFrame, cat_fields: DataFrame, table: str) -> DataFrame:
+    """One row per database: the table's comment and its fields' names in order."""
+    names = cat_fields.where(F.col("table_name") == table).groupBy("db").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("field_ord", "field_name"))), lambda x: x["field_name"]).alias("fields"))
+    return cat_tables.where(F.col("table_name") == table).join(names, "db", "left")
+
+
 def fields_by(cat_fields: DataFrame, category: str | None = None,
               role: str | None = None) -> DataFrame:
     from quarry.functions.types import FIELD_CATEGORIES, ROLES
@@ -162,55 +180,25 @@ def discover_keys(prof: DataFrame) -> DataFrame:
                         (F.col("n_count") > 0)).alias("is_unique"))
 
 
-KEY_TYPES = ["TINYINT", "SMALLINT", "INTEGER", "BIGINT", "TEXT"]
-
-
-WORD = 62  # columns per bit mask
-
-
 def discover_fks(tables: dict[str, DataFrame]) -> DataFrame:
     """P17 FK discovery: ``child -> parent`` when the parent column is unique
     (non-null, all distinct), both have the same key-like type, and every
     distinct non-null child value occurs in the parent.
 
-    One shuffle of values: each distinct typed value gets the set of columns
-    that hold it, as bit masks combined on the map side (a value in all rows is
-    one row per task).  Values with the same set are counted together, and the
-    counts of the sets that hold two columns are those columns' common values;
-    no value is joined to another.  Long texts travel as digests."""
+    One shuffle of values (``keys.common_values``); long texts travel as digests."""
     spark = next(iter(tables.values())).sparkSession
     cols = [(t, f.name, sql_type_name(f.dataType)) for t, df in tables.items() for f in df.schema.fields
             if sql_type_name(f.dataType) in KEY_TYPES]
-    number = {(t, c): i for i, (t, c, _) in enumerate(cols)}
-    words = range(-(-max(len(cols), 1) // WORD))
-    values = sizes = None
-    for t, df in tables.items():
-        mine = [(c, ty) for tt, c, ty in cols if tt == t]
-        if not mine:
-            continue
-        rows, counts = [], []
-        for c, ty in mine:
-            x, i = F.col("`" + c.replace("`", "``") + "`"), number[t, c]
-            text = F.when(F.length(x) > 32, F.concat(F.lit("\u0001"), F.md5(x))).otherwise(x) if ty == "TEXT" else F.lit(None)
-            number_ = x.cast("long") if ty != "TEXT" else F.lit(None).cast("long")
-            rows.append(F.struct(number_.alias("kl"), text.cast("string").alias("ks"),
-                                 *[F.lit(1 << i % WORD if i // WORD == w else 0).cast("long").alias(f"m{w}") for w in words]))
-            counts.append(F.struct(F.lit(i).alias("col"), F.count(x).alias("n_count"), F.count(F.lit(1)).alias("n_rows")))
-        v = df.select(F.inline(F.array(*rows))).where("kl IS NOT NULL OR ks IS NOT NULL")
-        s = df.agg(F.array(*counts).alias("c")).select(F.inline("c"))
-        values = v if values is None else values.unionByName(v)
-        sizes = s if sizes is None else sizes.unionByName(s)
-    if values is None:
+    if not cols:
         return spark.createDataFrame([], "table_name string, field_name string, ref_table string, ref_field string")
-    masks = [f"m{w}" for w in words]
-    sets = (values.groupBy("kl", "ks").agg(*[F.bit_or(m).alias(m) for m in masks])
-            .groupBy(*masks).agg(F.count(F.lit(1)).alias("n")))
-    bits = F.filter(F.sequence(F.lit(0), F.lit(len(cols) - 1)), lambda i: F.element_at(
-        F.array(*masks), F.floor(i / WORD).cast("int") + 1)
-        .bitwiseAND(F.element_at(F.array(*[F.lit(1 << b).cast("long") for b in range(WORD)]), (i % WORD).cast("int") + 1)) != 0)
-    held = sets.select("n", bits.alias("held"))
-    common = (held.select("n", "held", F.explode("held").alias("child")).select("n", "child", F.explode("held").alias("parent"))
-              .groupBy("child", "parent").agg(F.sum("n").alias("common")))
+
+    def keys(c, ty):
+        x = F.col("`" + c.replace("`", "``") + "`")
+        if ty == "TEXT":
+            return F.lit(None), F.when(F.length(x) > 32, F.concat(F.lit("\u0001"), F.md5(x))).otherwise(x)
+        return x, F.lit(None)
+
+    common, sizes = common_values(tables, [(t, *keys(c, ty)) for t, c, ty in cols])
     names = spark.createDataFrame([(i, t, c, ty) for i, (t, c, ty) in enumerate(cols)],
                                   "col int, table_name string, field_name string, type_name string")
     # from here on everything is schema-sized

@@ -19,6 +19,7 @@ pair's rows are collected into one task or to the driver:
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -286,44 +287,62 @@ def sql_text_match(gold: Column, pred: Column) -> Column:
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     """Jaro-Winkler similarity (prefix weight 0.1, up to 4 characters,
     boost only above 0.7)."""
-    return pd.Series([_jw(x, y) for x, y in zip(a, b)], dtype="float64")
-
-
-def _jw(s1, s2) -> float:
-    if s1 is None or s2 is None:
-        return None
-    if s1 == s2:
-        return 1.0
-    l1, l2 = len(s1), len(s2)
-    if l1 == 0 or l2 == 0:
-        return 0.0
-    window = max(max(l1, l2) // 2 - 1, 0)
-    m1, m2 = [False] * l1, [False] * l2
-    matches = 0
-    for i, ch in enumerate(s1):
-        lo, hi = max(0, i - window), min(i + window + 1, l2)
-        for j in range(lo, hi):
-            if not m2[j] and s2[j] == ch:
-                m1[i] = m2[j] = True
-                matches += 1
-                break
-    if matches == 0:
-        return 0.0
-    t, k = 0, 0
-    for i in range(l1):
-        if m1[i]:
-            while not m2[k]:
-                k += 1
-            if s1[i] != s2[k]:
-                t += 1
-            k += 1
-    # half the out-of-order matches, rounded down
-    jaro = (matches / l1 + matches / l2 + (matches - t // 2) / matches) / 3
-    if jaro <= 0.7:
-        return jaro
-    prefix = 0
-    for x, y in zip(s1[:4], s2[:4]):
-        if x != y:
-            break
-        prefix += 1
-    return jaro + prefix * 0.1 * (1 - jaro)
+    return pd.Series(_jw_all(a.tolist(), b.tolist()), dtype="float64")
+
+
+def _characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points as a matrix (padded with 0) and the lengths."""
+    n = np.array([len(t) for t in texts], dtype=np.int64)
+    out = np.zeros((len(texts), int(n.max(initial=1))), dtype=np.uint32)
+    out[np.arange(out.shape[1]) < n[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    return out, n
+
+
+def _jw_all(a: list, b: list, cells: int = 1 << 22) -> np.ndarray:
+    """Row by row similarities, NaN where a side is null; all rows of a run are
+    matched together, one character position at a time."""
+    out = np.full(len(a), np.nan)
+    rows = [i for i in range(len(a)) if a[i] is not None and b[i] is not None]
+    rows.sort(key=lambda i: max(len(a[i]), len(b[i])))  # rows of like lengths share a matrix
+    at = 0
+    while at < len(rows):
+        step = max(1, cells // max(1, len(a[rows[at]]), len(b[rows[at]])))
+        part = rows[at:at + step]
+        while len(part) > 1 and len(part) * max(len(a[part[-1]]), len(b[part[-1]])) > cells:
+            part = part[:len(part) // 2]
+        out[part] = _jw_rows([a[i] for i in part], [b[i] for i in part])
+        at += len(part)
+    return out
+
+
+def _jw_rows(a: list[str], b: list[str]) -> np.ndarray:
+    x, n = _characters(a)
+    y, m = _characters(b)
+    window = np.maximum(np.maximum(n, m) // 2 - 1, 0)
+    free = np.arange(y.shape[1]) < m[:, None]
+    hit, j = np.zeros(x.shape, dtype=bool), np.arange(y.shape[1])
+    for i in range(x.shape[1]):
+        fits = free & (y == x[:, i, None]) & (np.abs(j - i) <= window[:, None]) & (i < n)[:, None]
+        there = fits.any(axis=1)
+        first = fits.argmax(axis=1)
+        hit[:, i] = there
+        free[there, first[there]] = False
+    used = (j < m[:, None]) & ~free
+    matches = hit.sum(axis=1)
+    # the matched characters of both sides in order, side by side
+    left, right = x[hit], y[used]
+    row = np.repeat(np.arange(len(a)), matches)
+    swapped = np.bincount(row[left != right], minlength=len(a))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        # half the out-of-order matches, rounded down
+        jaro = np.where(matches > 0, (matches / n + matches / m + (matches - swapped // 2) / matches) / 3, 0.0)
+    width = min(4, x.shape[1], y.shape[1])
+    same = (x[:, :width] == y[:, :width]) & (np.arange(width) < np.minimum(n, m)[:, None])
+    prefix = np.cumprod(same, axis=1).sum(axis=1) if width else np.zeros(len(a), dtype=np.int64)
+    out = np.where(jaro > 0.7, jaro + prefix * 0.1 * (1 - jaro), jaro)
+    return np.where((n == 0) & (m == 0), 1.0, out)
+
+
+def _jw(s1, s2) -> float | None:
+    """Similarity of one pair."""
+    return None if s1 is None or s2 is None else float(_jw_all([s1], [s2])[0])

@@ -235,11 +235,16 @@ def outcome_flags(pairs: DataFrame, outcomes: DataFrame, timeout_s: float | None
 def evaluate_pairs(spark: SparkSession, pairs: DataFrame, register_db=None, timeout_s: float = 30.0,
                    threads: int = 4) -> DataFrame:
     """E3-E6 for ``pairs(pair_id, db, pred_sql, gold_sql)``:
-    ``(pair_id, ex_eq, ex_bird, executable, outcome, gold_failed)``.
+    ``(pair_id, ex_eq, ex_bird, executable, outcome, gold_failed)``."""
+    outcomes, rows = run_texts(spark, pair_texts(pairs), register_db, timeout_s, threads)
+    return score_runs(pairs, outcomes, rows, timeout_s)
+
+
+def score_runs(pairs: DataFrame, outcomes: DataFrame, rows: DataFrame, timeout_s: float = 30.0) -> DataFrame:
+    """The scores of :func:`evaluate_pairs` for texts that have run.
 
     Results are compared once per distinct (predicted, gold) text pair: a gold
     text that many pairs share is not copied for each of them."""
-    outcomes, rows = run_texts(spark, pair_texts(pairs), register_db, timeout_s, threads)
     flags = outcome_flags(pairs, outcomes, timeout_s).withColumn("_key", F.xxhash64("_pt", "_gt"))
     both = flags.where(F.col("outcome") == "ok").select(F.col("_key").alias("pair_id"), "_pt", "_gt").distinct()
     sides = both.select("pair_id", F.explode(F.array(

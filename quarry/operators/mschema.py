@@ -300,10 +300,11 @@ def to_mschema_with_selected(cat_tables: DataFrame, cat_fields: DataFrame, cat_f
     r = requests.select("req_id", "db",
                         F.transform(F.coalesce("selected_cols", F.array().cast("array<string>")),
                                     lambda s: F.lower(s)).alias("_sel"),
-                        F.map_from_entries(F.transform(F.map_entries(F.coalesce(
-                            "selected_values", F.create_map().cast("map<string,array<string>>"))),
-                            lambda e: F.struct(F.lower(e["key"]).alias("k"), e["value"].alias("v"))))
-                        .alias("_vals"))
+                        # names that differ only by case are one name: the last entry counts
+                        F.aggregate(F.map_entries(F.coalesce("selected_values", F.create_map().cast("map<string,array<string>>"))),
+                                    F.create_map().cast("map<string,array<string>>"),
+                                    lambda m, e: F.map_concat(F.map_filter(m, lambda k, _: k != F.lower(e["key"])),
+                                                              F.create_map(F.lower(e["key"]), e["value"]))).alias("_vals"))
     j = r.join(cat_side, "db", "left")
     j = j.withColumn("_stabs", F.array_distinct(F.transform("_sel", lambda s: F.substring_index(s, ".", 1))))
 

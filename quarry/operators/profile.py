@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from quarry.session import scratch_path
 from quarry.functions.text import has_url, is_email
-from quarry.functions.types import sql_type_name, type_category
+from quarry.functions.types import sql_type_name, type_category, type_category_col
 
 PROFILE_STATS = T.StructType([
     T.StructField("table_name", T.StringType()),
@@ -578,3 +578,31 @@ def text_date_granularity(values: DataFrame, key_cols: list[str], value_col: str
     votes = values.select(*key_cols, value_col).distinct().select(*key_cols, unit.alias("unit"))
     counted = votes.groupBy(*key_cols, "unit").agg(F.count(F.lit(1)).alias("n")).withColumn("o", order)
     return counted.groupBy(*key_cols).agg(F.max_by("unit", F.struct("n", "o")).alias("date_min_gran"))
+
+
+def label_fields(tables: dict[str, DataFrame], overrides: DataFrame | None = None) -> DataFrame:
+    """P13, P14 and P15 as one chain: ``(table_name, field_name, category,
+    dim_or_meas, date_min_gran, values)``.  Date and timestamp fields get their
+    finest unit from all values, date-like texts and numbers from the shapes of
+    their distinct values, Enum fields all their values.  The distinct values are
+    written once and shared by the steps."""
+    spark = next(iter(tables.values())).sparkSession
+    path = scratch_path(spark, "distinct")
+    distinct_values(tables).write.parquet(path)
+    distinct = spark.read.parquet(path)
+    path = scratch_path(spark, "labels")
+    field_categories(tables, overrides=overrides, distinct=distinct).write.parquet(path)
+    labels = spark.read.parquet(path)
+    names = spark.createDataFrame([(t, i, name, sql_type_name(dt)) for t, df in tables.items() for i, name, dt in _profilable(df)],
+                                  "table_name string, field_ord int, field_name string, type_name string")
+    key = ["table_name", "field_name"]
+    shaped = names.join(labels.where("category = 'DateTime'").select(*key), key).where(
+        type_category_col(F.col("type_name")) != "DateTime")
+    texts = text_date_granularity(distinct.where("v IS NOT NULL").join(shaped, ["table_name", "field_ord"]), key)
+    grains = texts.select(*key, "date_min_gran")
+    exact = date_granularity(tables)
+    if exact is not None:
+        grains = grains.unionByName(exact)
+    enums = enum_values(tables, labels.select(*key, "category"))
+    return (labels.join(grains, key, "left").join(enums.select(*key, "values"), key, "left")
+            .select(*key, "category", "dim_or_meas", "date_min_gran", "values"))

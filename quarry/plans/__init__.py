@@ -7,21 +7,16 @@
 from __future__ import annotations
 
 
+def _modules():
+    from quarry.plans import (catalog_queries, chain_queries, corpus_queries, eval_queries, exec_queries, key_queries,
+                              response_queries, rule_queries, schema_queries, source_queries, stream_queries, train_queries, whole_queries)
+    return (catalog_queries, corpus_queries, response_queries, schema_queries, eval_queries, train_queries, exec_queries,
+            rule_queries, whole_queries, source_queries, key_queries, chain_queries, stream_queries)
+
+
 def spark_queries():
-    from quarry.plans import (catalog_queries, corpus_queries, eval_queries, response_queries,
-                              schema_queries, train_queries, exec_queries, rule_queries, whole_queries, source_queries)
-    out = {}
-    for mod in (catalog_queries, corpus_queries, response_queries, schema_queries, eval_queries,
-                train_queries, exec_queries, rule_queries, whole_queries, source_queries):
-        out.update(mod.QUERIES)
-    return out
+    return {name: fn for m in _modules() for name, fn in m.QUERIES.items()}
 
 
 def oracle_queries():
-    from quarry.plans import (catalog_queries, corpus_queries, eval_queries, response_queries,
-                              schema_queries, train_queries, exec_queries, rule_queries, whole_queries, source_queries)
-    out = {}
-    for mod in (catalog_queries, corpus_queries, response_queries, schema_queries, eval_queries,
-                train_queries, exec_queries, rule_queries, whole_queries, source_queries):
-        out.update(mod.ORACLES)
-    return out
+    return {name: sql for m in _modules() for name, sql in m.ORACLES.items()}

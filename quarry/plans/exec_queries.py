@@ -98,6 +98,92 @@ def run_pairs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("pair_id", "ex_eq", "ex_bird", "executable")
 
 
+# -------------------------------------------- executed feedback (G4, G5) --
+
+STATUS = ("SELECT o_orderstatus, COUNT(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey "
+          "WHERE c_nationkey = {k} GROUP BY o_orderstatus ORDER BY o_orderstatus")
+LARGEST = "SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey = {k} ORDER BY o_orderkey DESC"
+BROKEN = "SELECT o_orderstatus FROM no_such_table WHERE c_nationkey = {k}"
+WRONG = (LARGEST, BROKEN, STATUS)
+
+
+def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One question per nation; its prediction lists orders instead of counting them
+    (0), names a table that is not there (1), or is right (2), by the key modulo 3."""
+    k = F.col("n_nationkey").cast("string")
+    fill = lambda t: F.concat(F.lit(t.split("{k}")[0]), k, F.lit(t.split("{k}")[1]))
+    pred = F.when(F.col("n_nationkey") % 3 == 0, fill(LARGEST)).when(F.col("n_nationkey") % 3 == 1, fill(BROKEN)).otherwise(fill(STATUS))
+    return load(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("long").alias("pair_id"), F.col("n_nationkey").cast("long").alias("idx"), F.lit("tpch").alias("db"),
+        F.concat(F.lit("How many orders of each status has "), "n_name", F.lit("?")).alias("question"), F.lit("").alias("evidence"),
+        F.concat(F.lit("orders and customers of "), "n_name").alias("db_schema"), pred.alias("pred_sql"), fill(STATUS).alias("gold_sql"))
+
+
+def _k(template: str) -> str:
+    head, tail = template.split("{k}")
+    return f"'{head}' || cast(n_nationkey AS VARCHAR) || '{tail}'"
+
+
+MISSING = ("[TABLE_OR_VIEW_NOT_FOUND] The table or view `no_such_table` cannot be found. "
+           "Verify the spelling and correctness of the schema and catalog.")
+ASKED_SQL = f"""counts AS (SELECT c_nationkey AS k, o_orderstatus AS s, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL),
+status AS (SELECT k, string_agg(s || ' | ' || cast(n AS VARCHAR), chr(10) ORDER BY s) AS shown FROM counts GROUP BY k),
+keys AS (SELECT c_nationkey AS k, o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey
+ QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY o_orderkey DESC) <= 10),
+largest AS (SELECT k, string_agg(cast(o_orderkey AS VARCHAR), chr(10) ORDER BY o_orderkey DESC) AS shown FROM keys GROUP BY k),
+asked AS (SELECT n_nationkey AS idx, 'How many orders of each status has ' || n_name || '?' AS question, '' AS evidence,
+ 'orders and customers of ' || n_name AS db_schema, {_k(LARGEST)} AS large_sql, {_k(BROKEN)} AS broken_sql, {_k(STATUS)} AS status_sql,
+ coalesce(l.shown, '[]') AS large_info, 'error: {MISSING}' AS broken_info, coalesce(s.shown, '[]') AS status_info
+ FROM nation LEFT JOIN largest l ON l.k = n_nationkey LEFT JOIN status s ON s.k = n_nationkey)"""
+
+
+def _refine_sql():
+    from quarry.plans.train_queries import VALS, G, fill_sql
+    return f"""WITH {ASKED_SQL}, wrong AS (SELECT *, CASE WHEN idx % 3 = 0 THEN large_sql ELSE broken_sql END AS error_sql,
+ CASE WHEN idx % 3 = 0 THEN large_info ELSE broken_info END AS error_info FROM asked
+ WHERE idx % 3 = 1 OR idx % 3 = 0 AND (large_info <> '[]' OR status_info <> '[]'))
+SELECT CAST(idx AS BIGINT) AS idx, {fill_sql(G.TEMPLATES[('self_refine', 'zh')], VALS)} AS prompt FROM wrong"""
+
+
+@register("self_refine_executed", _refine_sql())
+def self_refine_executed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions are run and scored; the wrong ones are asked again with
+    the first rows they returned, or their error."""
+    from quarry.operators import feedback, prompts
+    pairs = _asked(spark, sf_dir)
+    outcomes, rows = X.run_texts(spark, X.pair_texts(pairs), _views(spark, sf_dir), timeout_s=120, batch_size=4)
+    scores = X.score_runs(pairs, outcomes, rows, timeout_s=120)
+    recs = prompts.self_refine_records(pairs, feedback.refine_outcomes(pairs, scores, feedback.result_texts(outcomes, rows)).drop("pred_sql_res"))
+    return recs.select("idx", prompts.prompt_for(F.lit("self_refine"), prompts._values(recs)).alias("prompt"))
+
+
+def _selection_sql():
+    from quarry.plans.train_queries import CAND_VALS, SEL_VALS, G, fill_sql
+    return f"""WITH {ASKED_SQL}, c AS (SELECT idx, 1 AS cand_no, large_sql AS sql, large_info AS exec_info FROM asked
+ UNION ALL SELECT idx, 2, broken_sql, broken_info FROM asked UNION ALL SELECT idx, 3, status_sql, status_info FROM asked),
+b AS (SELECT idx, cand_no, {fill_sql(G.TEMPLATES[('candidate', 'zh')], CAND_VALS)} AS txt FROM c),
+per AS (SELECT idx, count(*) AS num, string_agg(txt, chr(10) || chr(10) ORDER BY cand_no) AS candidates,
+  string_agg(cast(cand_no AS VARCHAR), '、' ORDER BY cand_no) AS items FROM b GROUP BY idx)
+SELECT CAST(asked.idx AS BIGINT) AS idx, {fill_sql(G.TEMPLATES[('selection', 'zh')], SEL_VALS | {'error_sql': "''", 'error_info': "''"})} AS prompt
+FROM asked JOIN per ON asked.idx = per.idx"""
+
+
+@register("candidate_prompt_executed", _selection_sql())
+def candidate_prompt_executed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four answers per question, one of them twice, each shown once with
+    the first rows it returned."""
+    from quarry.operators import feedback, prompts
+    asked = _asked(spark, sf_dir)
+    k = F.col("idx").cast("string")
+    fill = lambda t: F.concat(F.lit(t.split("{k}")[0]), k, F.lit(t.split("{k}")[1]))
+    answers = asked.select("idx", "db", F.explode(F.array(*[F.struct(F.lit(i).alias("cand_no"), fill(t).alias("sql"))
+                                                             for i, t in enumerate((LARGEST, BROKEN, STATUS, LARGEST), 1)])).alias("a"))
+    answers = answers.select("idx", "db", "a.*")
+    texts = answers.select(X.text_id(F.col("db"), F.col("sql")).alias("text_id"), "db", "sql").dropDuplicates(["text_id"])
+    outcomes, rows = X.run_texts(spark, texts, _views(spark, sf_dir), timeout_s=120, batch_size=4)
+    return prompts.selection_prompts(asked, feedback.candidates(answers, feedback.result_texts(outcomes, rows)))
+
+
 @register("dry_run", """
 SELECT CAST(n_nationkey AS BIGINT) AS pair_id, s.side,
  CASE WHEN s.side = 'pred' AND n_nationkey % 5 = 3 THEN NULL ELSE true END AS ok

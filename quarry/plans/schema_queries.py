@@ -216,7 +216,27 @@ def schema_rename_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("idx", s.alias("db_schema"), q.alias("sql"))
 
 
-@register("augment_chain")
+# the three steps on the long form: what each draws does not depend on the others
+CHAIN = f"""tkeep AS (SELECT * FROM t WHERE {_in_sql('tname')} OR {_d('a2_tab', 0.8, 'cast(idx AS VARCHAR)', 'tkey')}),
+ckeep AS (SELECT c.* FROM c JOIN tkeep ON c.idx = tkeep.idx AND c.t_ord = tkeep.t_ord
+  WHERE {_in_sql('c.cname')} OR {_d('a2_col', 0.7, 'cast(c.idx AS VARCHAR)', 'c.tkey', 'c.cname')}),
+lab AS (SELECT idx, {_label_sql()} AS lab FROM f3),
+ind AS (SELECT idx, CASE WHEN {_d('a3_indent', 0.5, 'cast(idx AS VARCHAR)')} THEN '' ELSE '  ' END AS pre FROM f3),
+tk AS (SELECT idx, t_ord, CASE WHEN {_d('a1_tab', 0.5, 'cast(idx AS VARCHAR)')}
+   THEN {_h('a1_tab_order', 'cast(idx AS VARCHAR)', 'tkey')} ELSE '' END AS t_key FROM tkeep),
+cc AS (SELECT c.idx, t_ord, tkey, tname, c_ord, cname, CASE WHEN {_d('a1_col', 0.3, 'cast(c.idx AS VARCHAR)', 'tkey')}
+   THEN {_h('a1_col_order', 'cast(c.idx AS VARCHAR)', 'tkey', 'cname')} ELSE '' END AS c_key,
+  CASE WHEN contains(line, 'Value examples:') THEN {_relabel('Value examples:')}
+       WHEN contains(line, 'Examples:') THEN {_relabel('Examples:')} ELSE line END AS line
+  FROM ckeep c JOIN lab ON lab.idx = c.idx),
+kk AS (SELECT k.*, CASE WHEN {_d('a1_fk', 0.2, 'cast(k.idx AS VARCHAR)')}
+   THEN {_h('a1_fk_order', 'cast(k.idx AS VARCHAR)', 'cast(k_ord AS VARCHAR)')} ELSE '' END AS k_key FROM k
+  WHERE EXISTS (SELECT 1 FROM ckeep x WHERE x.idx = k.idx AND (x.tname = k.lt OR ends_with(x.tname, '.' || k.lt)) AND x.cname = k.lc)
+    AND EXISTS (SELECT 1 FROM ckeep x WHERE x.idx = k.idx AND (x.tname = k.rt OR ends_with(x.tname, '.' || k.rt)) AND x.cname = k.rc)),"""
+CHAIN_SQL = f"WITH {LONG}, {CHAIN}" + _render_sql("cc", "tk", "kk", "ind.pre").lstrip()
+
+
+@register("augment_chain", CHAIN_SQL + "\nSELECT out.idx, out.db_schema, f3.sql FROM out JOIN f3 ON f3.idx = out.idx")
 def augment_chain_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1 -> A2 -> A3 -> A5 on F3 (each step checked by its own oracle)."""
+    """A1 -> A2 -> A3 -> A5 on F3 (its SQL has no comments, so A5 leaves it as it is)."""
     return A.augment_record(schema_texts(spark, sf_dir), SEED).select("idx", "db_schema", "sql")

@@ -148,13 +148,16 @@ MSCHEMA_DUMP = T.StructType([
         ]))),
         T.StructField("examples", T.ArrayType(T.StringType())),
         T.StructField("comment", T.StringType()),
+        T.StructField("unique_keys", T.ArrayType(T.ArrayType(T.StringType()))),
+        T.StructField("keys", T.ArrayType(T.ArrayType(T.StringType()))),
     ]))),
     T.StructField("foreign_keys", T.ArrayType(T.ArrayType(T.StringType()))),
 ])
 
 
-def dump_mschema(cat_tables: DataFrame, cat_fields: DataFrame, cat_fks: DataFrame) -> DataFrame:
-    """S11 dump: catalog tables -> one nested row per database."""
+def dump_mschema(cat_tables: DataFrame, cat_fields: DataFrame, cat_fks: DataFrame, cat_keys: DataFrame | None = None) -> DataFrame:
+    """S11 dump: catalog tables -> one nested row per database.  ``cat_keys``:
+    (db, table_name, kind, key_ord, fields) with the kinds ``unique`` and ``index``."""
     def in_order(ordinal, name, value):
         """A map whose entries follow ``ordinal``, however the rows arrive."""
         rows = F.array_sort(F.collect_list(F.struct(F.col(ordinal).alias("o"), F.col(name).alias("k"))))
@@ -164,10 +167,18 @@ def dump_mschema(cat_tables: DataFrame, cat_fields: DataFrame, cat_fks: DataFram
     f = cat_fields.groupBy("db", "table_name").agg(in_order("field_ord", "field_name", F.struct(
         "type", "primary_key", "nullable", "default", "autoincrement", "unique", "comment", "examples", "category",
         "dim_or_meas")).alias("fields"))
-    t = (cat_tables.join(f, ["db", "table_name"], "left")
+    named = {"unique": "unique_keys", "index": "keys"}
+    none = F.array().cast("array<array<string>>")
+    if cat_keys is None:
+        tables = cat_tables.withColumns({n: none for n in named.values()})
+    else:
+        k = cat_keys.groupBy("db", "table_name").agg(*[F.transform(F.array_sort(F.collect_list(F.when(
+            F.col("kind") == kind, F.struct("key_ord", "fields")))), lambda x: x["fields"]).alias(n) for kind, n in named.items()])
+        tables = cat_tables.join(k, ["db", "table_name"], "left").withColumns({n: F.coalesce(n, none) for n in named.values()})
+    t = (tables.join(f, ["db", "table_name"], "left")
          .groupBy("db", "schema").agg(in_order("table_ord", "table_name", F.struct(
              "fields", F.array().cast("array<string>").alias("examples"),
-             F.coalesce("comment", F.lit("")).alias("comment"))).alias("tables")))
+             F.coalesce("comment", F.lit("")).alias("comment"), "unique_keys", "keys")).alias("tables")))
     k = cat_fks.groupBy("db").agg(F.transform(F.array_sort(F.collect_list(F.struct(
         "fk_ord", F.array("table_name", "field_name", "ref_schema", "ref_table", "ref_field").alias("a")))),
         lambda x: x["a"]).alias("foreign_keys"))
@@ -192,3 +203,11 @@ def load_mschema(dump: DataFrame):
                    F.col("a")[1].alias("field_name"), F.col("a")[2].alias("ref_schema"),
                    F.col("a")[3].alias("ref_table"), F.col("a")[4].alias("ref_field"))
     return tables, fields, fks
+
+
+def load_keys(dump: DataFrame) -> DataFrame:
+    """S11 load, unique keys and indexes: (db, table_name, kind, key_ord, fields);
+    dumps without them have none."""
+    t = dump.select(F.col("db_id").alias("db"), F.explode("tables").alias("table_name", "t"))
+    part = lambda kind, name: t.select("db", "table_name", F.lit(kind).alias("kind"), F.posexplode(F.col("t")[name]).alias("key_ord", "fields"))
+    return part("unique", "unique_keys").union(part("index", "keys"))

@@ -2,6 +2,11 @@
 
 Upserts replace a key's row and keep registry order: the new row takes the
 old row's position, or goes last when the key is new.
+
+A stored registry is a folder of versions. Spark can't overwrite what it reads,
+so a change is a new version folder, and a one-row pointer written after it makes
+it the current one: a writer that fails before that leaves the old version
+readable, and readers never see half a registry.
 """
 
 from __future__ import annotations
@@ -72,3 +77,45 @@ def split_entries(input_name: str, output_dir: str, split_counts: DataFrame, tas
                     F.lit(-1).cast("long").alias("sample_num"),
                     F.coalesce("n_rows", F.lit(0)).cast("long").alias("sum_num"),
                     F.lit(task_name).alias("task_name"), "data_aug"))
+
+
+def _pointers(spark: SparkSession, root: str) -> DataFrame | None:
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.schema("version string, seq long").parquet(f"{root.rstrip('/')}/current")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _last(spark: SparkSession, root: str):
+    p = _pointers(spark, root)
+    return None if p is None else p.orderBy(F.col("seq").desc()).first()
+
+
+def current(spark: SparkSession, root: str) -> DataFrame:
+    """The registry as last published; empty if nothing was."""
+    last = _last(spark, root)
+    if last is None:
+        return spark.createDataFrame([], REGISTRY_SCHEMA)
+    return spark.read.schema(REGISTRY_SCHEMA).parquet(f"{root.rstrip('/')}/versions/{last.version}")
+
+
+def publish(registry: DataFrame, root: str) -> str:
+    """Store ``registry`` as the current version; returns the version's name. Of two
+    writers that publish at once, one fails on the pointer and may try again."""
+    import uuid
+    spark, root = registry.sparkSession, root.rstrip("/")
+    last = _last(spark, root)
+    seq = 0 if last is None else last.seq + 1
+    version = f"{seq:010d}-{uuid.uuid4().hex[:8]}"
+    registry.select(*REGISTRY_SCHEMA.fieldNames()).write.parquet(f"{root}/versions/{version}")
+    # the pointer's folder carries its number: writing the same number twice is an error
+    spark.range(1).select(F.lit(version).alias("version")).write.mode("errorifexists").parquet(f"{root}/current/seq={seq}")
+    return version
+
+
+def register(new: DataFrame, root: str) -> str:
+    """S8 on a stored registry: upsert ``new`` into the current version and publish."""
+    return publish(upsert(current(new.sparkSession, root), new), root)
