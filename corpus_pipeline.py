@@ -29,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated multi-line chunks are cut from all texts but the first; ``n_chars`` follows."""
+    """The lines of repeated chunks are cut from all texts but the first; ``n_chars`` follows."""
     out = lines.dedup_lines(docs).drop("line_dedup")
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -57,7 +57,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     the text they decode to. A smaller cache than usual: the processes also hold
     what the stages before left."""
     ship_package(spark)
-    return bpe.encode(docs, cache=60_000)
+    return bpe.encode(docs, cache=60_000, release=True)
 
 
 STAGES = [

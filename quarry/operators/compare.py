@@ -173,6 +173,18 @@ def score_pairs(rows: DataFrame, heads: DataFrame) -> DataFrame:
         F.coalesce("eq_pre", F.col("perm_eq").cast("int")).cast("int").alias("ex_eq"))
 
 
+def with_order(rows: DataFrame, heads: DataFrame, ordered: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows and headers for E6 and E7 where the order counts: the rows of the pairs
+    that ``ordered(pair_id, ordered)`` names carry their position as one more cell,
+    which no value equals, so equality of sets and bags (under any permutation of
+    the columns: the position's column only fits itself) is equality in order."""
+    flags = ordered.where("ordered").select("pair_id").distinct().withColumn("_o", F.lit(True))
+    placed = positions(rows).join(flags, "pair_id", "left").withColumn("cells", F.when(
+        F.col("_o"), F.array_append("cells", F.concat(F.lit("#:"), F.col("pos").cast("string")))).otherwise(F.col("cells")))
+    wider = heads.join(flags, "pair_id", "left").withColumn("n_cols", F.when(F.col("_o"), F.col("n_cols") + 1).otherwise(F.col("n_cols")))
+    return placed.select(*rows.columns), wider.select(*heads.columns)
+
+
 def bag_equal(rows: DataFrame, heads: DataFrame) -> DataFrame:
     """E8 (multiset equality, columns as given): ``(pair_id, bag_eq)``."""
     h = _pair_heads(heads)

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import scratch_path
 from quarry.functions.types import SHORT_DATE_TYPES
 
 # --- fixed values: M-Schema text markers ---
@@ -293,8 +294,11 @@ def to_mschema_with_selected(cat_tables: DataFrame, cat_fields: DataFrame, cat_f
     characters are dropped; tables are sorted by text length (stable); FKs
     as in M2.  Each request reads its database's catalog arrays, joined by a
     broadcast when their size is known to be small."""
-    # schema-sized and read twice (size check, join): computed once
-    cat = _catalog_arrays(cat_tables, cat_fields, cat_fks, example_num, 100, show_type_detail).persist()
+    # schema-sized and read twice (size check, join): written once
+    cat = _catalog_arrays(cat_tables, cat_fields, cat_fks, example_num, 100, show_type_detail)
+    path = scratch_path(cat.sparkSession, "catalog")
+    cat.write.parquet(path)
+    cat = cat.sparkSession.read.schema(cat.schema).parquet(path)
     size = cat.select(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0
     cat_side = F.broadcast(cat) if size <= broadcast_bytes else cat
     r = requests.select("req_id", "db",

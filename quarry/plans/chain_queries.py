@@ -118,10 +118,10 @@ def task_names_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("token_filter", f"""WITH c AS ({CHAT_TRAIN})
-SELECT id, CAST({TOKENS.format('prompt')} AS INTEGER) AS n_tokens FROM c WHERE {TOKENS.format('prompt')} < 105""")
+SELECT id, CAST({TOKENS.format('prompt')} AS INTEGER) AS n_tokens FROM c WHERE {TOKENS.format('prompt')} < 138""")
 def token_filter_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prompts of fewer than 105 tokens."""
-    return corpus.token_length_filter(chat_train_q(spark, sf_dir), "prompt", 105).select("id", "n_tokens")
+    """Prompts of fewer than 138 tokens."""
+    return corpus.token_length_filter(chat_train_q(spark, sf_dir), "prompt", 138).select("id", "n_tokens")
 
 
 # ------------------------------------------------------- files and catalog --

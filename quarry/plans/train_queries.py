@@ -205,9 +205,10 @@ def _stub_predictor(prompts: list[str]) -> list[str]:
     return out
 
 
-@register("predict_stub")
+@register("predict_stub", f"""WITH r AS ({REC_SQL})
+SELECT id, '-- ' || question || chr(10) || 'SELECT 1' AS pred_sql FROM r""")
 def predict_stub_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """I1 through ``mapInPandas`` with a stand-in predictor (rows-only)."""
+    """I1 through ``mapInPandas`` with a stand-in predictor."""
     c = chat_train_q(spark, sf_dir)
     p = PR.batched_predict(c.select("id", "prompt"), _stub_predictor)
     return p.select("id", "pred_sql")

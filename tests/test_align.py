@@ -120,3 +120,16 @@ def test_mixed_similarity(spark):
     aligned = align.align_similar(frame, C.positions(frame))
     got = {r.pair_id: r.df_sim for r in C.frame_similarity(frame, heads, ordered, aligned).collect()}
     assert got[1] == pytest.approx(2 / 11) and got[2] == pytest.approx(5 / 8)
+
+
+def test_equality_in_order(spark):
+    gold = [["n:1", "s:a"], ["n:2", "s:b"], ["n:1", "s:a"]]
+    cases = {1: gold, 2: [gold[1], gold[0], gold[2]], 3: [[b, a] for a, b in gold], 4: gold[:2], 5: []}
+    rows = [(pid, side, i, r) for pid, pred in cases.items() for side, part in (("gold", gold), ("pred", pred)) for i, r in enumerate(part)]
+    frame = spark.createDataFrame(rows, C.ROWS_SCHEMA)
+    heads = C.heads_from_rows(frame, spark.createDataFrame([(p,) for p in cases], "pair_id long"), default_cols=2)
+    for flag, want, quick in ((True, [1, 0, 1, 0, 0], [1, 0, 1, 0, 0]), (False, [1, 1, 1, 0, 0], [1, 1, 1, 1, 0])):
+        r, h = C.with_order(frame, heads, spark.createDataFrame([(p, flag) for p in cases], "pair_id long, ordered boolean"))
+        got = {x.pair_id: x.ex_eq for x in C.score_pairs(r, h).collect()}
+        fast = {x.pair_id: x.quick_ok for x in C.unordered_rows_equal(r, h).collect()}
+        assert [got[p] for p in cases] == want and [fast[p] for p in cases] == quick, flag
