@@ -23,6 +23,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -267,6 +268,8 @@ def _encoded(batches, path: str | None, make, names, cache: int, release: bool =
     finally:
         if release:
             _ENCODERS.pop(path, None)
+            del e
+            gc.collect()  # the tables refer to each other
 
 
 def _rows(e: Encoder, batches, make, names):
