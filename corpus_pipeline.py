@@ -54,8 +54,8 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded): the token ids of every kept document and
-    the text they decode to. A smaller cache than usual: the processes also hold
-    what the stages before left."""
+    the text they decode to. A smaller cache than usual, and the tables given back after
+    each task: the processes also hold what the stages before left, and serve others."""
     ship_package(spark)
     return bpe.encode(docs, cache=60_000, release=True)
 
