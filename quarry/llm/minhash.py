@@ -278,7 +278,8 @@ def links(texts: DataFrame, reps: DataFrame, p: Params) -> DataFrame:
     first = keep(_enough(_leader_pairs(post, p), reps, p), "minhash-led")
     first = keep(_confirmed(first, reps, texts, p), "minhash-links")
     rest = keep(_remaining_pairs(post, reps, texts, components(first, "minhash"), p), "minhash-rest")
-    return first.union(_confirmed(rest, reps, texts, p))
+    # written, so that a task that joins components does not also confirm pairs, in two Python processes
+    return first.union(keep(_confirmed(rest, reps, texts, p), "minhash-links"))
 
 
 def groups(docs: DataFrame, p: Params = Params()) -> DataFrame:
