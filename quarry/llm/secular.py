@@ -37,22 +37,24 @@ def roots(d: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     x = (lo + hi) / 2
     # the poles on both sides of each root; the last root lies right of both
     a = np.minimum(i, m - 2)
-    below = i[:, None] <= a
-    last = i == m - 1
+    below = (i[:, None] <= a).astype(np.float64)
+    last, weight = i == m - 1, w[:, None]
+    gap, t = np.empty_like(delta), np.empty_like(delta)
     with np.errstate(all="ignore"):
         for _ in range(60):
-            gap = delta - x
-            t = w[:, None] / gap
-            t2 = t / gap
-            psi, phi = np.where(below, t, 0).sum(axis=0), np.where(below, 0, t).sum(axis=0)
-            dpsi, dphi = np.where(below, t2, 0).sum(axis=0), np.where(below, 0, t2).sum(axis=0)
-            f = 1 + psi + phi
+            np.subtract(delta, x, out=gap)
+            np.divide(weight, gap, out=t)
+            d1, d2 = gap[a, i], gap[a + 1, i]
+            f = 1 + t.sum(axis=0)
+            size = 1 + np.abs(t).sum(axis=0)
+            np.divide(t, gap, out=t)  # the terms' slopes, all positive
+            dpsi = np.einsum("ji,ji->i", t, below)
+            slope = t.sum(axis=0)
             hi, lo = np.where(f > 0, x, hi), np.where(f > 0, lo, x)
-            done = (np.abs(f) <= 4 * EPS * (1 + np.abs(psi) + np.abs(phi))) | (hi - lo <= 2 * EPS * np.abs(x))
+            done = (np.abs(f) <= 4 * EPS * size) | (hi - lo <= 2 * EPS * np.abs(x))
             if done.all():
                 break
-            d1, d2 = gap[a, i], gap[a + 1, i]
-            p, q, c = (d1 + d2) * f - d1 * d2 * (dpsi + dphi), d1 * d2 * f, f - d1 * dpsi - d2 * dphi
+            p, q, c = (d1 + d2) * f - d1 * d2 * slope, d1 * d2 * f, f - d1 * dpsi - d2 * (slope - dpsi)
             s = np.sqrt(np.maximum(p * p - 4 * q * c, 0))
             step = np.where(last, np.where(p >= 0, (p + s) / (2 * c), 2 * q / (p - s)),
                             np.where(p <= 0, (p - s) / (2 * c), 2 * q / (p + s)))
