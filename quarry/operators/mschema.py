@@ -9,6 +9,8 @@ record.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,9 +134,9 @@ def to_mschema(cat_tables: DataFrame, cat_fields: DataFrame, cat_fks: DataFrame,
 # ``key`` is the full header text (may hold ", comment" or "schema."),
 # ``name`` the bare table name used for matching (quirk Q2).
 
-# --- fixed values: a table block is a heading line, "[", the column lines, "]" ---
-TABLE_BLOCK_RE = r"# Table: ([^\n]+?\n\[(?s:.+?)\]\n)"
-# --- end of fixed values ---
+# what rendering puts around a table's columns; a block is its heading line and all up to the closing bracket's line
+BODY_OPEN, BODY_CLOSE = "\n[", "]\n"
+TABLE_BLOCK_RE = f"{re.escape(TABLE_HEAD)}([^\\n]+?{re.escape(BODY_OPEN)}(?s:.+?){re.escape(BODY_CLOSE)})"
 
 
 def _strip(c: Column) -> Column:
