@@ -198,14 +198,15 @@ def with_parsed_schema(df, schema_col: str = "db_schema", out_col: str = "_p",
 
 def augment_record(df, seed: int = 42, shuffle=True, filter_=True, permute=True, tidy=True,
                    schema_col="db_schema", sql_col="sql", db_col="db_name", key_col="idx",
-                   dedupe_parse: bool = False):
+                   dedupe_parse: bool = False, parsed: bool = False):
     """The default chain (shuffle, filter, permute, SQL tidy) on a record
     DataFrame; unparsed schema texts (quirk Q1) pass through unchanged.
-    ``dedupe_parse`` parses each distinct schema text once (batch only)."""
+    ``dedupe_parse`` parses each distinct schema text once (batch only);
+    ``parsed``: the column ``_p`` already holds the parsed schema."""
     rec = F.col(key_col)
     # each step reads the previous step's column, so the parse (regex work)
     # runs once per record instead of once per reference in the next step
-    out = (with_parsed_schema(df, schema_col) if dedupe_parse
+    out = (df if parsed else with_parsed_schema(df, schema_col) if dedupe_parse
            else df.withColumn("_p", parse_schema(schema_col)))
     if shuffle:
         out = out.withColumn("_p", schema_shuffle(F.col("_p"), rec, seed))
