@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from quarry.functions.ranking import global_rank, rank_within
 from quarry.operators import prompts
 from quarry.operators.augment import augment_record
+from quarry.session import scratch_path
 from quarry.sources import jsonarrays
 from quarry.sources.files import _path_of
 
@@ -20,6 +21,13 @@ RECORD = T.StructType([T.StructField("idx", T.LongType()), *[T.StructField(c, T.
     "db_name", "question", "evidence", "db_schema", "sql")]])
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """Written once under the shared checkpoint folder."""
+    path = scratch_path(df.sparkSession, "assembly")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_datasets(spark: SparkSession, registry: DataFrame, base: str, schema: T.StructType = RECORD) -> DataFrame:
     """(data_name, record fields) of all registered JSON array files or folders of
     them, paths taken under ``base``. The registry is configuration-sized."""
@@ -56,11 +64,13 @@ def assemble_registry(records: DataFrame, registry: DataFrame, kind: str = "trai
     registered are left out."""
     if kind not in ("train", "test"):
         raise ValueError("kind must be train or test")
-    rows = sampled(records.join(registry.select("data_name", "reg_ord", "sample_num", "task_name", "data_aug"), "data_name"), key, seed)
+    # parsed once: the draw, the ranks and the samples each read it
+    records = _kept(records.join(registry.select("data_name", "reg_ord", "sample_num", "task_name", "data_aug"), "data_name"))
+    plain = _kept(sampled(records, key, seed))
+    ids = global_rank(plain.select("data_name", "reg_ord", key), ["reg_ord", "data_name", key], "id", 0)
+    plain = plain.join(ids.select("data_name", key, "id"), ["data_name", key])
     aug = F.coalesce("data_aug", F.lit(False))
-    rows = rows.where(~aug).unionByName(augment_record(rows.where(aug), seed, key_col=key).select(*rows.columns))
-    ids = global_rank(rows.select("data_name", "reg_ord", key), ["reg_ord", "data_name", key], "id", 0)
-    rows = rows.join(ids.select("data_name", key, "id"), ["data_name", key])
+    rows = plain.where(~aug).unionByName(augment_record(plain.where(aug), seed, key_col=key).select(*plain.columns))
     make = prompts.train_samples if kind == "train" else prompts.test_samples
     chat = make(rows, F.col("task_name"), english)
-    return rows.select("id", "data_name", key).join(chat, "id")
+    return plain.select("id", "data_name", key).join(chat, "id")
