@@ -35,6 +35,11 @@ def global_rank(df: DataFrame, order_cols: list, rank_col: str = "rank",
 
     ``order_cols`` must be a total order (end with a unique key) for the
     result to be deterministic."""
+    return _ranked(df, order_cols, rank_col, start, num_partitions).drop("_pid")
+
+
+def _ranked(df: DataFrame, order_cols: list, rank_col: str, start: int, num_partitions: int | None) -> DataFrame:
+    """:func:`global_rank` with ``_pid``, the number of a row's range."""
     n = _num_partitions(df, num_partitions)
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     ordered = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
@@ -49,18 +54,28 @@ def global_rank(df: DataFrame, order_cols: list, rank_col: str = "rank",
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
     return (tagged.join(F.broadcast(offsets), "_pid")
             .withColumn(rank_col, F.coalesce("_off", F.lit(0)) + F.col("_pos") + F.lit(start))
-            .drop("_mid", "_pid", "_pos", "_off"))
+            .drop("_mid", "_pos", "_off"))
 
 
 def rank_within(df: DataFrame, group_col: str, order_cols: list, rank_col: str = "rank_in_group",
                 size_col: str = "group_size", num_partitions: int | None = None) -> DataFrame:
     """0-based rank inside each group and the group size, without a window
     partitioned by the group (a hot group would land in one task): rank the
-    whole set by (group, order), then subtract each group's first rank."""
-    r = global_rank(df, [group_col] + list(order_cols), "_gr", 0, num_partitions)
-    bounds = r.groupBy(group_col).agg(F.min("_gr").alias("_g0"), F.count(F.lit(1)).alias(size_col))
-    return (r.join(bounds, group_col)
-            .withColumn(rank_col, F.col("_gr") - F.col("_g0")).drop("_gr", "_g0"))
+    whole set by (group, order), then subtract each group's first rank.
+
+    A group's first rank and size are joined by (range, group), so a task gets no
+    more of a hot group than one range holds.  Only the groups at the ends of a
+    range can go on in another; these few are totalled apart and broadcast."""
+    r = _ranked(df, [group_col] + list(order_cols), "_gr", 0, num_partitions)
+    part = r.groupBy("_pid", group_col).agg(F.min("_gr").alias("_g0"), F.count(F.lit(1)).alias(size_col))
+    ends = r.groupBy("_pid").agg(F.min(group_col).alias("_a"), F.max(group_col).alias("_z"))
+    ends = ends.select(F.explode(F.array("_a", "_z")).alias(group_col)).distinct()
+    whole = (r.join(F.broadcast(ends), group_col, "left_semi").groupBy(group_col)
+             .agg(F.min("_gr").alias("_w0"), F.count(F.lit(1)).alias("_wn")))
+    bounds = (part.join(F.broadcast(whole), group_col, "left")
+              .select("_pid", group_col, F.coalesce("_w0", "_g0").alias("_g0"), F.coalesce("_wn", size_col).alias(size_col)))
+    return (r.join(bounds, ["_pid", group_col])
+            .withColumn(rank_col, F.col("_gr") - F.col("_g0")).drop("_pid", "_gr", "_g0"))
 
 
 def fill_forward(df: DataFrame, part_col: str, order_col: str, value_col: str, out_col: str,

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from quarry.functions.cells import NULL_CELL
 from quarry.functions.ranking import rank_within
+from quarry.functions.spread import spread_join
 from quarry.functions.sqltext import text_key
 from quarry.session import scratch_path
 
@@ -96,7 +97,7 @@ def column_classes(rows: DataFrame, rounds: int = 2) -> DataFrame:
 
     fp = classed(c, "cv")
     for _ in range(rounds):
-        j = c.join(fp.select("pair_id", "side", "col", "fp"), ["pair_id", "side", "col"])
+        j = spread_join(c, fp.select("pair_id", "side", "col", "fp"), ["pair_id", "side", "col"])
         row = j.groupBy("pair_id", "side", "row_no").agg(F.sum(F.xxhash64("fp", "cv").cast(_DEC)).cast("string").alias("rs"))
         fp = classed(j.join(row, ["pair_id", "side", "row_no"]), "fp", "cv", "rs")
     return fp
@@ -107,7 +108,7 @@ def _bags_equal(state: DataFrame, rows: DataFrame) -> DataFrame:
     the columns assigned so far."""
     cells = lambda f: row_key(F.transform("done", lambda a: F.element_at("cells", a[f] + 1)))
     gold = F.col("side") == "gold"
-    keys = (rows.join(state.select("pair_id", "cand", "done"), "pair_id")
+    keys = (spread_join(rows, state.select("pair_id", "cand", "done"), ["pair_id"])
             .select("pair_id", "cand", F.when(gold, cells("g")).otherwise(cells("p")).alias("k"),
                     F.when(gold, 1).otherwise(-1).alias("n")))
     wrong = (keys.groupBy("pair_id", "cand", "k").agg(F.sum("n").alias("n")).where("n <> 0")
@@ -117,7 +118,7 @@ def _bags_equal(state: DataFrame, rows: DataFrame) -> DataFrame:
 
 def permutation_match(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """E6/E9 for ``pairs``: ``(pair_id, perm_eq)``; exact."""
-    r = _kept(rows.join(pairs.select("pair_id"), "pair_id", "left_semi"), "perm_rows")
+    r = _kept(spread_join(rows, pairs.select("pair_id"), ["pair_id"], "left_semi"), "perm_rows")
     col = F.struct(F.col("col").cast("int").alias("col"), "fp", "lab")
     per = column_classes(r).groupBy("pair_id").agg(  # two short arrays per pair
         F.array_sort(F.collect_list(F.when(F.col("side") == "gold", col))).alias("g"),
@@ -179,7 +180,7 @@ def with_order(rows: DataFrame, heads: DataFrame, ordered: DataFrame) -> tuple[D
     which no value equals, so equality of sets and bags (under any permutation of
     the columns: the position's column only fits itself) is equality in order."""
     flags = ordered.where("ordered").select("pair_id").distinct().withColumn("_o", F.lit(True))
-    placed = positions(rows).join(flags, "pair_id", "left").withColumn("cells", F.when(
+    placed = spread_join(positions(rows), flags, ["pair_id"], "left", counted=rows).withColumn("cells", F.when(
         F.col("_o"), F.array_append("cells", F.concat(F.lit("#:"), F.col("pos").cast("string")))).otherwise(F.col("cells")))
     wider = heads.join(flags, "pair_id", "left").withColumn("n_cols", F.when(F.col("_o"), F.col("n_cols") + 1).otherwise(F.col("n_cols")))
     return placed.select(*rows.columns), wider.select(*heads.columns)
@@ -237,7 +238,7 @@ def frame_similarity(rows: DataFrame, heads: DataFrame, ordered: DataFrame | Non
         pos = (pos.join(aligned.select("pair_id", "side", "row_no", F.col("pos").alias("_apos")),
                         ["pair_id", "side", "row_no"], "left"))
         if ordered is not None:
-            pos = pos.join(ordered, "pair_id", "left")
+            pos = spread_join(pos, ordered, ["pair_id"], "left", counted=rows)
             use_orig = F.coalesce("ordered", F.lit(False))
         else:
             use_orig = F.lit(False)
@@ -279,7 +280,8 @@ def align_rows(rows: DataFrame) -> DataFrame:
 
     g, p = left("gr", "gold"), left("pr", "pred")
     sizes = rows.where("side = 'gold'").groupBy("pair_id").agg(F.count("*").alias("n"))
-    rest = (p.drop("at").join(g.select("pair_id", "i", "at"), ["pair_id", "i"], "left").join(sizes, "pair_id", "left")
+    rest = p.drop("at").join(g.select("pair_id", "i", "at"), ["pair_id", "i"], "left")
+    rest = (spread_join(rest, sizes, ["pair_id"], "left", counted=p)
             .select("pair_id", F.lit("pred").alias("side"), "row_no",
                     F.coalesce("at", F.coalesce("n", F.lit(0)) + F.col("i")).cast("long").alias("pos")))
     golds = both.where("gr IS NOT NULL").select("pair_id", F.lit("gold").alias("side"), F.col("gr").alias("row_no"), F.col("at").alias("pos"))
