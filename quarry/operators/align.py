@@ -29,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quarry.functions.ranking import rank_within
+from quarry.functions.spread import spread_join
 from quarry.session import scratch_path
 
 
@@ -57,7 +58,7 @@ def _useful(rows: DataFrame) -> DataFrame:
     shared = (v.groupBy("pair_id", "v").agg(F.max((F.col("side") == "gold").cast("int")).alias("g"),
                                             F.max((F.col("side") == "pred").cast("int")).alias("p"))
               .where("g = 1 AND p = 1").select("pair_id", "v"))
-    return (v.join(shared, ["pair_id", "v"]).groupBy("pair_id", "side", "row_no", "size")
+    return (spread_join(v, shared, ["pair_id", "v"]).groupBy("pair_id", "side", "row_no", "size")
             .agg(F.array_sort(F.collect_list("v")).alias("vals")))
 
 
@@ -87,7 +88,7 @@ def _rare(kinds: DataFrame, s: int) -> DataFrame:
     """Every kind under its rarest values: as many as hold one of any ``s``."""
     v = kinds.select(*_KIND, "vals", F.explode("vals").alias("v"))
     often = v.groupBy("pair_id", "v").agg(F.count("*").alias("n"))
-    return (v.join(often, ["pair_id", "v"]).groupBy(*_KIND, "vals").agg(F.array_sort(F.collect_list(F.struct("n", "v"))).alias("r"))
+    return (spread_join(v, often, ["pair_id", "v"]).groupBy(*_KIND, "vals").agg(F.array_sort(F.collect_list(F.struct("n", "v"))).alias("r"))
             .withColumn("v", F.explode(F.transform(F.slice("r", 1, F.size("r") - s + 1), lambda x: x["v"]))).drop("r"))
 
 
@@ -121,11 +122,11 @@ def _round(rows: DataFrame, s: int, total: int, most: float) -> DataFrame | None
                    .withColumn("a", F.when(gold, F.col("size")).otherwise(total - F.col("size"))))
     both = (posted.groupBy("pair_id", "sub", "a").agg(F.max(gold.cast("int")).alias("g"), F.max((~gold).cast("int")).alias("p"))
             .where("g = 1 AND p = 1").select("pair_id", "sub", "a"))
-    chosen = _kept(posted.join(both, ["pair_id", "sub", "a"]).groupBy(*_KIND).agg(F.min(F.struct("sub", "a")).alias("c"))
+    chosen = _kept(spread_join(posted, both, ["pair_id", "sub", "a"]).groupBy(*_KIND).agg(F.min(F.struct("sub", "a")).alias("c"))
                    .select(*_KIND, "c.sub", "c.a"))
     if chosen.isEmpty():
         return None
-    nth = _numbered(rows.drop("vals").join(chosen, _KIND), ["pair_id", "side", "sub", "a"], ["row_no"], "nth")
+    nth = _numbered(spread_join(rows.drop("vals"), chosen, _KIND), ["pair_id", "side", "sub", "a"], ["row_no"], "nth")
     side = lambda name: nth.where(F.col("side") == name).select(
         "pair_id", "sub", "a", "nth", F.col("row_no").alias(f"{name}_no"))
     return _kept(side("gold").join(side("pred"), ["pair_id", "sub", "a", "nth"]).select("pair_id", "gold_no", "pred_no"))
@@ -183,7 +184,7 @@ def align_similar(rows: DataFrame, positions: DataFrame, most: float = 64) -> Da
     paired = pairs.join(at, ["pair_id", "gold_no"]).select("pair_id", F.lit("pred").alias("side"), F.col("pred_no").alias("row_no"), "pos")
     sizes = gold.groupBy("pair_id").agg(F.count("*").alias("n"))
     # beyond all gold positions: never equal to one
-    rest = (pos.where("side = 'pred'").join(paired.select("pair_id", "row_no"), ["pair_id", "row_no"], "left_anti")
-            .join(sizes, "pair_id", "left")
+    rest = pos.where("side = 'pred'").join(paired.select("pair_id", "row_no"), ["pair_id", "row_no"], "left_anti")
+    rest = (spread_join(rest, sizes, ["pair_id"], "left", counted=rows.where("side = 'pred'"))
             .select("pair_id", F.lit("pred").alias("side"), "row_no", (F.coalesce("n", F.lit(0)) + F.col("pos")).alias("pos")))
     return gold.union(paired).union(rest)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.cells import cells_array
+from quarry.functions.spread import spread_join
 from quarry.operators import align
 from quarry.operators import compare as C
 from quarry.operators import metrics as M
@@ -157,7 +158,7 @@ def frame_similarity_mixed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = w.select("pair_id", "side", "row_no", cells_array(w, ["c0", "c1", "c2", "c3"]).alias("cells"))
     pairs = rows.select("pair_id").distinct()
     ordered = align.ordered_pairs(pair_texts(pairs))
-    free = rows.join(ordered.where("NOT ordered"), "pair_id", "left_semi")
+    free = spread_join(rows, ordered.where("NOT ordered"), ["pair_id"], "left_semi")
     heads = C.heads_from_rows(rows, pairs, default_cols=4)
     fs = C.frame_similarity(rows, heads, ordered=ordered, aligned=align.align_similar(free, C.positions(free)))
     return fs.select("pair_id", F.round("df_sim", 6).alias("df_sim"))
