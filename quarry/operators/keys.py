@@ -199,6 +199,29 @@ def _included(common: DataFrame) -> set[tuple[int, int]]:
     return {(r.child, r.parent) for r in common.where("child <> parent").join(own, "child").where("common = n").collect()}
 
 
+def _ranges(tables: dict[str, DataFrame], cols: list[tuple[str, str]]) -> dict[tuple[str, str], tuple]:
+    """Least and greatest value, as long or text key, of columns with values: one aggregate a table."""
+    out = {}
+    for t, df in tables.items():
+        mine = [c for u, c in cols if u == t]
+        if mine:
+            r = df.agg(*[f(_short(df, c)) for c in mine for f in (F.min, F.max)]).first()
+            out |= {(t, c): (r[2 * i], r[2 * i + 1]) for i, c in enumerate(mine) if r[2 * i] is not None}
+    return out
+
+
+def _possible(tables: dict[str, DataFrame], typed: dict[tuple[str, str], str], parents: set[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The columns that an inclusion in one of ``parents`` can concern: a child's values
+    lie between its parent's least and greatest, and texts compare as their bytes."""
+    types = {typed[p] for p in parents}
+    span = _ranges(tables, [x for x in typed if typed[x] in types])
+    key = lambda v: v.encode("utf-8", "surrogatepass") if isinstance(v, str) else v
+    found = [(c, p) for p in parents if p in span for c in span if c != p and typed[c] == typed[p]
+             and key(span[p][0]) <= key(span[c][0]) and key(span[c][1]) <= key(span[p][1])]
+    some = {x for pair in found for x in pair}
+    return [x for x in typed if x in some]
+
+
 def composite_fks(tables: dict[str, DataFrame], keys: list[tuple[str, tuple[str, ...]]]) -> list[tuple[str, tuple, str, tuple]]:
     """(table, columns, ref_table, ref_columns): every value of each of the child's
     columns occurs in its partner, and every tuple without nulls occurs in the
@@ -215,11 +238,13 @@ def composite_fks(tables: dict[str, DataFrame], keys: list[tuple[str, tuple[str,
         x = _col(c)
         return F.when(F.length(x) > 32, F.md5(x)).otherwise(x) if typed[t, c] == "TEXT" else x.cast("string")
 
-    tagged = [(t, F.lit(None), F.concat(F.lit(ty + ":"), text(t, c))) for t, c, ty in cols]
-    common, _ = common_values(tables, tagged)
+    # only columns that can be a child or a parent send their values: integers as they are, as pairs agree in type
+    near = _possible(tables, typed, {(t, c) for t, s in parents for c in s})
     inside: dict[tuple[str, str], list[tuple[str, str]]] = {}
-    for child, parent in _included(common):
-        inside.setdefault(cols[parent][:2], []).append(cols[child][:2])
+    if near:
+        common, _ = common_values(tables, [(t, F.lit(None), text(t, c)) if typed[t, c] == "TEXT" else (t, _col(c), F.lit(None)) for t, c in near])
+        for child, parent in _included(common):
+            inside.setdefault(near[parent], []).append(near[child])
     pairs = []  # (child table, columns, parent number)
     for n, (t, s) in enumerate(parents):
         for u in tables:

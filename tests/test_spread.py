@@ -68,3 +68,15 @@ def test_ordered_scores_deal_a_hot_pair(apart, monkeypatch):
     placed, wider = C.with_order(rows, heads, ordered)
     assert most(placed) < 4000
     assert C.score_pairs(placed, wider).first()["ex_eq"] == 1
+
+
+def test_composite_fks_send_only_possible_columns(spark, monkeypatch):
+    """Columns whose values lie outside a key column's range, or in no key's type, are not shuffled."""
+    from quarry.operators import keys as K
+    parent = spark.createDataFrame([(i // 4, i % 4, f"t{i}") for i in range(16)], "a long, b long, t string")
+    child = spark.createDataFrame([(i % 3, i % 4, 1000 + i, None, "é" * 40) for i in range(9)], "x long, y long, far long, none long, u string")
+    sent, real = [], K.common_values
+    monkeypatch.setattr(K, "common_values", lambda tables, cols: sent.append(len(cols)) or real(tables, cols))
+    got = K.composite_fks({"p": parent, "c": child}, [("p", ("a", "b"))])
+    assert got == [("c", ("x", "y"), "p", ("a", "b")), ("c", ("y", "x"), "p", ("a", "b")), ("p", ("b", "a"), "p", ("a", "b"))]
+    assert sent[0] == 4  # a, b, x and y
