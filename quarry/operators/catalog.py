@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from quarry.functions.types import sql_type_name
 from quarry.operators.keys import KEY_TYPES, common_values
-from quarry.operators.profile import profile
+from quarry.operators.profile import examples_to_str, profile
 
 TABLES_SCHEMA = T.StructType([
     T.StructField("db", T.StringType()), T.StructField("schema", T.StringType()),
@@ -54,11 +54,12 @@ def build_catalog(spark: SparkSession, db_id: str, tables: dict[str, DataFrame],
                   foreign_keys: list[tuple[str, str, str, str]] | None = None,
                   table_comments: dict[str, str] | None = None,
                   field_comments: dict[tuple[str, str], str] | None = None,
-                  n_examples: int = 5):
+                  n_examples: int = 5, profiled: DataFrame | None = None):
     """Build the three catalog DataFrames for one database.
 
     ``foreign_keys`` are ``(table, field, ref_table, ref_field)`` in order; the
-    referenced schema is the database's own."""
+    referenced schema is the database's own. ``profiled`` may be a written
+    :func:`profile` of these tables with at least ``n_examples`` examples."""
     primary_keys = primary_keys or {}
     unique_keys = unique_keys or {}
     table_comments = table_comments or {}
@@ -77,8 +78,11 @@ def build_catalog(spark: SparkSession, db_id: str, tables: dict[str, DataFrame],
                            field_comments.get((tname, f.name), "")))
     cat_tables = spark.createDataFrame(t_rows, TABLES_SCHEMA)
     base = spark.createDataFrame(f_rows, FIELDS_BASE)
-    prof = profile(tables, n_examples).select(
-        "table_name", "field_ord", F.col("examples"))
+    if profiled is None:
+        prof = profile(tables, n_examples).select("table_name", "field_ord", F.col("examples"))
+    else:
+        first = F.slice("raw_examples", 1, n_examples)
+        prof = profiled.select("table_name", "field_ord", examples_to_str(first, F.col("type_cate")).alias("examples"))
     fields = (base.join(prof, ["table_name", "field_ord"], "left")
               .select(*[c for c in FIELDS_BASE.fieldNames()],
                       F.coalesce("examples", F.array().cast("array<string>")).alias("examples"),

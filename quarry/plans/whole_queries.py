@@ -10,6 +10,7 @@ from quarry.operators import profile as PRO
 from quarry.operators.catalog import build_catalog
 from quarry.plans import catalog_queries as C
 from quarry.plans import rule_queries as R
+from quarry.session import scratch_path
 from quarry.sources.tables import TABLE_NAMES, load_many
 
 QUERIES: dict = {}
@@ -44,9 +45,12 @@ def _exact_averages(tables) -> DataFrame:
 def field_profile(spark: SparkSession, sf_dir: str, names) -> DataFrame:
     """Averages to six digits, from exact sums."""
     tables = load_many(spark, sf_dir, names)
-    prof = PRO.profile(tables, n_examples=10).join(_exact_averages(tables), ["table_name", "field_name"], "left")
+    path = scratch_path(spark, "profile")  # a row per field, read by the catalog too
+    PRO.profile(tables, n_examples=10).write.parquet(path)
+    profiled = spark.read.parquet(path)
+    prof = profiled.join(_exact_averages(tables), ["table_name", "field_name"], "left")
     prof = prof.withColumn("avg_value", F.col("exact_avg"))
-    _, cf, _ = build_catalog(spark, "tpch", tables, primary_keys=C.TPCH_KEYS)
+    _, cf, _ = build_catalog(spark, "tpch", tables, primary_keys=C.TPCH_KEYS, profiled=profiled)
     return PRO.field_profile_text(prof, cf.drop("examples")).select("table_name", "field_name", "profile_text")
 
 

@@ -80,3 +80,23 @@ def test_composite_fks_send_only_possible_columns(spark, monkeypatch):
     got = K.composite_fks({"p": parent, "c": child}, [("p", ("a", "b"))])
     assert got == [("c", ("x", "y"), "p", ("a", "b")), ("c", ("y", "x"), "p", ("a", "b")), ("p", ("b", "a"), "p", ("a", "b"))]
     assert sent[0] == 4  # a, b, x and y
+
+
+def test_field_profile_profiles_the_tables_once(spark, monkeypatch):
+    from quarry.operators import catalog, profile as PRO
+    from quarry.plans import whole_queries as W
+    calls, real = [], PRO.profile
+    counted = lambda *a, **k: calls.append(1) or real(*a, **k)
+    monkeypatch.setattr(PRO, "profile", counted)
+    monkeypatch.setattr(catalog, "profile", counted)
+    monkeypatch.setattr(W, "load_many", lambda *a: {"t": spark.createDataFrame([(i, f"v{i}") for i in range(12)], "k long, v string")})
+    assert W.field_profile(spark, "", ["t"]).count() == 2
+    assert len(calls) == 1
+
+
+def test_catalog_takes_examples_from_a_profile(spark):
+    from quarry.operators.catalog import build_catalog
+    from quarry.operators.profile import profile
+    tables = {"t": spark.createDataFrame([(i, f"v{i:02}", "a@b.cc" if i == 9 else f"m{i}") for i in range(12)], "k long, v string, m string")}
+    of = lambda cf: sorted((r.field_name, r.examples) for r in cf.collect())
+    assert of(build_catalog(spark, "d", tables, profiled=profile(tables, 10))[1]) == of(build_catalog(spark, "d", tables)[1])
