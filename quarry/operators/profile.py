@@ -470,9 +470,10 @@ def field_categories(tables: dict[str, DataFrame], prof: DataFrame | None = None
     d = distinct if distinct is not None else distinct_values(tables)
     if prof is None:
         prof = profile(tables, n_examples=0, distinct=d)
+    # shapes are read where they count: of texts, and of integers
     share = d.groupBy("table_name", "field_ord").agg(
-        F.avg(F.coalesce(F.col("v").rlike(DATE_TEXT_RE), F.lit(False)).cast("double")).alias("date_share"),
-        F.min(F.when(F.col("num_key").isNotNull(),
+        F.avg(F.when(F.col("n_chars").isNotNull(), F.coalesce(F.col("v").rlike(DATE_TEXT_RE), F.lit(False))).cast("double")).alias("date_share"),
+        F.min(F.when(F.col("kl").isNotNull(),
                      F.col("v").rlike(r"^(19|20)\d{2}(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])$")))
         .alias("all_yyyymmdd"))
     p = prof.join(share, ["table_name", "field_ord"], "left")
