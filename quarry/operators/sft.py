@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.rand import keyed_hash
 from quarry.functions.ranking import global_rank
+from quarry.session import scratch_path
 
 IGNORE_ID = -100
 TOKEN_RE = r"(\w+|[^\w\s])"
@@ -88,8 +89,11 @@ def length_batches(df: DataFrame, batch_size: int, key: str = "id", max_len: int
     t = (df.withColumn("input_ids", F.slice("input_ids", 1, max_len))
          .withColumn("labels", F.slice("labels", 1, max_len))
          .withColumn("_len", F.size("input_ids")))
-    # lengths and keys are ranked; the token arrays are shuffled once, by key
-    r = global_rank(t.select(key, "_len"), ["_len", key], "_r", 0).withColumn("batch", F.floor(F.col("_r") / batch_size))
+    # lengths and keys are ranked; the token arrays are shuffled once, by key. A range
+    # partitioning reads its input twice (sample, then deal), so the lengths are written first
+    lengths, path = t.select(key, "_len"), scratch_path(df.sparkSession, "lengths")
+    lengths.write.parquet(path)
+    r = global_rank(df.sparkSession.read.schema(lengths.schema).parquet(path), ["_len", key], "_r", 0).withColumn("batch", F.floor(F.col("_r") / batch_size))
     mx = r.groupBy("batch").agg(F.max("_len").alias("_mx"))  # one row per batch
     r = t.join(r.join(mx, "batch").drop("_len"), key)
 

@@ -100,3 +100,22 @@ def test_catalog_takes_examples_from_a_profile(spark):
     tables = {"t": spark.createDataFrame([(i, f"v{i:02}", "a@b.cc" if i == 9 else f"m{i}") for i in range(12)], "k long, v string, m string")}
     of = lambda cf: sorted((r.field_name, r.examples) for r in cf.collect())
     assert of(build_catalog(spark, "d", tables, profiled=profile(tables, 10))[1]) == of(build_catalog(spark, "d", tables)[1])
+
+
+def test_length_batches_tokenise_a_text_twice_at_most(spark):
+    """Once for the lengths and once for the arrays; sampling the ranges reads the written lengths."""
+    from pyspark.sql.types import ArrayType, IntegerType
+    from quarry.operators import sft
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(text):
+        seen.add(1)
+        return [len(w) for w in text.split()]
+
+    rows = spark.range(40).select("id", F.repeat(F.lit("word "), (F.col("id") % 7 + 1).cast("int")).alias("x")).localCheckpoint()
+    ids = rows.select("id", F.udf(count, ArrayType(IntegerType()))("x").alias("input_ids"))
+    t = ids.withColumn("labels", F.col("input_ids")).withColumn("attention_mask", F.col("input_ids"))
+    out = sft.length_batches(t, 8).collect()
+    order = sorted(range(40), key=lambda i: (i % 7 + 1, i))
+    assert {r.id: r.batch for r in out} == {i: at // 8 for at, i in enumerate(order)}
+    assert seen.value <= 80
