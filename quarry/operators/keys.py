@@ -4,8 +4,12 @@ Unique column sets are searched level by level: a set is tried only if none of
 its subsets is a key, so what is found is minimal. Sets are ruled out without
 moving a row where the product of their columns' distinct counts (sketches, 1.6 %
 standard error) is a fifth below the row count, and by few rows where two of them
-repeat a tuple: all rows of the tuples whose digest falls in a share of the digests.
-The sets that are left are settled exactly in one shuffle of 128-bit tuple digests.
+repeat a tuple: one scan writes all rows whose values in a set's leading columns
+fall in a share of the digests, so of every tuple among them all rows are there.
+The sets that no such row rules out count as keys until they are settled exactly, all
+tables and levels in one shuffle of tuple digests, 64 bits each: digests that differ
+prove a set, the rows of those that repeat are read again and compared by 128 bits.
+If a set fails, the search goes on with the sets that contain it.
 Where a smaller set is nearly a key, most rows differ in it alone; sets that add a
 column to it are settled among the rows that share its tuple.
 
@@ -21,6 +25,7 @@ What reaches the driver is lists of columns.
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 from itertools import combinations, product
 from math import prod
 
@@ -33,6 +38,9 @@ WORD = 62  # column tuples per bit mask
 SLACK = 0.8  # share of the rows below which an estimate rules a set out
 SEEN = 1 << 16  # rows in which repeated tuples are looked for first
 TOGETHER = 16  # sets made in one scan
+VALUES = 16  # values of the leading columns in their share, at least
+TASK = 1 << 20  # digests of a task
+NEAR = 1 / 16  # share of the rows up to which a set is nearly a key
 KEY_TYPES = ["TINYINT", "SMALLINT", "INTEGER", "BIGINT", "TEXT"]
 
 
@@ -44,18 +52,22 @@ def _atomic(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
 
 
-def _sizes(tables: dict[str, DataFrame]) -> dict[str, tuple[int, list[str]]]:
-    """Rows, and the columns without nulls, of every table: one aggregate each."""
-    out = {}
+def _sizes(tables: dict[str, DataFrame]) -> tuple[dict[str, tuple[int, list[str]]], dict[tuple[str, str], float]]:
+    """Rows, and the columns without nulls, of every table; and about how many distinct
+    values these have. One aggregate a table, all in one job."""
+    rows = None
     for t, df in tables.items():
-        cols = _atomic(df)
-        r = df.agg(F.count(F.lit(1)), *[F.count(_col(c)) for c in cols]).first()
-        out[t] = r[0], [c for c, n in zip(cols, r[1:]) if n == r[0]]
-    return out
-
-
-def _estimates(df: DataFrame, cols: list[str]) -> list[float]:
-    return list(df.agg(*[F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(_col(c)), F.lit(12))) for c in cols]).first()) if cols else []
+        cols = [_col(c) for c in _atomic(df)]
+        part = df.agg(F.count(F.lit(1)).alias("n"), F.array(*map(F.count, cols)).cast("array<long>").alias("counts"), F.array(*[
+            F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(c), F.lit(12))) for c in cols]).cast("array<double>").alias("about"))
+        part = part.select(F.lit(t).alias("t"), "*")
+        rows = part if rows is None else rows.union(part)
+    sizes, about = {}, {}
+    for r in rows.collect() if rows is not None else []:
+        whole = [(c, e) for c, m, e in zip(_atomic(tables[r.t]), r.counts, r.about) if m == r.n]
+        sizes[r.t] = r.n, [c for c, _ in whole]
+        about |= {(r.t, c): e for c, e in whole}
+    return sizes, about
 
 
 def _short(df: DataFrame, c: str) -> Column:
@@ -68,45 +80,64 @@ def _digests(s: tuple[str, ...]) -> list[Column]:
     return [F.xxhash64(*map(_col, s)).alias("h1"), F.xxhash64(F.lit(7), *map(_col, s)).alias("h2")]
 
 
-def _repeated(sources: list[tuple[DataFrame, dict[int, tuple[str, ...]], int]]) -> DataFrame | None:
-    """(no, h1, h2, n): the tuples that occur n > 1 times, by their set's number; one
-    shuffle. Of each source (rows, numbered sets, share) a tuple in ``share`` is seen,
-    with all its rows."""
+def _repeated(sources: list[tuple[DataFrame, dict[int, tuple[str, ...]]]]) -> dict[int, int]:
+    """By number, the rows of a numbered set that share their tuple with another row;
+    one shuffle for all sources (rows, sets)."""
     rows = None
-    for df, sets, share in sources:
+    for df, sets in sources:
         numbers = list(sets)
         for i in range(0, len(numbers), TOGETHER):
             part = df.select(F.inline(F.array(*[F.struct(F.lit(no).alias("no"), *_digests(sets[no])) for no in numbers[i:i + TOGETHER]])))
-            part = part.where(F.pmod("h1", F.lit(share)) == 0) if share > 1 else part
             rows = part if rows is None else rows.union(part)
-    return None if rows is None else rows.groupBy("no", "h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if rows is None:
+        return {}
+    again = rows.groupBy("no", "h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return {r["no"]: r["n"] for r in again.groupBy("no").agg(F.sum("n").alias("n")).collect()}
 
 
-def _totals(again: DataFrame | None) -> dict[int, int]:
-    return {} if again is None else {r["no"]: r["n"] for r in again.groupBy("no").agg(F.sum("n").alias("n")).collect()}
+def _leading(about: dict, t: str, s: tuple[str, ...], share: int) -> tuple[str, ...]:
+    """The fewest of a set's columns, most values first, whose values are enough for a share of them."""
+    cols = sorted(s, key=lambda c: (-about[t, c], c))
+    return next((tuple(cols[:i]) for i in range(1, len(cols)) if prod(about[t, c] for c in cols[:i]) >= VALUES * share), tuple(cols))
+
+
+def _seen(df: DataFrame, cols: list[str], leading: list[tuple[str, ...]], share: int) -> DataFrame:
+    """The rows whose values in one of ``leading`` fall in a share of their digests, and
+    in which of them (``_at``); written once."""
+    hit = [F.pmod(F.xxhash64(*map(_col, a)), F.lit(share)) == 0 for a in leading]
+    path = scratch_path(df.sparkSession, "seen")
+    (df.where(reduce(lambda a, b: a | b, hit))
+     .select(*[_short(df, c) for c in cols], F.array(*[F.when(h, F.lit(i)) for i, h in enumerate(hit)]).alias("_at")).write.parquet(path))
+    return df.sparkSession.read.parquet(path)
 
 
 def _sharing(tables: dict[str, DataFrame], sizes: dict, sets: list[tuple[str, tuple[str, ...]]]) -> dict:
-    """For every set, the rows of its table that share their tuple with another row."""
+    """Of every set that is no key by its 64-bit digests, the rows that share theirs with another row."""
     if not sets:
         return {}
     spark = next(iter(tables.values())).sparkSession
+    mine = {t: {i: s for i, (u, s) in enumerate(sets) if u == t} for t in dict.fromkeys(t for t, _ in sets)}
+
+    def digests(t, *cols):
+        return tables[t].select(*cols, F.inline(F.array(*[F.struct(F.lit(i).alias("_no"), F.xxhash64(*map(_col, s)).alias("_h")) for i, s in mine[t].items()])))
+
+    rows = reduce(DataFrame.union, [digests(t) for t in mine])
+    # nearly all differ: dealt before they are counted, a million to a task
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), sum(sizes[t][0] for t, _ in sets) // TASK)
     path = scratch_path(spark, "repeated")
-    _repeated([(df, {i: s for i, (u, s) in enumerate(sets) if u == t}, 1) for t, df in tables.items()]).write.partitionBy("no").parquet(path)
-    again = spark.read.schema("no int, h1 long, h2 long, n long").parquet(path)
+    (rows.repartition(parts, "_h").groupBy("_no", "_h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+     .select("_no", "_h").write.parquet(path))
+    again = spark.read.schema("_no int, _h long").parquet(path)
+    some = {r["_no"] for r in again.select("_no").distinct().collect()}
     out = {}
-    for t, df in tables.items():
-        cols, rows = sizes[t][1], None
-        mine = {i: s for i, (u, s) in enumerate(sets) if u == t}
-        for i, s in mine.items():
-            part = (df.select(F.lit(i).alias("_no"), *[d.alias(f"_h{j}") for j, d in enumerate(_digests(s))], *[_short(df, c) for c in cols])
-                    .join(again.where(F.col("no") == i).select(F.col("h1").alias("_h0"), F.col("h2").alias("_h1")), ["_h0", "_h1"], "left_semi"))
-            rows = part if rows is None else rows.union(part)
-        if rows is not None:
+    for t in mine:
+        mine[t] = {i: s for i, s in mine[t].items() if i in some}
+        if mine[t]:
             path = scratch_path(spark, "sharing")
-            rows.drop("_h0", "_h1").write.partitionBy("_no").parquet(path)
+            (digests(t, *[_short(tables[t], c) for c in sizes[t][1]])
+             .join(again.where(F.col("_no").isin(list(mine[t]))), ["_no", "_h"], "left_semi").drop("_h").write.partitionBy("_no").parquet(path))
             kept = spark.read.parquet(path)
-            out |= {(t, s): kept.where(F.col("_no") == i).drop("_no") for i, s in mine.items()}
+            out |= {(t, s): kept.where(F.col("_no") == i).drop("_no") for i, s in mine[t].items()}
     return out
 
 
@@ -114,41 +145,53 @@ def unique_sets(tables: dict[str, DataFrame], width: int = 3, seen: int = SEEN)
     """(table, columns) of all minimal sets of at most ``width`` columns without
     nulls whose tuples are all different. Tables without rows have none. ``seen``:
     rows of a table in which a set's repeated tuples are looked for first."""
-    sizes = _sizes(tables)
-    found: list[tuple[str, tuple[str, ...]]] = []
-    # distinct values of a column, about
-    about = {(t, c): e for t, df in tables.items() if sizes[t][0] for c, e in zip(sizes[t][1], _estimates(df, sizes[t][1]))}
+    sizes, about = _sizes(tables)
     shares = {t: max(1, sizes[t][0] // seen) for t in tables}
-    before: dict[tuple[str, tuple[str, ...]], int] = {}  # sets of the level before that are no keys: rows that share a tuple
-    for k in range(1, width + 1):
-        level = []
-        for t in tables:
-            n, cols = sizes[t]
-            keys = [set(s) for u, s in found if u == t]
-            # a set has at most the product of its columns' values
-            level += [(t, s) for s in combinations(cols, k) if n and not any(key <= set(s) for key in keys)
-                      and prod(about[t, c] for c in s) >= SLACK * n]
-        number = {x: i for i, x in enumerate(level)}
-
-        def of(t, chosen):
-            return {number[x]: x[1] for x in chosen if x[0] == t}
-
-        # a repeated tuple rules a set out wherever it is seen
-        some = _totals(_repeated([(tables[t], of(t, level), shares[t]) for t in tables]))
-        rest = [x for i, x in enumerate(level) if i not in some and shares[x[0]] > 1]
+    # a set has at most the product of its columns' values
+    level = {k: [(t, s) for t in tables for s in combinations(sizes[t][1], k)
+                 if sizes[t][0] and prod(about[t, c] for c in s) >= SLACK * sizes[t][0]] for k in range(1, width + 1)}
+    number = {x: i for i, x in enumerate(x for k in level for x in level[k])}
+    lead = {(t, s): _leading(about, t, s, shares[t]) for t, s in number if shares[t] > 1}
+    leading = {t: list(dict.fromkeys(a for (u, _), a in lead.items() if u == t)) for t in tables}
+    some_rows = {t: _seen(tables[t], sizes[t][1], leading[t], shares[t]) for t in tables if leading[t]}
+
+    def repeated(of: dict, chosen: list) -> dict:
+        """For sets of one source each, the rows of it that share a set's tuple."""
+        by: dict = {}
+        for x in chosen:
+            by.setdefault(of[x], {})[number[x]] = x[1]
+        n = _repeated([(rows[y], sets) for y, sets in by.items()])
+        return {x: n.get(number[x], 0) for x in chosen}
+
+    # sources of sets: whole tables, rows of a share, and later, by a set, the rows that share its tuple
+    rows: dict = {(t,): tables[t] for t in tables}
+    rows |= {(t, a, shares[t]): some_rows[t].where(F.col("_at")[i].isNotNull()) for t in some_rows for i, a in enumerate(leading[t])}
+    source = {(t, s): (t, lead[t, s], shares[t]) if (t, s) in lead else (t,) for t, s in number}
+    some: dict = {}  # rows seen that share a set's tuple
+    exact: dict = {}  # all rows that do; none: a key
+    while True:
+        found: list[tuple[str, tuple[str, ...]]] = []
+        for k in level:
+            open_ = [(t, s) for t, s in level[k] if not any(u == t and set(key) <= set(s) for u, key in found)]
+            new = repeated(source, [x for x in open_ if x not in some])
+            some |= new
+            exact |= {x: n for x, n in new.items() if x not in lead}
+            found += [x for x in open_ if not some[x] and not exact.get(x)]
+        rest = [x for x in found if x not in exact]
+        if not rest:
+            break
         base: dict = {}
         for t, s in rest:
-            if near := [(t, x) for x in combinations(s, k - 1) if (t, x) in before]:
-                base[t, s] = min(near, key=lambda x: (before[x], x))
+            near = {b: exact.get(b) or some[b] * shares[t] for b in ((t, x) for x in combinations(s, len(s) - 1)) if b in some}
+            if near and min(near.values()) <= NEAR * sizes[t][0]:
+                base[t, s] = min(near, key=lambda b: (near[b], b))
         users = Counter(base.values())
-        # narrowing to a base reads the table twice
-        base = {x: y for x, y in base.items() if users[y] > 2}
-        rows = _sharing(tables, sizes, sorted(set(base.values())))
-        sources = [(tables[t], of(t, [x for x in rest if x not in base]), 1) for t in tables]
-        sources += [(rows[y], of(y[0], [x for x in base if base[x] == y]), 1) for y in rows]
-        exact = _totals(_repeated(sources)) if rest else {}
-        found += [x for i, x in enumerate(level) if i not in some and i not in exact]
-        before = {level[i]: m * shares[level[i][0]] for i, m in some.items()} | {level[i]: m for i, m in exact.items()}
+        # settling a base for one set alone saves nothing
+        base = {x: b for x, b in base.items() if b in rows or users[b] > 1}
+        whole = list(dict.fromkeys([x for x in rest if x not in base] + [b for b in base.values() if b not in rows]))
+        sharing = _sharing(tables, sizes, whole)
+        rows |= sharing
+        exact |= {x: 0 for x in whole} | repeated({x: x for x in sharing}, list(sharing)) | repeated(base, list(base))
     order = list(tables)
     return sorted(found, key=lambda x: (order.index(x[0]), len(x[1]), [tables[x[0]].columns.index(c) for c in x[1]]))
 
