@@ -17,9 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import checkpoint_dir
+from quarry.functions.spread import hot_keys
+from quarry.session import checkpoint_dir, scratch_path
 
 LOW_BITS = 33
+SMALL = 20_000  # rows of a group that are ranked in one task
 
 
 def _num_partitions(df: DataFrame, n: int | None) -> int:
@@ -58,14 +60,23 @@ def _ranked(df: DataFrame, order_cols: list, rank_col: str, start: int, num_part
 
 
 def rank_within(df: DataFrame, group_col: str, order_cols: list, rank_col: str = "rank_in_group",
-                size_col: str = "group_size", num_partitions: int | None = None) -> DataFrame:
+                size_col: str = "group_size", num_partitions: int | None = None, small: int = 0) -> DataFrame:
     """0-based rank inside each group and the group size, without a window
     partitioned by the group (a hot group would land in one task): rank the
     whole set by (group, order), then subtract each group's first rank.
+    Groups of up to about ``small`` rows are ranked by a window, which costs one
+    shuffle; ``df`` is then read several times, so it should be a written table.
 
     A group's first rank and size are joined by (range, group), so a task gets no
     more of a hot group than one range holds.  Only the groups at the ends of a
     range can go on in another; these few are totalled apart and broadcast."""
+    if small:
+        less, more = by_size(df, [group_col], small)
+        w = Window.partitionBy(group_col)
+        out = (less.withColumn(size_col, F.count(F.lit(1)).over(w))
+               .withColumn(rank_col, F.row_number().over(w.orderBy(*order_cols)).cast("long") - 1)
+               .select(group_col, *[c for c in df.columns if c != group_col], size_col, rank_col))
+        return out if more is None else out.union(rank_within(more, group_col, order_cols, rank_col, size_col, num_partitions))
     r = _ranked(df, [group_col] + list(order_cols), "_gr", 0, num_partitions)
     part = r.groupBy("_pid", group_col).agg(F.min("_gr").alias("_g0"), F.count(F.lit(1)).alias(size_col))
     ends = r.groupBy("_pid").agg(F.min(group_col).alias("_a"), F.max(group_col).alias("_z"))
@@ -78,6 +89,18 @@ def rank_within(df: DataFrame, group_col: str, order_cols: list, rank_col: str =
             .withColumn(rank_col, F.col("_gr") - F.col("_g0")).drop("_pid", "_gr", "_g0"))
 
 
+def by_size(df: DataFrame, group: list[str], small: int) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of groups of up to about ``small`` rows, and those of the others if there
+    are any. Rows with a null in ``group`` are in neither. The large groups are few: their list is broadcast."""
+    path = scratch_path(df.sparkSession, "large")
+    hot_keys(df, group, small).select(*group).write.parquet(path)
+    large = df.sparkSession.read.schema(df.select(*group).schema).parquet(path)
+    df = df.dropna(subset=group)
+    if large.isEmpty():
+        return df, None
+    return df.join(F.broadcast(large), group, "left_anti"), df.join(F.broadcast(large), group, "left_semi")
+
+
 def fill_forward(df: DataFrame, part_col: str, order_col: str, value_col: str, out_col: str,
                  bucket_size: int = 100_000) -> DataFrame:
     """Latest non-null ``value_col`` at or before each row within ``part_col``

@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quarry.functions.ranking import rank_within
+from quarry.functions.ranking import SMALL, rank_within
 from quarry.functions.spread import spread_join
 from quarry.session import scratch_path
 
@@ -46,9 +46,9 @@ def _kept(df: DataFrame) -> DataFrame:
 
 
 def _numbered(df: DataFrame, group: list[str], order: list[str], out: str) -> DataFrame:
-    """0-based rank inside a group, however large it is."""
+    """0-based rank inside a group of a written table, however large it is."""
     key = F.concat_ws("|", *[F.col(c).cast("string") for c in group])
-    return rank_within(df.withColumn("_g", key), "_g", order, out, "_n").drop("_g", "_n")
+    return rank_within(df.withColumn("_g", key), "_g", order, out, "_n", small=SMALL).drop("_g", "_n")
 
 
 def _useful(rows: DataFrame) -> DataFrame:
@@ -113,10 +113,12 @@ def _posted(kinds: DataFrame, s: int, most: float) -> DataFrame:
     return kinds.select(*_KIND, F.explode(_subsets(F.col("vals"), s)).alias("sub"))
 
 
-def _round(rows: DataFrame, s: int, total: int, most: float) -> DataFrame | None:
-    """Row pairs of one level that are settled in one round, or None."""
+def _round(rows: DataFrame, s: int, total: int, most: float) -> tuple[DataFrame, DataFrame] | None:
+    """Row pairs of one level that are settled in one round, and the rows that had a
+    subset with rows of both sides, or None. Sides only lose rows, so no other row gets
+    such a subset in a later round of the level."""
     rows = rows.withColumn("kind", F.md5(F.to_json("vals")))
-    kinds = _kept(rows.groupBy(*_KIND).agg(F.first("vals").alias("vals")))
+    kinds = _kept(rows.select(*_KIND, "vals").distinct())
     gold = F.col("side") == "gold"
     posted = _kept(_posted(kinds, s, most).withColumn("sub", F.md5(F.to_json("sub")))
                    .withColumn("a", F.when(gold, F.col("size")).otherwise(total - F.col("size"))))
@@ -126,10 +128,12 @@ def _round(rows: DataFrame, s: int, total: int, most: float) -> DataFrame | None
                    .select(*_KIND, "c.sub", "c.a"))
     if chosen.isEmpty():
         return None
-    nth = _numbered(spread_join(rows.drop("vals"), chosen, _KIND), ["pair_id", "side", "sub", "a"], ["row_no"], "nth")
+    tried = _kept(spread_join(rows, chosen, _KIND))
+    nth = _numbered(tried.drop("vals"), ["pair_id", "side", "sub", "a"], ["row_no"], "nth")
     side = lambda name: nth.where(F.col("side") == name).select(
         "pair_id", "sub", "a", "nth", F.col("row_no").alias(f"{name}_no"))
-    return _kept(side("gold").join(side("pred"), ["pair_id", "sub", "a", "nth"]).select("pair_id", "gold_no", "pred_no"))
+    pairs = _kept(side("gold").join(side("pred"), ["pair_id", "sub", "a", "nth"]).select("pair_id", "gold_no", "pred_no"))
+    return pairs, tried.drop("kind", "sub", "a")
 
 
 def similar_rows(rows: DataFrame, most: float = 64) -> DataFrame:
@@ -137,9 +141,8 @@ def similar_rows(rows: DataFrame, most: float = 64) -> DataFrame:
     similar down, as long as they share a value. ``most``: subsets a kind of row
     may post on average before the join on rare values is weighed against them."""
     sets = _kept(rows.select("pair_id", "side", "row_no", F.array_sort(F.array_distinct(F.transform("cells", F.md5))).alias("vals"))
-                 .withColumn("size", F.size("vals")))
-    keyed = sets.where("size > 0").select("pair_id", "side", "row_no", F.md5(F.to_json("vals")).alias("sub"))
-    nth = _numbered(keyed, ["pair_id", "side", "sub"], ["row_no"], "nth")
+                 .withColumn("size", F.size("vals")).withColumn("sub", F.md5(F.to_json("vals"))))
+    nth = _numbered(sets.where("size > 0").select("pair_id", "side", "row_no", "sub"), ["pair_id", "side", "sub"], ["row_no"], "nth")
     equal = (nth.where("side = 'gold'").select("pair_id", "sub", "nth", F.col("row_no").alias("gold_no"))
              .join(nth.where("side = 'pred'").select("pair_id", "sub", "nth", F.col("row_no").alias("pred_no")), ["pair_id", "sub", "nth"]))
     found = [_kept(equal.select("pair_id", "gold_no", "pred_no"))]
@@ -150,7 +153,7 @@ def similar_rows(rows: DataFrame, most: float = 64) -> DataFrame:
             F.struct(F.lit("pred").alias("side"), F.col("pred_no").alias("row_no")))).alias("x")).select("pair_id", "x.*")
         return rows.join(done, ["pair_id", "side", "row_no"], "left_anti")
 
-    left = _kept(_useful(rest(sets, found[0])))
+    left = _kept(_useful(_kept(rest(sets.drop("sub"), found[0]))))
     passed: set = set()
     while True:
         # (a, b, useful values of a, of b) bound what a level can hold
@@ -162,11 +165,15 @@ def similar_rows(rows: DataFrame, most: float = 64) -> DataFrame:
         if not levels:
             break
         s, total = levels[0]
-        while (pairs := _round(left, s, total, most)) is not None:
+        settled, open_ = None, left
+        while (step := _round(open_, s, total, most)) is not None:
+            pairs, tried = step
             found.append(pairs)
-            left = _kept(rest(left, pairs))
+            settled = pairs if settled is None else settled.union(pairs)
+            open_ = _kept(rest(tried, pairs))
         passed.add((s, total))
-        left = _kept(_useful(left))
+        if settled is not None:
+            left = _kept(_useful(_kept(rest(left, settled))))
     out = found[0]
     for f in found[1:]:
         out = out.union(f)
@@ -178,7 +185,7 @@ def align_similar(rows: DataFrame, positions: DataFrame, most: float = 64) -> Da
     the position of its gold row, the others follow the gold rows in their own
     order. ``positions``: (pair_id, side, row_no, pos) in the original order."""
     pairs = similar_rows(rows, most)
-    pos = positions.select("pair_id", "side", "row_no", "pos")
+    pos = _kept(positions.select("pair_id", "side", "row_no", "pos"))
     gold = pos.where("side = 'gold'")
     at = gold.select("pair_id", F.col("row_no").alias("gold_no"), "pos")
     paired = pairs.join(at, ["pair_id", "gold_no"]).select("pair_id", F.lit("pred").alias("side"), F.col("pred_no").alias("row_no"), "pos")

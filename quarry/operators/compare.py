@@ -21,12 +21,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.cells import NULL_CELL
-from quarry.functions.ranking import rank_within
+from quarry.functions.ranking import SMALL, by_size, rank_within
 from quarry.functions.spread import spread_join
 from quarry.functions.sqltext import text_key
 from quarry.session import scratch_path
@@ -219,11 +219,19 @@ def row_jaccard(a: Column, b: Column) -> Column:
         F.size(F.array_intersect(a, b)).cast("double") / u)
 
 
-def positions(rows: DataFrame) -> DataFrame:
-    """0-based row position per (pair, side) in ``row_no`` order."""
-    k = rows.select("pair_id", "side", "row_no", F.concat_ws("|", F.col("pair_id").cast("string"), "side").alias("_ps"))
+def positions(rows: DataFrame, small: int = SMALL) -> DataFrame:
+    """0-based row position per (pair, side) in ``row_no`` order; rows of one number
+    have all their positions. ``rows`` is read several times."""
+    less, more = by_size(rows.dropna(subset=["row_no"]), ["pair_id", "side"], small)
+    w = Window.partitionBy("pair_id", "side").orderBy("row_no")
+    first, twins = F.rank().over(w).cast("long") - 1, F.count(F.lit(1)).over(w.rangeBetween(0, 0))
+    cols = ["pair_id", "side", "row_no", *[c for c in rows.columns if c not in ("pair_id", "side", "row_no")]]
+    out = less.withColumn("_first", first).withColumn("_twins", twins).select(*cols, F.explode(F.sequence("_first", F.col("_first") + F.col("_twins") - 1)).alias("pos"))
+    if more is None:
+        return out
+    k = more.select("pair_id", "side", "row_no", F.concat_ws("|", F.col("pair_id").cast("string"), "side").alias("_ps"))
     r = rank_within(k, "_ps", ["row_no"], "pos", "_n")  # keys only: the cells do not travel to be ranked
-    return rows.join(r.drop("_ps", "_n"), ["pair_id", "side", "row_no"])
+    return out.union(more.join(r.drop("_ps", "_n"), ["pair_id", "side", "row_no"]).select(*cols, "pos"))
 
 
 def frame_similarity(rows: DataFrame, heads: DataFrame, ordered: DataFrame | None = None,
@@ -235,22 +243,16 @@ def frame_similarity(rows: DataFrame, heads: DataFrame, ordered: DataFrame | Non
     alignment ``aligned(pair_id, side, row_no, pos)`` (E14)."""
     pos = positions(rows)
     if aligned is not None:
-        pos = (pos.join(aligned.select("pair_id", "side", "row_no", F.col("pos").alias("_apos")),
-                        ["pair_id", "side", "row_no"], "left"))
+        at = aligned.select("pair_id", "side", "row_no", F.col("pos").alias("_apos"))
         if ordered is not None:
-            pos = spread_join(pos, ordered, ["pair_id"], "left", counted=rows)
-            use_orig = F.coalesce("ordered", F.lit(False))
-        else:
-            use_orig = F.lit(False)
-        pos = pos.withColumn("pos", F.when(use_orig, F.col("pos")).otherwise(
-            F.coalesce("_apos", F.col("pos"))))
-    vals = pos.select("pair_id", "side", "pos", F.explode("cells").alias("cv")).distinct()
-    g = vals.where(F.col("side") == "gold").select("pair_id", "pos", "cv", F.lit(1).alias("ig"))
-    p = vals.where(F.col("side") == "pred").select("pair_id", "pos", "cv", F.lit(1).alias("ip"))
-    j = g.join(p, ["pair_id", "pos", "cv"], "full_outer")
-    per = j.groupBy("pair_id").agg(
-        F.sum(F.when(F.col("ig").isNotNull() & F.col("ip").isNotNull(), 1).otherwise(0)).alias("inter"),
-        F.count(F.lit(1)).alias("uni"))
+            at = spread_join(at, ordered.where("ordered").select("pair_id"), ["pair_id"], "left_anti")
+        pos = (pos.join(at, ["pair_id", "side", "row_no"], "left")
+               .select("pair_id", "side", F.coalesce("_apos", "pos").alias("pos"), "cells"))
+    # a position's values of both sides side by side: no value travels alone
+    side = lambda name: F.array_distinct(F.flatten(F.collect_list(F.when(F.col("side") == name, F.col("cells")))))
+    met = pos.groupBy("pair_id", "pos").agg(side("gold").alias("g"), side("pred").alias("p"))
+    inter = F.size(F.array_intersect("g", "p")).cast("long")
+    per = met.groupBy("pair_id").agg(F.sum(inter).alias("inter"), F.sum(F.size("g") + F.size("p") - inter).alias("uni"))
     pairs = heads.select("pair_id").distinct()
     return (pairs.join(per, "pair_id", "left")
             .select("pair_id", F.when(F.coalesce("uni", F.lit(0)) == 0, F.lit(1.0))
@@ -265,8 +267,8 @@ def align_rows(rows: DataFrame) -> DataFrame:
     is ranks and joins on (pair, row key), so no pair's rows meet in one task."""
     pos = positions(rows).select("pair_id", "side", "row_no", "pos",
                                  F.md5(F.to_json(F.array_sort(F.array_distinct("cells")))).alias("k"))
-    twin = rank_within(pos.withColumn("_g", F.concat_ws("|", F.col("pair_id").cast("string"), "side", "k")),
-                       "_g", ["pos"], "nth", "_n").drop("_g", "_n")
+    twin = rank_within(_kept(pos.withColumn("_g", F.concat_ws("|", F.col("pair_id").cast("string"), "side", "k")), "positions"),
+                       "_g", ["pos"], "nth", "_n", small=SMALL).drop("_g", "_n")
     gold = twin.where("side = 'gold'").drop("side")
     pred = twin.where("side = 'pred'").drop("side")
     both = (gold.select("pair_id", "k", "nth", F.col("pos").alias("at"), F.col("row_no").alias("gr"))

@@ -12,6 +12,7 @@ from quarry.operators import compare as C
 from quarry.operators import metrics as M
 from quarry.plans.fixtures import (CUSTOMER_PAIR, F2_SQL, F4_SQL, F5_SQL, altered_pairs, pair_texts, replies,
                                    result_pairs)
+from quarry.session import written
 from quarry.sources.tables import load
 
 QUERIES: dict = {}
@@ -155,10 +156,11 @@ def frame_similarity_mixed_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E14 + E15: the query texts say whether a pair keeps its order; the others
     are aligned by similarity."""
     w = altered_pairs(spark, sf_dir)
-    rows = w.select("pair_id", "side", "row_no", cells_array(w, ["c0", "c1", "c2", "c3"]).alias("cells"))
+    # read by every step: written once
+    rows = written(w.select("pair_id", "side", "row_no", cells_array(w, ["c0", "c1", "c2", "c3"]).alias("cells")), "rows")
     pairs = rows.select("pair_id").distinct()
-    ordered = align.ordered_pairs(pair_texts(pairs))
-    free = spread_join(rows, ordered.where("NOT ordered"), ["pair_id"], "left_semi")
+    ordered = written(align.ordered_pairs(pair_texts(pairs)), "ordered")
+    free = written(spread_join(rows, ordered.where("NOT ordered"), ["pair_id"], "left_semi"), "free")
     heads = C.heads_from_rows(rows, pairs, default_cols=4)
     fs = C.frame_similarity(rows, heads, ordered=ordered, aligned=align.align_similar(free, C.positions(free)))
     return fs.select("pair_id", F.round("df_sim", 6).alias("df_sim"))
